@@ -66,13 +66,13 @@ def thresholds(docs: DataFrame, quota: DataFrame, levels: int = LEVELS) -> DataF
     """source, bound: documents with h < bound are in the partial pass; within one bucket of the last level of the quota."""
     edge = quota.where("rest > 0").select("source", F.col("rest").alias("left"), F.lit(0).cast("bigint").alias("low"))  # one row a listed source
     for level in range(levels):
-        width = 1 << (BITS * (6 - 1 - level))
+        width = F.lit(1 << (BITS * (6 - 1 - level))).cast("bigint")
         inside = docs.join(broadcast_if_small(edge), "source").where((F.col("h") >= F.col("low")) & (F.col("h") < F.col("low") + width * (1 << BITS)))
         hist = inside.groupBy("source", "low", "left", _bucket(F.col("h"), level).alias("b")).agg(F.sum("n_tokens").alias("n"))
         w = Window.partitionBy("source").orderBy("b")
         upto = hist.withColumn("before", F.sum("n").over(w) - F.col("n"))
         crossed = upto.where("before <= left and before + n > left")
-        edge = materialize(crossed.select("source", (F.col("left") - F.col("before")).alias("left"), (F.col("low") + F.col("b") * F.lit(width)).alias("low"), F.lit(width).alias("width"), "n"))
+        edge = materialize(crossed.select("source", (F.col("left") - F.col("before")).alias("left"), (F.col("low") + F.col("b") * width).alias("low"), width.alias("width"), "n"))
     # The last bucket goes in if that comes nearer to the quota.
     return edge.select("source", F.when(F.col("left") * 2 >= F.col("n"), F.col("low") + F.col("width")).otherwise(F.col("low")).alias("bound"))
 

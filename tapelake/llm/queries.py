@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import table
-from . import dedup, mixing, packing
+from . import dedup, mixing, packing, subjects
 
 QUERIES, SQL = {}, {}
 
@@ -55,3 +55,13 @@ def p9_selection(spark, sf):
 @query()
 def p9_shares(spark, sf):
     return mixing.mix(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[1]
+
+
+@query()
+def p10_found(spark, sf):
+    return subjects.subject_shares(table(spark, sf, "documents"), table(spark, sf, "subjects"), table(spark, sf, "subject_labels")).select("doc_id", "subject")
+
+
+@query()
+def p10_composition(spark, sf):
+    return subjects.composition(subjects.subject_shares(table(spark, sf, "documents"), table(spark, sf, "subjects"), table(spark, sf, "subject_labels")))
