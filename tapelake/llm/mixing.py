@@ -57,7 +57,7 @@ def quotas(totals: DataFrame, targets: DataFrame, budget: int | None = None) ->
     t = t.withColumn("share", F.when(usable, F.col("target_share"))).withColumn("share", F.col("share") / F.sum("share").over(w))
     limit = F.col("available") * F.col("max_repeats")
     total = F.lit(float(budget)) if budget is not None else F.min(limit / F.col("share")).over(w)
-    quota = F.coalesce(F.least(F.floor(total * F.col("share")), limit), F.lit(0)).cast("bigint")
+    quota = F.when(F.col("share").isNull(), 0).otherwise(F.least(F.floor(total * F.col("share")), limit)).cast("bigint")  # least() skips nulls
     t = t.withColumn("quota", quota).withColumn("passes", F.when(F.col("available") > 0, F.floor(F.col("quota") / F.col("available"))).otherwise(0).cast("bigint"))
     return t.withColumn("rest", F.col("quota") - F.col("passes") * F.col("available"))
 

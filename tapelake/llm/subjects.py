@@ -16,7 +16,9 @@
 Labels enter as at most `MOST_LABELS` labelled pages, those with the least hash of their id;
 everything else covers all pages. Null or empty bodies, pages without paragraphs and pages with
 an error status have no subject. Unknown subjects in labels are ignored, null ones mean none.
-Repeated rows of a page are reduced to the latest fetched. Without labels nothing is found.
+Rows of one doc_id are pages
+of their own. Without labels nothing is found; a subject without labels in a language is not
+found in it. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,8 +43,8 @@ ROUNDS, INNER = 4, 4
 SOFT = 0.1
 #: Rates enter the background to this power, so that it holds what most pages use.
 BACKGROUND_POWER = 2
-#: A word is a subject word if it spreads over fewer subjects than this, as inverse Simpson index and share of all.
-SPREAD = 0.4
+#: A word is a subject word if its inverse Simpson index over the components is at most this part of the way from one component to all of them.
+SPREAD = 1 / 3
 
 _DROP = re.compile(r"<(nav|header|footer|aside|script|style|ul)\b.*?</\1\s*>", re.S | re.I)
 _PARAGRAPH = re.compile(r"<p\b[^>]*>(.*?)</p\s*>", re.S | re.I)
@@ -273,9 +275,12 @@ def fit(articles: DataFrame, subjects: list[str], rounds: int = ROUNDS) -> Model
     model.normalise()
     usual = rates[:, None] / np.bincount(keys >> WORD_BITS, rates, len(langs))[keys >> WORD_BITS][:, None]
     model.weights[:, :k] = np.maximum(model.weights[:, :k] - 0.5 * usual, 1e-6)
+    # A subject without labels in a language has no anchor there and stays off.
+    anchored = np.stack([np.bincount(keys >> WORD_BITS, seeds[:, j], len(langs)) > 0 for j in range(k)], 1)[keys >> WORD_BITS]
+    model.weights[:, :k] *= anchored
     model.normalise()
     for _ in range(rounds):
-        model.weights[:, :k] = model.weights[:, :k] * _gather(articles, model, False) + 1e-9
+        model.weights[:, :k] = (model.weights[:, :k] * _gather(articles, model, False) + 1e-9) * anchored
         model.normalise()
     return model
 
@@ -284,7 +289,7 @@ def _decide(model: Model, share: float):
     k = len(model.subjects) + 1
     own = model.weights[:, :k]
     p = own / (own.sum(1, keepdims=True) + 1e-12)
-    is_subject_word = 1 / (p * p).sum(1) <= SPREAD * k
+    is_subject_word = 1 / np.maximum((p * p).sum(1), 1e-12) <= 1 + SPREAD * (k - 1)
     evidence = np.where(is_subject_word[:, None], np.log((p + 0.05) / (1 / k + 0.05)), 0.0)
     make = _batches([("doc_id", pa.int64()), ("subject", pa.string()), ("sentences", pa.int32()), ("of", pa.int32())])
 
