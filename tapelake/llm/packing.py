@@ -172,7 +172,7 @@ def pack(documents: DataFrame, sizes: DataFrame, vocabulary: str = VOCABULARY) -
     before = Window.partitionBy("container", "length").orderBy("salt")
     offsets = groups.select("container", "length", "salt", (F.sum("n").over(before) - F.col("n")).alias("offset"))
     within = Window.partitionBy("container", "length", "salt").orderBy("doc_id", "piece")
-    ranked = items.withColumn("at", F.row_number().over(within) - 1).join(broadcast_if_small(offsets), ["container", "length", "salt"])
+    ranked = items.withColumn("at", F.row_number().over(within) - 1).join(offsets, ["container", "length", "salt"])  # one row a group: both sides are spread by these keys
     ranked = ranked.withColumn("rank", F.col("offset") + F.col("at"))
     placed = ranked.join(broadcast_if_small(where_to), ["container", "length"]).where("rank >= first and rank < after")
     number = F.col("base") + F.floor((F.col("rank") - F.col("first")) / F.col("each"))
