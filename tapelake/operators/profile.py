@@ -18,8 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.isin import luhn_is_valid
+from ..functions.isin import luhn_is_valid, luhn_parts
 from ..functions.text import is_blank, norm
+from ..session import fixed
 
 
 @dataclass(frozen=True)
@@ -37,8 +38,7 @@ class Check:
         c = F.col(self.column)
         if self.kind == "blank":
             return is_blank(c)
-        x = norm(c)
-        return F.when(is_blank(c), False).otherwise(~(x.rlike(r"^IN[A-Z0-9]{9}[0-9]\z") & F.when(x.rlike(r"^IN[A-Z0-9]{9}[0-9]\z"), luhn_is_valid(x)).otherwise(False)))
+        return F.col(f"_code_{self.column}") == "I"
 
 
 BLANKS = ("symbol", "series", "isin", "price_open", "price_high", "price_low", "price_last", "price_prev_close", "totaltrades")
@@ -48,10 +48,17 @@ GROUP = ("sgmt", "src", "fininstrmtp", "series_n")
 
 def row_masks(rows: DataFrame, checks=CHECKS) -> DataFrame:
     """One row per delivered line: member_id, census group (null outside udiff34), mask of failed checks."""
+    wanted = dict.fromkeys(["row_id", "member_id", "source_line_number", "format_family", "loaded_at", *GROUP[:3], "series", *(c.column for c in checks)])
+    rows = rows.select(*wanted)
+    for column in dict.fromkeys(c.column for c in checks if c.kind == "invalid"):
+        code = norm(F.col(column))
+        rows = fixed(rows, _code=code, _parts=luhn_parts(code))
+        ok = F.col("_code").startswith("IN") & F.coalesce(luhn_is_valid(F.col("_parts")), F.lit(False))
+        rows = rows.withColumn(f"_code_{column}", F.when(is_blank(F.col(column)), "B").when(ok, "V").otherwise("I")).drop("_code", "_parts")
     mask = F.lit(0)
     for i, c in enumerate(checks):
         mask = mask.bitwiseOR(F.when(c.condition(), 1 << i).otherwise(0))
-    modern = F.col("format_family") == "udiff34"
+    modern = F.coalesce(F.col("format_family") == "udiff34", F.lit(False))
     slim = rows.select(
         "member_id",
         "source_line_number",

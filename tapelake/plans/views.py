@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.isin import luhn_is_valid
+from ..functions.isin import luhn_is_valid, luhn_parts
 from ..functions.numbers import strict_decimal, strict_integer
 from ..functions.text import norm
-from ..session import table
+from ..session import fixed, table
 
 _SHAPE = r"^IN[A-Z0-9]{9}[0-9]\z"
 
@@ -17,17 +17,18 @@ def rows(spark: SparkSession, sf: str) -> DataFrame:
     """Canonical rows as delivered, with their file, normalised code, ticker and identity."""
     m = table(spark, sf, "members").select("member_id", "feed", "root", "file_name", F.col("date_from_filename").alias("trade_date"))
     p = table(spark, sf, "price_rows").join(m, "member_id")
-    n = norm(F.col("isin"))
-    p = p.withColumn("isin_n", F.coalesce(n, F.lit("")))
+    p = fixed(p, isin_n=F.coalesce(norm(F.col("isin")), F.lit("")))
+    p = fixed(p, _parts=luhn_parts(F.col("isin_n")))
     i = F.col("isin_n")
     validity = (
         F.when(i == "", "BLANK").when(F.length(i) != 12, "LEN").when(~i.startswith("IN"), "PREFIX").when(~i.rlike(_SHAPE), "CHARSET")
-        .when(~luhn_is_valid(i), "CHECKDIGIT").otherwise("VALID")
+        .when(~luhn_is_valid(F.col("_parts")), "CHECKDIGIT").otherwise("VALID")
     )
     legacy = F.col("format_family") == "legacy13"
+    p = fixed(p, _validity=validity)
     ticker = F.when(legacy | ((F.col("sgmt") == "CM") & (F.col("fininstrmtp") == "STK")), F.col("symbol"))
     return p.select(
-        "row_id", "member_id", "source_line_number", "format_family", "symbol", "series", "isin", "isin_n", validity.alias("validity"), "sgmt", "src", "fininstrmtp",
+        "row_id", "member_id", "source_line_number", "format_family", "symbol", "series", "isin", "isin_n", F.col("_validity").alias("validity"), "sgmt", "src", "fininstrmtp",
         "price_open", "price_high", "price_low", "price_close", "price_last", "price_prev_close", "tottrdqty", "tottrdval", "totaltrades", "raw_biz_dt", "loaded_at",
         "feed", "root", "file_name", "trade_date", F.year("trade_date").alias("year"),
         strict_integer(F.col("tottrdqty")).alias("quantity"), (strict_decimal(F.col("price_close")) * 100).try_cast("bigint").alias("close_paise"),

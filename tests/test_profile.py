@@ -1,6 +1,6 @@
 import datetime as dt
 
-from tapelake.functions.isin import luhn_is_valid, validity
+from tapelake.functions.isin import luhn_is_valid, luhn_parts, validity
 from tapelake.operators import profile
 
 GOOD, BAD = "INE002A01018", "INE002A01019"
@@ -29,7 +29,8 @@ def test_codes(spark):
     got = {r.x: r.v for r in df.select("x", validity(df.x).alias("v")).collect()}
     assert got == cases
     df = spark.createDataFrame([(GOOD,), (BAD,), ("US0378331005",), ("INE144J01027",)], "x string")
-    assert [r[0] for r in df.select(luhn_is_valid(df.x)).collect()] == [True, False, True, True]
+    assert df.select(luhn_is_valid(luhn_parts(df.x.substr(1, 11)))).first()[0] is None
+    assert [r[0] for r in df.select(luhn_is_valid(luhn_parts(df.x))).collect()] == [True, False, True, True]
 
 
 def test_findings(spark):
