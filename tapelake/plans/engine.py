@@ -601,6 +601,77 @@ def date_facts(spark, sf):
     return r.groupBy("member_id").agg(F.every(F.col("raw_biz_dt").rlike(r"\S")).alias("compared"), F.every(F.col("raw_biz_dt").eqNullSafe(F.col("trade_date").cast("string"))).alias("equal"))
 
 
+_LINK2 = _LINK.split("select o.row_id")[0].replace(", bs as", ", B as")
+
+
+@query(_LINK2.replace("B as", "bi as").replace("KEY", "isin_n") + _LINK2.replace("B as", "bs as").replace("KEY", "symbol") + f"""
+select o.row_id, coalesce(i.base_line, s.base_line) as base_line, case when i.k is not null then 'BASE_BY_ISIN' when s.k is not null then 'BASE_BY_SYMBOL_ONLY' else 'ORPHAN' end as match_type
+from rows o left join bi i on i.member_id = o.member_id and i.k = o.isin_n and i.n = 1 left join bs s on s.member_id = o.member_id and s.k = o.symbol and s.n = 1 where o.series in {_OV}""")
+def overlay_two_stage(spark, sf):
+    """Overlay rows linked by code, and by symbol where the code has no base."""
+    r = rows(spark, sf)
+    by = lambda k, n: isl.link_overlays(r, OVERLAY_SERIES, k).select("row_id", F.col("base_line").alias(f"l{n}"), F.col("candidates").alias(f"c{n}"))
+    j = by("isin_n", 1).join(by("symbol", 2), "row_id")
+    kind = F.when(F.col("c1").isNotNull(), "BASE_BY_ISIN").when(F.col("c2").isNotNull(), "BASE_BY_SYMBOL_ONLY").otherwise("ORPHAN")
+    return j.select("row_id", F.coalesce("l1", "l2").alias("base_line"), kind.alias("match_type"))
+
+
+@query(""", n as (select member_id, count(distinct source_line_number) as lines from rows group by member_id)
+select m.row_count - n.lines as residual, count(*) as files from members m join n using (member_id) where m.row_count is not null group by 1""")
+def deficit_residuals(spark, sf):
+    n = rows(spark, sf).groupBy("member_id").agg(F.countDistinct("source_line_number").alias("lines"))
+    m = table(spark, sf, "members").where("row_count is not null").select("member_id", "row_count")
+    return m.join(n, "member_id").groupBy((F.col("row_count") - F.col("lines")).alias("residual")).agg(F.count("*").alias("files"))
+
+
+@query(""", d as (select distinct member_id, source_line_number, series from rows), g as (select member_id, coalesce(series, '') as s, count(*) as n from d group by all)
+select m.member_id, cast(sum(n) as bigint) as series_total, cast(sum(n) as bigint) is not distinct from max(m.row_count) as sums_up from g join members m using (member_id) group by m.member_id""")
+def series_map_sums(spark, sf):
+    """Whether the counts by series of a file add up to its row count."""
+    d = rows(spark, sf).select("member_id", "source_line_number", "series").distinct().groupBy("member_id", F.coalesce("series", F.lit("")).alias("s")).agg(F.count("*").alias("n"))
+    maps = d.groupBy("member_id").agg(F.map_from_entries(F.collect_list(F.struct("s", "n"))).alias("m"))  # as many entries as a file has series
+    total = F.aggregate(F.map_values("m"), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return maps.join(table(spark, sf, "members").select("member_id", "row_count"), "member_id").select("member_id", total.alias("series_total"), total.eqNullSafe(F.col("row_count")).alias("sums_up"))
+
+
+@query("""select root, count(*) filter (distinct_valid_isin <> valid_isin_rows) as discriminating, count(*) filter (valid_isin_rows + blank_isin_rows + invalid_isin_rows = row_count) as closing,
+  case when count(*) filter (valid_isin_rows + blank_isin_rows + invalid_isin_rows <> row_count) = 0 then 'consistent' else 'inconsistent' end as verdict from file_metrics group by root""", False)
+def metric_verdict(spark, sf):
+    total = F.col("valid_isin_rows") + F.col("blank_isin_rows") + F.col("invalid_isin_rows")
+    return table(spark, sf, "file_metrics").groupBy("root").agg(
+        F.count_if(F.col("distinct_valid_isin") != F.col("valid_isin_rows")).alias("discriminating"), F.count_if(total == F.col("row_count")).alias("closing"),
+        F.when(F.count_if(total != F.col("row_count")) == 0, "consistent").otherwise("inconsistent").alias("verdict"),
+    )
+
+
+@query(r""", x as (select m.member_id, m.header_width, m.file_name, count(*) filter (r.series = 'BL') as bl, count(*) as n, count(distinct r.isin_n) as isins from members m join rows r using (member_id) group by all)
+select member_id, header_width, bl, header_width = 13 as short_header, regexp_matches(file_name, '(?i)31(dec|jan)') as year_end, bl > 0 and n = isins as overlay_without_repeats from x where header_width = 13 or regexp_matches(file_name, '(?i)31(dec|jan)') or (bl > 0 and n = isins)""")
+def inventory_anomalies(spark, sf):
+    m = table(spark, sf, "members").select("member_id", "header_width")
+    g = rows(spark, sf).groupBy("member_id", "file_name").agg(F.count_if(F.col("series") == "BL").alias("bl"), F.count("*").alias("n"), F.countDistinct("isin_n").alias("isins"))
+    x = m.join(g, "member_id").select("member_id", "header_width", "bl", (F.col("header_width") == 13).alias("short_header"), F.col("file_name").rlike("(?i)31(dec|jan)").alias("year_end"), ((F.col("bl") > 0) & (F.col("n") == F.col("isins"))).alias("overlay_without_repeats"))
+    return x.where("short_header or year_end or overlay_without_repeats")
+
+
+@query("""select relative_path, size_bytes, cast(rank as int) as rank from (select relative_path, size_bytes, row_number() over (order by size_bytes desc, relative_path) as rank from members) z where rank between 11 and 20""", False)
+def inventory_page(spark, sf):
+    """The second page of ten of the inventory by size: a page is a top-k of its end, numbered afterwards."""
+    top = table(spark, sf, "members").select("relative_path", "size_bytes").orderBy(F.desc("size_bytes"), "relative_path").limit(20)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("size_bytes"), "relative_path"))).where("rank > 10")
+
+
+@query("""select extract(isodow from date_from_filename) > 5 as weekend, count(*) as files, count(distinct date_from_filename) as days from members group by 1""", False)
+def weekend_files(spark, sf):
+    return table(spark, sf, "members").groupBy((F.weekday("date_from_filename") >= 5).alias("weekend")).agg(F.count("*").alias("files"), F.countDistinct("date_from_filename").alias("days"))
+
+
+@query(""", t as (select upper(trim(ticker)) as ticker, upper(trim(series)) as series, upper(trim(identity)) as identity, date_from, date_to from tickers where ticker is not null and series is not null and identity is not null and date_from <= coalesce(date_to, '2026-09-18')),
+c as (select ticker, series, count(distinct identity) as identities, min(date_from) as first_from, max(coalesce(date_to, '2026-09-18')) as last_to from t group by ticker, series) select * from c""")
+def ticker_bounds(spark, sf):
+    t = table(spark, sf, "tickers").where("ticker is not null and series is not null and identity is not null").withColumn("date_to", F.coalesce("date_to", F.lit("2026-09-18"))).where("date_from <= date_to")
+    return t.groupBy(F.upper(F.trim("ticker")).alias("ticker"), F.upper(F.trim("series")).alias("series")).agg(F.countDistinct(F.upper(F.trim("identity"))).alias("identities"), F.min("date_from").alias("first_from"), F.max("date_to").alias("last_to"))
+
+
 # ---- incremental
 
 
