@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..operators import drift, history, intervals, profile, quarantine, units
@@ -107,12 +109,85 @@ def p4_loaded(spark, sf):
     return quarantine.loaded(table(spark, sf, "raw_records"), table(spark, sf, "members"))
 
 
-@query()
+def _units_sql() -> str:
+    """SQL of p5_found; word lists come from the operator's tables, the grammar is written again."""
+    lit = lambda x: "'" + x.replace("'", "''") + "'"
+    words = lambda ws: "|".join(sorted((re.escape(w).replace("'", "''") for w in ws), key=len, reverse=True))
+    table_of = lambda d: "map {" + ", ".join(f"{lit(k)}: {v}" for k, v in d.items()) + "}"
+    scales, nouns = units.SCALES, units.NOUNS
+    number = r"-?(?:[0-9]+|[0-9]{1,3}(?:,[0-9]{2,3})+)(?:\.[0-9]+)?(?:e[+-]?[0-9]{1,3})?"
+    value = rf"^(rs\.?|inr|₹)?\s*({number})\s*({words(scales)})?\.?\s*(?:of\s+)?({words(nouns)})?\.?$"
+    money, shares = "(?:turnover|traded values?|values?|tottrdval)", "(?:traded quantit(?:y|ies)|volumes?|quantit(?:y|ies)|qty|tottrdqty)"
+
+    def stated(mine, other, dims):
+        own = words(n for n, u in nouns.items() if u.dims == dims and n not in ("no", "/-", "unit", "units"))
+        part = (
+            f"case when regexp_matches(note, '(?:^|[^a-z])(?:{money}|{shares})(?:[^a-z]|$)') then regexp_replace(regexp_extract(note, '(?:^|[^a-z]){mine}([^a-z;][^;]*|$)', 1), '(?:^|[^a-z]){other}(?:[^a-z].*|$)', '') "
+            f"else regexp_extract(note, '([^;,/:]*(?:{own})[^;,/:]*)', 1) end"
+        )
+        word = lambda ws: f"regexp_extract(' ' || ({part}) || ' ', '[^a-z0-9'']({ws})[^a-z0-9]', 1)"
+        return word(words(scales)), word(own)
+
+    vs, vn = stated(money, shares, units.MONEY)
+    qs, qn = stated(shares, money, units.SHARES)
+    fits = lambda noun, dims: f"{noun} not in ({', '.join(lit(n) for n, u in nouns.items() if u.dims != dims)})"
+    factor = lambda scale, noun, base: f"coalesce({table_of(scales)}[{scale}], 1) * coalesce({table_of({n: u.scale for n, u in nouns.items()})}[{noun}], {base})"
+    parts = lambda c, i: f"regexp_extract(lower(regexp_replace({c}, '^\\s+|\\s+$', '', 'g')), '{value}', {i})"
+
+    def read(c, x):
+        noun = f"case when {parts(c, 4)} <> '' then {parts(c, 4)} else replace({parts(c, 1)}, '.', '') end"
+        plain = f"coalesce(regexp_full_match({c}, '[0-9]+(?:\\.[0-9]+)?'), false)"
+        num = f"try_cast(replace({parts(c, 2)}, ',', '') as decimal(26, 8))"
+        return f"{plain} as {x}_plain, {num} as {x}_num, case when {plain} then '' else {parts(c, 3)} end as {x}s, case when {plain} then '' else {noun} end as {x}n"
+
+    return f"""
+with n as (select member_id, {vs} as nvs, {vn} as nvn, {qs} as nqs, {qn} as nqn from (select member_id, lower(coalesce(units_note, '')) as note from members) z),
+r as (select row_id, member_id, try_cast(price_close as double) as px, try_cast(new_brd_lot_qty as decimal(9, 0)) as lot, {read("tottrdqty", "q")}, {read("tottrdval", "v")} from price_rows),
+u as (select *, case when qs || qn <> '' then qs when nqs || nqn <> '' then nqs end as qsc, case when qs || qn <> '' then qn when nqs || nqn <> '' then nqn end as qno,
+  case when vs || vn <> '' then vs when nvs || nvn <> '' then nvs end as vsc, case when vs || vn <> '' then vn when nvs || nvn <> '' then nvn end as vno from r left join n using (member_id)),
+q as (select *, case when qsc is null then 1 when {fits("qno", units.SHARES)} then {factor("qsc", "qno", 1)} * case when qno in ('lot', 'lots') then lot else 1 end end as qf from u),
+x as (select *, q_num * cast(qf as decimal(12, 0)) as exact from q),
+w as (select *, cast(exact as double) * px as expected, cast(v_num as double) as val from x),
+g as (select *, case when vsc is not null then case when {fits("vno", units.MONEY)} then {factor("vsc", "vno", 100)} end
+  when v_num > 0 and expected > 0 then 100 * list_min(list_transform([1, 1000, 100000, 10000000], lambda k: struct_pack(off := abs(ln(val * k / expected)), k := k))).k else 100 end as vf from w),
+o as (select row_id, 'tottrdqty' as field_name, try_cast(round(exact, 0) as bigint) as common_value, not q_plain or coalesce(qno in ('lot', 'lots') or {factor("qsc", "qno", 1)} <> 1, false) as odd from g
+  union all select row_id, 'tottrdval', try_cast(round(v_num * cast(vf as decimal(12, 0)), 0) as bigint), not v_plain or vf <> 100 from g)
+select row_id, field_name, common_value from o where common_value is not null and odd"""
+
+
+@query(_units_sql())
 def p5_found(spark, sf):
     return units.converted(table(spark, sf, "price_rows"), table(spark, sf, "members"))
 
 
-@query()
+@query(r"""
+with h as (
+  select file_id, lower(regexp_replace(replace(replace(unnest(string_split(header_line, delim)), '"', ''), chr(65279), ''), '^\s+|\s+$', '', 'g')) as name,
+    generate_subscripts(string_split(header_line, delim), 1) as pos from feed_files),
+l as (select file_id, delim, unnest(string_split(body, chr(10))) as line from feed_files),
+d as (select file_id, regexp_replace(unnest(string_split(line, delim)), '^\s+|\s+$', '', 'g') as val, generate_subscripts(string_split(line, delim), 1) as pos from l where regexp_matches(line, '\S')),
+v as (select distinct file_id, pos, val from d where val <> ''),
+k as (
+  select file_id, pos, count(*) as n, case when bool_and(regexp_full_match(val, '-?[0-9]+')) then 'integer' when bool_and(regexp_full_match(val, '-?[0-9]+(\.[0-9]+)?')) then 'decimal'
+    when bool_and(regexp_full_match(val, '[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}-(?i:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)-[0-9]{4}')) then 'date' else 'text' end as kind from v group by file_id, pos),
+c as (select h.file_id, name, pos, kind, coalesce(n, 0) as n from (select file_id, name, min(pos) as pos from h where name <> '' group by file_id, name) h left join k using (file_id, pos)),
+p as (select file_id, lag(file_id) over (partition by feed order by file_date nulls first, file_id) as prev from feed_files),
+nw as (select p.file_id, prev, c.name, c.pos, c.kind, c.n from p join c using (file_id) where prev is not null and not exists (select 1 from c o where o.file_id = prev and o.name = c.name)),
+gn as (select p.file_id, prev, o.name, o.pos, o.kind from p join c o on o.file_id = prev where not exists (select 1 from c where c.file_id = p.file_id and c.name = o.name)),
+f as (select lower(field_name) as name, min(canonical_field) as canon from field_names group by 1),
+sh as (
+  select g.file_id, g.pos as gpos, w.pos as npos, count(*) as shared from gn g join nw w using (file_id) join v a on a.file_id = g.prev and a.pos = g.pos join v b on b.file_id = w.file_id and b.pos = w.pos and b.val = a.val group by all),
+pr as (
+  select g.file_id, g.name as old_name, w.name as new_name, g.kind as k0, w.kind as k1, g.pos as gpos, w.pos as npos,
+    case when fg.canon is not null and fn.canon is not null then case when fg.canon = fn.canon then 2.0 else 0.0 end else coalesce(shared, 0) / greatest(w.n, 1) end as score
+  from gn g join nw w using (file_id) left join f fg on fg.name = g.name left join f fn on fn.name = w.name left join sh on sh.file_id = g.file_id and sh.gpos = g.pos and sh.npos = w.pos),
+rn as (
+  select * from (select *, row_number() over (partition by file_id, old_name order by score desc, npos) as a, row_number() over (partition by file_id, new_name order by score desc, gpos) as b from pr where score >= 0.5) z where a = 1 and b = 1)
+select file_id, 'renamed' as change_kind, old_name, new_name from rn
+union all select file_id, 'retyped', old_name, new_name from rn where k0 <> k1
+union all select file_id, 'added', '', name from nw where not exists (select 1 from rn where rn.file_id = nw.file_id and new_name = name)
+union all select file_id, 'removed', name, '' from gn where not exists (select 1 from rn where rn.file_id = gn.file_id and old_name = name)
+union all select p.file_id, 'retyped', c.name, c.name from p join c using (file_id) join c o on o.file_id = prev and o.name = c.name where c.kind <> o.kind""")
 def p6_found(spark, sf):
     return drift.change_log(table(spark, sf, "feed_files"), table(spark, sf, "field_names")).select("file_id", "change_kind", "old_name", "new_name")
 
