@@ -29,39 +29,36 @@ def validity(isin: Column) -> Column:
     )
 
 
-_CHARS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+def _value(ch: Column) -> Column:
+    """0..35 of one character of 0-9A-Z."""
+    code = F.ascii(ch)
+    return F.when(code >= 65, code - 55).otherwise(code - 48)
 
 
-def _luhn(d: int, doubled: bool) -> int:
-    return d if not doubled else 2 * d - (9 if d > 4 else 0)
-
-
-def _shares(doubled: bool) -> str:
-    """What each character adds to the sum, modulo 10, if its last digit is doubled or not: a digit a character."""
-    return "".join(str((_luhn(v % 10, doubled) + (_luhn(v // 10, not doubled) if v > 9 else 0)) % 10) for v in range(36))
+def luhn_is_valid(x: Column) -> Column:
+    """Whether a 12-character code of A-Z0-9 starting with two letters has the right check digit.
 
+    One fold from the right: a letter contributes two digits, hence the parity of a position
+    depends on the letters right of it and is carried as the count of digits so far.
+    """
+    digits = F.transform(F.split(x, ""), _value)
+    state = F.aggregate(
+        F.reverse(digits),
+        F.struct(F.lit(0).alias("total"), F.lit(0).alias("at")),
+        lambda s, v: F.struct(
+            (
+                s["total"]
+                + F.when(v < 10, _luhn(v, s["at"])).otherwise(_luhn(v % 10, s["at"]) + _luhn(F.floor(v / 10).cast("int"), s["at"] + 1))
+            ).cast("int").alias("total"),
+            (s["at"] + F.when(v < 10, 1).otherwise(2)).cast("int").alias("at"),
+        ),
+    )
+    return state["total"] % 10 == 0
 
-def luhn_parts(x: Column) -> Column:
-    """What `luhn_is_valid` needs of a normalised code, to be computed once a row (see `session.fixed`).
 
-    A letter has two digits and a digit one, so whether a position is doubled is the parity of the
-    digits right of it: a prefix xor over a bit mask. Shares of both parities are translated for
-    the whole code at once. Null unless the code has 12 characters of A-Z0-9 and a final digit.
-    """
-    mask = F.conv(F.translate(x, _CHARS, "1" * 10 + "0" * 26), 2, 10).cast("bigint")
-    for step in (1, 2, 4, 8):
-        mask = mask.bitwiseXOR(F.shiftleft(mask, step))
-    whole = x.rlike(r"^[A-Z0-9]{11}[0-9]\z")
-    return F.when(whole, F.struct(F.shiftleft(mask, 1).alias("doubled"), F.translate(x, _CHARS, _shares(False)).alias("plain"), F.translate(x, _CHARS, _shares(True)).alias("twice")))
-
-
-def luhn_is_valid(parts: Column) -> Column:
-    """Whether the check digit of a code is right, from its `luhn_parts`; null for null."""
-    total = F.lit(0)
-    for k in range(12):
-        odd = F.getbit(parts["doubled"], F.lit(k)) == 1
-        total = total + F.ascii(F.substring(F.when(odd, parts["twice"]).otherwise(parts["plain"]), 12 - k, 1))
-    return (total - 12 * 48) % 10 == 0
+def _luhn(d: Column, at: Column) -> Column:
+    twice = d * 2
+    return F.when(at % 2 == 0, d).when(twice > 9, twice - 9).otherwise(twice)
 
 
 def is_valid(isin: Column) -> Column:
