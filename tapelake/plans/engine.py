@@ -18,7 +18,7 @@ from ..operators import calendar as cal
 from ..operators import islands as isl
 from ..schema import OVERLAY_SERIES
 from ..session import table
-from .views import ROWS, rows
+from .views import ROWS, once, rows
 
 QUERIES, SQL = {}, {}
 
@@ -167,7 +167,7 @@ def _flagged(r):
             F.when(F.col("validity") == "LEN", F.lit("isin_invalid_length")),
         )
     )
-    return r.withColumn("flags", flags)
+    return once(r, "validity").withColumn("flags", flags)
 
 
 @query(_FLAGS + " select flag, count(*) as row_count from fl group by flag")
@@ -381,7 +381,7 @@ def census_grouping_sets(spark, sf):
 @query(""", g as (select file_name, trade_date, count(*) filter (validity = 'BLANK') as blank, count(*) filter (validity not in ('BLANK', 'VALID')) as invalid from rows where format_family = 'legacy13' group by all)
 select *, greatest(blank, invalid) as worst from g where blank > 0 or invalid > 0 order by worst desc, trade_date, file_name limit 100""")
 def top_unusual(spark, sf):
-    g = rows(spark, sf).where("format_family = 'legacy13'").groupBy("file_name", "trade_date").agg(F.count_if(F.col("validity") == "BLANK").alias("blank"), F.count_if(~F.col("validity").isin("BLANK", "VALID")).alias("invalid"))
+    g = once(rows(spark, sf).where("format_family = 'legacy13'"), "validity").groupBy("file_name", "trade_date").agg(F.count_if(F.col("validity") == "BLANK").alias("blank"), F.count_if(~F.col("validity").isin("BLANK", "VALID")).alias("invalid"))
     return g.where("blank > 0 or invalid > 0").withColumn("worst", F.greatest("blank", "invalid")).orderBy(F.desc("worst"), "trade_date", "file_name").limit(100)
 
 
@@ -514,7 +514,7 @@ def anomaly_windows(spark, sf):
 unpivot (n for k in (blank, valid, invalid))""")
 def coverage_histogram(spark, sf):
     v = F.col("validity")
-    g = rows(spark, sf).groupBy("trade_date").agg(F.count_if(v == "BLANK").alias("blank"), F.count_if(v == "VALID").alias("valid"), F.count_if(~v.isin("BLANK", "VALID")).alias("invalid"))
+    g = once(rows(spark, sf), "validity").groupBy("trade_date").agg(F.count_if(v == "BLANK").alias("blank"), F.count_if(v == "VALID").alias("valid"), F.count_if(~v.isin("BLANK", "VALID")).alias("invalid"))
     return g.unpivot(["trade_date"], ["blank", "valid", "invalid"], "key", "n")
 
 

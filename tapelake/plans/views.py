@@ -17,17 +17,16 @@ def rows(spark: SparkSession, sf: str) -> DataFrame:
     """Canonical rows as delivered, with their file, normalised code, ticker and identity."""
     m = table(spark, sf, "members").select("member_id", "feed", "root", "file_name", F.col("date_from_filename").alias("trade_date"))
     p = table(spark, sf, "price_rows").join(m, "member_id")
-    p = fixed(p, isin_n=F.coalesce(norm(F.col("isin")), F.lit("")))
+    p = p.withColumn("isin_n", F.coalesce(norm(F.col("isin")), F.lit("")))
     i = F.col("isin_n")
     validity = (
         F.when(i == "", "BLANK").when(F.length(i) != 12, "LEN").when(~i.startswith("IN"), "PREFIX").when(~i.rlike(_SHAPE), "CHARSET")
         .when(~luhn_is_valid(i), "CHECKDIGIT").otherwise("VALID")
     )
     legacy = F.col("format_family") == "legacy13"
-    p = fixed(p, _validity=validity)
     ticker = F.when(legacy | ((F.col("sgmt") == "CM") & (F.col("fininstrmtp") == "STK")), F.col("symbol"))
     return p.select(
-        "row_id", "member_id", "source_line_number", "format_family", "symbol", "series", "isin", "isin_n", F.col("_validity").alias("validity"), "sgmt", "src", "fininstrmtp",
+        "row_id", "member_id", "source_line_number", "format_family", "symbol", "series", "isin", "isin_n", validity.alias("validity"), "sgmt", "src", "fininstrmtp",
         "price_open", "price_high", "price_low", "price_close", "price_last", "price_prev_close", "tottrdqty", "tottrdval", "totaltrades", "raw_biz_dt", "loaded_at",
         "feed", "root", "file_name", "trade_date", F.year("trade_date").alias("year"),
         strict_integer(F.col("tottrdqty")).alias("quantity"), (strict_decimal(F.col("price_close")) * 100).try_cast("bigint").alias("close_paise"),
@@ -35,6 +34,11 @@ def rows(spark: SparkSession, sf: str) -> DataFrame:
     ).withColumn("identity", F.when(F.col("validity") == "VALID", F.col("isin_n")))
 
 
+def once(df: DataFrame, column: str) -> DataFrame:
+    """`df` with a computed column that is used several times worked out once a row."""
+    return fixed(df.withColumnRenamed(column, "_once"), **{column: F.col("_once")}).drop("_once")
+
+
 _LUHN = """list_sum(list_transform(list_reverse(string_split(list_aggregate(list_transform(string_split(isin_n, ''),
     lambda c: case when c between 'A' and 'Z' then cast(ord(c) - 55 as varchar) else c end), 'string_agg', ''), '')),
     lambda c, k: case when k % 2 = 1 then cast(c as int) when cast(c as int) > 4 then cast(c as int) * 2 - 9 else cast(c as int) * 2 end)) % 10 = 0"""
