@@ -1,4 +1,4 @@
-"""The row before in an order, without meeting a hot key in one task."""
+"""The row before, or the next value, in an order, without meeting a hot key in one task."""
 
 from __future__ import annotations
 
@@ -22,3 +22,19 @@ def with_previous(df: DataFrame, key: str, chunk: Column, order: list[str], valu
     # Only first rows of chunks look at what was handed over.
     on = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_chunk") == F.col("_to")) & (F.col("_place") == 1)
     return df.join(handed, on, "left").withColumn("previous", F.coalesce("_before", "_handed")).drop("_chunk", "_before", "_place", "_key", "_to", "_handed")
+
+
+def with_following(df: DataFrame, key: str, chunk: Column, order: list[str], value: str) -> DataFrame:
+    """`df` with `following`: the first value of `value` that is not null at or after the row within `key`, however far away.
+
+    `chunk` must rise with `order` and be null nowhere. A chunk hands its first value to the chunks
+    before it, one narrow row a chunk. A null key is a key; where nothing follows the result is null.
+    """
+    df = df.withColumn("_chunk", chunk.cast("bigint"))
+    inner = Window.partitionBy(key, "_chunk").orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    df = df.withColumn("_after", F.first(value, ignorenulls=True).over(inner))
+    heads = df.groupBy(key, "_chunk").agg(F.min_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_head"))
+    outer = Window.partitionBy(key).orderBy("_chunk").rowsBetween(1, Window.unboundedFollowing)
+    handed = heads.select(F.col(key).alias("_key"), F.col("_chunk").alias("_to"), F.first("_head", ignorenulls=True).over(outer).alias("_handed")).where("_handed is not null")
+    on = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_chunk") == F.col("_to"))
+    return df.join(handed, on, "left").withColumn("following", F.coalesce("_after", "_handed")).drop("_chunk", "_after", "_key", "_to", "_handed")

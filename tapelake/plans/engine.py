@@ -16,6 +16,7 @@ from ..functions.numbers import display_number, strict_decimal, strict_integer
 from ..functions.text import is_blank, norm
 from ..operators import calendar as cal
 from ..operators import islands as isl
+from ..operators.ordering import with_following
 from ..schema import OVERLAY_SERIES
 from ..session import table
 from .views import ROWS, once, rows
@@ -290,7 +291,10 @@ def two_way_check(spark, sf):
 @query("""select d.d as asked, arg_min(m.file_name, (m.date_from_filename, m.file_name)) as file_name, min(m.date_from_filename) as file_date
 from (select distinct cast(o_orderdate as date) as d from orders) d left join members m on m.date_from_filename >= d.d and m.date_from_filename < d.d + 31 group by d.d""", False)
 def file_as_of(spark, sf):
-    """For every asked day the first file on or after it, at most a month later: blocks of the calendar, not a cross join."""
+    """For every asked day the first file on or after it, at most a month later: blocks of the calendar, not a cross join.
+
+    The month is what its SQL asks for; `first_file_on_or_after` searches without a limit.
+    """
     asked = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("asked")).distinct()
     # Both sides meet by month, the asked day also in the next one.
     month = lambda c: (F.year(c) * 12 + F.month(c))
@@ -301,6 +305,27 @@ def file_as_of(spark, sf):
     return asked.join(hit, "asked", "left").select("asked", "x.file_name", "x.file_date")
 
 
+@query("""select d.d as asked, k.k as detected_format, arg_min(m.file_name, (m.date_from_filename, m.file_name)) as file_name, min(m.date_from_filename) as file_date
+from (select distinct cast(o_orderdate as date) as d from orders where o_orderdate is not null) d cross join (select distinct detected_format as k from members where detected_format is not null) k
+left join members m on m.detected_format = k.k and m.date_from_filename >= d.d group by d.d, k.k""", False)
+def first_file_on_or_after(spark, sf):
+    """For every asked day and format the first file on or after it, however far away; null only where no such file exists."""
+    return select_files(table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("asked")), table(spark, sf, "members"))
+
+
+def select_files(asked, members):
+    """asked, detected_format, file_name, file_date. Null days and files without day or format are ignored; of the files of a day the least name counts."""
+    files = members.where("date_from_filename is not null and detected_format is not null")
+    kinds = members.where("detected_format is not null").select("detected_format").distinct()  # a handful of layouts
+    wanted = asked.where("asked is not null").distinct().crossJoin(F.broadcast(kinds)).select("detected_format", F.col("asked").alias("day"), F.lit(True).alias("wanted"), F.lit(None).cast("string").alias("file_name"))
+    # One row a day and format: what is asked and the day's file.
+    days = wanted.unionByName(files.select("detected_format", F.col("date_from_filename").alias("day"), F.lit(False).alias("wanted"), "file_name"))
+    days = days.groupBy("detected_format", "day").agg(F.max("wanted").alias("wanted"), F.min("file_name").alias("file_name"))
+    hit = F.when(F.col("file_name").isNotNull(), F.struct("file_name", F.col("day").alias("file_date")))
+    found = with_following(days.withColumn("hit", hit), "detected_format", F.year("day"), ["day"], "hit").where("wanted")
+    return found.select(F.col("day").alias("asked"), "detected_format", "following.file_name", "following.file_date")
+
+
 # ---- aggregations
 
 
