@@ -11,16 +11,22 @@ delimiter is a comma. Empty column names and repeats of a name within a file (th
 are ignored. A column without values has no kind and is never retyped. Where several gone columns
 could be the new one, listed names win, then the greater share of shared values, then the earlier
 columns; each name takes part in one renaming. Extra columns are ignored.
+
+Under one set of names a listed name stands for its canonical field. A name that is not listed
+follows the renamings of its feed, from the file that brought it; files before the first renaming
+into it take that one or, failing it, the first renaming out of it. Names without any keep their own.
+Where a file has the field under a listed name or an earlier column too, the name keeps its own.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import MONTHS
 from ..functions.text import strip
-from ..session import materialize
+from ..session import broadcast_if_small, materialize
 from .ordering import with_previous
 
 KIND_PATTERNS = (
@@ -79,10 +85,15 @@ def headers(files: DataFrame) -> DataFrame:
     return df.select("file_id", "feed", "file_date", cols.alias("cols"))
 
 
-def canonical_map(field_names: DataFrame) -> Column:
-    """Map literal from a known name (clean) to its canonical field. The list of names is a fixed dictionary, not data."""
+def known_names(field_names: DataFrame) -> dict[str, str]:
+    """Canonical field of every known name (clean). The list of names is a fixed dictionary, not data."""
     rows = field_names.select(clean_name(F.col("field_name")).alias("n"), "canonical_field").where("n is not null and canonical_field is not null").groupBy("n").agg(F.min("canonical_field").alias("c")).collect()
-    pairs = [F.lit(x) for r in rows for x in (r["n"], r["c"])] or [F.lit(""), F.lit(None).cast("string")]
+    return {r["n"]: r["c"] for r in rows}
+
+
+def canonical_map(field_names: DataFrame) -> Column:
+    """`known_names` as a map literal."""
+    pairs = [F.lit(x) for nc in known_names(field_names).items() for x in nc] or [F.lit(""), F.lit(None).cast("string")]
     return F.create_map(*pairs)
 
 
@@ -93,12 +104,12 @@ def _greedy(pairs: Column) -> Column:
     return F.aggregate(pairs, empty, lambda taken, p: F.when(free(taken, p), F.concat(taken, F.array(p))).otherwise(taken))
 
 
-def change_log(files: DataFrame, field_names: DataFrame) -> DataFrame:
-    """file_id, change_kind, old_name, new_name, old_kind, new_kind of every file against the one before it in its feed."""
+def change_log(files: DataFrame, field_names: DataFrame, heads: DataFrame | None = None) -> DataFrame:
+    """file_id, change_kind, old_name, new_name, old_kind, new_kind of every file against the one before it in its feed. heads: `headers` of the files, if they are written already."""
     known = canonical_map(field_names)
     month = F.year("file_date") * 12 + F.month("file_date")
     # Written once: the bodies are read for their kinds a single time.
-    step = with_previous(materialize(headers(files)), "feed", month, ["file_date", "file_id"], ["file_id", "cols"])
+    step = with_previous(heads or materialize(headers(files)), "feed", month, ["file_date", "file_id"], ["file_id", "cols"])
     step = step.where("previous is not null").select("file_id", "cols", F.col("previous.file_id").alias("prev_id"), F.col("previous.cols").alias("prev"))
     lacks = lambda cols, name: ~F.exists(cols, lambda d: d["name"] == name)
     step = step.select(
@@ -147,10 +158,79 @@ def change_log(files: DataFrame, field_names: DataFrame) -> DataFrame:
     return joined.select("file_id", F.explode(changes).alias("x")).select("file_id", "x.*")
 
 
-def union_schema(files: DataFrame, field_names: DataFrame) -> DataFrame:
-    """feed, field, kind, files, first_file, last_file: the union schema of each feed, kinds folded through the lattice."""
-    known = canonical_map(field_names)
-    cols = headers(files).select("feed", "file_id", F.explode("cols").alias("c")).select("feed", "file_id", F.coalesce(known[F.col("c.name")], F.col("c.name")).alias("field"), "c.kind")
+_FIRST = -(1 << 62)
+
+
+def _follow(known: dict[str, str]):
+    """Function of the renamings of a feed that touch unlisted names: the field of each such name from a file on."""
+
+    def run(pdf):
+        cur, out = {}, []
+
+        def at(name, node, day=_FIRST, file_id=_FIRST):
+            if name not in cur and day != _FIRST:
+                out.append((name, _FIRST, _FIRST, node))
+            out.append((name, day, file_id, node))
+            cur[name] = node
+
+        for e in pdf.sort_values(["day", "file_id"]).itertuples():
+            if e.old_name in known:
+                at(e.new_name, {"field": known[e.old_name]}, e.day, e.file_id)
+                continue
+            if e.old_name not in cur:
+                at(e.old_name, {"root": e.old_name})
+            node = cur[e.old_name]
+            if e.new_name in known:
+                node.setdefault("field", known[e.new_name])
+            else:
+                at(e.new_name, node, e.day, e.file_id)
+        feed = pdf["feed"].iloc[0]
+        return pd.DataFrame([(feed, n, d, f, x.get("field") or x["root"]) for n, d, f, x in out], columns=["feed", "name", "day", "since", "field"])
+
+    return run
+
+
+def renamings(heads: DataFrame, log: DataFrame, field_names: DataFrame) -> DataFrame:
+    """file_id, renamed map<unlisted name, field>: files with names that the renamings of their feed explain, from `headers` and `change_log`.
+
+    Only renamings of unlisted names meet by feed, a narrow row each.
+    """
+    known = known_names(field_names)
+    listed = canonical_map(field_names)
+    day = F.coalesce(F.unix_date("file_date").cast("bigint"), F.lit(_FIRST + 1)).alias("day")
+    open_names = log.where("change_kind = 'renamed'").where(listed[F.col("old_name")].isNull() | listed[F.col("new_name")].isNull()).select("file_id", "old_name", "new_name")
+    events = open_names.join(heads.select("file_id", "feed", day), "file_id")
+    since = events.groupBy("feed").applyInPandas(_follow(known), "feed string, name string, day bigint, since bigint, field string")
+    since = since.select(F.col("feed").alias("_feed"), F.col("name").alias("_name"), F.struct("day", "since").alias("_since"), "field")
+    names = heads.select("file_id", "feed", F.struct(day, "file_id").alias("at"), F.explode("cols.name").alias("name")).where(listed[F.col("name")].isNull())
+    hit = names.join(broadcast_if_small(since), F.col("feed").eqNullSafe(F.col("_feed")) & (F.col("name") == F.col("_name")) & (F.col("_since") <= F.col("at")))
+    last = hit.groupBy("file_id", "name").agg(F.max_by("field", "_since").alias("field")).where("field <> name")
+    return last.groupBy("file_id").agg(F.map_from_entries(F.collect_list(F.struct("name", "field"))).alias("renamed"))
+
+
+def _keys(names: Column, listed: Column, renamed: Column) -> Column:
+    """Field or own name of each of `names`."""
+
+    def key(n, i):
+        f = renamed[n]
+        taken = F.exists(names, lambda m: F.coalesce(listed[m], m) == f)
+        earlier = F.exists(F.slice(names, F.lit(1), i), lambda m: (m != n) & (renamed[m] == f))
+        return F.coalesce(listed[n], F.when(f.isNotNull() & ~F.coalesce(taken, F.lit(False)) & ~F.coalesce(earlier, F.lit(False)), f), n)
+
+    return F.transform(names, key)
+
+
+def _renamed(files: DataFrame, field_names: DataFrame, heads: DataFrame) -> DataFrame:
+    return materialize(renamings(heads, change_log(files, field_names, heads), field_names))
+
+
+def union_schema(files: DataFrame, field_names: DataFrame, heads: DataFrame | None = None, renamed: DataFrame | None = None) -> DataFrame:
+    """feed, field, kind, files, first_file, last_file: the union schema of each feed, kinds folded through the lattice. heads, renamed: `headers` and `renamings`, if they are written already."""
+    heads = heads or materialize(headers(files))
+    renamed = renamed or _renamed(files, field_names, heads)
+    keys = _keys(F.col("cols.name"), canonical_map(field_names), F.col("renamed"))
+    cols = heads.join(renamed, "file_id", "left").select("feed", "file_id", "cols", F.explode(F.array(keys)).alias("keys"))
+    cols = cols.select("feed", "file_id", F.explode(F.arrays_zip("keys", F.col("cols.kind").alias("kinds"))).alias("c")).select("feed", "file_id", F.col("c.keys").alias("field"), F.col("c.kinds").alias("kind"))
     has = lambda k: F.max((F.col("kind") == k).cast("int"))
     folded = cols.groupBy("feed", "field").agg(
         *[F.coalesce(has(k), F.lit(0)).alias(f"_{k}") for k in KINDS], F.countDistinct("file_id").alias("files"), F.min("file_id").alias("first_file"), F.max("file_id").alias("last_file")
@@ -163,21 +243,38 @@ def union_schema(files: DataFrame, field_names: DataFrame) -> DataFrame:
     return folded.select("feed", "field", kind.alias("kind"), "files", "first_file", "last_file")
 
 
-def consistent_table(files: DataFrame, field_names: DataFrame) -> DataFrame:
+def consistent_table(files: DataFrame, field_names: DataFrame, renamed: DataFrame | None = None) -> DataFrame:
     """file_id, feed, line_number, fields map<canonical field or name, text>: every body line of every file under one set of names."""
-    known = canonical_map(field_names)
+    renamed = renamed or _renamed(files, field_names, materialize(headers(files)))
     names = F.transform(_split(F.coalesce("header_line", F.lit("")), F.col("delim")), clean_name)
-    lines = files.select("file_id", "feed", "delim", names.alias("names"), F.posexplode(F.filter(F.split("body", "\n"), lambda r: ~r.rlike(r"^\s*$"))).alias("at", "line"))
+    keyed = files.join(renamed, "file_id", "left").select("file_id", "feed", "delim", "body", "renamed", F.explode(F.array(names)).alias("names"))
+    keyed = keyed.select("file_id", "feed", "delim", "body", F.explode(F.array(_keys(F.col("names"), canonical_map(field_names), F.col("renamed")))).alias("keys"))
+    lines = keyed.select("file_id", "feed", "delim", "keys", F.posexplode(F.filter(F.split("body", "\n"), lambda r: ~r.rlike(r"^\s*$"))).alias("at", "line"))
     lines = lines.select("*", F.explode(F.array(_split(F.col("line"), F.col("delim")))).alias("cells"))
-    entry = F.transform("names", lambda n, i: F.struct(F.coalesce(known[n], n).alias("key"), F.get("cells", i).alias("value")))
+    entry = F.transform("keys", lambda k, i: F.struct(k.alias("key"), F.get("cells", i).alias("value")))
     usable = lines.select("file_id", "feed", (F.col("at") + 1).alias("line_number"), F.explode(F.array(entry)).alias("e"))
     first = F.filter("e", lambda c, i: (c["key"] != "") & ~F.exists(F.slice("e", F.lit(1), i), lambda d: d["key"] == c["key"]))
     return usable.select("file_id", "feed", "line_number", F.map_from_entries(first).alias("fields"))
 
 
+_DAY = lambda c: F.coalesce(F.when(c.rlike(r"^\d{4}-"), c.try_cast("date")), F.try_to_date(F.initcap(c), "dd-MMM-yyyy"))
+_CASTS = {"integer": lambda c: c.try_cast("bigint"), "decimal": lambda c: c.try_cast("decimal(38,10)"), "date": _DAY, "text": lambda c: c}
+
+
 def cast_to_schema(rows: DataFrame, schema: list[tuple[str, str]]) -> DataFrame:
     """Rows of `consistent_table` as columns of a union schema [(field, kind)]; what does not cast is null, its text stays in `fields`."""
     text = lambda f: F.col("fields")[f]
-    day = lambda c: F.coalesce(F.when(c.rlike(r"^\d{4}-"), c.try_cast("date")), F.try_to_date(F.initcap(c), "dd-MMM-yyyy"))
-    as_kind = {"integer": lambda c: c.try_cast("bigint"), "decimal": lambda c: c.try_cast("decimal(38,10)"), "date": day, "text": lambda c: c}
-    return rows.select("file_id", "feed", "line_number", *[as_kind[k or "text"](text(f)).alias(f) for f, k in schema], "fields")
+    return rows.select("file_id", "feed", "line_number", *[_CASTS[k or "text"](text(f)).alias(f) for f, k in schema], "fields")
+
+
+def typed_table(files: DataFrame, field_names: DataFrame) -> DataFrame:
+    """`consistent_table` with typed map<field, struct<kind, integer, decimal, date, text>>: each value cast to the kind of its field in the feed's union schema.
+
+    Of the four the one of the kind is set; what does not cast (empty cells, more digits than a bigint holds) is null, its text stays in `fields`.
+    """
+    heads = materialize(headers(files))
+    renamed = _renamed(files, field_names, heads)
+    kinds = union_schema(files, field_names, heads, renamed).groupBy(F.col("feed").alias("_feed")).agg(F.map_from_entries(F.collect_list(F.struct("field", F.coalesce("kind", F.lit("text"))))).alias("kinds"))
+    rows = consistent_table(files, field_names, renamed).join(broadcast_if_small(materialize(kinds)), F.col("feed").eqNullSafe(F.col("_feed")), "left")
+    value = lambda f, v: F.struct(F.col("kinds")[f].alias("kind"), *[F.when(F.col("kinds")[f] == k, cast(strip(v) if k != "text" else v)).alias(k) for k, cast in _CASTS.items()])
+    return rows.select("file_id", "feed", "line_number", "fields", F.transform_values("fields", value).alias("typed"))

@@ -116,3 +116,20 @@ def test_previous_across_chunks(spark):
         mine = sorted((r for r in rows if r[1] == key), key=lambda r: (-1 if r[2] is None else r[2], r[0]))
         want |= {r[0]: p and p[0] for p, r in zip([None, *mine], mine)}
     assert got == want
+
+
+def test_unlisted_names_follow_the_renamings(spark):
+    line = lambda k, head, body: (k, "f", "n", f"2020-01-{k:02d}", ",", head, body)
+    files = [
+        line(1, "grp,VOL,desk", "EQ,1,x\nBE,2,x"), line(2, "SYMBOL,VOL,desk", "EQ,3,x\nBE,4,x"), line(3, "scrip,VOL,desk", "EQ,5,x\nBE, ,x"), line(4, "code,VOL,desk", "EQ,6.5,x\nBE,7,x"),
+        line(5, "code,SYMBOL,VOL", "a,EQ,1\nb,BE,2"), (6, "g", "n", "2020-01-06", ",", "scrip,VOL", "EQ,1"),
+        (7, "h", "n", "2020-01-01", ",", "u,VOL", "EQ,1"), (8, "h", "n", "2020-01-02", ",", "w,VOL", "EQ,1"),
+    ]
+    f, known = frames(spark, files)
+    rows = {(r.file_id, r.line_number): r for r in drift.typed_table(f, known).collect()}
+    assert [rows[k, 1].fields.get("sym") for k in range(1, 6)] == ["EQ"] * 5
+    assert rows[5, 1].fields == {"code": "a", "sym": "EQ", "qty": "1"} and rows[6, 1].fields == {"scrip": "EQ", "qty": "1"}
+    assert rows[7, 1].fields == rows[8, 1].fields == {"u": "EQ", "qty": "1"}
+    assert (rows[1, 1].typed["qty"].kind, float(rows[1, 1].typed["qty"].decimal), rows[3, 2].typed["qty"].decimal, rows[6, 1].typed["qty"].integer) == ("decimal", 1.0, None, 1)
+    schema = {(r.feed, r.field): (r.kind, r.files) for r in drift.union_schema(f, known).collect()}
+    assert schema == {("f", "sym"): ("text", 5), ("f", "qty"): ("decimal", 5), ("f", "desk"): ("text", 4), ("f", "code"): ("text", 1), ("g", "scrip"): ("text", 1), ("g", "qty"): ("integer", 1), ("h", "u"): ("text", 2), ("h", "qty"): ("integer", 2)}
