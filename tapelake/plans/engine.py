@@ -487,7 +487,7 @@ def stratified_sample(spark, sf):
 g as (select series, count(*) filter (a <= 25) as early, count(*) filter (z <= 25) as late from rows join d using (trade_date) where series is not null group by series)
 select *, abs(late - early) as delta from g where early + late > 0""")
 def distribution_shift(spark, sf):
-    """Rows of a series on the first and the last 25 file days."""
+    """Rows of a series on the first and the last 25 file days, as its SQL asks for; `format_shift` compares the formats."""
     r = rows(spark, sf).groupBy("series", "trade_date").agg(F.count("*").alias("n"))
     days = r.select("trade_date").distinct()
     d = days.select("trade_date", F.row_number().over(Window.orderBy("trade_date")).alias("a"), F.row_number().over(Window.orderBy(F.desc("trade_date"))).alias("z"))
@@ -496,6 +496,31 @@ def distribution_shift(spark, sf):
     return g.where("early + late > 0").withColumn("delta", F.abs(F.col("late") - F.col("early")))
 
 
+@query(""", f as (select distinct detected_format as k, date_from_filename as d from members where date_from_filename is not null and detected_format in ('legacy13', 'udiff34')),
+w as (select k, d from (select k, d, row_number() over (partition by k order by case when k = 'legacy13' then -epoch(d) else epoch(d) end) as n from f) z where n <= 250),
+c as (select k, count(*) as days from w group by k), s as (select k, series, count(*) as n from rows join w on k = format_family and d = trade_date where series is not null group by k, series),
+a as (select series, n / days as v from s join c using (k) where k = 'legacy13'), b as (select series, n / days as v from s join c using (k) where k = 'udiff34')
+select coalesce(a.series, b.series) as series, coalesce(a.v, 0) as legacy_average, coalesce(b.v, 0) as modern_average, coalesce(b.v, 0) - coalesce(a.v, 0) as delta from a full join b on a.series = b.series""")
+def format_shift(spark, sf):
+    """Average rows a day of a series over the last 250 legacy and the first 250 modern file days."""
+    return shift(rows(spark, sf), table(spark, sf, "members"))
+
+
+def shift(r, members, days=250):
+    """series, legacy_average, modern_average, delta, of every series that either side has. A file day without rows counts as a day; a null series is left out."""
+    kind, day = F.col("detected_format"), F.unix_date("date_from_filename")
+    f = members.where("date_from_filename is not null").where(kind.isin("legacy13", "udiff34")).select("detected_format", "date_from_filename").distinct()
+    # One row a day of the calendar and format.
+    nearest = Window.partitionBy("detected_format").orderBy(F.when(kind == "legacy13", -day).otherwise(day))
+    f = f.withColumn("k", F.row_number().over(nearest)).where(F.col("k") <= days).select(kind.alias("format_family"), F.col("date_from_filename").alias("trade_date"))
+    of = lambda k: F.col("format_family") == k
+    counted = f.agg(F.count_if(of("legacy13")).alias("d0"), F.count_if(of("udiff34")).alias("d1"))  # one row
+    n = r.where("series is not null").join(f, ["format_family", "trade_date"]).groupBy("series").agg(F.count_if(of("legacy13")).alias("n0"), F.count_if(of("udiff34")).alias("n1")).crossJoin(F.broadcast(counted))
+    average = lambda n, d: F.coalesce(F.try_divide(F.col(n), F.col(d)), F.lit(0.0))
+    n = n.select("series", average("n0", "d0").alias("legacy_average"), average("n1", "d1").alias("modern_average"))
+    return n.withColumn("delta", F.col("modern_average") - F.col("legacy_average"))
+
+
 @query(r""", t as (select format_family, cast(tottrdval as double) / quantity / (close_paise / 100.0) as x from rows where regexp_full_match(tottrdval, '[0-9]+(\.[0-9]+)?') and quantity > 0 and close_paise > 0)
 select format_family, count(*) as tested, count(*) filter (abs(x - 1) < 0.02) as rupees, count(*) filter (abs(x * 1e5 - 1) < 0.02) as lakhs from t group by format_family""")
 def unit_scale(spark, sf):
