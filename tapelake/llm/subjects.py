@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import is_blank
 from ..session import broadcast_if_small, materialize
 
 SHARE = 0.25
@@ -109,9 +110,9 @@ def _reader(batches):
 
 
 def read_articles(documents: DataFrame) -> DataFrame:
-    """doc_id, lang as declared ('' if missing), words of each sentence (lengths, terms); pages without article words are left out."""
+    """doc_id, lang as declared ('' if missing), words of each sentence (lengths, terms); pages without article words and null or blank texts are left out."""
     lang = F.coalesce(F.regexp_extract(F.lower("lang"), r"^\s*([a-z]{2,3})", 1), F.lit(""))
-    usable = documents.where("raw_body is not null and (http_status is null or http_status < 400)")
+    usable = documents.where("raw_body is not null and (http_status is null or http_status < 400)").where(~is_blank(F.col("text")))
     return usable.select("doc_id", lang.alias("lang"), "raw_body").mapInArrow(_reader, "doc_id bigint, lang string, lengths array<int>, terms array<int>")
 
 

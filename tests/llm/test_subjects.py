@@ -60,6 +60,16 @@ def test_pages_without_article(spark):
     assert got & set(range(900, 920)) == {905, 907}
 
 
+def test_pages_without_text(spark):
+    rows, _, labels = corpus(120)
+    body = page(["The tide was seen. The boat left the harbour."]).encode()
+    d, s, l = frames(spark, rows + [(k, "en", body, 200) for k in range(900, 904)], labels)  # noqa: E741
+    texts = "case doc_id when 900 then null when 901 then '' when 902 then ' \\n' else text end as text"
+    d = d.selectExpr("doc_id", "lang", "raw_body", "http_status", texts)
+    assert {r.doc_id for r in subjects.read_articles(d).collect()} & {900, 901, 902, 903} == {903}
+    assert {r.doc_id for r in subjects.subject_shares(d, s, l).collect()} & {900, 901, 902, 903} == {903}
+
+
 def test_empty_tables(spark):
     rows, _, labels = corpus(30)
     d, s, l = frames(spark, rows, labels)  # noqa: E741
