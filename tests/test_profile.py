@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tapelake.functions.isin import luhn_is_valid, validity
 from tapelake.operators import profile
 
@@ -63,3 +65,19 @@ def test_states_merge(spark):
     whole = profile.merge(profile.states(profile.row_masks(df)), ["member_id"])
     parts = profile.states(profile.row_masks(df.where("row_id < 25"))).unionByName(profile.states(profile.row_masks(df.where("row_id >= 25"))))
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, profile.merge(parts, ["member_id"]).collect()))
+
+
+def test_profile_of_every_column(spark):
+    later = dt.datetime(2020, 2, 1)
+    a = [row(1, 1, 1, BAD, price="10"), row(2, 1, 2, "", price="9"), row(3, 1, 3, GOOD.lower(), price=" "), row(4, 1, 4, None, price="x"), row(5, 1, 1, GOOD, price="-0.5", at=later)]
+    df = tables(spark, a + [row(6, 2, 1, BAD, series="02-JAN-2020"), row(7, 2, 2, GOOD, series="2019-12-31"), row(8, 2, 3, GOOD, series="31-FEB-2020")])[0]
+    out = profile.column_profile(df)
+    got = {(r.member_id, r.field_name): r for r in out.collect()}
+    assert {f for _, f in got} == set(df.columns) and {r.rows for (m, _), r in got.items() if m == 1} == {4}
+    price, isin, series = got[1, "price_open"], got[1, "isin"], got[2, "series"]
+    assert (price.blanks, price.numbers, float(price.least_number), float(price.greatest_number), price.least_text, price.greatest_text) == (1, 2, -0.5, 9.0, "x", "x")
+    assert (isin.blanks, isin.codes, isin.numbers, got[2, "isin"].codes) == (2, 2, 0, 2)
+    assert (series.dates, str(series.least_date), str(series.greatest_date), series.least_text) == (2, "2019-12-31", "2020-01-02", "31-FEB-2020")
+    assert (int(got[1, "row_id"].least_number), int(got[1, "row_id"].greatest_number), got[1, "loaded_at"].dates, str(got[1, "loaded_at"].greatest_date)) == (2, 5, 4, "2020-02-01")
+    merged = {r.field_name: r.n for r in out.groupBy("field_name").agg(F.hll_sketch_estimate(F.hll_union_agg("distinct_sketch")).alias("n")).collect()}
+    assert (merged["isin"], merged["row_id"], merged["member_id"], got[1, "isin"].distinct_estimate) == (3, 7, 2, 2)
