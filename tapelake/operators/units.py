@@ -6,9 +6,12 @@ one in the value's own text, else the one the sender's note states for the field
 field's default. A traded value without any statement takes the scale of rupees that brings
 value / (shares x close price) nearest to 1.
 
+Numbers are exact: whole part and fraction are multiplied apart, so nothing is rounded before the
+one rounding to a whole paisa or share at the end, half a unit away from zero.
+
 Nulls and odd texts: blank or non-numeric text, a number beyond 18 integer digits, a unit of the
-wrong dimension and lots without a lot size have no common value and are no case. Half a unit is
-rounded away from zero. Repeated rows each count. Extra columns are ignored.
+wrong dimension and lots without a lot size have no common value and are no case. Decimals beyond
+the 20th are rounded. Repeated rows each count. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -61,7 +64,8 @@ VALUE = rf"^({_CURRENCY})?\s*({_NUMBER})\s*({_SCALE})?\.?\s*(?:of\s+)?({_NOUN})?
 PLAIN = r"^[0-9]+(?:\.[0-9]+)?\z"
 
 _MENTION = {"money": "turnover|traded values?|values?|tottrdval", "shares": "traded quantit(?:y|ies)|volumes?|quantit(?:y|ies)|qty|tottrdqty"}
-_NUM = "decimal(26,8)"
+#: 18 integer digits and 20 decimals: a crore value keeps its paise, and 13 decimals more.
+_NUM = "decimal(38,20)"
 
 
 def _lookup(word: Column, table: dict[str, int]) -> Column:
@@ -121,6 +125,13 @@ def _factor(unit: Column, lot: Column) -> Column:
     return F.when(unit["fits"], unit["factor"].cast("decimal(12,0)") * size).try_cast("decimal(12,0)")
 
 
+def _times(number: Column, factor: Column) -> Column:
+    """number * factor as bigint, rounded once. Both partial products fit 38 digits with all their decimals."""
+    size = F.abs(number)
+    total = F.floor(size) * factor + F.round((size % F.lit(1).cast("decimal(1,0)")).cast("decimal(20,20)") * factor, 0)
+    return F.when(number < 0, -total).otherwise(total).try_cast("bigint")
+
+
 def _nearest(ratio: Column) -> Column:
     """The guess g that brings ratio * g nearest to 1 in ratio; of a tie the smaller. Null for null."""
     bounds = [(a * b) ** -0.5 for a, b in zip(GUESSES, GUESSES[1:])]
@@ -139,16 +150,15 @@ def common_units(rows: DataFrame, members: DataFrame) -> DataFrame:
     lot, one = F.col("new_brd_lot_qty"), F.lit(1).cast("decimal(12,0)")
     df = fixed(df, qu=_in_force(F.col("q.unit"), F.col("qty_note")), vu=_in_force(F.col("v.unit"), F.col("val_note")))
     q_factor = F.when(F.col("qu").isNull(), one).otherwise(_factor(F.col("qu"), lot))
-    df = fixed(df, q_exact=F.col("q.number") * q_factor)
-    expected = F.col("q_exact").cast("double") * F.col("price_close").try_cast("double")
+    df = fixed(df, q_factor=q_factor)
+    expected = F.col("q.number").cast("double") * F.col("q_factor").cast("double") * F.col("price_close").try_cast("double")
     ratio = F.when((F.col("v.number") > 0) & (expected > 0), F.col("v.number").cast("double") / expected)
     guess = F.when(F.col("vu").isNull() & F.col("v.number").isNotNull(), 100 * F.coalesce(_nearest(ratio), F.lit(1)))
     df = fixed(df, v_factor=F.when(F.col("vu").isNull(), guess.cast("decimal(12,0)")).otherwise(_factor(F.col("vu"), lot)))
-    whole = lambda c: F.round(c, 0).try_cast("bigint")
     df = df.select(
         "row_id",
-        whole(F.col("q_exact")).alias("shares"),
-        whole(F.col("v.number") * F.col("v_factor")).alias("paise"),
+        _times(F.col("q.number"), F.col("q_factor")).alias("shares"),
+        _times(F.col("v.number"), F.col("v_factor")).alias("paise"),
         (~F.col("q.plain") | F.coalesce(F.col("qu.lots") | (F.col("qu.factor") != 1), F.lit(False))).alias("q_odd"),
         (~F.col("v.plain") | (F.col("v_factor") != 100)).alias("v_odd"),
     )

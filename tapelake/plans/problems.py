@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import functions as F
 
 from ..operators import drift, history, intervals, profile, quarantine, units
@@ -110,49 +108,49 @@ def p4_loaded(spark, sf):
 
 
 def _units_sql() -> str:
-    """SQL of p5_found; word lists come from the operator's tables, the grammar is written again."""
-    lit = lambda x: "'" + x.replace("'", "''") + "'"
-    words = lambda ws: "|".join(sorted((re.escape(w).replace("'", "''") for w in ws), key=len, reverse=True))
-    table_of = lambda d: "map {" + ", ".join(f"{lit(k)}: {v}" for k, v in d.items()) + "}"
-    scales, nouns = units.SCALES, units.NOUNS
-    number = r"-?(?:[0-9]+|[0-9]{1,3}(?:,[0-9]{2,3})+)(?:\.[0-9]+)?(?:e[+-]?[0-9]{1,3})?"
-    value = rf"^(rs\.?|inr|₹)?\s*({number})\s*({words(scales)})?\.?\s*(?:of\s+)?({words(nouns)})?\.?$"
-    money, shares = "(?:turnover|traded values?|values?|tottrdval)", "(?:traded quantit(?:y|ies)|volumes?|quantit(?:y|ies)|qty|tottrdqty)"
-
-    def stated(mine, other, dims):
-        own = words(n for n, u in nouns.items() if u.dims == dims and n not in ("no", "/-", "unit", "units"))
-        part = (
-            f"case when regexp_matches(note, '(?:^|[^a-z])(?:{money}|{shares})(?:[^a-z]|$)') then regexp_replace(regexp_extract(note, '(?:^|[^a-z]){mine}([^a-z;][^;]*|$)', 1), '(?:^|[^a-z]){other}(?:[^a-z].*|$)', '') "
-            f"else regexp_extract(note, '([^;,/:]*(?:{own})[^;,/:]*)', 1) end"
+    """SQL of p5_found, written from the statement: word lists of its own, whole numbers of 128 bits instead of decimals."""
+    number = r"([0-9]+|[0-9]{1,3}(?:,[0-9]{2,3})+)(\.[0-9]+)?(?:e([+-]?[0-9]+))?"
+    scale = r"(thousand|k|lakhs?|lacs?|l|million|mn|m|crores?|cr\.?)?"
+    text = lambda c: rf"lower(regexp_replace({c}, '^\s+|\s+$', '', 'g'))"
+    power = lambda w: rf"case when {w} in ('thousand', 'k') then 3 when regexp_full_match({w}, 'l|lakhs?|lacs?') then 5 when {w} in ('million', 'mn', 'm') then 6 when regexp_full_match({w}, 'cr\.?|crores?') then 7 else 0 end"
+    said = lambda w: rf"case when regexp_matches({w}, 'crore|[^a-z]cr[^a-z]') then 7 when regexp_matches({w}, 'lakh|lac') then 5 when regexp_matches({w}, 'thousand|''000') then 3 when regexp_matches({w}, 'million|[^a-z]mn[^a-z]') then 6 else 0 end"
+    value_name, quantity_name = "turnover|values?|tottrdval", "quantity|qty|volumes?|tottrdqty"
+
+    def read(c, x, before, after):
+        part = lambda i: f"regexp_extract({text(c)}, '{before}{number}\\s*{after}', {i})"
+        return (
+            f"coalesce(regexp_full_match({c}, '[0-9]+(\\.[0-9]+)?'), false) as {x}_plain, {part(1)} as {x}_cur, {part(5)} as {x}_word, {part(6)} as {x}_noun, "
+            f"try_cast(replace({part(2)}, ',', '') || substr({part(3)}, 2) as hugeint) as {x}_digits, greatest(length({part(3)}) - 1, 0) - coalesce(try_cast({part(4)} as int), 0) as {x}_dec"
         )
-        word = lambda ws: f"regexp_extract(' ' || ({part}) || ' ', '[^a-z0-9'']({ws})[^a-z0-9]', 1)"
-        return word(words(scales)), word(own)
-
-    vs, vn = stated(money, shares, units.MONEY)
-    qs, qn = stated(shares, money, units.SHARES)
-    fits = lambda noun, dims: f"{noun} not in ({', '.join(lit(n) for n, u in nouns.items() if u.dims != dims)})"
-    factor = lambda scale, noun, base: f"coalesce({table_of(scales)}[{scale}], 1) * coalesce({table_of({n: u.scale for n, u in nouns.items()})}[{noun}], {base})"
-    parts = lambda c, i: f"regexp_extract(lower(regexp_replace({c}, '^\\s+|\\s+$', '', 'g')), '{value}', {i})"
-
-    def read(c, x):
-        noun = f"case when {parts(c, 4)} <> '' then {parts(c, 4)} else replace({parts(c, 1)}, '.', '') end"
-        plain = f"coalesce(regexp_full_match({c}, '[0-9]+(?:\\.[0-9]+)?'), false)"
-        num = f"try_cast(replace({parts(c, 2)}, ',', '') as decimal(26, 8))"
-        return f"{plain} as {x}_plain, {num} as {x}_num, case when {plain} then '' else {parts(c, 3)} end as {x}s, case when {plain} then '' else {noun} end as {x}n"
-
-    return f"""
-with n as (select member_id, {vs} as nvs, {vn} as nvn, {qs} as nqs, {qn} as nqn from (select member_id, lower(coalesce(units_note, '')) as note from members) z),
-r as (select row_id, member_id, try_cast(price_close as double) as px, try_cast(new_brd_lot_qty as decimal(9, 0)) as lot, {read("tottrdqty", "q")}, {read("tottrdval", "v")} from price_rows),
-u as (select *, case when qs || qn <> '' then qs when nqs || nqn <> '' then nqs end as qsc, case when qs || qn <> '' then qn when nqs || nqn <> '' then nqn end as qno,
-  case when vs || vn <> '' then vs when nvs || nvn <> '' then nvs end as vsc, case when vs || vn <> '' then vn when nvs || nvn <> '' then nvn end as vno from r left join n using (member_id)),
-q as (select *, case when qsc is null then 1 when {fits("qno", units.SHARES)} then {factor("qsc", "qno", 1)} * case when qno in ('lot', 'lots') then lot else 1 end end as qf from u),
-x as (select *, q_num * cast(qf as decimal(12, 0)) as exact from q),
-w as (select *, cast(exact as double) * px as expected, cast(v_num as double) as val from x),
-g as (select *, case when vsc is not null then case when {fits("vno", units.MONEY)} then {factor("vsc", "vno", 100)} end
-  when v_num > 0 and expected > 0 then 100 * list_min(list_transform([1, 1000, 100000, 10000000], lambda k: struct_pack(off := abs(ln(val * k / expected)), k := k))).k else 100 end as vf from w),
-o as (select row_id, 'tottrdqty' as field_name, try_cast(round(exact, 0) as bigint) as common_value, not q_plain or coalesce(qno in ('lot', 'lots') or {factor("qsc", "qno", 1)} <> 1, false) as odd from g
-  union all select row_id, 'tottrdval', try_cast(round(v_num * cast(vf as decimal(12, 0)), 0) as bigint), not v_plain or vf <> 100 from g)
-select row_id, field_name, common_value from o where common_value is not null and odd"""
+
+    value_text, quantity_text = ("^(rs\\.?|inr|₹)?\\s*", scale + "\\s*(/-|paise)?$"), ("^()", scale + "\\s*(nos\\.|shares|lots)?$")
+    # digits * 10^up / 10^down, half away from zero.
+    shift = lambda d, up, down: f"(case when {up} >= {down} then {d} * cast(power(10, {up} - {down}) as hugeint) else (2 * {d} + cast(power(10, {down} - {up}) as hugeint)) // (2 * cast(power(10, {down} - {up}) as hugeint)) end)"
+    return rf"""
+with n as (
+  select member_id, note, regexp_matches(note, '{value_name}|{quantity_name}') as named, regexp_extract(note || ' ', '(?:{value_name})([^a-z].*?)(?:{quantity_name}|;|$)', 1) as nv, regexp_extract(note || ' ', '(?:{quantity_name})([^a-z].*?)(?:{value_name}|;|$)', 1) as nq
+  from (select member_id, lower(coalesce(units_note, '')) as note from members) z),
+s as (
+  select member_id, regexp_matches(case when named then nv else note end, 'rupees|rs[^a-z]|inr') or (named and {said("nv")} > 0) as v_said, {said("nv")} as v_up,
+    regexp_matches(case when named then nq else note end, 'shares|lots') or (named and {said("nq")} > 0) as q_said, {said("nq")} as q_up, regexp_matches(nq, 'lots') as q_lots from n),
+r as (
+  select row_id, member_id, try_cast(price_close as double) as px, try_cast(new_brd_lot_qty as int) as lot, {read("tottrdqty", "q", *quantity_text)}, {read("tottrdval", "v", *value_text)} from price_rows),
+u as (select * from r left join s using (member_id)),
+q as (
+  select *, case when not q_plain and q_word || q_noun <> '' then {power("q_word")} when q_said then q_up else 0 end as q_pow,
+    case when not q_plain and q_word || q_noun <> '' then q_noun = 'lots' else coalesce(q_lots, false) end as in_lots from u),
+x as (
+  select *, q_digits * case when in_lots then lot else 1 end as q_mant from q),
+w as (
+  select *, cast(q_mant as double) * power(10.0, q_pow - q_dec) * px as expected, cast(v_digits as double) * power(10.0, -v_dec) as val from x),
+g as (
+  select *, case when not v_plain and v_cur || v_word || v_noun <> '' then case when v_noun = 'paise' then -2 else {power("v_word")} end when v_said then v_up
+    when val > 0 and expected > 0 then case when abs(ln(val / expected)) <= abs(ln(val * 1e3 / expected)) then 0 when abs(ln(val * 1e3 / expected)) <= abs(ln(val * 1e5 / expected)) then 3
+      when abs(ln(val * 1e5 / expected)) <= abs(ln(val * 1e7 / expected)) then 5 else 7 end else 0 end as v_pow from w),
+o as (
+  select row_id, 'tottrdqty' as field_name, {shift("q_mant", "q_pow", "q_dec")} as common_value, not q_plain or q_pow <> 0 or in_lots as odd from g where q_mant is not null
+  union all select row_id, 'tottrdval', {shift("v_digits", "(v_pow + 2)", "v_dec")}, not v_plain or v_pow <> 0 from g where v_digits is not null)
+select row_id, field_name, cast(common_value as bigint) as common_value from o where odd"""
 
 
 @query(_units_sql())
