@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..session import table
 from . import dedup, mixing, packing, subjects
 
@@ -36,6 +38,24 @@ def p3_found(spark, sf):
     return dedup.duplicates(table(spark, sf, "accepted"), table(spark, sf, "staged_candidates"))
 
 
+@query(r"""
+with f as (select entry_id, row_text, false as staged from accepted union all select entry_id, row_text, true from staged_candidates),
+l as (
+  select distinct entry_id, staged, line from (
+    select entry_id, staged, regexp_replace(regexp_replace(unnest(string_split(row_text, chr(10))), '^\s+|\s+$', '', 'g'), ',$', '') as line from f) x where line <> ''),
+g as (select entry_id, staged, string_agg(line, chr(10) order by line) as content, count(*) as n from l group by entry_id, staged),
+c as (select content, n, min(entry_id) as representative, bool_or(staged) as fresh, count(*) as files from g group by content, n),
+d as (select representative, n, fresh, unnest(string_split(content, chr(10))) as line from c),
+s as (select a.representative as x, b.representative as y, a.n as n, b.n as m, count(*) as shared from d a join d b on a.line = b.line and a.representative <> b.representative and (a.fresh or b.fresh) group by all),
+k as (select x, count(*) as links from s where shared * 2 >= n + m - shared group by x)
+select entry_id, representative, files, coalesce(links, 0) as links from g join c using (content) left join k on x = representative""")
+def p3_classes(spark, sf):
+    """Every file with lines: the least entry of its class, the files in it, and the other classes it matches."""
+    members, _ = dedup.links(dedup.in_order(table(spark, sf, "accepted"), table(spark, sf, "staged_candidates")))
+    of = members.groupBy("class").agg(F.min("entry_id").alias("representative"), F.count("*").alias("files"))
+    return members.join(of, "class").select("entry_id", "representative", "files", "links")
+
+
 @query()
 def p8_pack(spark, sf):
     return packing.pack(table(spark, sf, "documents"), table(spark, sf, "pack_sizes"))

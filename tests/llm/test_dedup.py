@@ -6,8 +6,8 @@ ACCEPTED = "entry_id bigint, digest string, row_text string, lines string, n int
 HEX = "ab" * 32
 
 
-def table(spark, rows):
-    return spark.createDataFrame([(*r, "c", 1, "d") for r in rows], ACCEPTED)
+def table(spark, rows, batch=None):
+    return spark.createDataFrame([(*r, "c", 1, "d", batch(r[0]) if batch else 1) for r in rows], ACCEPTED + ", batch_no int")
 
 
 def brute(accepted, staged):
@@ -61,18 +61,82 @@ def test_against_brute_force(spark):
     assert found(dedup.duplicates(table(spark, a), table(spark, s))) == want
 
 
-def test_batches_one_by_one_and_saved(spark, tmp_path):
+def test_batches_one_by_one_and_loaded(spark, tmp_path):
     a, s = some(3, 1, 30), some(4, 100, 24)
-    index = dedup.PrefixIndex.build(table(spark, a))
-    index.save(str(tmp_path / "index"))
-    index = dedup.PrefixIndex.load(spark, str(tmp_path / "index"))
+    dedup.PrefixIndex.build(table(spark, a), str(tmp_path / "index"))
     got = set()
-    for k in range(0, 24, 12):
-        pairs, index = index.probe(table(spark, s[k : k + 12]))
-        got |= found(pairs)
+    for k in range(0, 24, 8):
+        index = dedup.PrefixIndex.load(spark, str(tmp_path / "index"))
+        pairs, index = index.probe(table(spark, s[k : k + 8]))
+        new = found(pairs)
+        assert not got & new
+        got |= new
+        if k == 8:
+            index = index.compact(str(tmp_path / "smaller"), 8)
+            assert index.deliveries == 1
+            assert found(index.probe(table(spark, s[16:]))[0]) == {p for p in brute(a, s) if p[1] >= 116}
     assert got == brute(a, s)
 
 
+def test_batches_in_any_order(spark):
+    a, s = some(5, 1, 20), some(6, 100, 20)
+    batches = lambda i: None if i % 5 == 0 else -(i % 3)
+    for deliveries in (1, 2, 9):
+        assert found(dedup.duplicates(table(spark, a), table(spark, s, batches), deliveries)) == brute(a, s)
+
+
+def test_a_small_batch_reads_only_its_buckets(spark, tmp_path):
+    a = [(i, None, "\n".join(f"{i} {k}" for k in range(6))) for i in range(150)]
+    index = dedup.PrefixIndex.build(table(spark, a), str(tmp_path / "index"), rows_a_bucket=8)
+    assert index.buckets == 64
+    batch = [(1000, None, "\n".join(f"7 {k}" for k in range(5)))]
+    seen = []
+    whole = dedup.PrefixIndex.read
+
+    def spy(self, name, touched=None):
+        df = whole(self, name, touched)
+        seen.append((name, touched, df.select("*").count(), len(df.inputFiles())))
+        return df
+
+    dedup.PrefixIndex.read = spy
+    try:
+        pairs, after = index.probe(table(spark, batch))
+    finally:
+        dedup.PrefixIndex.read = whole
+    assert found(pairs) == {(7, 1000)}
+    assert {n for n, *_ in seen} == {"counts", "postings", "sets", "members", "digests"}
+    for name, touched, rows, _ in seen:
+        assert touched is not None and len(touched) <= 6 and rows <= 6 * 30, name
+    # The same batch after six times the history: buckets grow with it, rows read do not.
+    many = [(i, None, "\n".join(f"{i} {k}" for k in range(6))) for i in range(900)]
+    big = dedup.PrefixIndex.build(table(spark, many), str(tmp_path / "big"), rows_a_bucket=8)
+    near = big._touched(big._classes(dedup.files(table(spark, batch), True), big.read("counts", [])), "postings", big._prefix(dedup.F.col("lines")))
+    small = next(rows for name, _, rows, _ in seen if name == "postings")
+    assert big.buckets >= 6 * index.buckets and big.read("postings", near).count() <= 2 * small + 20
+    # What was there before stays as it was; the delivery adds files of its own.
+    assert after.deliveries == 2 and index.read("postings").count() < after.read("postings").count()
+
+
+def test_a_broken_delivery_is_written_over(spark, tmp_path):
+    a, s = some(8, 1, 20), some(9, 100, 10)
+    index = dedup.PrefixIndex.build(table(spark, a), str(tmp_path / "index"))
+    classes = index._classes(dedup.files(table(spark, s), True), index.read("counts"))
+    index._write("postings", index.postings(classes))  # and then it was lost
+    index = dedup.PrefixIndex.load(spark, str(tmp_path / "index"))
+    assert index.deliveries == 1
+    assert found(index.probe(table(spark, s))[0]) == brute(a, s)
+
+
+def test_links_without_expansion(spark):
+    a = [(i, None, "H\na\nb\nc") for i in range(50)] + [(60, None, "H\na\nb\nd"), (61, "z", None)]
+    s = [(100, None, "H,\nb\na\nc"), (101, None, "H\na\nb\ne")]
+    index = dedup.in_order(table(spark, a), table(spark, s))
+    members, pairs = dedup.links(index)
+    got = {r.entry_id: (r["class"], r.links) for r in members.collect()}
+    assert len(got) == 53 and got[0] == got[49] == got[100] and got[0][1] == 2 and got[101][1] == 2 and got[60][1] == 2
+    assert pairs.count() == 3
+
+
 def test_long_text_ties_and_empty(spark):
     long = "\n".join(f"line {k}" for k in range(20000))
     a = [(1, None, long), (2, None, "a\nb"), (3, None, "a\nb"), (4, None, "x")]
