@@ -1,9 +1,10 @@
 """Lines that fail their layout, apart from the rows that load.
 
 One anchored regex per layout decides a whole line in one pass; it is generated from the field
-list, including real calendar dates. Only lines that do not match go on: they meet the structural
-patterns (syntax, width) and then incremental field-prefix patterns, each one field longer than
-the last, which name the first field that breaks. The first reason in the published order holds.
+list, including real calendar dates. Only lines that do not match go on, to incremental field
+prefixes: each pattern is one field longer than the one before, and the first that fails names
+the broken field and with it the reason. The prefixes run once a reason, in the published order:
+fields of any content (syntax, then width), then the date field, then the numeric fields.
 
 Nulls: a null line has no characters and counts as `empty_interior_line`. A line whose member is
 unknown, or whose layout or width is null, is measured against any width its layout allows, and
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import iso_pattern, legacy_stamp, short_stamp_pattern, stamp_pattern
 from ..functions.numbers import DECIMAL_TEXT, INTEGER_TEXT
 from ..schema import FIELD_MAP, LAYOUTS, LEGACY, UDIFF
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, fixed
 
 #: One field of any content: quoted (two quotes are one), or plain (a quote inside is text), or empty.
 FIELD = r'(?:"(?:[^"]++|"")*+"|[^",][^,]*+|)'
@@ -34,7 +35,8 @@ _KINDS = {
     "any stamp": f"(?:{stamp_pattern()}|{short_stamp_pattern()})",
 }
 _END = r"(?:,|\z)"
-SYNTAX = rf"^{FIELD}(?:,{FIELD})*+\z"
+#: Whole fields from the start of a line, each with its comma.
+HEAD = rf"^(?:{FIELD},)*+"
 
 
 def field_pattern(kind: str) -> str:
@@ -47,21 +49,26 @@ def row_pattern(layout, extra_empty: bool = False) -> str:
     return "^" + ",".join(field_pattern(k) for _, k in layout) + (r',(?:"")?' if extra_empty else "") + r"\z"
 
 
-def _only(layout, kinds: dict[str, str]) -> str:
-    """Whole-row prefix in which only fields of `kinds` are typed."""
-    return "^" + ",".join(field_pattern(kinds.get(k, "text")) for _, k in layout) + _END
-
-
-def prefix_patterns(layout) -> list[tuple[str, str]]:
-    """(field, pattern) of each typed field: the prefix up to it with every typed field before it."""
+def prefix_patterns(layout, kinds: dict[str, str]) -> list[tuple[str, str]]:
+    """(field, pattern) of each field whose kind is in `kinds`: the prefix up to it, such fields typed by `kinds`, all others of any content."""
     out, parts = [], []
     for name, kind in layout:
-        parts.append(field_pattern("any stamp" if kind == "stamp" else kind))
-        if kind != "text":
+        parts.append(field_pattern(kinds.get(kind, "text")))
+        if kind in kinds:
             out.append((name, "^" + ",".join(parts) + _END))
     return out
 
 
+def first_broken(line: Column, patterns: list[tuple[str, str]], reason: str) -> Column:
+    """struct(reason, field) of the first prefix that the line does not match, null if it matches all."""
+    none = F.lit(None).cast("struct<reason:string,field:string>")
+    return reduce(lambda rest, p: F.when(~line.rlike(p[1]), _broken(reason, F.lit(p[0]))).otherwise(rest), reversed(patterns), none)
+
+
+def _broken(reason: str | Column, field: Column) -> Column:
+    return F.struct((F.lit(reason) if isinstance(reason, str) else reason).alias("reason"), field.alias("field"))
+
+
 def unquote(field: Column) -> Column:
     """The value of one matched field."""
     inner = F.replace(F.substring(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"'))
@@ -79,11 +86,15 @@ def fields(line: Column) -> Column:
 
 
 def judge(lines: DataFrame, members: DataFrame) -> DataFrame:
-    """The lines with `reason`, `width` (null unless well-formed) and `broken_field`; reason null: the line loads."""
+    """The lines with `reason`, `width` (null unless well-formed, or the line loads) and `broken_field`; reason null: the line loads.
+
+    The broken field of a syntax error is the one that does not end as it should, of a wrong width
+    the first that is missing; a field beyond the layout has no name.
+    """
     narrow = members.select("member_id", F.col("detected_format").alias("_format"), F.col("header_width").alias("_width"), F.col("date_from_filename").alias("_day"))
     narrow = narrow.groupBy("member_id").agg(*[F.min(c).alias(c) for c in ("_format", "_width", "_day")])
-    keep = [c for c in lines.columns if c not in ("_format", "_width", "_day", "reason", "width", "broken_field", "_line", "_ok")]
-    df = lines.select(*keep, F.coalesce("raw_line", F.lit("")).alias("_line")).join(broadcast_if_small(narrow), "member_id", "left")
+    own = ("_format", "_width", "_day", "reason", "width", "broken_field", "_line", "_ok", "_head", "_rest", "_fields", "_broken")
+    df = lines.select(*[c for c in lines.columns if c not in own], F.coalesce("raw_line", F.lit("")).alias("_line")).join(broadcast_if_small(narrow), "member_id", "left")
     line, legacy, modern = F.col("_line"), F.col("_format") == "legacy13", F.col("_format") == "udiff34"
     may = lambda w: F.col("_width").isNull() | (F.col("_width") == w)
     ok = (
@@ -92,29 +103,34 @@ def judge(lines: DataFrame, members: DataFrame) -> DataFrame:
         .otherwise(False)
     )
     df = df.withColumn("_ok", F.coalesce(ok, F.lit(False)))
-    sized = lambda w: line.rlike(rf"^{FIELD}(?:,{FIELD}){{{w - 1}}}\z")
-    fits = F.when(legacy, (may(13) & sized(13)) | (may(14) & line.rlike(rf'^(?:{FIELD},){{13}}(?:"")?\z'))).when(modern, may(34) & sized(34)).otherwise(False)
-    stamp = legacy_stamp(nth_field(line, 10), F.col("_day"))["failure"]
-    typed = {"decimal": "decimal", "integer": "integer"}
-    reason = (
-        F.when(F.col("_ok"), None)
-        .when(line == "", "empty_interior_line")
-        .when(~line.rlike(SYNTAX), "csv_syntax_error")
-        .when(~F.coalesce(fits, F.lit(False)), "row_fieldcount_mismatch")
-        .when(legacy & stamp.isNotNull(), stamp)
-        .when(modern & ~line.rlike(_only(UDIFF, {"iso": "iso"})), "udiff_traddt_unparseable")
-        .when(~F.when(legacy, line.rlike(_only(LEGACY, typed))).otherwise(line.rlike(_only(UDIFF, typed))), "numeric_field_unparseable")
-    )
-    df = df.withColumn("reason", reason)
-    bad = F.col("reason").isNotNull()
-    width = F.when(bad & (line != "") & (F.col("reason") != "csv_syntax_error"), F.size(fields(line)))
-    structural = F.col("reason").isin("empty_interior_line", "csv_syntax_error", "row_fieldcount_mismatch")
-    first = lambda layout: reduce(lambda rest, p: F.when(~line.rlike(p[1]), p[0]).otherwise(rest), reversed(prefix_patterns(layout)), F.lit(None).cast("string"))
-    broken = F.when(
-        bad & ~structural,
-        F.when(F.col("reason") == "legacy_two_digit_year_unresolvable", "TIMESTAMP").when(legacy, first(LEGACY)).otherwise(first(UDIFF)),
-    )
-    return df.withColumns({"width": width, "broken_field": broken}).drop("_ok")
+
+    # Fields of any content: how far the line goes on being well-formed, and what follows.
+    unclear = lambda c: F.when(~F.col("_ok"), c)
+    df = df.withColumn("_head", unclear(F.regexp_extract(line, HEAD, 0)))
+    df = df.withColumns({"_rest": F.substring(line, F.length("_head") + 1, F.length(line)), "_fields": F.size(F.regexp_extract_all(F.col("_head"), F.lit(rf"({FIELD}),"), F.lit(1)))})
+    name_at = lambda i: F.when(legacy, F.get(F.array(*[F.lit(n) for n, _ in LEGACY]), i)).when(modern, F.get(F.array(*[F.lit(n) for n, _ in UDIFF]), i))
+    well_formed, width = F.col("_rest").rlike(rf"^{FIELD}\z"), F.col("_fields") + 1
+    fits = F.when(legacy, (may(13) & (width == 13)) | (may(14) & (width == 14) & F.col("_rest").isin("", '""'))).when(modern, may(34) & (width == 34)).otherwise(False)
+    # The date field, then the numbers.
+    not_blank, any_stamp = ((("TIMESTAMP", "^" + ",".join([FIELD] * 10 + [p]) + _END)) for p in (r'(?!"?"?(?:,|\z))' + FIELD, field_pattern("any stamp")))
+    short = F.regexp_extract(line, "^" + ",".join([FIELD] * 10 + [f'"?({short_stamp_pattern()})"?']) + _END, 1)
+    unresolved = F.when(legacy_stamp(short, F.col("_day"))["failure"] == "legacy_two_digit_year_unresolvable", _broken("legacy_two_digit_year_unresolvable", F.lit("TIMESTAMP")))
+    numbers = {"decimal": "decimal", "integer": "integer"}
+    broken = (
+        F.when(line == "", _broken("empty_interior_line", F.lit(None).cast("string")))
+        .when(~well_formed, _broken("csv_syntax_error", name_at(F.col("_fields"))))
+        .when(~F.coalesce(fits, F.lit(False)), _broken("row_fieldcount_mismatch", name_at(width)))
+        .when(legacy, F.coalesce(
+            first_broken(line, [not_blank], "legacy_timestamp_blank"), first_broken(line, [any_stamp], "legacy_timestamp_unparseable"), unresolved,
+            first_broken(line, prefix_patterns(LEGACY, numbers), "numeric_field_unparseable"),
+        ))
+        .otherwise(F.coalesce(first_broken(line, prefix_patterns(UDIFF, {"iso": "iso"}), "udiff_traddt_unparseable"), first_broken(line, prefix_patterns(UDIFF, numbers), "numeric_field_unparseable")))
+    )
+    df = fixed(df, _broken=unclear(broken))
+    # A legacy line with a short stamp fails the whole-row regex and loads all the same if its day agrees with the file.
+    reason = F.col("_broken.reason")
+    whole = reason.isNull() | reason.isin("empty_interior_line", "csv_syntax_error")
+    return df.select("*", reason.alias("reason"), F.when(~whole, width).alias("width"), F.col("_broken.field").alias("broken_field")).drop("_ok", "_head", "_rest", "_fields", "_broken")
 
 
 def quarantine(lines: DataFrame, members: DataFrame) -> DataFrame:
@@ -125,16 +141,19 @@ def quarantine(lines: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def loaded(lines: DataFrame, members: DataFrame) -> DataFrame:
-    """The other lines as canonical rows: text as published, typed shadows beside it."""
-    good = judge(lines, members).where("reason is null").withColumn("_f", fields(F.col("_line")))
+    """The other lines as canonical rows: all 34 fields of `FIELD_MAP` as published (null where the layout lacks one), business_date and what it rests on, typed shadows *_value beside the numbers."""
+    good = fixed(judge(lines, members).where("reason is null"), _f=fields(F.col("_line")))
     at = {fam: {n: i for i, (n, _) in enumerate(layout)} for fam, layout in LAYOUTS.items()}
+    legacy = F.col("_format") == "legacy13"
 
     def pick(old, new):
-        legacy = F.lit(None).cast("string") if old is None else F.col("_f")[at["legacy13"][old]]
-        return F.when(F.col("_format") == "legacy13", legacy).otherwise(F.col("_f")[at["udiff34"][new]])
+        own = F.lit(None).cast("string") if old is None else F.col("_f")[at["legacy13"][old]]
+        return F.when(legacy, own).otherwise(F.col("_f")[at["udiff34"][new]])
 
     rows = good.select("record_id", "member_id", "line_number", F.col("_format").alias("format_family"), "_day", *[pick(o, n).alias(c) for c, o, n in FIELD_MAP])
-    day = F.when(F.col("format_family") == "legacy13", legacy_stamp(F.col("trade_date"), F.col("_day"))["day"]).otherwise(F.col("trade_date").try_cast("date"))
-    decimals = [c for c, o, _ in FIELD_MAP if dict(LEGACY).get(o) == "decimal"]
-    shadows = {f"{c}_value": F.col(c).try_cast("decimal(38,10)") for c in decimals} | {f"{c}_value": F.col(c).try_cast("bigint") for c in ("traded_quantity", "trades_count")}
-    return rows.withColumn("business_date", day).withColumns(shadows).drop("_day")
+    stated, is_legacy = F.col("business_date"), F.col("format_family") == "legacy13"
+    day = F.when(is_legacy, legacy_stamp(stated, F.col("_day"))["day"]).otherwise(stated.try_cast("date"))
+    basis = F.when(~is_legacy, "udiff_traddt").when(F.length(stated) > 9, "legacy_row_date_four_digit_year").otherwise("legacy_row_date_two_digit_year_cross_checked_against_source_date")
+    kinds = {c: dict(LEGACY)[o] for c, o, _ in FIELD_MAP if o and dict(LEGACY)[o] in ("decimal", "integer")}
+    shadows = {f"{c}_value": F.col(c).try_cast("decimal(38,10)" if k == "decimal" else "bigint") for c, k in kinds.items()}
+    return rows.withColumns({**shadows, "business_date_basis": basis, "business_date": day}).drop("_day")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import drift, history, intervals, profile, quarantine, units
+from ..schema import FIELD_MAP, LAYOUTS, LEGACY, UDIFF
 from ..session import table
 
 QUERIES, SQL = {}, {}
@@ -67,9 +68,9 @@ _F = '(?:"(?:[^"]|"")*"|[^",][^,]*|)'
 _DEC, _INT = r"(-?[0-9]+(\.[0-9]+)?)?", r"(-?[0-9]+)?"
 
 
-@query(rf"""
+_LINES = rf"""
 with l as (
-  select record_id, coalesce(raw_line, '') as line, detected_format as fmt, header_width as w, date_from_filename as day
+  select record_id, member_id, line_number, raw_line, coalesce(raw_line, '') as line, detected_format as fmt, header_width as w, date_from_filename as day
   from raw_records left join members using (member_id)),
 s as (select *, regexp_full_match(line, '{_F}(,{_F})*') as ok from l),
 f as (select *, case when ok and line <> '' then list_transform(regexp_extract_all(line || ',', '({_F}),', 1),
@@ -82,7 +83,7 @@ u as (
   select *, regexp_full_match(d, '\d\d-[A-Za-z]{{3}}-\d{{4}}') and try_strptime(d, '%d-%b-%Y') is not null as long_ok,
     regexp_full_match(d, '\d\d-[A-Za-z]{{3}}-\d\d') and try_strptime(substr(d, 1, 7) || case when try_cast(substr(d, 8, 2) as int) % 4 = 0 then '2000' else '2001' end, '%d-%b-%Y') is not null as short_ok from t),
 j as (
-  select record_id, case
+  select *, case
     when line = '' then 'empty_interior_line'
     when not ok then 'csv_syntax_error'
     when fmt is null or len(v) <> w or (fmt = 'legacy13' and len(v) = 14 and v[14] <> '') then 'row_fieldcount_mismatch'
@@ -91,18 +92,36 @@ j as (
     when fmt = 'legacy13' and not coalesce(long_ok, false) and upper(substr(d, 1, 6)) is distinct from upper(strftime(day, '%d-%b')) then 'legacy_two_digit_year_unresolvable'
     when fmt = 'udiff34' and not (regexp_full_match(d, '\d{{4}}-\d\d-\d\d') and try_strptime(d, '%Y-%m-%d') is not null) then 'udiff_traddt_unparseable'
     when len(list_filter(decs, lambda x: not regexp_full_match(x, '{_DEC}'))) > 0 or len(list_filter(ints, lambda x: not regexp_full_match(x, '{_INT}'))) > 0 then 'numeric_field_unparseable'
-  end as reason_code from u)
-select record_id, reason_code from j where reason_code is not null""")
+  end as reason_code from u)"""
+_NAMES = {k: "[" + ", ".join(f"'{n}'" for n, _ in v) + "]" for k, v in LAYOUTS.items()}
+_PICKS = ",\n  ".join(f"case when fmt = 'legacy13' then {f'v[{[n for n, _ in LEGACY].index(o) + 1}]' if o else 'null'} else v[{[n for n, _ in UDIFF].index(m) + 1}] end as {c}" for c, o, m in FIELD_MAP if c != "business_date")
+_SHADOWS = ", ".join([f"try_cast({c} as decimal(38, 10)) as {c}_value" for c in ("price_open", "price_high", "price_low", "price_close", "price_last", "price_prev_close", "traded_value")] + [f"try_cast({c} as bigint) as {c}_value" for c in ("traded_quantity", "trades_count")])
+
+
+@query(_LINES + "\nselect record_id, reason_code from j where reason_code is not null")
 def p4_found(spark, sf):
     return quarantine.quarantine(table(spark, sf, "raw_records"), table(spark, sf, "members")).select("record_id", "reason_code")
 
 
-@query()
+@query(_LINES + rf""",
+n as (select *, case when fmt = 'legacy13' then {_NAMES["legacy13"]} when fmt = 'udiff34' then {_NAMES["udiff34"]} else [] end as names,
+  case when fmt = 'legacy13' then [3, 4, 5, 6, 7, 8, 9, 10, 12] else [15, 16, 17, 18, 19, 20, 25, 26, 27] end as typed from j where reason_code is not null)
+select record_id, member_id, line_number, reason_code, case when reason_code not in ('empty_interior_line', 'csv_syntax_error') then cast(len(v) as int) end as physical_width,
+  case when reason_code = 'csv_syntax_error' then names[len(regexp_extract_all(regexp_extract(line, '^(?:{_F},)*', 0), '({_F}),', 1)) + 1] when reason_code = 'row_fieldcount_mismatch' then names[len(v) + 1]
+    when starts_with(reason_code, 'legacy') then 'TIMESTAMP' when starts_with(reason_code, 'udiff') then 'TradDt'
+    when reason_code = 'numeric_field_unparseable' then names[list_filter(typed, lambda i: not regexp_full_match(v[i], case when names[i] in ('TOTTRDQTY', 'TOTALTRADES', 'TtlTradgVol', 'TtlNbOfTxsExctd') then '{_INT}' else '{_DEC}' end))[1]] end as broken_field,
+  raw_line from n""")
 def p4_quarantine(spark, sf):
     return quarantine.quarantine(table(spark, sf, "raw_records"), table(spark, sf, "members"))
 
 
-@query()
+@query(_LINES + rf""",
+c as (select record_id, member_id, line_number, fmt as format_family,
+  {_PICKS},
+  case when fmt = 'udiff34' then cast(d as date) when length(d) = 11 then cast(try_strptime(d, '%d-%b-%Y') as date) else day end as business_date,
+  case when fmt = 'udiff34' then 'udiff_traddt' when length(d) = 11 then 'legacy_row_date_four_digit_year' else 'legacy_row_date_two_digit_year_cross_checked_against_source_date' end as business_date_basis
+  from j where reason_code is null)
+select *, {_SHADOWS} from c""")
 def p4_loaded(spark, sf):
     return quarantine.loaded(table(spark, sf, "raw_records"), table(spark, sf, "members"))
 

@@ -17,13 +17,43 @@ UDIFF = (
 )
 LAYOUTS = {"legacy13": LEGACY, "udiff34": UDIFF}
 
-# Canonical name, legacy column, modern column. A field that one family lacks is null there.
+# Canonical name, legacy column, modern column. A field that one family lacks is null
+# there. The business date is the day that its column states, all other fields keep their text.
 FIELD_MAP = (
-    ("trade_date", "TIMESTAMP", "TradDt"), ("biz_date", None, "BizDt"), ("segment", None, "Sgmt"), ("source", None, "Src"), ("instrument_type", None, "FinInstrmTp"),
-    ("listing_symbol", "SYMBOL", "FinInstrmId"), ("ticker_symbol", None, "TckrSymb"), ("series", "SERIES", "SctySrs"), ("isin", "ISIN", "ISIN"),
-    ("price_open", "OPEN", "OpnPric"), ("price_high", "HIGH", "HghPric"), ("price_low", "LOW", "LwPric"), ("price_close", "CLOSE", "ClsPric"), ("price_last", "LAST", "LastPric"),
-    ("price_prev_close", "PREVCLOSE", "PrvsClsgPric"), ("traded_quantity", "TOTTRDQTY", "TtlTradgVol"), ("traded_value", "TOTTRDVAL", "TtlTrfVal"),
-    ("trades_count", "TOTALTRADES", "TtlNbOfTxsExctd"), ("lot_quantity", None, "NewBrdLotQty"), ("instrument_name", None, "FinInstrmNm"),
+    ("security_isin", "ISIN", "ISIN"),
+    ("listing_symbol", "SYMBOL", "FinInstrmId"),
+    ("series", "SERIES", "SctySrs"),
+    ("security_name", None, "FinInstrmNm"),
+    ("business_date", "TIMESTAMP", "TradDt"),
+    ("raw_biz_dt", "TIMESTAMP", "BizDt"),
+    ("price_open", "OPEN", "OpnPric"),
+    ("price_high", "HIGH", "HghPric"),
+    ("price_low", "LOW", "LwPric"),
+    ("price_close", "CLOSE", "ClsPric"),
+    ("price_last", "LAST", "LastPric"),
+    ("price_prev_close", "PREVCLOSE", "PrvsClsgPric"),
+    ("traded_quantity", "TOTTRDQTY", "TtlTradgVol"),
+    ("traded_value", "TOTTRDVAL", "TtlTrfVal"),
+    ("trades_count", "TOTALTRADES", "TtlNbOfTxsExctd"),
+    ("lot_size", None, "NewBrdLotQty"),
+    ("remarks", None, "Rmks"),
+    ("segment", None, "Sgmt"),
+    ("source", None, "Src"),
+    ("instrument_type", None, "FinInstrmTp"),
+    ("underlying_symbol", None, "TckrSymb"),
+    ("expiry", None, "XpryDt"),
+    ("actual_expiry", None, "FininstrmActlXpryDt"),
+    ("strike", None, "StrkPric"),
+    ("option_type", None, "OptnTp"),
+    ("underlying_price", None, "UndrlygPric"),
+    ("settlement_price", None, "SttlmPric"),
+    ("open_interest", None, "OpnIntrst"),
+    ("open_interest_change", None, "ChngInOpnIntrst"),
+    ("session_id", None, "SsnId"),
+    ("rsvd1", None, "Rsvd1"),
+    ("rsvd2", None, "Rsvd2"),
+    ("rsvd3", None, "Rsvd3"),
+    ("rsvd4", None, "Rsvd4"),
 )
 
 # Series tokens of overlay rows, matched verbatim.

@@ -1,6 +1,6 @@
 from tapelake.functions.dates import iso_pattern, stamp_pattern
 from tapelake.operators import quarantine
-from tapelake.schema import LEGACY, UDIFF
+from tapelake.schema import FIELD_MAP, LEGACY, UDIFF
 
 LINES = "record_id bigint, member_id bigint, line_number int, physical_width int, raw_line string, reason_code string, width string, _line string"
 MEMBERS = "member_id bigint, detected_format string, header_width int, date_from_filename string, reason string"
@@ -36,6 +36,8 @@ def test_reasons(spark):
     wrong = {i: (c[1] and c[1][:60], c[2], got.get(i) and got[i].reason_code) for i, c in enumerate(cases) if (got[i].reason_code if i in got else None) != c[2]}
     assert not wrong
     assert got[35].broken_field == "TOTTRDQTY" and got[41].broken_field == "OpnPric" and got[16].broken_field == "TIMESTAMP"
+    # A quote that stays open breaks its own field; a line that is too short lacks its next one.
+    assert got[13].broken_field == got[14].broken_field == "SYMBOL" and got[4].broken_field is None and got[10].broken_field == "SERIES" and got[7].broken_field is None
     assert got[43].physical_width == 20001
 
 
@@ -44,6 +46,17 @@ def test_loaded_rows_keep_text(spark):
     lines = spark.createDataFrame([(1, 1, 2, OLD.replace("ABC", '"A,""B"').replace("20-SEP-2016", "20-Sep-16"))], "record_id bigint, member_id bigint, line_number int, raw_line string")
     r = quarantine.loaded(lines, members).first()
     assert r.listing_symbol == 'A,"B' and str(r.business_date) == "2016-09-20" and r.traded_quantity == "7" and r.traded_quantity_value == 7 and r.segment is None
+    assert r.raw_biz_dt == "20-Sep-16" and r.business_date_basis.startswith("legacy_row_date_two_digit")
+    assert {c for c, _, _ in FIELD_MAP} <= set(r.asDict()) and len(FIELD_MAP) == 34
+
+
+def test_every_modern_field_is_loaded(spark):
+    values = {n: f"v{i}" for i, (n, k) in enumerate(UDIFF) if k == "text"} | {n: "2024-02-29" for n, k in UDIFF if k == "iso"} | {n: str(i) for i, (n, k) in enumerate(UDIFF) if k in ("decimal", "integer")}
+    members = spark.createDataFrame([(1, "udiff34", 34)], "member_id bigint, detected_format string, header_width int").selectExpr("*", "date '2024-02-29' as date_from_filename")
+    lines = spark.createDataFrame([(1, 1, 2, ",".join(values[n] for n, _ in UDIFF))], "record_id bigint, member_id bigint, line_number int, raw_line string")
+    r = quarantine.loaded(lines, members).first().asDict()
+    assert {c: str(r[c]) for c, _, _ in FIELD_MAP} == {c: values[n] for c, _, n in FIELD_MAP}
+    assert sorted(n for _, _, n in FIELD_MAP) == sorted(n for n, _ in UDIFF)
 
 
 def test_empty(spark):
