@@ -3,7 +3,10 @@
 Checks are declared as a list and compiled into one scan: each row becomes a bit mask, repeats of
 a line are reduced to the latest delivery, and one aggregation counts all bits by member and
 census group. These states are sums, so they merge over files, days and members: the figures of a
-member, of a census group and of a feed are further sums of the same states.
+member, of a census group and of a feed are further sums of the same states. They are written
+once and everything else reads them; `StateStore` keeps them between loads, so that a load counts
+only the members it touches. Shares of a member are held against the feed's preceding member
+(`jumps`) and against control limits of the feed's whole history (`control_limits`).
 
 Rows with the same (member_id, source_line_number) count once, the one with the greatest
 (loaded_at, row_id); a null line number never repeats. Null or missing published figures are
@@ -15,13 +18,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import iso_pattern, stamp_pattern
 from ..functions.isin import luhn_is_valid
 from ..functions.numbers import DECIMAL_TEXT
 from ..functions.text import is_blank, norm, strip
+from ..session import materialize
 
 
 @dataclass(frozen=True)
@@ -63,6 +67,9 @@ def row_masks(rows: DataFrame, checks=CHECKS) -> DataFrame:
     return slim.groupBy("member_id", "source_line_number", "alone").agg(F.max("r").alias("r")).select("member_id", "r.mask", "r.modern", *[f"r.{c}" for c in GROUP])
 
 
+_STATE = "member_id bigint, modern boolean, sgmt string, src string, fininstrmtp string, series_n string, n bigint, " + ", ".join(f"{c.name} bigint" for c in CHECKS)
+
+
 def states(masks: DataFrame, checks=CHECKS) -> DataFrame:
     """Mergeable states: rows and failures of every check by member and census group."""
     failed = [F.sum(F.when(F.col("mask").bitwiseAND(1 << i) != 0, 1).otherwise(0)).alias(c.name) for i, c in enumerate(checks)]
@@ -74,6 +81,25 @@ def merge(state: DataFrame, by: list[str], checks=CHECKS) -> DataFrame:
     return state.groupBy(*by).agg(F.sum("n").alias("n"), *[F.sum(c.name).alias(c.name) for c in checks])
 
 
+class StateStore:
+    """States kept in a folder, one part a load; of a member the states of its latest load count."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def _parts(self) -> DataFrame:
+        return self.spark.read.schema(f"{_STATE}, load int").parquet(f"{self.path}/states")
+
+    def add(self, rows: DataFrame, load: int) -> None:
+        """Count all rows of the members that load number `load` touched and append their states; a load that is repeated is written over."""
+        states(row_masks(rows)).write.mode("overwrite").parquet(f"{self.path}/states/load={load}")
+
+    def states(self) -> DataFrame:
+        every = self._parts()
+        last = every.groupBy("member_id").agg(F.max("load").alias("load"))  # one narrow row a member
+        return every.join(last.select(F.col("member_id").alias("_m"), F.col("load").alias("_l")), F.col("member_id").eqNullSafe(F.col("_m")) & (F.col("load") == F.col("_l"))).drop("_m", "_l", "load")
+
+
 def latest(rows: DataFrame) -> DataFrame:
     """Of each delivered line the row that counts, with all its columns."""
     alone = F.when(F.col("source_line_number").isNull() | F.col("member_id").isNull(), F.col("row_id"))
@@ -145,16 +171,36 @@ def jumps(state: DataFrame, members: DataFrame, percent: int = 15, checks=CHECKS
 
 def findings(rows: DataFrame, members: DataFrame, file_metrics: DataFrame, census: DataFrame) -> DataFrame:
     """table_name, row_key, field_name, finding: wrong published counts and columns that turned bad."""
-    state = states(row_masks(rows))
+    return findings_of(materialize(states(row_masks(rows))), members, file_metrics, census)
+
+
+def findings_of(state: DataFrame, members: DataFrame, file_metrics: DataFrame, census: DataFrame) -> DataFrame:
+    """`findings` from written states."""
     return wrong_counts(state, file_metrics, census, members).unionByName(jumps(state, members))
 
 
-def control_limits(rows: DataFrame, members: DataFrame, sigmas: float = 3.0) -> DataFrame:
-    """feed, member_id, metric, share, mean, limit: shares beyond mean + `sigmas` standard deviations of all earlier members of the feed (8 at least)."""
-    per = members.select("member_id", "feed", "date_from_filename").join(merge(states(row_masks(rows)), ["member_id"]), "member_id")
+def control_limits(state: DataFrame, members: DataFrame, sigmas: float = 3.0, least: int = 8) -> DataFrame:
+    """feed, member_id, metric, share, mean, limit: shares beyond mean + `sigmas` standard deviations (0.001 at least) of all earlier members of the feed.
+
+    Days are summed up month by month, so no feed's whole history is sorted in one task: a member
+    meets the earlier days of its month, and one row for each earlier month. Fewer than `least`
+    earlier members give no limit. Members without rows do not count.
+    """
+    per = members.where("date_from_filename is not null").select("member_id", "feed", "date_from_filename").join(merge(state, ["member_id"]), "member_id").where("n > 0")
     share = F.explode(F.array(*[F.struct(F.lit(c.name).alias("metric"), (F.col(c.name) / F.col("n")).alias("share")) for c in CHECKS]))
-    long = per.select("feed", "date_from_filename", "member_id", share.alias("x")).select("feed", "date_from_filename", "member_id", "x.*")
-    by = lambda f: f.over(Window.partitionBy("feed", "metric").orderBy("date_from_filename", "member_id").rowsBetween(Window.unboundedPreceding, -1))
-    long = long.select("*", by(F.avg("share")).alias("mean"), by(F.stddev_pop("share")).alias("sd"), by(F.count("share")).alias("seen"))
-    limit = F.col("mean") + F.lit(sigmas) * F.greatest("sd", F.lit(0.001))
-    return long.where("seen >= 8").where(F.col("share") > limit).select("feed", "member_id", "metric", "share", "mean", limit.alias("limit"))
+    month = (F.year("date_from_filename") * 12 + F.month("date_from_filename")).alias("month")
+    long = per.select("feed", "date_from_filename", month, "member_id", share.alias("x")).select("feed", "month", "date_from_filename", "member_id", "x.*")
+    # Count, sum and sum of squares merge; the mean and the deviation come from them.
+    sums = {"seen": F.count("share"), "total": F.sum("share"), "square": F.sum(F.col("share") * F.col("share"))}
+    months = long.groupBy("feed", "metric", "month").agg(*[f.alias(k) for k, f in sums.items()])
+    earlier = Window.partitionBy("feed", "metric").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    months = months.select(F.col("feed").alias("_f"), F.col("metric").alias("_k"), F.col("month").alias("_t"), *[F.coalesce(F.sum(k).over(earlier), F.lit(0)).alias(f"m_{k}") for k in sums])
+    before = Window.partitionBy("feed", "metric", "month").orderBy("date_from_filename", "member_id").rowsBetween(Window.unboundedPreceding, -1)
+    long = long.select("*", *[f.over(before).alias(f"d_{k}") for k, f in sums.items()])
+    both = long.join(months, F.col("feed").eqNullSafe(F.col("_f")) & (F.col("metric") == F.col("_k")) & (F.col("month") == F.col("_t")))
+    seen, total, square = (F.coalesce(f"d_{k}", F.lit(0)) + F.col(f"m_{k}") for k in sums)
+    both = both.select("feed", "member_id", "metric", "share", seen.alias("seen"), total.alias("total"), square.alias("square")).where(F.col("seen") >= least)
+    mean = F.col("total") / F.col("seen")
+    deviation = F.sqrt(F.greatest(F.col("square") / F.col("seen") - mean * mean, F.lit(0.0)))
+    both = both.select("feed", "member_id", "metric", "share", mean.alias("mean"), (mean + sigmas * F.greatest(deviation, F.lit(0.001))).alias("limit"))
+    return both.where("share > limit")

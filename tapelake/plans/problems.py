@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import drift, history, intervals, profile, quarantine, units
 from ..schema import FIELD_MAP, LAYOUTS, LEGACY, UDIFF
-from ..session import table
+from ..session import materialize, table
 
 QUERIES, SQL = {}, {}
 
@@ -254,11 +254,39 @@ def p7_found(spark, sf):
     return profile.findings(table(spark, sf, "price_rows"), table(spark, sf, "members"), table(spark, sf, "file_metrics"), table(spark, sf, "ud_census_groups"))
 
 
-@query()
+_CELLS = """
+with once as (select * from price_rows qualify row_number() over (partition by member_id, source_line_number order by loaded_at desc, row_id desc) = 1),
+t as (select member_id as member, columns(*)::varchar from once),
+u as (select * from t unpivot include nulls (text for field_name in (columns(* exclude (member))))),
+x as (select member, field_name, text, trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as s, field_name = 'loaded_at' as is_time from u),
+y as (select *, text is null or s = '' as blank, case when regexp_full_match(s, '-?[0-9]+(\\.[0-9]+)?') then try_cast(s as decimal(38, 10)) end as number,
+  case when is_time then cast(try_cast(text as timestamp) as date) when regexp_full_match(s, '[0-9]{4}-[0-9]{2}-[0-9]{2}') then try_cast(s as date)
+    when regexp_full_match(s, '[0-9]{2}-[A-Za-z]{3}-[0-9]{4}') then cast(try_strptime(s, '%d-%b-%Y') as date) end as day, upper(s) as i from x)
+"""
+
+
+@query(_CELLS + f"""
+select member as member_id, field_name, count(*) as rows, count(*) filter (blank) as blanks, count(distinct case when not blank then text end) as distinct_estimate,
+  count(number) as numbers, count(day) as dates, count(*) filter ({_ISIN_OK}) as codes, min(number) as least_number, max(number) as greatest_number, min(day) as least_date, max(day) as greatest_date,
+  min(case when not blank and number is null and day is null then text end) as least_text, max(case when not blank and number is null and day is null then text end) as greatest_text
+from y group by member, field_name""")
 def p7_profile(spark, sf):
-    return profile.column_profile(table(spark, sf, "price_rows"))
+    """The profile without its sketches. Up to a few hundred distinct values of a column and member a sketch counts them one by one."""
+    return profile.column_profile(table(spark, sf, "price_rows")).drop("distinct_sketch")
 
 
-@query()
+@query(rf"""
+with once as (
+  select * from price_rows qualify row_number() over (partition by member_id, source_line_number order by loaded_at desc, row_id desc) = 1),
+c as (select *, {_N.format("isin")} as i, {_BLANKS} from once),
+m as (select member_id, count(*) as n, sum(cast(b_isin = 0 and not {_ISIN_OK} as int)) as bad, {", ".join(f"sum(b_{c}) as b_{c}" for c in profile.BLANKS)} from c group by member_id),
+s as (
+  select feed, date_from_filename as d, member_id, unnest(['invalid_isin', {", ".join(f"'blank_{c}'" for c in profile.BLANKS)}]) as metric, unnest([bad / n, {", ".join(f"b_{c} / n" for c in profile.BLANKS)}]) as share
+  from m join members using (member_id) where d is not null),
+h as (
+  select *, avg(share) over w as mean, stddev_pop(share) over w as sd, count(share) over w as seen from s
+  window w as (partition by feed, metric order by d, member_id rows between unbounded preceding and 1 preceding))
+select feed, member_id, metric, share, mean, mean + 3 * greatest(sd, 0.001) as "limit" from h where seen >= 8 and share > mean + 3 * greatest(sd, 0.001)""")
 def p7_control_limits(spark, sf):
-    return profile.control_limits(table(spark, sf, "price_rows"), table(spark, sf, "members"))
+    state = materialize(profile.states(profile.row_masks(table(spark, sf, "price_rows"))))
+    return profile.control_limits(state, table(spark, sf, "members"))

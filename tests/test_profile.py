@@ -56,7 +56,37 @@ def test_threshold_is_exclusive_and_empty_tables(spark):
     assert profile.findings(*t).count() == 0
     assert profile.findings(*[x.limit(0) for x in t]).count() == 0
     assert profile.column_profile(t[0]).where("field_name = 'isin' and member_id = 2").first().blanks == 3
-    assert profile.control_limits(t[0], t[1]).count() == 0
+    assert profile.control_limits(profile.states(profile.row_masks(t[0])), t[1]).count() == 0
+    assert profile.control_limits(profile.states(profile.row_masks(t[0].limit(0))), t[1]).count() == 0
+
+
+def test_control_limits_find_a_planted_jump(spark):
+    day = lambda k: str(dt.date(2020, 1, 1) + dt.timedelta(9 * k))  # noqa: E731 - several months
+    rows = [row(100 * m + k, m, k, "" if k < (6 if m == 15 else m % 2) else GOOD) for m in range(20) for k in range(10)]
+    members = [(m, None if m == 99 else "f", day(m)) for m in range(20)]
+    df, per = tables(spark, rows, members=members)[:2]
+    state = profile.states(profile.row_masks(df))
+    got = profile.control_limits(state, per).collect()
+    assert [(r.member_id, r.metric, r.share) for r in got] == [(15, "blank_isin", 0.6)]
+    shares = [0.1 * (m % 2) for m in range(15)]
+    mean = sum(shares) / 15
+    assert abs(got[0]["mean"] - mean) < 1e-12 and abs(got[0]["limit"] - mean - 3 * (sum((x - mean) ** 2 for x in shares) / 15) ** 0.5) < 1e-9
+
+
+def test_states_are_kept_between_loads(spark, tmp_path):
+    a = [row(k, 1, k, GOOD) for k in range(10)] + [row(50 + k, 2, k, "") for k in range(10)]
+    late = [row(100 + k, 2, k, GOOD, at=dt.datetime(2020, 3, 1)) for k in range(5)]
+    new = [row(200 + k, 3, k, BAD) for k in range(4)]
+    store = profile.StateStore(spark, str(tmp_path / "states"))
+    store.add(tables(spark, a)[0], 1)
+    both = tables(spark, a + late + new)[0]
+    store.add(both.where("member_id in (2, 3)"), 2)  # member 1 is not counted again
+    store.add(both.where("member_id in (2, 3)"), 2)
+    whole = profile.states(profile.row_masks(both))
+    assert sorted(map(tuple, store.states().select(*whole.columns).collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    t = tables(spark, a + late + new, [(1, 3, 0, 4), (2, 2, 5, 0)])
+    found = lambda df: sorted(map(tuple, df.collect()))
+    assert found(profile.findings_of(store.states(), *t[1:])) == found(profile.findings(*t))
 
 
 def test_states_merge(spark):
