@@ -34,14 +34,28 @@ KIND_PATTERNS = (
     ("decimal", r"^-?[0-9]+(?:\.[0-9]+)?\z"),
     ("date", r"^(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}-(?i:" + "|".join(MONTHS) + r")-[0-9]{4})\z"),
 )
-KINDS = [k for k, _ in KIND_PATTERNS] + ["text"]
+#: The lattice of kinds as bit sets: the least kind that holds two is the union of their bits, and what has no name of its own is text.
+LATTICE = {"integer": 0b001, "decimal": 0b011, "date": 0b100, "text": 0b111}
+_TOP = LATTICE["text"]
 
 
 def promote(a: str | None, b: str | None) -> str | None:
     """Least kind that holds both; null is the bottom of the lattice."""
-    if a is None or b is None or a == b:
-        return b if a is None else a
-    return "decimal" if {a, b} == {"integer", "decimal"} else "text"
+    bits = LATTICE.get(a, 0) | LATTICE.get(b, 0)
+    return next((k for k, v in LATTICE.items() if v == bits), "text") if bits else None
+
+
+def kind_of(bits: Column) -> Column:
+    """Name of a folded bit set."""
+    out = F.when(F.coalesce(bits, F.lit(0)) == 0, None)
+    for kind, v in LATTICE.items():
+        out = out.when(bits == v, kind)
+    return out.otherwise("text")
+
+
+def bits_of(kind: Column) -> Column:
+    """Bit set of a kind, 0 for none."""
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in LATTICE.items() for x in kv])[kind], F.lit(0))
 
 
 def _split(text: Column, delim: Column) -> Column:
@@ -63,15 +77,17 @@ def _values(cells: Column, pos: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(cells, lambda r: strip(F.get(r, pos))), lambda v: v.isNotNull() & (v != "")))
 
 
-def _matches(pattern: str):
-    return lambda v: v.rlike(pattern)
+def _value_bits(v: Column) -> Column:
+    """Bit set of the least kind of one value."""
+    out = F.lit(_TOP)
+    for kind, pattern in reversed(KIND_PATTERNS):
+        out = F.when(v.rlike(pattern), LATTICE[kind]).otherwise(out)
+    return out
 
 
 def _kind(values: Column) -> Column:
-    out = F.when(F.size(values) == 0, None)
-    for kind, pattern in KIND_PATTERNS:
-        out = out.when(F.forall(values, _matches(pattern)), kind)
-    return out.otherwise("text")
+    """Kind of a column: its values folded through the lattice."""
+    return kind_of(F.aggregate(values, F.lit(0), lambda bits, v: F.when(bits == _TOP, bits).otherwise(bits.bitwiseOR(_value_bits(v)))))
 
 
 def headers(files: DataFrame) -> DataFrame:
@@ -125,15 +141,17 @@ def change_log(files: DataFrame, field_names: DataFrame, heads: DataFrame | None
     unclear = F.filter("pairs", lambda p: p["g"].isNull() | p["n"].isNull())
     step = step.select("*", listed.alias("listed"), unclear.alias("unclear"))
 
-    # Values are compared only for names that the dictionary leaves open.
+    # Values are compared only for names that the dictionary leaves open. Each body that is asked for is read once, and only values of the asked columns go on.
     ask = step.where(F.size("unclear") > 0).select("file_id", "prev_id", F.col("unclear").alias("u"))
+    places = lambda side: F.transform("u", lambda p: p[side]["pos"])
+    sides = F.array(F.struct(F.col("file_id").alias("id"), F.lit(True).alias("is_new"), places("new_col").alias("at")), F.struct(F.col("prev_id").alias("id"), F.lit(False).alias("is_new"), places("old_col").alias("at")))
+    need = ask.select("file_id", F.explode(sides).alias("s")).select("file_id", "s.*")
     text = files.select(F.col("file_id").alias("id"), "delim", "body")
-    new_side = ask.join(text, ask.file_id == text.id).select(
-        "file_id", "prev_id", "u", F.explode(F.array(_cells(F.col("body"), F.col("delim")))).alias("cells")
-    ).select("file_id", "prev_id", F.transform("u", lambda p: F.struct(p["old_col"].alias("old_col"), p["new_col"].alias("new_col"), _values(F.col("cells"), p["new_col"]["pos"]).alias("values"))).alias("u"))
-    both = new_side.join(text, new_side.prev_id == text.id).select("file_id", "u", F.explode(F.array(_cells(F.col("body"), F.col("delim")))).alias("cells"))
-    share = lambda p: F.size(F.array_intersect(p["values"], _values(F.col("cells"), p["old_col"]["pos"]))) / F.greatest(F.size(p["values"]), F.lit(1))
-    scored = both.select("file_id", F.transform("u", lambda p: F.struct(p["old_col"].alias("old_col"), p["new_col"].alias("new_col"), share(p).alias("share"))).alias("u"))
+    got = need.join(text, "id").select("file_id", "is_new", "at", F.explode(F.array(_cells(F.col("body"), F.col("delim")))).alias("cells"))
+    got = got.select("file_id", "is_new", F.transform("at", lambda i: _values(F.col("cells"), i)).alias("values"))
+    got = got.groupBy("file_id").agg(F.max(F.when(F.col("is_new"), F.col("values"))).alias("new_values"), F.max(F.when(~F.col("is_new"), F.col("values"))).alias("old_values"))
+    share = lambda o, n: F.size(F.array_intersect(n, o)) / F.greatest(F.size(n), F.lit(1))
+    scored = ask.join(got, "file_id").select("file_id", F.transform("u", lambda p, i: F.struct(p["old_col"].alias("old_col"), p["new_col"].alias("new_col"), share(F.get("old_values", i), F.get("new_values", i)).alias("share"))).alias("u"))
     scored = scored.select("file_id", F.filter("u", lambda p: p["share"] >= 0.5).alias("by_value"))
 
     shape = lambda p, s: F.struct(
@@ -231,16 +249,8 @@ def union_schema(files: DataFrame, field_names: DataFrame, heads: DataFrame | No
     keys = _keys(F.col("cols.name"), canonical_map(field_names), F.col("renamed"))
     cols = heads.join(renamed, "file_id", "left").select("feed", "file_id", "cols", F.explode(F.array(keys)).alias("keys"))
     cols = cols.select("feed", "file_id", F.explode(F.arrays_zip("keys", F.col("cols.kind").alias("kinds"))).alias("c")).select("feed", "file_id", F.col("c.keys").alias("field"), F.col("c.kinds").alias("kind"))
-    has = lambda k: F.max((F.col("kind") == k).cast("int"))
-    folded = cols.groupBy("feed", "field").agg(
-        *[F.coalesce(has(k), F.lit(0)).alias(f"_{k}") for k in KINDS], F.countDistinct("file_id").alias("files"), F.min("file_id").alias("first_file"), F.max("file_id").alias("last_file")
-    )
-    number = (F.col("_integer") + F.col("_decimal")) > 0
-    kind = (
-        F.when((F.col("_text") == 1) | ((F.col("_date") == 1) & number), "text")
-        .when(F.col("_date") == 1, "date").when(F.col("_decimal") == 1, "decimal").when(F.col("_integer") == 1, "integer")
-    )
-    return folded.select("feed", "field", kind.alias("kind"), "files", "first_file", "last_file")
+    folded = cols.groupBy("feed", "field").agg(F.bit_or(bits_of(F.col("kind"))).alias("bits"), F.countDistinct("file_id").alias("files"), F.min("file_id").alias("first_file"), F.max("file_id").alias("last_file"))
+    return folded.select("feed", "field", kind_of(F.col("bits")).alias("kind"), "files", "first_file", "last_file")
 
 
 def consistent_table(files: DataFrame, field_names: DataFrame, renamed: DataFrame | None = None) -> DataFrame:
@@ -262,19 +272,26 @@ _CASTS = {"integer": lambda c: c.try_cast("bigint"), "decimal": lambda c: c.try_
 
 
 def cast_to_schema(rows: DataFrame, schema: list[tuple[str, str]]) -> DataFrame:
-    """Rows of `consistent_table` as columns of a union schema [(field, kind)]; what does not cast is null, its text stays in `fields`."""
-    text = lambda f: F.col("fields")[f]
-    return rows.select("file_id", "feed", "line_number", *[_CASTS[k or "text"](text(f)).alias(f) for f, k in schema], "fields")
+    """Rows of `consistent_table` as columns of a union schema [(field, kind)], and `other`, the fields that it does not name.
+
+    What does not cast (empty cells, more digits than the type holds) is null.
+    """
+    cast = lambda f, k: _CASTS[k or "text"](strip(F.col("fields")[f]) if k not in (None, "text") else F.col("fields")[f]).alias(f)
+    names = F.array(*[F.lit(f) for f, _ in schema]) if schema else F.array().cast("array<string>")
+    other = F.map_filter("fields", lambda f, v: ~F.array_contains(names, f))
+    return rows.select("file_id", "feed", "line_number", *[cast(f, k) for f, k in schema], other.alias("other"))
 
 
 def typed_table(files: DataFrame, field_names: DataFrame) -> DataFrame:
-    """`consistent_table` with typed map<field, struct<kind, integer, decimal, date, text>>: each value cast to the kind of its field in the feed's union schema.
+    """Every body line of every file cast to the union schema of all feeds: a typed column for each field of the dictionary in use, and `other` map<name, text>.
 
-    Of the four the one of the kind is set; what does not cast (empty cells, more digits than a bigint holds) is null, its text stays in `fields`.
+    The kinds of the feeds fold through the same lattice as those of their files. A field that the
+    table already uses as a name of its own (file_id, feed, line_number, other) stays in `other`.
     """
     heads = materialize(headers(files))
     renamed = _renamed(files, field_names, heads)
-    kinds = union_schema(files, field_names, heads, renamed).groupBy(F.col("feed").alias("_feed")).agg(F.map_from_entries(F.collect_list(F.struct("field", F.coalesce("kind", F.lit("text"))))).alias("kinds"))
-    rows = consistent_table(files, field_names, renamed).join(broadcast_if_small(materialize(kinds)), F.col("feed").eqNullSafe(F.col("_feed")), "left")
-    value = lambda f, v: F.struct(F.col("kinds")[f].alias("kind"), *[F.when(F.col("kinds")[f] == k, cast(strip(v) if k != "text" else v)).alias(k) for k, cast in _CASTS.items()])
-    return rows.select("file_id", "feed", "line_number", "fields", F.transform_values("fields", value).alias("typed"))
+    listed = set(known_names(field_names).values()) - {"file_id", "feed", "line_number", "other"}
+    by_feed = union_schema(files, field_names, heads, renamed)
+    folded = by_feed.where(F.col("field").isin(sorted(listed))).groupBy("field").agg(kind_of(F.bit_or(bits_of(F.col("kind")))).alias("kind"))
+    schema = sorted((r["field"], r["kind"]) for r in folded.collect())  # at most the fields of the dictionary
+    return cast_to_schema(consistent_table(files, field_names, renamed), schema)

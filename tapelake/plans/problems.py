@@ -216,8 +216,9 @@ def p6_schema(spark, sf):
 
 @query()
 def p6_table(spark, sf):
-    """Every body line of every file under one set of names, as published and cast to the union schema of its feed."""
-    return drift.typed_table(table(spark, sf, "feed_files"), table(spark, sf, "field_names")).select("file_id", "feed", "line_number", F.to_json("fields").alias("fields"), F.to_json("typed").alias("typed"))
+    """Every body line of every file in one table, cast to the union schema; what is in no dictionary as JSON text."""
+    rows = drift.typed_table(table(spark, sf, "feed_files"), table(spark, sf, "field_names"))
+    return rows.withColumn("other", F.to_json("other"))
 
 
 _ISIN_OK = """case when regexp_full_match(i, 'IN[A-Z0-9]{9}[0-9]') then

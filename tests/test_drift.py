@@ -90,7 +90,11 @@ def test_empty_inputs_and_table(spark):
     schema = {r.field: r.kind for r in drift.union_schema(f, known).collect()}
     assert schema == {"sym": "text", "qty": "decimal", "x": "text"}
     cast = drift.cast_to_schema(drift.consistent_table(f, known), [("sym", "text"), ("qty", "decimal"), ("x", "date")]).orderBy("file_id", "line_number").collect()
-    assert [str(r.x) for r in cast] == ["None", "None", "2020-01-02"] and float(cast[2].qty) == 2.5
+    assert [str(r.x) for r in cast] == ["None", "None", "2020-01-02"] and float(cast[2].qty) == 2.5 and cast[0].other == {}
+    typed = drift.typed_table(f, known).orderBy("file_id", "line_number")
+    assert typed.columns == ["file_id", "feed", "line_number", "qty", "sym", "other"] and dict(typed.dtypes)["qty"] == "decimal(38,10)"
+    assert [(float(r.qty), r.sym, r.other) for r in typed.collect()] == [(1.0, "a", {"x": "2"}), (2.0, "b", {"x": None}), (2.5, "c", {"x": "02-JAN-2020"})]
+    assert drift.typed_table(f.limit(0), known).count() == 0
 
 
 def test_lattice():
@@ -102,6 +106,18 @@ def test_lattice():
                 assert drift.promote(drift.promote(a, b), c) == drift.promote(a, drift.promote(b, c))
 
 
+def test_fold_is_the_lattice(spark):
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    kinds = [None, "integer", "decimal", "date", "text"]
+    rows = [(i, k) for i, ks in enumerate((a, b, c) for a in kinds for b in kinds for c in kinds) for k in ks]
+    df = spark.createDataFrame(rows, "i int, kind string").groupBy("i").agg(drift.kind_of(F.bit_or(drift.bits_of(F.col("kind")))).alias("k"))
+    want = {i: reduce(drift.promote, [k for j, k in rows if j == i]) for i in {i for i, _ in rows}}
+    assert {r.i: r.k for r in df.collect()} == want
+
+
 def test_previous_across_chunks(spark):
     from pyspark.sql import functions as F
 
@@ -126,10 +142,11 @@ def test_unlisted_names_follow_the_renamings(spark):
         (7, "h", "n", "2020-01-01", ",", "u,VOL", "EQ,1"), (8, "h", "n", "2020-01-02", ",", "w,VOL", "EQ,1"),
     ]
     f, known = frames(spark, files)
-    rows = {(r.file_id, r.line_number): r for r in drift.typed_table(f, known).collect()}
+    rows = {(r.file_id, r.line_number): r for r in drift.consistent_table(f, known).collect()}
+    typed = {(r.file_id, r.line_number): r for r in drift.typed_table(f, known).collect()}
     assert [rows[k, 1].fields.get("sym") for k in range(1, 6)] == ["EQ"] * 5
     assert rows[5, 1].fields == {"code": "a", "sym": "EQ", "qty": "1"} and rows[6, 1].fields == {"scrip": "EQ", "qty": "1"}
     assert rows[7, 1].fields == rows[8, 1].fields == {"u": "EQ", "qty": "1"}
-    assert (rows[1, 1].typed["qty"].kind, float(rows[1, 1].typed["qty"].decimal), rows[3, 2].typed["qty"].decimal, rows[6, 1].typed["qty"].integer) == ("decimal", 1.0, None, 1)
+    assert (float(typed[1, 1].qty), typed[3, 2].qty, float(typed[4, 1].qty), typed[5, 1].sym, typed[5, 1].other) == (1.0, None, 6.5, "EQ", {"code": "a"})
     schema = {(r.feed, r.field): (r.kind, r.files) for r in drift.union_schema(f, known).collect()}
     assert schema == {("f", "sym"): ("text", 5), ("f", "qty"): ("decimal", 5), ("f", "desk"): ("text", 4), ("f", "code"): ("text", 1), ("g", "scrip"): ("text", 1), ("g", "qty"): ("integer", 1), ("h", "u"): ("text", 2), ("h", "qty"): ("integer", 2)}
