@@ -85,3 +85,8 @@ def p10_found(spark, sf):
 @query()
 def p10_composition(spark, sf):
     return subjects.composition(subjects.subject_shares(table(spark, sf, "documents"), table(spark, sf, "subjects"), table(spark, sf, "subject_labels")))
+
+
+@query()
+def p10_mixtures(spark, sf):
+    return subjects.mixtures(table(spark, sf, "documents"), table(spark, sf, "subjects"), table(spark, sf, "subject_labels"))

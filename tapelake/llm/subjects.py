@@ -4,21 +4,26 @@
    paragraphs of the article; its sentences become lists of hashed words.
 2. Word rates by language, over all pages, correct missing and wrong language marks and give each
    language a fixed background component of words that most of its pages use.
-3. The document-term matrix is factored by alternating multiplicative updates (Kullback-Leibler).
+3. The language of each page and its row of the document-term matrix are worked out once and
+   written. The matrix is factored by alternating multiplicative updates (Kullback-Leibler).
    Components are anchored: one a subject, seeded from labelled pages, whose weights stay nearly
    confined to their labels, and one for pages that no subject applies to. Every update sums over
-   all pages; each task sends one row a word.
-4. The factor gives each page its mixture and each word its distribution over subjects. A
-   sentence is about the subject that its own subject words and its page's mixture favour;
-   sentences without subject words are about none. A page has the subjects of at least
+   all pages; each task sends one row a word, and the factor goes out as a broadcast variable.
+4. The factor gives each page its mixture (`mixtures`) and each word its distribution over
+   subjects. A sentence is about the component that is likeliest for its words under the page's
+   mixture; sentences without subject words are about none. A page has the subjects of at least
    `SHARE` of its sentences.
 
+What the driver and each task hold is the factor: the words that at least one page in
+1 / `LEAST_RATE` of their language uses, which the length of pages bounds, not their number.
+
 Labels enter as at most `MOST_LABELS` labelled pages, those with the least hash of their id;
 everything else covers all pages. Null or empty bodies, pages without paragraphs and pages with
 an error status have no subject. Unknown subjects in labels are ignored, null ones mean none.
-Rows of one doc_id are pages
-of their own. Without labels nothing is found; a subject without labels in a language is not
-found in it. Extra columns are ignored.
+A language mark on fewer than `LEAST_PAGES` pages (of small corpora a fiftieth, three at least) is
+no language; such pages are read in the one whose words they use. Rows of one doc_id are pages of
+their own. Without labels nothing is found; a subject without labels in a language is not found in
+it. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +32,6 @@ import html
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +41,11 @@ from ..session import broadcast_if_small, materialize
 
 SHARE = 0.25
 #: Bound of the labelled sample the factorisation is seeded with.
-MOST_LABELS = 200_000
+MOST_LABELS = 50_000
+#: Words on fewer of their language's pages are left out of the factor.
+LEAST_RATE = 1 / 5000
+#: Pages a language mark needs.
+LEAST_PAGES = 20
 WORD_BITS = 24
 ROUNDS, INNER = 4, 4
 #: Weight left to a labelled page's other subjects: some labels are wrong or missing.
@@ -129,14 +137,14 @@ def _batches(pdf_columns):
 
 
 def _rates(langs: list[str]):
-    """Pages of each declared language and pages of each word in them: lang -1-based id, term (-1: all pages), n."""
+    """Pages of each declared language and pages of each word in them: number of the language, term (-1: all pages), n."""
     make = _batches([("lang", pa.int32()), ("term", pa.int32()), ("n", pa.int64())])
 
     def run(batches):
         total: dict[int, int] = {}
         for batch in batches:
             where = {x: i for i, x in enumerate(langs)}
-            lang = np.array([where.get(x, -1) for x in batch.column(1).to_pylist()], np.int64)
+            lang = np.array([where.get(x, -1) for x in batch.column(0).to_pylist()], np.int64)
             terms, rows = _flat(batch, "terms")
             pairs = np.unique((rows.astype(np.int64) << WORD_BITS) | terms)
             row, term = pairs >> WORD_BITS, pairs & ((1 << WORD_BITS) - 1)
@@ -151,11 +159,11 @@ def _rates(langs: list[str]):
     return run
 
 
-class Model:
-    """Words by language with their component weights: a row a (language, word), components are subjects, none, background."""
+class Words:
+    """The words of the factor: a row a (language, word), and how many of the language's pages use it."""
 
-    def __init__(self, keys: np.ndarray, weights: np.ndarray, rates: np.ndarray, pages: np.ndarray, subjects: list[str]):
-        self.keys, self.weights, self.rates, self.pages, self.subjects = keys, weights, rates, pages, subjects
+    def __init__(self, keys: np.ndarray, rates: np.ndarray, languages: int):
+        self.keys, self.rates, self.languages = keys, rates, languages
 
     def rows(self, lang: np.ndarray, term: np.ndarray) -> np.ndarray:
         """Row of each (language, word), -1 if unknown."""
@@ -165,50 +173,65 @@ class Model:
 
     def detect(self, terms: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
         """Language of each page: the one whose pages use its words most."""
-        score = np.zeros((n, len(self.pages)))
-        for lang in range(len(self.pages)):
+        score = np.zeros((n, self.languages))
+        for lang in range(self.languages):
             at = self.rows(np.full(len(terms), lang), terms)
             rate = np.where(at >= 0, self.rates[at], 0.0)
             score[:, lang] = np.bincount(rows, np.log(rate + 1e-3), n)
         return score.argmax(1)
 
-    def normalise(self) -> None:
-        lang = self.keys >> WORD_BITS
-        for x in range(len(self.pages)):
-            self.weights[lang == x] /= self.weights[lang == x].sum(0) + 1e-12
-
-
-def _matrix(model: Model, batch):
-    """Language of each page, and its document-term matrix as (page, model row, weight)."""
-    terms, rows = _flat(batch, "terms")
-    distinct, counts = np.unique((rows.astype(np.int64) << WORD_BITS) | terms, return_counts=True)
-    page, term = distinct >> WORD_BITS, distinct & ((1 << WORD_BITS) - 1)
-    lang = model.detect(term, page, batch.num_rows)
-    at = model.rows(lang[page], term)
-    known = at >= 0
-    return lang, page[known], at[known], np.sqrt(counts[known])
-
-
-def _masks(batch, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """How far each component may be used by each page, and which pages are labelled."""
-    k = len(model.subjects) + 1
-    mask = np.ones((batch.num_rows, k + 1))
-    labelled = np.zeros(batch.num_rows, bool)
-    where = {s: i for i, s in enumerate(model.subjects)}
-    for i, labels in enumerate(batch.column(batch.schema.get_field_index("labels")).to_pylist()):
-        if labels is not None:
-            hit = [where[s] for s in labels if s in where] or [k - 1]
-            mask[i, :k] = SOFT
-            mask[i, hit] = 1
-            labelled[i] = True
+    @property
+    def language(self) -> np.ndarray:
+        return self.keys >> WORD_BITS
+
+
+_MATRIX = [("doc_id", pa.int64()), ("labels", pa.int64()), ("at", pa.list_(pa.int32())), ("weight", pa.list_(pa.float32())), ("lengths", pa.list_(pa.int32())), ("words", pa.list_(pa.int32()))]
+_MATRIX_SCHEMA = "doc_id bigint, labels bigint, at array<int>, weight array<float>, lengths array<int>, words array<int>"
+
+
+def _lists(values: np.ndarray, owner: np.ndarray, n: int, kind) -> pa.Array:
+    """List column of `values`, which are sorted by `owner`."""
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+
+def _matrix(words):
+    """Each page in its language: rows and weights of the document-term matrix, and the row of every word of every sentence (-1 if unknown)."""
+
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            known: Words = words.value
+            terms, rows = _flat(batch, "terms")
+            distinct, counts = np.unique((rows.astype(np.int64) << WORD_BITS) | terms, return_counts=True)
+            page, term = distinct >> WORD_BITS, distinct & ((1 << WORD_BITS) - 1)
+            lang = known.detect(term, page, n)
+            at = known.rows(lang[page], term)
+            use = at >= 0
+            column = lambda name: batch.column(batch.schema.get_field_index(name))
+            arrays = [column("doc_id"), column("labels"), _lists(at[use], page[use], n, pa.int32()), _lists(np.sqrt(counts[use]).astype(np.float32), page[use], n, pa.float32()), column("lengths"), _lists(known.rows(lang[rows], terms), rows, n, pa.int32())]
+            yield pa.RecordBatch.from_arrays([a.cast(t) for a, (_, t) in zip(arrays, _MATRIX)], [name for name, _ in _MATRIX])
+
+    return run
+
+
+def _masks(labels: list, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """How far each component may be used by each page, and which pages are labelled. labels: bits of the subjects of a page, 0 for none, null if unlabelled."""
+    mask = np.ones((len(labels), k + 1))
+    labelled = np.array([x is not None for x in labels], bool)
+    for i in np.flatnonzero(labelled):
+        mask[i, :k] = SOFT
+        mask[i, [j for j in range(k - 1) if labels[i] >> j & 1] or [k - 1]] = 1
     return mask, labelled
 
 
-def _mixtures(model: Model, page, at, weight, mask, inner: int = INNER) -> np.ndarray:
+def _mixtures(weights: np.ndarray, page, at, weight, mask, inner: int = INNER) -> np.ndarray:
     """Mixture of every page for fixed components."""
     n = len(mask)
     mix = mask / mask.sum(1, keepdims=True)
-    h = model.weights[at]
+    h = weights[at]
     for _ in range(inner):
         q = weight / (np.einsum("ij,ij->i", mix[page], h) + 1e-12)
         gain = np.stack([np.bincount(page, q * h[:, j], n) for j in range(h.shape[1])], 1)
@@ -217,96 +240,120 @@ def _mixtures(model: Model, page, at, weight, mask, inner: int = INNER) -> np.nd
     return mix
 
 
-def _summed(model: Model, seed: bool):
-    """Numerators of the component update (or the seed), summed over the pages of a task: one row a word."""
-    k = len(model.subjects) + 1
+def _cells(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(page, row, weight) of the matrix of a batch."""
+    at, page = _flat(batch, "at")
+    return page, at, _flat(batch, "weight")[0].astype(float)
+
+
+def _summed(shape: tuple[int, int], factor):
+    """Numerators of the component update, or without a factor the seed, summed over the pages of a task: one row a word."""
+    size, k = shape
     make = _batches([("row", pa.int64()), *[(f"c{j}", pa.float64()) for j in range(k)]])
 
     def run(batches):
-        total = np.zeros((len(model.keys), k))
+        total = np.zeros((size, k))
         for batch in batches:
             if not batch.num_rows:
                 continue
-            _, page, at, weight = _matrix(model, batch)
-            mask, labelled = _masks(batch, model)
-            if seed:
+            page, at, weight = _cells(batch)
+            mask, labelled = _masks(batch.column(batch.schema.get_field_index("labels")).to_pylist(), k)
+            if factor is None:
                 part = (mask[:, :k] == 1) * labelled[:, None]
                 part = part / np.maximum(part.sum(1, keepdims=True), 1)
                 share = weight[:, None] * part[page]
             else:
-                mix = _mixtures(model, page, at, weight, mask)
-                q = weight / (np.einsum("ij,ij->i", mix[page], model.weights[at]) + 1e-12)
+                weights = factor.value
+                mix = _mixtures(weights, page, at, weight, mask)
+                q = weight / (np.einsum("ij,ij->i", mix[page], weights[at]) + 1e-12)
                 share = q[:, None] * mix[page][:, :k]
             for j in range(k):
-                total[:, j] += np.bincount(at, share[:, j], len(model.keys))
+                total[:, j] += np.bincount(at, share[:, j], size)
         used = np.flatnonzero(total.any(1))
         yield make(used, *[total[used, j] for j in range(k)])
 
     return run
 
 
-def _gather(df: DataFrame, model: Model, seed: bool) -> np.ndarray:
-    k = len(model.subjects) + 1
+def _gather(matrix: DataFrame, shape: tuple[int, int], weights: np.ndarray | None) -> np.ndarray:
+    """The sums of `_summed` over all pages: the factor's size, whatever the number of pages."""
+    size, k = shape
+    factor = None if weights is None else matrix.sparkSession.sparkContext.broadcast(weights)
     schema = "row bigint, " + ", ".join(f"c{j} double" for j in range(k))
-    parts = df.mapInArrow(_summed(model, seed), schema).groupBy("row").agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(k)]).toPandas()
-    out = np.zeros((len(model.keys), k))
+    parts = matrix.select("labels", "at", "weight").mapInArrow(_summed(shape, factor), schema).groupBy("row").agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(k)]).toPandas()
+    if factor is not None:
+        factor.destroy()
+    out = np.zeros(shape)
     out[parts["row"].to_numpy()] = parts[[f"c{j}" for j in range(k)]].to_numpy()
     return out
 
 
-def fit(articles: DataFrame, subjects: list[str], rounds: int = ROUNDS) -> Model | None:
-    """The factorisation over all articles (doc_id, lang, lengths, terms, labels)."""
-    langs = sorted(r["lang"] for r in articles.where("lang <> ''").groupBy("lang").count().collect())  # language codes of two or three letters
+def vocabulary(articles: DataFrame, least_rate: float = LEAST_RATE, least_pages: int = LEAST_PAGES) -> Words | None:
+    """The words of every language that has enough pages, used by enough of them."""
+    marked = {r["lang"]: r["count"] for r in articles.where("lang <> ''").groupBy("lang").count().collect()}  # marks of two or three letters
+    least = min(least_pages, max(3, sum(marked.values()) // 50))
+    langs = sorted(x for x, n in marked.items() if n >= least) or sorted(marked)
     if not langs:
         return None
-    seen = articles.select("doc_id", "lang", "lengths", "terms").mapInArrow(_rates(langs), "lang int, term int, n bigint").groupBy("lang", "term").agg(F.sum("n").alias("n")).toPandas()
-    pages = np.zeros(len(langs))
-    whole = seen[seen.term < 0]
-    pages[whole.lang.to_numpy()] = whole.n.to_numpy()
-    seen = seen[seen.term >= 0]
-    keys = (seen.lang.to_numpy().astype(np.int64) << WORD_BITS) | seen.term.to_numpy()
+    seen = articles.select("lang", "terms").mapInArrow(_rates(langs), "lang int, term int, n bigint").groupBy("lang", "term").agg(F.sum("n").alias("n"))
+    # Every word's language and its pages: a row a language is enough to leave out rare words before anything reaches the driver.
+    pages = np.array([marked[x] for x in langs], float)
+    bound = F.array(*[F.lit(float(n * least_rate)) for n in pages])
+    kept = seen.where("term >= 0").where(F.col("n") >= F.get(bound, F.col("lang"))).toPandas()
+    keys = (kept.lang.to_numpy().astype(np.int64) << WORD_BITS) | kept.term.to_numpy()
     order = np.argsort(keys)
-    keys, rates = keys[order], (seen.n.to_numpy() / pages[seen.lang.to_numpy()])[order]
-    k = len(subjects) + 1
-    model = Model(keys, np.zeros((len(keys), k + 1)), rates, pages, subjects)
-    seeds = _gather(articles.where("labels is not null"), model, True)
-    model.weights[:, :k] = seeds
-    model.weights[:, k] = rates**BACKGROUND_POWER
-    model.weights += 1e-6
-    model.normalise()
-    usual = rates[:, None] / np.bincount(keys >> WORD_BITS, rates, len(langs))[keys >> WORD_BITS][:, None]
-    model.weights[:, :k] = np.maximum(model.weights[:, :k] - 0.5 * usual, 1e-6)
+    return Words(keys[order], (kept.n.to_numpy() / pages[kept.lang.to_numpy()])[order], len(langs))
+
+
+def _normalise(weights: np.ndarray, language: np.ndarray, languages: int) -> None:
+    for x in range(languages):
+        weights[language == x] /= weights[language == x].sum(0) + 1e-12
+
+
+def fit(matrix: DataFrame, words: Words, subjects: int, rounds: int = ROUNDS) -> np.ndarray:
+    """The factor: weights of each word's row in each component (subjects, none, background), from all pages of the matrix."""
+    k, lang = subjects + 1, words.language
+    shape = (len(words.keys), k)
+    seeds = _gather(matrix.where("labels is not null"), shape, None)
+    weights = np.zeros((len(words.keys), k + 1))
+    weights[:, :k] = seeds
+    weights[:, k] = words.rates**BACKGROUND_POWER
+    weights += 1e-6
+    _normalise(weights, lang, words.languages)
+    usual = words.rates[:, None] / np.bincount(lang, words.rates, words.languages)[lang][:, None]
+    weights[:, :k] = np.maximum(weights[:, :k] - 0.5 * usual, 1e-6)
     # A subject without labels in a language has no anchor there and stays off.
-    anchored = np.stack([np.bincount(keys >> WORD_BITS, seeds[:, j], len(langs)) > 0 for j in range(k)], 1)[keys >> WORD_BITS]
-    model.weights[:, :k] *= anchored
-    model.normalise()
+    anchored = np.stack([np.bincount(lang, seeds[:, j], words.languages) > 0 for j in range(k)], 1)[lang]
+    weights[:, :k] *= anchored
+    _normalise(weights, lang, words.languages)
     for _ in range(rounds):
-        model.weights[:, :k] = (model.weights[:, :k] * _gather(articles, model, False) + 1e-9) * anchored
-        model.normalise()
-    return model
+        weights[:, :k] = (weights[:, :k] * _gather(matrix, shape, weights) + 1e-9) * anchored
+        _normalise(weights, lang, words.languages)
+    return weights
 
 
-def _decide(model: Model, share: float):
-    k = len(model.subjects) + 1
-    own = model.weights[:, :k]
-    p = own / (own.sum(1, keepdims=True) + 1e-12)
-    is_subject_word = 1 / np.maximum((p * p).sum(1), 1e-12) <= 1 + SPREAD * (k - 1)
-    evidence = np.where(is_subject_word[:, None], np.log((p + 0.05) / (1 / k + 0.05)), 0.0)
+def _decide(factor, subjects: list[str], share: float):
+    """Subjects of pages by the sentences that are about them."""
+    k = len(subjects) + 1
     make = _batches([("doc_id", pa.int64()), ("subject", pa.string()), ("sentences", pa.int32()), ("of", pa.int32())])
 
     def run(batches):
+        weights = factor.value
+        own = weights[:, :k]
+        p = own / (own.sum(1, keepdims=True) + 1e-12)
+        is_subject_word = 1 / np.maximum((p * p).sum(1), 1e-12) <= 1 + SPREAD * (k - 1)
+        evidence = np.where(is_subject_word[:, None], np.log((p + 0.05) / (1 / k + 0.05)), 0.0)
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            lang, page, at, weight = _matrix(model, batch)
-            mix = _mixtures(model, page, at, weight, _masks(batch, model)[0])
-            terms, rows = _flat(batch, "terms")
+            page, at, weight = _cells(batch)
+            mix = _mixtures(weights, page, at, weight, _masks(batch.column(batch.schema.get_field_index("labels")).to_pylist(), k)[0])
+            row = _flat(batch, "words")[0]
             lengths, owner = _flat(batch, "lengths")
             sentence = np.repeat(np.arange(len(lengths)), lengths)
-            at = model.rows(lang[rows], terms)
-            use = (at >= 0) & is_subject_word[at]
-            score = np.stack([np.bincount(sentence[use], evidence[at[use], j], len(lengths)) for j in range(k)], 1)
+            use = (row >= 0) & is_subject_word[row]
+            score = np.stack([np.bincount(sentence[use], evidence[row[use], j], len(lengths)) for j in range(k)], 1)
             about = np.bincount(sentence[use], minlength=len(lengths)) > 0
             best = (score + np.log(mix[owner][:, :k] + 0.02)).argmax(1)
             per = np.zeros((n, k), int)
@@ -314,31 +361,65 @@ def _decide(model: Model, share: float):
             total = np.bincount(owner, minlength=n)
             doc, subject = np.nonzero((per[:, : k - 1] >= share * total[:, None]) & (per[:, : k - 1] > 0))
             ids = batch.column(0).to_numpy()
-            yield make(ids[doc], [model.subjects[j] for j in subject], per[doc, subject], total[doc])
+            yield make(ids[doc], [subjects[j] for j in subject], per[doc, subject], total[doc])
+
+    return run
+
+
+def _shares(factor, subjects: list[str]):
+    """The mixture of every page over subjects and none, without the background."""
+    k = len(subjects) + 1
+    make = _batches([("doc_id", pa.int64()), ("subject", pa.string()), ("share", pa.float64())])
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                page, at, weight = _cells(batch)
+                mix = _mixtures(factor.value, page, at, weight, _masks(batch.column(batch.schema.get_field_index("labels")).to_pylist(), k)[0])[:, :k]
+                mix = mix / (mix.sum(1, keepdims=True) + 1e-12)
+                doc, subject = np.nonzero(mix[:, : k - 1] > 0.005)
+                yield make(batch.column(0).to_numpy()[doc], [subjects[j] for j in subject], mix[doc, subject])
 
     return run
 
 
+def _fitted(documents: DataFrame, subjects: DataFrame, labels: DataFrame, rounds: int):
+    """(matrix, broadcast factor, names of the subjects), or None if there is nothing to learn from."""
+    names = sorted(r["subject"] for r in subjects.where("subject is not null").select("subject").distinct().collect())  # a fixed list
+    if len(names) > 62:
+        raise ValueError("at most 62 subjects")
+    bit = F.create_map(*[x for i, s in enumerate(names) for x in (F.lit(s), F.lit(1 << i))]) if names else None
+    bits = F.lit(0).cast("bigint") if bit is None else F.coalesce(bit[F.col("subject")], F.lit(0)).cast("bigint")
+    known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.bit_or(bits).alias("labels")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELS)
+    articles = materialize(read_articles(documents.select("doc_id", "lang", "raw_body", "http_status", "text")).join(broadcast_if_small(known), "doc_id", "left"))  # two numbers a labelled page, MOST_LABELS of them
+    words = vocabulary(articles)
+    if words is None or not len(words.keys):
+        return None
+    context = documents.sparkSession.sparkContext
+    matrix = materialize(articles.select("doc_id", "labels", "lengths", "terms").mapInArrow(_matrix(context.broadcast(words)), _MATRIX_SCHEMA))
+    return matrix, context.broadcast(fit(matrix, words, len(names), rounds)), names
+
+
 def subject_shares(documents: DataFrame, subjects: DataFrame, labels: DataFrame, share: float = SHARE, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, subject, sentences, of: every subject that at least `share` of the sentences of a page's article are about."""
     schema = "doc_id bigint, subject string, sentences int, of int"
-    names = sorted(r["subject"] for r in subjects.where("subject is not null").select("subject").distinct().collect())  # a fixed list
-    once = documents.select("doc_id", "lang", "raw_body", "http_status")
-    articles = read_articles(once)
-    known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.collect_set("subject").alias("labels")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELS)
-    articles = materialize(articles.join(broadcast_if_small(known), "doc_id", "left"))
-    model = fit(articles, names, rounds)
-    if model is None:
+    got = _fitted(documents, subjects, labels, rounds)
+    if got is None:
         return documents.sparkSession.createDataFrame([], schema)
-    return articles.mapInArrow(_decide(model, share), schema)
+    matrix, factor, names = got
+    return matrix.mapInArrow(_decide(factor, names, share), schema)
+
+
+def mixtures(documents: DataFrame, subjects: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """doc_id, subject, share: what part of a page's words the factor gives to each subject, words of the background aside; shares up to 0.005 are left out."""
+    schema = "doc_id bigint, subject string, share double"
+    got = _fitted(documents, subjects, labels, rounds)
+    if got is None:
+        return documents.sparkSession.createDataFrame([], schema)
+    matrix, factor, names = got
+    return matrix.mapInArrow(_shares(factor, names), schema)
 
 
 def composition(found: DataFrame) -> DataFrame:
     """subject, pages, sentences: the make-up of the corpus."""
     return found.groupBy("subject").agg(F.count("*").alias("pages"), F.sum("sentences").alias("sentences"))
-
-
-def model_table(model: Model) -> pd.DataFrame:
-    """The factor as a table, for inspection: language, word hash and the weight of each component."""
-    cols = [*model.subjects, "none", "background"]
-    return pd.DataFrame(model.weights, columns=cols).assign(lang=model.keys >> WORD_BITS, word=model.keys & ((1 << WORD_BITS) - 1))

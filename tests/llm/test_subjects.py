@@ -52,6 +52,27 @@ def test_mixtures_find_the_subjects(spark):
     assert right / len(got) > 0.97 and right / len(truth) > 0.97
 
 
+def test_a_rare_wrong_mark_is_no_language(spark):
+    rows, truth, labels = corpus(200)
+    wrong = [(k, {7: "xx", 31: "zz"}.get(k, lang), body, status) for k, lang, body, status in rows]
+    got = {(r.doc_id, r.subject) for r in subjects.subject_shares(*frames(spark, wrong, labels)).collect()}
+    assert {x for x in got if x[0] in (7, 31)} == {x for x in truth if x[0] in (7, 31)} != set()
+    articles = subjects.read_articles(frames(spark, wrong, labels)[0])
+    assert subjects.vocabulary(articles).languages == 2
+
+
+def test_rare_words_stay_out_and_mixtures(spark):
+    rows, truth, labels = corpus(200)
+    words = subjects.vocabulary(subjects.read_articles(frames(spark, rows, labels)[0]), least_rate=0.3)
+    assert 0 < len(words.keys) < len(subjects.vocabulary(subjects.read_articles(frames(spark, rows, labels)[0])).keys) and words.rates.min() >= 0.3
+    shares = {}
+    for r in subjects.mixtures(*frames(spark, rows, labels)).collect():
+        shares.setdefault(r.doc_id, {})[r.subject] = r.share
+    assert all(sum(x.values()) <= 1.000001 for x in shares.values())
+    best = {(d, max(x, key=x.get)) for d, x in shares.items() if d in {k for k, _ in truth}}
+    assert len(best & truth) / len(best) > 0.97
+
+
 def test_pages_without_article(spark):
     rows, _, labels = corpus(120)
     body = page(["The tide was seen. The boat left the harbour."]).encode()
