@@ -4,8 +4,9 @@ Every listed source that has tokens gets the same scale: the largest total at wh
 meet its share within its allowed repeats. A source's quota is met by whole passes over all its
 documents and one partial pass. The partial pass takes the documents whose hash lies below a
 threshold, found on nested histograms: tokens are summed by source and hash bucket, the bucket in
-which the quota is crossed is refined by the next bits of the hash, and only its documents are
-summed again. Documents are then filtered; nothing is sorted and no source meets in one task.
+which the quota is crossed is refined by the next bits of the hash, and only its documents, put
+aside as a table of their own, are summed again. Documents are then filtered; nothing is sorted
+and no source meets in one task.
 
 Targets of absent sources can't be met; the others keep their proportions, and both the wanted
 and the reached shares are reported. With `budget` the total is given, and a scarce source falls
@@ -65,22 +66,40 @@ def quotas(totals: DataFrame, targets: DataFrame, budget: int | None = None) ->
 def thresholds(docs: DataFrame, quota: DataFrame, levels: int = LEVELS) -> DataFrame:
     """source, bound: documents with h < bound are in the partial pass; within one bucket of the last level of the quota."""
     edge = quota.where("rest > 0").select("source", F.col("rest").alias("left"), F.lit(0).cast("bigint").alias("low"))  # one row a listed source
+    near = docs.select("source", "h", "n_tokens")
     for level in range(levels):
         width = F.lit(1 << (BITS * (6 - 1 - level))).cast("bigint")
-        inside = docs.join(broadcast_if_small(edge), "source").where((F.col("h") >= F.col("low")) & (F.col("h") < F.col("low") + width * (1 << BITS)))
-        hist = inside.groupBy("source", "low", "left", _bucket(F.col("h"), level).alias("b")).agg(F.sum("n_tokens").alias("n"))
+        near = near.join(broadcast_if_small(edge.select("source", "left", "low")), "source").where((F.col("h") >= F.col("low")) & (F.col("h") < F.col("low") + width * (1 << BITS)))
+        if level == 1:
+            # One bucket in 2^BITS of each source: the levels below read only these documents.
+            near = materialize(near)
+        hist = near.groupBy("source", "low", "left", _bucket(F.col("h"), level).alias("b")).agg(F.sum("n_tokens").alias("n"))
         w = Window.partitionBy("source").orderBy("b")
         upto = hist.withColumn("before", F.sum("n").over(w) - F.col("n"))
         crossed = upto.where("before <= left and before + n > left")
         edge = materialize(crossed.select("source", (F.col("left") - F.col("before")).alias("left"), (F.col("low") + F.col("b") * width).alias("low"), width.alias("width"), "n"))
+        near = near.select("source", "h", "n_tokens")
     # The last bucket goes in if that comes nearer to the quota.
     return edge.select("source", F.when(F.col("left") * 2 >= F.col("n"), F.col("low") + F.col("width")).otherwise(F.col("low")).alias("bound"))
 
 
+def broken(selection: DataFrame, report: DataFrame, targets: DataFrame) -> DataFrame:
+    """source, documents, too_often, twice, off: what must hold of a selection, by listed source.
+
+    documents that could be used; selected ones beyond their repeats; selected ones that are there
+    twice; whether the tokens miss the quota by more than half of the source's longest document.
+    """
+    limits = targets.where("source is not null").groupBy(source_name(F.col("source")).alias("source")).agg(F.coalesce(F.max("max_repeats"), F.lit(1)).alias("most"))
+    chosen = selection.groupBy("source", "doc_id").agg(F.count("*").alias("rows"), F.max("repeats").alias("repeats")).join(limits, "source")
+    by = chosen.groupBy("source").agg(F.count_if(F.col("repeats") > F.col("most")).alias("too_often"), F.count_if(F.col("rows") > 1).alias("twice"))
+    off = F.coalesce(F.abs(F.col("tokens") - F.col("quota")) * 2 > F.col("longest"), F.lit(False))
+    return report.join(by, "source", "left").select("source", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("too_often", F.lit(0)).alias("too_often"), F.coalesce("twice", F.lit(0)).alias("twice"), off.alias("off"))
+
+
 def mix(documents: DataFrame, targets: DataFrame, budget: int | None = None, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
     """(doc_id, source, n_tokens, repeats of the selected documents; the report by source)."""
     docs = materialize(counted_documents(documents, targets, vocabulary))
-    totals = docs.groupBy("source").agg(F.sum("n_tokens").alias("available"), F.count("*").alias("documents"))
+    totals = docs.groupBy("source").agg(F.sum("n_tokens").alias("available"), F.count("*").alias("documents"), F.max("n_tokens").alias("longest"))
     quota = materialize(quotas(totals, targets, budget))
     bounds = thresholds(docs, quota)
     rule = quota.join(bounds, "source", "left").select("source", "passes", F.coalesce("bound", F.lit(0).cast("bigint")).alias("bound"))
@@ -88,8 +107,8 @@ def mix(documents: DataFrame, targets: DataFrame, budget: int | None = None, voc
     selection = chosen.select("doc_id", "source", "n_tokens", "repeats")
     used = selection.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"), F.max("repeats").alias("most_repeats"), F.count("*").alias("documents_used"))
     w = Window.partitionBy(F.lit(0))  # one row a listed source
-    report = quota.drop("documents").join(used, "source", "left").select(
-        "source", "target_share", F.col("share").alias("wanted_share"), "max_repeats", "available", "quota", F.coalesce("tokens", F.lit(0)).alias("tokens"),
+    report = quota.join(used, "source", "left").select(
+        "source", "documents", "longest", "target_share", F.col("share").alias("wanted_share"), "max_repeats", "available", "quota", F.coalesce("tokens", F.lit(0)).alias("tokens"),
         F.coalesce("documents_used", F.lit(0)).alias("documents_used"), F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"),
     )
     return selection, report.withColumn("reached_share", F.col("tokens") / F.sum("tokens").over(w))

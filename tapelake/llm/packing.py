@@ -6,7 +6,10 @@ squares finds how often to repeat each so that together they use up the histogra
 rounded down to what is there, and the rest is packed greedily, again on the histogram, with as
 many repeats of each greedy combination as its lengths allow. The plan says which ranks of a
 length go to which containers; documents get their rank within their length by salted counting,
-so a length that a third of all documents share is spread over `SALT` groups.
+so a length that a third of all documents share is spread over `SALT` groups. Each group of ranks
+is cut at the plan's borders beforehand, so an item meets only the parts of the plan that fall
+into its own group: a plan of S parts for a length costs S / `SALT` + 1 rows an item at most,
+however many documents there are.
 
 A text longer than the capacity is cut into full containers and one remainder, which is packed
 like any other item; no other text is split. Null texts and texts without tokens take no place
@@ -22,13 +25,13 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, materialize
+from ..session import materialize
 from .tokens import VOCABULARY, with_token_counts
 
 SALT = 256
 #: Combinations may leave this share of the capacity unused.
 WINDOW = 1 / 64
-#: Combinations enumerated at most: the plan's size, not the data's.
+#: Combinations enumerated at most. It bounds the plan and the least squares, not the items: what no combination covers is packed greedily, and a greater number only leaves less to that.
 COMBINATIONS = 20_000
 
 
@@ -168,17 +171,49 @@ def pack(documents: DataFrame, sizes: DataFrame, vocabulary: str = VOCABULARY) -
         histogram.setdefault((r["container"], r["capacity"]), {})[r["length"]] = r["n"]
     rows = [(name, *p) for (name, capacity), h in sorted(histogram.items()) for p in plan(h, capacity)]
     schema = "container string, length int, first bigint, after bigint, base bigint, each bigint"
-    where_to = spark.createDataFrame(rows, schema)
+    parts = spark.createDataFrame(rows, schema)
     before = Window.partitionBy("container", "length").orderBy("salt")
     offsets = groups.select("container", "length", "salt", (F.sum("n").over(before) - F.col("n")).alias("offset"))
+    places = materialize(ranges(offsets, parts))
     within = Window.partitionBy("container", "length", "salt").orderBy("doc_id", "piece")
-    ranked = items.withColumn("at", F.row_number().over(within) - 1).join(offsets, ["container", "length", "salt"])  # one row a group: both sides are spread by these keys
-    ranked = ranked.withColumn("rank", F.col("offset") + F.col("at"))
-    placed = ranked.join(broadcast_if_small(where_to), ["container", "length"]).where("rank >= first and rank < after")
-    number = F.col("base") + F.floor((F.col("rank") - F.col("first")) / F.col("each"))
+    ranked = items.withColumn("at", F.row_number().over(within) - 1)
+    placed = ranked.join(places, ["container", "length", "salt"])  # both sides are spread by these keys
+    rank = F.col("offset") + F.col("at")
+    placed = placed.where((rank >= F.col("low")) & (F.col("high").isNull() | (rank < F.col("high"))))
+    number = F.col("base") + F.floor((rank - F.col("first")) / F.col("each"))
     return placed.select("container", number.cast("bigint").alias("container_no"), "doc_id", "piece", "start", "length")
 
 
+def ranges(offsets: DataFrame, parts: DataFrame) -> DataFrame:
+    """container, length, salt, offset, low, high, first, base, each: the ranks [low, high) of a length that lie in one group and in one part of the plan (high null: to the end)."""
+    group = F.struct("salt", "offset")
+    part = F.struct("first", "base", "each")
+    none = lambda kind: F.lit(None).cast(kind)
+    points = offsets.select("container", "length", F.col("offset").alias("low"), group.alias("group"), none("struct<first:bigint,base:bigint,each:bigint>").alias("part")).unionByName(
+        parts.select("container", "length", F.col("first").alias("low"), none("struct<salt:int,offset:bigint>").alias("group"), part.alias("part"))
+    )
+    points = points.groupBy("container", "length", "low").agg(F.max("group").alias("group"), F.max("part").alias("part"))
+    order = Window.partitionBy("container", "length").orderBy("low")  # a row a group and part of one length
+    running = order.rowsBetween(Window.unboundedPreceding, 0)
+    held = points.select("container", "length", "low", F.lead("low").over(order).alias("high"), F.last("group", ignorenulls=True).over(running).alias("g"), F.last("part", ignorenulls=True).over(running).alias("p"))
+    return held.select("container", "length", "g.salt", "g.offset", "low", "high", "p.first", "p.base", "p.each")
+
+
+def broken(packed: DataFrame, counted: DataFrame, sizes: DataFrame) -> DataFrame:
+    """container, documents, overfull, misplaced, split: what must hold of a packing, counted by kind of container.
+
+    documents that have a place; containers beyond their capacity; documents whose pieces do not
+    cover every token once; documents that are split although they fit.
+    """
+    caps = sizes.where("container is not null and capacity_tokens > 0").groupBy("container").agg(F.max("capacity_tokens").alias("capacity"))
+    over = packed.groupBy("container", "container_no").agg(F.sum("length").alias("load")).join(caps, "container").groupBy("container").agg(F.count_if(F.col("load") > F.col("capacity")).alias("overfull"))
+    pieces_of = packed.groupBy("container", "doc_id").agg(F.sum("length").alias("tokens"), F.max(F.col("start") + F.col("length")).alias("end"), F.countDistinct("start").alias("starts"), F.count("*").alias("n"))
+    per = pieces_of.join(counted.where("n_tokens > 0").groupBy("doc_id").agg(F.sum("n_tokens").alias("n_tokens"), F.max("n_tokens").alias("longest")), "doc_id").join(caps, "container")
+    wrong = (F.col("tokens") != F.col("n_tokens")) | (F.col("end") != F.col("longest"))
+    by = per.groupBy("container").agg(F.count("*").alias("documents"), F.count_if(wrong).alias("misplaced"), F.count_if((F.col("starts") > 1) & (F.col("longest") <= F.col("capacity"))).alias("split"))
+    return by.join(over, "container").select("container", "documents", "overfull", "misplaced", "split")
+
+
 def usage(packed: DataFrame, sizes: DataFrame) -> DataFrame:
     """container, containers, items, tokens, unused_share by kind of container."""
     each = packed.groupBy("container", "container_no").agg(F.sum("length").alias("tokens"), F.count("*").alias("items"))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..session import table
-from . import dedup, mixing, packing, subjects
+from ..session import materialize, table
+from . import dedup, mixing, packing, subjects, tokens
 
 QUERIES, SQL = {}, {}
 
@@ -67,6 +67,16 @@ def p8_usage(spark, sf):
     return packing.usage(packing.pack(table(spark, sf, "documents"), sizes), sizes)
 
 
+@query("""
+select container, documents, 0 as overfull, 0 as misplaced, 0 as split
+from (select distinct container from pack_sizes where container is not null and capacity_tokens > 0) k, (select count(*) as documents from documents where text <> '') d where documents > 0""")
+def p8_broken(spark, sf):
+    """What must hold of the packing; its SQL says how many documents have a place and that nothing is wrong."""
+    docs, sizes = table(spark, sf, "documents"), table(spark, sf, "pack_sizes")
+    counted = tokens.with_token_counts(docs.select("doc_id", "text"))
+    return packing.broken(materialize(packing.pack(docs, sizes)), counted, sizes)
+
+
 @query()
 def p9_selection(spark, sf):
     return mixing.mix(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[0]
@@ -77,6 +87,17 @@ def p9_shares(spark, sf):
     return mixing.mix(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[1]
 
 
+@query(r"""
+with d as (select lower(regexp_replace(source, '^\s+|\s+$', '', 'g')) as source, count(*) as n from documents where text <> '' group by 1)
+select source, coalesce(n, 0) as documents, 0 as too_often, 0 as twice, false as off
+from (select distinct lower(regexp_replace(source, '^\s+|\s+$', '', 'g')) as source from mix_targets where source is not null) t left join d using (source)""")
+def p9_broken(spark, sf):
+    """What must hold of the selection; its SQL says how many documents each source has and that nothing is wrong."""
+    targets = table(spark, sf, "mix_targets")
+    selection, report = mixing.mix(table(spark, sf, "documents"), targets)
+    return mixing.broken(selection, report, targets)
+
+
 @query()
 def p10_found(spark, sf):
     return subjects.subject_shares(table(spark, sf, "documents"), table(spark, sf, "subjects"), table(spark, sf, "subject_labels")).select("doc_id", "subject")

@@ -75,6 +75,41 @@ def test_plan_uses_up_the_histogram(capacity, seed):
     assert packing.plan({}, capacity) == []
 
 
+def test_an_item_meets_few_parts_of_its_plan(spark):
+    """The joined rows an item stay the same at a thousand times the counts."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(9)
+    shape = {a: 1 + int(40 * rnd.random() ** 3) for a in rnd.sample(range(1, 513), 120)}
+
+    def joined(times):
+        h = {a: n * times for a, n in shape.items()}
+        plan = packing.plan(dict(h), 512)
+        parts = spark.createDataFrame([("m", *p) for p in plan], "container string, length int, first bigint, after bigint, base bigint, each bigint")
+        salts = {a: min(packing.SALT, n) for a, n in h.items()}
+        offsets = spark.createDataFrame([("m", a, s, n * s // salts[a]) for a, n in h.items() for s in range(salts[a])], "container string, length int, salt int, offset bigint")
+        got = packing.ranges(offsets, parts)
+        end = F.coalesce("high", F.create_map(*[F.lit(x) for kv in h.items() for x in kv])[F.col("length")])
+        per = got.withColumn("n", end - F.col("low")).groupBy("length", "salt").agg(F.sum("n").alias("n"), F.count("*").alias("parts")).agg(F.sum(F.col("n") * F.col("parts")), F.sum("n")).first()
+        assert per[1] == sum(h.values())
+        check = got.join(parts.select("container", "length", "first", "after"), ["container", "length", "first"])
+        assert check.count() == got.count() and check.where("low < first or coalesce(high, low + 1) > after").count() == 0
+        return per[0] / per[1]
+
+    assert joined(1000) <= max(3, joined(1) + 2)
+
+
+def test_invariants_notice_what_is_wrong(spark, counts):
+    d, s = docs(spark, some(60)), sizes(spark)
+    counted = tokens.with_token_counts(d.select("doc_id", "text"))
+    packed = packing.pack(d, s)
+    good = {r.container: tuple(r)[2:] for r in packing.broken(packed, counted, s).collect()}
+    assert good == {"s": (0, 0, 0), "m": (0, 0, 0)}
+    bad = packed.where("piece > 0 or container = 's'").withColumn("container_no", packed.container_no % 2)
+    found = {r.container: tuple(r)[2:] for r in packing.broken(bad, counted, s).collect()}
+    assert found["s"][0] == 2 and found["m"][1] > 0
+
+
 def targets(spark, rows):
     return spark.createDataFrame([(*r, "x") for r in rows], "source string, target_share double, max_repeats int, h string")
 
