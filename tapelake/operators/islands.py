@@ -1,56 +1,93 @@
 """Gaps and islands over ordered observations, and what follows from them.
 
-All functions window over (key) in a total order given by the caller. A key's rows are sorted
-and spilled by the window operator; nothing is collected. Null keys form their own group; callers
-filter them where the semantics ask for it.
+Runs are found month by month: rows are sorted within (key, month) only, and what crosses a
+month's border is one row a month and key, which says how many runs the month has and how it
+begins and ends. So a key that holds a tenth of all rows is no single task's sort. Keys must not
+be null; callers filter them. Ties of the order given are the caller's to break.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_NO_DAY = -(1 << 30)
+
 
-def islands(df: DataFrame, keys: list[str], order: list[str], state: list[str]) -> DataFrame:
-    """`df` with `island`: 1, 2, ... for each longest run of equal `state` in `order` within `keys`."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    same = F.lit(True)
-    for s in state:
-        same = same & F.col(s).eqNullSafe(F.lag(s).over(w))
-    starts = F.when(same & F.lag(F.lit(True), 1, False).over(w), 0).otherwise(1)
-    return df.withColumn("_starts", starts).withColumn("island", F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_starts")
+def runs(rows: DataFrame, keys: list[str], order: list[str], state: list[str], day: str = "trade_date") -> DataFrame:
+    """keys, state, island, date_from, date_to, observed_dates, row_count of each longest run of equal `state` in `order` within `keys`.
+
+    `order` starts with `day`, a date; rows without one come first. Islands of a key are numbered from 1.
+    """
+    columns = list(dict.fromkeys([*keys, *order, *state, day]))
+    month = F.coalesce(F.year(day) * 12 + F.month(day), F.lit(_NO_DAY)).alias("_month")
+    inner = Window.partitionBy(*keys, "_month").orderBy(*order)
+    same = reduce(lambda a, b: a & b, [F.col(s).eqNullSafe(F.lag(s).over(inner)) for s in state])
+    df = rows.select(*columns, month)
+    df = df.select("*", F.when(same & F.lag(F.lit(True), 1, False).over(inner), 0).otherwise(1).alias("_starts"), (~F.col(day).eqNullSafe(F.lag(day).over(inner))).alias("_other_day"))
+    df = df.withColumn("_local", F.sum("_starts").over(inner.rowsBetween(Window.unboundedPreceding, 0)))
+    new_day = F.col(day).isNotNull() & (F.col("_other_day") | (F.col("_starts") == 1))
+    local = df.groupBy(*keys, "_month", "_local", *state).agg(F.min(day).alias("_from"), F.max(day).alias("_to"), F.count_if(new_day).alias("_days"), F.count("*").alias("_rows"))
+
+    whole = F.struct(*state)
+    months = local.groupBy(*keys, "_month").agg(F.max("_local").alias("_n"), F.min_by(whole, "_local").alias("_first"), F.max_by(whole, "_local").alias("_last"))
+    outer = Window.partitionBy(*keys).orderBy("_month")
+    joins = F.coalesce(F.lag("_last").over(outer).isNotNull() & F.col("_first").eqNullSafe(F.lag("_last").over(outer)), F.lit(False)).cast("int")
+    months = months.select(*keys, "_month", "_n", joins.alias("_joins"))
+    before = F.coalesce(F.sum(F.col("_n") - F.col("_joins")).over(outer.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    months = months.select(*keys, "_month", (before - F.col("_joins")).alias("_offset"))
+    numbered = local.join(months, [*keys, "_month"]).withColumn("island", F.col("_local") + F.col("_offset"))
+    return numbered.groupBy(*keys, "island", *state).agg(F.min("_from").alias("date_from"), F.max("_to").alias("date_to"), F.sum("_days").alias("observed_dates"), F.sum("_rows").alias("row_count"))
 
 
 def associations(rows: DataFrame) -> DataFrame:
     """isin_n, symbol, series, island, date_from, date_to, observed_dates, row_count of every dated association of a keyed, non-overlay row."""
-    runs = islands(rows, ["isin_n"], ["trade_date", "source_line_number", "row_id"], ["symbol", "series"])
-    return runs.groupBy("isin_n", "island", "symbol", "series").agg(
-        F.min("trade_date").alias("date_from"), F.max("trade_date").alias("date_to"), F.countDistinct("trade_date").alias("observed_dates"), F.count("*").alias("row_count")
-    )
+    found = runs(rows, ["isin_n"], ["trade_date", "source_line_number", "row_id"], ["symbol", "series"])
+    return found.select("isin_n", "island", "symbol", "series", "date_from", "date_to", "observed_dates", "row_count")
 
 
 def ticker_intervals(rows: DataFrame) -> DataFrame:
     """identity, series, ticker, island, date_from, date_to: runs of a ticker under one identity and series."""
-    runs = islands(rows, ["identity", "series"], ["trade_date", "file_name", "source_line_number", "row_id"], ["ticker"])
-    return runs.groupBy("identity", "series", "island", "ticker").agg(F.min("trade_date").alias("date_from"), F.max("trade_date").alias("date_to"))
+    found = runs(rows, ["identity", "series"], ["trade_date", "file_name", "source_line_number", "row_id"], ["ticker"])
+    return found.select("identity", "series", "island", "ticker", "date_from", "date_to")
+
+
+def ambiguous(census: DataFrame) -> DataFrame:
+    """identity, series of the groups one of whose tickers is shared by identities or overlaps another ticker of the group."""
+    own = census.where("identity is not null").select("identity", "series", "ticker").distinct()
+    shared = own.join(shared_tickers(census).select("ticker", "series"), ["ticker", "series"], "left_semi").select("identity", "series")
+    return shared.unionByName(overlapping_tickers(census).select("identity", "series")).distinct()
 
 
-def transitions(intervals: DataFrame, ordinals: DataFrame) -> DataFrame:
-    """identity, series, from_ticker, to_ticker, ended, began, gap: successive intervals and the file days between them.
+def transitions(intervals: DataFrame, ordinals: DataFrame, unclear: DataFrame | None = None) -> DataFrame:
+    """identity, series, from_ticker, to_ticker, ended, began, gap, kind: successive intervals and the file days between them.
 
-    `ordinals` (trade_date, ordinal) numbers the days that have a file; a gap of 0 is the same day, 1 the next file day.
+    `ordinals` (trade_date, ordinal) numbers the days that have a file; a gap of 0 is the same day
+    (kind SAME_DAY), 1 the next file day (SEQUENCE). Groups in `unclear` (identity, series) have none.
     """
-    w = Window.partitionBy("identity", "series").orderBy("island")
-    nxt = intervals.select("identity", "series", F.col("ticker").alias("from_ticker"), F.col("date_to").alias("ended"), F.lead("ticker").over(w).alias("to_ticker"), F.lead("date_from").over(w).alias("began")).where("began is not null")
+    if unclear is not None:
+        intervals = intervals.join(unclear, ["identity", "series"], "left_anti")
+    w = Window.partitionBy("identity", "series").orderBy("island")  # a row an interval
+    nxt = intervals.select(
+        "identity", "series", F.col("ticker").alias("from_ticker"), F.col("date_to").alias("ended"), F.lead("ticker").over(w).alias("to_ticker"), F.lead("date_from").over(w).alias("began")
+    ).where("began is not null")
     a = ordinals.select(F.col("trade_date").alias("ended"), F.col("ordinal").alias("_a"))
     b = ordinals.select(F.col("trade_date").alias("began"), F.col("ordinal").alias("_b"))
-    return nxt.join(a, "ended").join(b, "began").select("identity", "series", "from_ticker", "to_ticker", "ended", "began", (F.col("_b") - F.col("_a")).alias("gap"))
+    gap = F.col("_b") - F.col("_a")
+    kind = F.when(gap == 0, "SAME_DAY").otherwise("SEQUENCE")
+    return nxt.join(a, "ended").join(b, "began").select("identity", "series", "from_ticker", "to_ticker", "ended", "began", gap.alias("gap"), kind.alias("kind"))
 
 
 def day_ordinals(days: DataFrame) -> DataFrame:
-    """trade_date, ordinal of every distinct day: a chunked numbering, so the calendar is no single task's sort of all rows."""
-    distinct = days.select("trade_date").where("trade_date is not null").distinct()
-    return distinct.withColumn("ordinal", F.row_number().over(Window.orderBy("trade_date")))
+    """trade_date, ordinal (from 1) of every distinct day: numbered within each year, plus the days of the years before."""
+    distinct = days.select("trade_date").where("trade_date is not null").distinct().withColumn("_year", F.year("trade_date"))
+    years = distinct.groupBy("_year").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_year").rowsBetween(Window.unboundedPreceding, -1)  # a row a year
+    years = years.select("_year", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_year").orderBy("trade_date"))
+    return distinct.withColumn("_at", within).join(years, "_year").select("trade_date", (F.col("_before") + F.col("_at")).cast("int").alias("ordinal"))
 
 
 def ticker_census(rows: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ Checks are declared as a list and compiled into one scan: each row becomes a bit
 a line are reduced to the latest delivery, and one aggregation counts all bits by member and
 census group. These states are sums, so they merge over files, days and members: the figures of a
 member, of a census group and of a feed are further sums of the same states. They are written
-once and everything else reads them; `StateStore` keeps them between loads, so that a load counts
+once and everything else reads them (their joins are told to merge: what is small on disk here
+grows with the members, and compressed states look smaller than they are); `StateStore` keeps them between loads, so that a load counts
 only the members it touches. Shares of a member are held against the feed's preceding member
 (`jumps`) and against control limits of the feed's whole history (`control_limits`).
 
@@ -139,7 +140,7 @@ def column_profile(rows: DataFrame) -> DataFrame:
 def wrong_counts(state: DataFrame, file_metrics: DataFrame, census: DataFrame, members: DataFrame) -> DataFrame:
     """table_name, row_key, field_name of published figures that are null or not the count."""
     per_member = merge(state, ["member_id"]).select("member_id", F.col("blank_isin").alias("_b"), F.col("invalid_isin").alias("_i"))
-    fm = file_metrics.select("metric_id", "member_id", "blank_isin_rows", "invalid_isin_rows").join(per_member, "member_id", "left")
+    fm = file_metrics.select("metric_id", "member_id", "blank_isin_rows", "invalid_isin_rows").join(per_member.hint("merge"), "member_id", "left")
     off = lambda said, counted: ~F.coalesce(F.col(said) == F.coalesce(F.col(counted), F.lit(0)), F.lit(False))
     pick = lambda f, bad: F.when(bad, F.lit(f))
     a = fm.select(
@@ -148,12 +149,12 @@ def wrong_counts(state: DataFrame, file_metrics: DataFrame, census: DataFrame, m
     )
 
     dated = members.select("member_id", F.col("feed").alias("_feed"), F.col("date_from_filename").alias("_day"))
-    groups = state.where("modern").join(dated, "member_id").groupBy("_feed", "_day", *GROUP).agg(F.sum("blank_isin").alias("_b"))
+    groups = state.where("modern").hint("merge").join(dated, "member_id").groupBy("_feed", "_day", *GROUP).agg(F.sum("blank_isin").alias("_b"))
     ask = census.select("group_id", "feed", "period_from", "period_to", F.col("sgmt").alias("_g0"), F.col("src").alias("_g1"), F.col("fininstrmtp").alias("_g2"), norm(F.col("sctysrs")).alias("_g3"), "blank_or_ws_isin_rows")
     same = (F.col("feed") == F.col("_feed")) & F.col("_day").between(F.col("period_from"), F.col("period_to"))
     for i, c in enumerate(GROUP):
         same = same & F.col(f"_g{i}").eqNullSafe(F.col(c))
-    counted = ask.join(groups, same, "left").groupBy("group_id").agg(F.first("blank_or_ws_isin_rows").alias("said"), F.sum("_b").alias("_b"))
+    counted = ask.join(groups.hint("merge"), same, "left").groupBy("group_id").agg(F.first("blank_or_ws_isin_rows").alias("said"), F.sum("_b").alias("_b"))
     b = counted.where(off("said", "_b")).select(F.lit("ud_census_groups").alias("table_name"), F.col("group_id").alias("row_key"), F.lit("blank_or_ws_isin_rows").alias("field_name"))
     return a.unionByName(b).withColumn("finding", F.lit("wrong_count"))
 
@@ -161,7 +162,7 @@ def wrong_counts(state: DataFrame, file_metrics: DataFrame, census: DataFrame, m
 def jumps(state: DataFrame, members: DataFrame, percent: int = 15, checks=CHECKS) -> DataFrame:
     """member_id rows whose share of failures of a check rose by more than `percent` points against the feed's preceding member."""
     w = Window.partitionBy("feed").orderBy("date_from_filename", "member_id")
-    per = members.select("member_id", "feed", "date_from_filename").join(merge(state, ["member_id"]), "member_id", "left")
+    per = members.select("member_id", "feed", "date_from_filename").join(merge(state, ["member_id"]).hint("merge"), "member_id", "left")
     per = per.select("*", F.lag("n").over(w).alias("n0"), *[F.lag(c.name).over(w).alias(f"{c.name}_0") for c in checks])
     rose = lambda c: (F.col(c.name) * F.col("n0") - F.col(f"{c.name}_0") * F.col("n")) * 100 > percent * F.col("n") * F.col("n0")
     kind = lambda c: F.lit("blank_jump" if c.kind == "blank" else "pattern_jump")

@@ -12,13 +12,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import legacy_stamp, short_stamp_pattern, stamp_pattern
+from ..functions.isin import validity
 from ..functions.numbers import display_number, strict_decimal, strict_integer
 from ..functions.text import is_blank, norm
 from ..operators import calendar as cal
 from ..operators import islands as isl
 from ..operators.ordering import with_following
 from ..schema import OVERLAY_SERIES
-from ..session import table
+from ..session import materialize, table
 from .views import ROWS, once, rows
 
 QUERIES, SQL = {}, {}
@@ -55,11 +56,6 @@ def q2_date_range(spark, sf):
     return r.select("row_id", "file_name", "source_line_number", "trade_date", "format_family", "symbol", "series", "isin_n", "validity").orderBy("trade_date", "format_family", "file_name", "source_line_number", "row_id")
 
 
-def _busiest(r):
-    """The (symbol, series) with the most rows, as one row: a parameter that exists in any data."""
-    return r.where("ticker is not null").groupBy("ticker", "series").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "ticker", "series").limit(1)
-
-
 @query(""", pick as (select ticker, series from rows where ticker is not null group by ticker, series order by count(*) desc, ticker, series limit 1),
 ids as (select distinct r.identity from rows r join pick p on r.ticker = p.ticker and r.series = p.series where r.identity is not null)
 select r.row_id, r.trade_date, r.symbol, r.series, r.isin_n from rows r join pick p on r.series = p.series
@@ -67,10 +63,12 @@ where r.ticker = p.ticker or r.identity in (select identity from ids)""")
 def q3_instrument(spark, sf):
     """All rows of a ticker, and of the identities it was seen under, in one series; identities are resolved before anything is filtered."""
     r = rows(spark, sf)
-    pick = _busiest(r).select(F.col("ticker").alias("_t"), F.col("series").alias("_s"))
-    ids = r.join(F.broadcast(pick), (F.col("ticker") == F.col("_t")) & (F.col("series") == F.col("_s"))).where("identity is not null").select(F.col("identity").alias("_i")).distinct()
-    mine = r.join(F.broadcast(pick), F.col("series") == F.col("_s")).join(ids, F.col("identity") == F.col("_i"), "left")
-    return mine.where("ticker = _t or _i is not null").select("row_id", "trade_date", "symbol", "series", "isin_n")
+    # The census is small and written once: it gives the parameter and its identities, and the rows are read once more.
+    census = materialize(r.where("ticker is not null").groupBy("ticker", "series", "identity").agg(F.count("*").alias("n")))
+    pick = census.groupBy("ticker", "series").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "ticker", "series").limit(1).select(F.col("ticker").alias("_t"), F.col("series").alias("_s"))
+    mine = census.where("identity is not null").join(F.broadcast(pick), (F.col("ticker") == F.col("_t")) & F.col("series").eqNullSafe(F.col("_s"))).select(F.col("identity").alias("_i")).distinct()
+    wanted = r.join(F.broadcast(pick), F.col("series") == F.col("_s")).join(mine, F.col("identity") == F.col("_i"), "left")  # one row
+    return wanted.where("ticker = _t or _i is not null").select("row_id", "trade_date", "symbol", "series", "isin_n")
 
 
 @query(""" select row_id, trade_date, symbol, series, sgmt, src, fininstrmtp from rows where series = 'EQ' and sgmt = 'CM' and fininstrmtp = 'STK'""")
@@ -250,11 +248,46 @@ def ticker_intervals(spark, sf):
     return isl.ticker_intervals(_eligible(rows(spark, sf)))
 
 
-@query(_IVAL + """, o as (select trade_date, row_number() over (order by trade_date) as ordinal from (select distinct date_from_filename as trade_date from members) z where trade_date is not null),
+_UNCLEAR = """, tk as (select identity, series, ticker, min(trade_date) as s, max(trade_date) as e from v group by all),
+sh as (select ticker, series from tk group by ticker, series having count(distinct identity) > 1),
+un as (select identity, series from tk join sh using (ticker, series)
+  union select a.identity, a.series from tk a join tk b on a.identity = b.identity and a.series = b.series and a.ticker < b.ticker and a.s <= b.e and b.s <= a.e)"""
+
+
+@query(_IVAL + _UNCLEAR + """, o as (select trade_date, row_number() over (order by trade_date) as ordinal from (select distinct date_from_filename as trade_date from members) z where trade_date is not null),
 x as (select identity, series, ticker as from_ticker, date_to as ended, lead(ticker) over w as to_ticker, lead(date_from) over w as began from iv window w as (partition by identity, series order by island))
-select identity, series, from_ticker, to_ticker, ended, began, cast(b.ordinal - a.ordinal as int) as gap from x join o a on a.trade_date = ended join o b on b.trade_date = began""")
+select identity, series, from_ticker, to_ticker, ended, began, cast(b.ordinal - a.ordinal as int) as gap, case when a.ordinal = b.ordinal then 'SAME_DAY' else 'SEQUENCE' end as kind
+from x join o a on a.trade_date = ended join o b on b.trade_date = began where not exists (select 1 from un where un.identity = x.identity and un.series = x.series)""")
 def ticker_transitions(spark, sf):
-    return isl.transitions(isl.ticker_intervals(_eligible(rows(spark, sf))), isl.day_ordinals(_files(spark, sf)))
+    """Transitions of every group whose tickers are clear: none of them shared with another identity or overlapping another one."""
+    r = _eligible(rows(spark, sf))
+    return isl.transitions(isl.ticker_intervals(r), isl.day_ordinals(_files(spark, sf)), isl.ambiguous(isl.ticker_census(r)))
+
+
+@query(_IVAL + _UNCLEAR + " select identity, series from un")
+def ambiguous_groups(spark, sf):
+    return isl.ambiguous(isl.ticker_census(_eligible(rows(spark, sf))))
+
+
+@query(_ASSOC + """, o as (select trade_date, row_number() over (order by trade_date) as ordinal from (select distinct date_from_filename as trade_date from members) z where trade_date is not null),
+x as (select isin_n, symbol as symbol_before, series as series_before, date_to as last_old_date, lead(symbol) over w as symbol_after, lead(series) over w as series_after, lead(date_from) over w as first_new_date
+  from a window w as (partition by isin_n order by island))
+select x.*, cast(q.ordinal - p.ordinal as int) as gap, symbol_before is distinct from symbol_after and series_before is distinct from series_after as simultaneous,
+  case when p.ordinal = q.ordinal then 'SAME_DAY_COEXIST' else 'SEQUENCE' end as kind
+from x join o p on p.trade_date = last_old_date join o q on q.trade_date = first_new_date""")
+def association_transitions(spark, sf):
+    """Every change of symbol or series of a code: the file days between, whether both changed at once, and whether the states share a day."""
+    w = Window.partitionBy("isin_n").orderBy("island")  # a row an association
+    x = isl.associations(_keyed(rows(spark, sf))).select(
+        "isin_n", F.col("symbol").alias("symbol_before"), F.col("series").alias("series_before"), F.col("date_to").alias("last_old_date"),
+        F.lead("symbol").over(w).alias("symbol_after"), F.lead("series").over(w).alias("series_after"), F.lead("date_from").over(w).alias("first_new_date"),
+    )
+    days = isl.day_ordinals(_files(spark, sf))
+    old, new = (days.select(F.col("trade_date").alias(c), F.col("ordinal").alias(n)) for c, n in (("last_old_date", "_p"), ("first_new_date", "_q")))
+    both = ~F.col("symbol_before").eqNullSafe(F.col("symbol_after")) & ~F.col("series_before").eqNullSafe(F.col("series_after"))
+    kind = F.when(F.col("_p") == F.col("_q"), "SAME_DAY_COEXIST").otherwise("SEQUENCE")
+    joined = x.join(old, "last_old_date").join(new, "first_new_date")
+    return joined.withColumns({"gap": F.col("_q") - F.col("_p"), "simultaneous": both, "kind": kind}).drop("_p", "_q")
 
 
 @query(f""" select case when series in {_OV} then 'overlay-excluded' when series is null or not regexp_matches(series, '\\S') then 'missing-series' when identity is null then 'missing-identity'
@@ -434,13 +467,13 @@ def series_transitions(spark, sf):
 
 
 @query(_ASSOC + """ select isin_n, min(date_from) as first_date, max(date_to) as last_date, count(distinct symbol) as symbols, count(distinct series) as series_count, string_agg(distinct symbol, ',' order by symbol) as symbol_list, count(*) as associations,
-  count(distinct symbol) = 1 and count(distinct series) = 1 as stable from a group by isin_n""")
+  count(distinct symbol) = 1 and count(distinct series) = 1 as stable, case when bool_and(isin_n in (select identity from rows where identity is not null)) then true end as valid from a group by isin_n""")
 def identity_records(spark, sf):
     a = isl.associations(_keyed(rows(spark, sf)))
     return a.groupBy("isin_n").agg(
         F.min("date_from").alias("first_date"), F.max("date_to").alias("last_date"), F.countDistinct("symbol").alias("symbols"), F.countDistinct("series").alias("series_count"),
         F.array_join(F.array_sort(F.collect_set("symbol")), ",").alias("symbol_list"), F.count("*").alias("associations"), ((F.countDistinct("symbol") == 1) & (F.countDistinct("series") == 1)).alias("stable"),
-    )
+    ).withColumn("valid", F.when(validity(F.col("isin_n")) == "VALID", True))
 
 
 @query(_ASSOC + """, g as (select isin_n, count(distinct symbol) as sy, count(distinct series) as se from a group by isin_n)
@@ -489,8 +522,8 @@ select *, abs(late - early) as delta from g where early + late > 0""")
 def distribution_shift(spark, sf):
     """Rows of a series on the first and the last 25 file days, as its SQL asks for; `format_shift` compares the formats."""
     r = rows(spark, sf).groupBy("series", "trade_date").agg(F.count("*").alias("n"))
-    days = r.select("trade_date").distinct()
-    d = days.select("trade_date", F.row_number().over(Window.orderBy("trade_date")).alias("a"), F.row_number().over(Window.orderBy(F.desc("trade_date"))).alias("z"))
+    days = isl.day_ordinals(r)
+    d = days.crossJoin(F.broadcast(days.agg(F.max("ordinal").alias("_most")))).select("trade_date", F.col("ordinal").alias("a"), (F.col("_most") + 1 - F.col("ordinal")).alias("z"))  # one row
     part = lambda c: F.coalesce(F.sum(F.when(c <= 25, F.col("n"))), F.lit(0))
     g = r.where("series is not null").join(d, "trade_date").groupBy("series").agg(part(F.col("a")).alias("early"), part(F.col("z")).alias("late"))
     return g.where("early + late > 0").withColumn("delta", F.abs(F.col("late") - F.col("early")))
