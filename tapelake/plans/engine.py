@@ -119,11 +119,6 @@ def _files(spark, sf):
     return table(spark, sf, "members").select(F.col("date_from_filename").alias("trade_date"), F.col("detected_format").alias("family"), "file_name")
 
 
-@query(_CAL + " select * from cal")
-def q6_calendar(spark, sf):
-    return cal.calendar(_files(spark, sf))
-
-
 @query(_CAL + """ select count(*) as days, count(*) filter (isodow(trade_date) < 6) as weekdays, count(*) filter (file_present) as file_days,
 count(*) filter (missing_weekday) as missing_weekdays, count(*) filter (file_present and isodow(trade_date) > 5) as weekend_files,
 count(*) filter (isodow(trade_date) < 6) = count(*) filter (file_present) - count(*) filter (file_present and isodow(trade_date) > 5) + count(*) filter (missing_weekday) as closes from cal""")
@@ -169,11 +164,6 @@ def _flagged(r):
     return once(r, "validity").withColumn("flags", flags)
 
 
-@query(_FLAGS + " select flag, count(*) as row_count from fl group by flag")
-def q8_data_quality(spark, sf):
-    return _flagged(rows(spark, sf)).select(F.explode("flags").alias("flag")).groupBy("flag").agg(F.count("*").alias("row_count"))
-
-
 @query(_FLAGS + " select r.row_id, coalesce(string_agg(distinct flag, ', ' order by flag), '') as flag_status from rows r left join fl using (row_id) where validity <> 'VALID' group by r.row_id")
 def flag_status(spark, sf):
     r = _flagged(rows(spark, sf).where("validity <> 'VALID'"))
@@ -797,29 +787,6 @@ def replay_compare(spark, sf):
     return a.join(b, "file_name", "full").select("file_name", (F.col("digest_1").eqNullSafe(F.col("digest_2")) & F.col("rows_1").eqNullSafe(F.col("rows_2"))).alias("identical"))
 
 
-@query(r""" select m.member_id, 'row_count_vs_lines' as check_name, cast(m.row_count as varchar) as expected, cast(count(distinct r.source_line_number) as varchar) as observed,
-  case when m.row_count is null then 'not-comparable' when m.row_count = count(distinct r.source_line_number) then 'match' else 'divergence' end as result
-from members m left join rows r using (member_id) group by m.member_id, m.row_count""")
-def reconciliation(spark, sf):
-    m = table(spark, sf, "members").select("member_id", "row_count")
-    n = rows(spark, sf).groupBy("member_id").agg(F.countDistinct("source_line_number").alias("_n"))
-    j = m.join(n, "member_id", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
-    result = F.when(F.col("row_count").isNull(), "not-comparable").when(F.col("row_count") == F.col("_n"), "match").otherwise("divergence")
-    return j.select("member_id", F.lit("row_count_vs_lines").alias("check_name"), F.col("row_count").cast("string").alias("expected"), F.col("_n").cast("string").alias("observed"), result.alias("result"))
-
-
-@query("""select 'PF-06 distinct names' as check_name, count(*) = count(distinct file_name) as passed from members union all select 'PF-07 sizes known', count(*) filter (size_bytes is null or size_bytes < 0) = 0 from members
-union all select 'PF-10 metrics have members', count(*) filter (m.member_id is null) = 0 from file_metrics f left join members m using (member_id) union all select 'PF-11 no repeated digest', count(*) = count(distinct sha256) from members""", False)
-def preflight(spark, sf):
-    m, x = table(spark, sf, "members"), table(spark, sf, "file_metrics")
-    row = lambda df, name, c: df.agg(c.alias("passed")).select(F.lit(name).alias("check_name"), "passed")
-    orphans = x.select("member_id").join(m.select("member_id"), "member_id", "left_anti")
-    return (
-        row(m, "PF-06 distinct names", F.count("*") == F.countDistinct("file_name")).unionByName(row(m, "PF-07 sizes known", F.count_if(F.col("size_bytes").isNull() | (F.col("size_bytes") < 0)) == 0))
-        .unionByName(row(orphans, "PF-10 metrics have members", F.count("*") == 0)).unionByName(row(m, "PF-11 no repeated digest", F.count("*") == F.countDistinct("sha256")))
-    )
-
-
 @query("""select case when relative_path like 'legacy/%' then 'legacy' when relative_path like 'udiff/%' then 'udiff' else 'unclassified' end as rule, count(*) as artifacts from members group by 1""", False)
 def artifact_rules(spark, sf):
     """Each path falls under exactly one rule; the rules are a fixed list, so the pattern join is a CASE."""
