@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
-from ..session import broadcast_if_small, materialize
+from ..session import materialize
 
 SHARE = 0.25
 #: Bound of the labelled sample the factorisation is seeded with.
@@ -195,7 +195,16 @@ def _lists(values: np.ndarray, owner: np.ndarray, n: int, kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
-def _matrix(words):
+def _labels_of(ids: np.ndarray, labelled: tuple[np.ndarray, np.ndarray]) -> pa.Array:
+    """Label bits of pages, null where a page has none."""
+    known, bits = labelled
+    if not len(known):
+        return pa.nulls(len(ids), pa.int64())
+    at = np.minimum(np.searchsorted(known, ids), len(known) - 1)
+    return pa.array(bits[at], pa.int64(), mask=known[at] != ids)
+
+
+def _matrix(words, labelled):
     """Each page in its language: rows and weights of the document-term matrix, and the row of every word of every sentence (-1 if unknown)."""
 
     def run(batches):
@@ -211,7 +220,7 @@ def _matrix(words):
             at = known.rows(lang[page], term)
             use = at >= 0
             column = lambda name: batch.column(batch.schema.get_field_index(name))
-            arrays = [column("doc_id"), column("labels"), _lists(at[use], page[use], n, pa.int32()), _lists(np.sqrt(counts[use]).astype(np.float32), page[use], n, pa.float32()), column("lengths"), _lists(known.rows(lang[rows], terms), rows, n, pa.int32())]
+            arrays = [column("doc_id"), _labels_of(column("doc_id").to_numpy(), labelled.value), _lists(at[use], page[use], n, pa.int32()), _lists(np.sqrt(counts[use]).astype(np.float32), page[use], n, pa.float32()), column("lengths"), _lists(known.rows(lang[rows], terms), rows, n, pa.int32())]
             yield pa.RecordBatch.from_arrays([a.cast(t) for a, (_, t) in zip(arrays, _MATRIX)], [name for name, _ in _MATRIX])
 
     return run
@@ -391,12 +400,14 @@ def _fitted(documents: DataFrame, subjects: DataFrame, labels: DataFrame, rounds
     bit = F.create_map(*[x for i, s in enumerate(names) for x in (F.lit(s), F.lit(1 << i))]) if names else None
     bits = F.lit(0).cast("bigint") if bit is None else F.coalesce(bit[F.col("subject")], F.lit(0)).cast("bigint")
     known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.bit_or(bits).alias("labels")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELS)
-    articles = materialize(read_articles(documents.select("doc_id", "lang", "raw_body", "http_status", "text")).join(broadcast_if_small(known), "doc_id", "left"))  # two numbers a labelled page, MOST_LABELS of them
+    sample = known.toPandas().sort_values("doc_id")  # two numbers a labelled page, MOST_LABELS of them
+    articles = materialize(read_articles(documents.select("doc_id", "lang", "raw_body", "http_status", "text")))
     words = vocabulary(articles)
     if words is None or not len(words.keys):
         return None
     context = documents.sparkSession.sparkContext
-    matrix = materialize(articles.select("doc_id", "labels", "lengths", "terms").mapInArrow(_matrix(context.broadcast(words)), _MATRIX_SCHEMA))
+    labelled = context.broadcast((sample["doc_id"].to_numpy(np.int64), sample["labels"].to_numpy(np.int64)))
+    matrix = materialize(articles.select("doc_id", "lengths", "terms").mapInArrow(_matrix(context.broadcast(words), labelled), _MATRIX_SCHEMA))
     return matrix, context.broadcast(fit(matrix, words, len(names), rounds)), names
 
 
