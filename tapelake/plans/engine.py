@@ -216,13 +216,6 @@ def overlapping_tickers(spark, sf):
     return isl.overlapping_tickers(isl.ticker_census(rows(spark, sf)))
 
 
-@query(_CENSUS + " select * from c")
-def merge_census(spark, sf):
-    """The census of both halves of the history, merged, is the census of all of it."""
-    r = rows(spark, sf)
-    return isl.merge_census(isl.ticker_census(r.where("year < 2021")), isl.ticker_census(r.where("year >= 2021 or year is null")))
-
-
 _IVAL = f""", v as (select * from rows where identity is not null and ticker is not null and series is not null and series not in {_OV}),
 s as (select *, case when row_number() over w > 1 and ticker = lag(ticker) over w then 0 else 1 end as st from v window w as (partition by identity, series order by trade_date, file_name, source_line_number, row_id)),
 n as (select *, sum(st) over (partition by identity, series order by trade_date, file_name, source_line_number, row_id) as island from s),
@@ -395,20 +388,6 @@ def series_universe(spark, sf):
     )
 
 
-_CLASS = r"case when series is null then 'NONE' when series in ('EQ', 'BE', 'BZ') then 'EQUITY' when series in ('SM', 'ST') then 'SMALL' when regexp_matches(series, '^(GB|GS|TB)') then 'GOVERNMENT' when regexp_matches(series, '^[A-Z][0-9A-Z]$') then 'TWO_LETTER' else 'OTHER' end"
-
-
-@query(f""" select {_CLASS} as class, count(*) as row_count, cast(1000000 * count(*) // sum(count(*)) over () as bigint) as per_million from rows group by 1""")
-def class_rollup(spark, sf):
-    s = F.col("series")
-    cls = (
-        F.when(s.isNull(), "NONE").when(s.isin("EQ", "BE", "BZ"), "EQUITY").when(s.isin("SM", "ST"), "SMALL").when(s.rlike("^(GB|GS|TB)"), "GOVERNMENT")
-        .when(s.rlike(r"^[A-Z][0-9A-Z]\z"), "TWO_LETTER").otherwise("OTHER")
-    )
-    g = rows(spark, sf).groupBy(cls.alias("class")).agg(F.count("*").alias("row_count"))
-    return g.withColumn("per_million", F.floor(F.col("row_count") * 1_000_000 / F.sum("row_count").over(Window.partitionBy(F.lit(1)))).cast("bigint"))  # a few classes
-
-
 @query(""" select file_name, format_family, count(*) as row_count, min(trade_date) as first_date, max(trade_date) as last_date, count(distinct (symbol, series)) as instruments from rows group by file_name, format_family""")
 def file_index(spark, sf):
     return rows(spark, sf).groupBy("file_name", "format_family").agg(F.count("*").alias("row_count"), F.min("trade_date").alias("first_date"), F.max("trade_date").alias("last_date"), F.countDistinct(F.struct("symbol", "series")).alias("instruments"))
@@ -499,13 +478,6 @@ def period_summary(spark, sf):
     )
 
 
-@query(""" select row_id, series, cast(n as int) as n from (select row_id, series, row_number() over (partition by series order by trade_date, member_id, source_line_number, row_id) as n from rows) z where n <= 25""")
-def stratified_sample(spark, sf):
-    """The first 25 rows of every series: a sampling operator. A hot series is cut to 25 rows a member before it meets in one task."""
-    per = rows(spark, sf).withColumn("k", F.row_number().over(Window.partitionBy("series", "member_id").orderBy("source_line_number", "row_id"))).where("k <= 25")
-    return per.withColumn("n", F.row_number().over(Window.partitionBy("series").orderBy("trade_date", "member_id", "source_line_number", "row_id"))).where("n <= 25").select("row_id", "series", "n")
-
-
 @query(""", d as (select trade_date, row_number() over (order by trade_date) as a, row_number() over (order by trade_date desc) as z from (select distinct trade_date from rows) q),
 g as (select series, count(*) filter (a <= 25) as early, count(*) filter (z <= 25) as late from rows join d using (trade_date) where series is not null group by series)
 select *, abs(late - early) as delta from g where early + late > 0""")
@@ -583,14 +555,6 @@ def anomaly_windows(spark, sf):
     return g.join(t, "feed").where("abs(k - at) <= 3").select("feed", "file_name", "trade_date", "invalid", (F.col("k") - F.col("at")).alias("distance"))
 
 
-@query(""" select trade_date, k as key, n from (select trade_date, count(*) filter (validity = 'BLANK') as blank, count(*) filter (validity = 'VALID') as valid, count(*) filter (validity not in ('BLANK', 'VALID')) as invalid from rows group by trade_date) z
-unpivot (n for k in (blank, valid, invalid))""")
-def coverage_histogram(spark, sf):
-    v = F.col("validity")
-    g = once(rows(spark, sf), "validity").groupBy("trade_date").agg(F.count_if(v == "BLANK").alias("blank"), F.count_if(v == "VALID").alias("valid"), F.count_if(~v.isin("BLANK", "VALID")).alias("invalid"))
-    return g.unpivot(["trade_date"], ["blank", "valid", "invalid"], "key", "n")
-
-
 @query("select detected_format, header_width, count(*) as files, count(distinct sha256) as digests from members group by all", False)
 def header_widths(spark, sf):
     return table(spark, sf, "members").groupBy("detected_format", "header_width").agg(F.count("*").alias("files"), F.countDistinct("sha256").alias("digests"))
@@ -761,13 +725,6 @@ def arrivals_state(staged, accepted):
     return staged.join(a, ["file_name", "date"], "left").withColumn("state", state)
 
 
-@query(r""", base as (select * from rows where year < 2024), hit as (select distinct isin_n from rows where year >= 2024 and isin_n <> '') select isin_n, count(*) as row_count, max(trade_date) as last_date from rows where isin_n in (select isin_n from hit) group by isin_n""")
-def affected_identities(spark, sf):
-    """Only identities that new rows touch are computed again."""
-    r = rows(spark, sf).where("isin_n <> ''")
-    return r.join(r.where("year >= 2024").select("isin_n").distinct(), "isin_n", "left_semi").groupBy("isin_n").agg(F.count("*").alias("row_count"), F.max("trade_date").alias("last_date"))
-
-
 @query(r""", b as (select isin_n, max(symbol) as symbol from rows where year < 2022 and isin_n <> '' group by isin_n), o as (select isin_n, max(symbol) as symbol from rows where year >= 2022 and isin_n <> '' group by isin_n)
 select * from o union all select * from b where isin_n not in (select isin_n from o)""")
 def overrides(spark, sf):

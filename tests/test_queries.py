@@ -13,7 +13,7 @@ import __spark_entry__ as entry_module
 
 from .conftest import SMALL
 
-CORE = {k: v for m in ("tapelake.plans.problems", "tapelake.plans.engine", "tapelake.plans.checks") for k, v in __import__(m, fromlist=["x"]).QUERIES.items()}
+CORE = {k: v for m in ("tapelake.plans.problems", "tapelake.plans.engine", "tapelake.plans.checks", "tapelake.plans.evidence") for k, v in __import__(m, fromlist=["x"]).QUERIES.items()}
 
 
 @pytest.fixture(scope="module")
