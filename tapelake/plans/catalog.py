@@ -7,7 +7,6 @@ an error.
 
 from __future__ import annotations
 
-import json
 import os
 import re
 from collections.abc import Callable
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators import calendar as cal
 from ..operators import islands as isl
-from ..operators.package import atomic_json
+from ..operators.package import atomic_json, load_json
 from ..schema import OVERLAY_SERIES
 
 FILTERS = {"series": "series", "segment": "sgmt", "source": "src", "instrument_type": "fininstrmtp", "symbol": "symbol"}
@@ -141,16 +140,34 @@ def archive_inventory(t: Tables) -> DataFrame:
     return t.members.select("member_id", "root", "relative_path", "sha256", "row_count").join(x, "member_id", "left").orderBy("root", "relative_path")
 
 
+# States of a piece of evidence.
+STATES = ("absent", "unreadable", "integrity-mismatch", "not-identity-bound", "not-associated", "associated")
+
+
 def qualification(t: Tables, bindings) -> DataFrame:
-    """Evidence documents with their state against the package: every binding that the document has must agree."""
+    """Evidence documents with `state` and `basis` against the package: every binding that a document has must agree.
+
+    Optional columns of the evidence come first: present (false: absent), readable (false:
+    unreadable), said_sha256 and actual_sha256 (unequal: integrity-mismatch). A document that
+    carries none of the bindings is not identity-bound. `basis` names the bindings that hold or fail.
+    """
     if t.evidence is None:
         raise QueryError("no evidence table")
     if not isinstance(bindings, dict) or not bindings:
         raise QueryError("bindings must name at least one field")
+    has = lambda c: F.col(c) if c in t.evidence.columns else F.lit(None)
     present = [F.col(k).isNotNull() for k in bindings]
-    off = reduce(lambda a, b: a | b, [F.coalesce(F.col(k) != F.lit(v), F.lit(False)) for k, v in bindings.items()])
-    state = F.when(~reduce(lambda a, b: a | b, present), "not-identity-bound").when(off, "not-associated").otherwise("associated")
-    return t.evidence.withColumn("state", state)
+    differs = {k: F.coalesce(F.col(k) != F.lit(v), F.lit(False)) for k, v in bindings.items()}
+    off = reduce(lambda a, b: a | b, differs.values())
+    state = (
+        F.when(~F.coalesce(has("present").cast("boolean"), F.lit(True)), STATES[0]).when(~F.coalesce(has("readable").cast("boolean"), F.lit(True)), STATES[1])
+        .when(F.coalesce(has("said_sha256") != has("actual_sha256"), F.lit(False)), STATES[2]).when(~reduce(lambda a, b: a | b, present), STATES[3])
+        .when(off, STATES[4]).otherwise(STATES[5])
+    )
+    named = lambda which: F.array_join(F.array_sort(F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in which.items()]))), ", ")
+    holds = {k: F.coalesce(F.col(k) == F.lit(v), F.lit(False)) for k, v in bindings.items()}
+    basis = F.when(F.col("state") == STATES[4], F.concat(F.lit("mismatch: "), named(differs))).when(F.col("state") == STATES[5], F.concat(F.lit("holds: "), named(holds))).otherwise(F.col("state"))
+    return t.evidence.withColumn("state", state).withColumn("basis", basis)
 
 
 MODES = {
@@ -165,8 +182,12 @@ MODES = {
     "archive-inventory": Mode(archive_inventory),
     "qualification": Mode(qualification, ("bindings",)),
 }
-# Operations that no catalogue offers.
-UNSUPPORTED = ("adjust-prices", "infer-identity", "repair-rows", "resolve-ambiguity", "write-rows", "arbitrary-sql")
+# Operations that are declared and never offered.
+UNSUPPORTED = (
+    "eligibility_predicate", "etf_register_join", "master_snapshot_dated_association", "delisting_marker", "corporate_action_colocation", "t0_volume_inclusion_rule",
+    "it_series_interpretation", "sf_series_interpretation", "be_rights_vs_t2t_split", "sgb_stk_semantics", "xcont_boundary_continuity_policy", "fininstrm_id_namespace_resolution",
+    "calendar_gap_label", "sme_surveillance_stage_classification", "legacy_era_holiday_label", "undocumented_transition_continuity", "production_ingestion", "authoritative_storage_decision",
+)
 
 
 def check(mode: str, params: dict) -> None:
@@ -207,8 +228,7 @@ class Store:
     def _load(self) -> dict:
         if not os.path.exists(self.path):
             return {"saved": {}, "history": [], "next": 1}
-        with open(self.path, encoding="utf-8") as f:
-            return json.load(f)
+        return load_json(self.path)
 
     def save(self, name: str, mode: str, params: dict) -> None:
         check(mode, params)

@@ -17,9 +17,10 @@ from ..functions.numbers import display_number, strict_decimal, strict_integer
 from ..functions.text import is_blank, norm
 from ..operators import calendar as cal
 from ..operators import islands as isl
+from ..operators import package
 from ..operators.ordering import with_following
 from ..schema import OVERLAY_SERIES
-from ..session import materialize, table
+from ..session import materialize, new_folder, table
 from .views import ROWS, once, rows
 
 QUERIES, SQL = {}, {}
@@ -734,14 +735,17 @@ def overrides(spark, sf):
     return new.unionByName(g("year < 2022").join(new.select("isin_n"), "isin_n", "left_anti"))
 
 
-@query()
+@query(""", g as (select format_family, year, count(*) as a, count(*) filter (loaded_at < timestamp '2024-01-01') as b from rows group by all)
+select case when b = 0 then 'missing' else 'different' end as kind, format_family, cast(year as varchar) as year from g where a <> b""")
 def replay_compare(spark, sf):
-    """Content hash of every file computed twice from different orders: both sides agree."""
-    r = rows(spark, sf)
-    line = F.xxhash64("source_line_number", "symbol", "series", "isin", "tottrdqty", "tottrdval")
-    digest = lambda df, n: df.groupBy("file_name").agg(F.sum(line.cast("decimal(38,0)")).cast("string").alias(f"digest_{n}"), F.count("*").alias(f"rows_{n}"))
-    a, b = digest(r, 1), digest(r.repartition("series"), 2)
-    return a.join(b, "file_name", "full").select("file_name", (F.col("digest_1").eqNullSafe(F.col("digest_2")) & F.col("rows_1").eqNullSafe(F.col("rows_2"))).alias("identical"))
+    """Two packages, of all rows and of those loaded before 2024, written and compared by their content: every partition in which they differ."""
+    r = rows(spark, sf).select("row_id", "format_family", "year", "member_id", "source_line_number", "symbol", "series", "isin", "tottrdqty", "tottrdval", "price_close", "raw_biz_dt", "loaded_at")
+    by, states = ["format_family", "year"], []
+    for df in (r, r.where("loaded_at < timestamp_ntz '2024-01-01'")):
+        path = new_folder(spark)
+        package.write_package(df, path, by)
+        states.append(spark.read.parquet(f"{path}/manifest"))
+    return package.compare(*states, by)
 
 
 @query("""select case when relative_path like 'legacy/%' then 'legacy' when relative_path like 'udiff/%' then 'udiff' else 'unclassified' end as rule, count(*) as artifacts from members group by 1""", False)

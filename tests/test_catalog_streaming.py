@@ -42,7 +42,7 @@ def test_ambiguous_tickers(spark, obs):
 
 def test_parameters(spark):
     t = tables(spark, [("2020-01-01", "S", "EQ", A), ("2024-01-03", "S", "BE", A)])
-    bad = [("date-range", {}), ("date-range", {"date_from": "2020-1-1", "date_to": "2020-01-02"}), ("date-range", {"date_from": "2020-02-30", "date_to": "2020-03-02"}), ("filter", {"filters": {}}), ("filter", {"filters": {"nope": "x"}}), ("filter", {"filters": {"series": 1}}), ("association", {}), ("association", {"symbol": "S"}), ("calendar", {"date_from": "2020-01-01"}), ("record-detail", {"source_file": "f2020-01-01", "source_line_number": 0}), ("record-detail", {"source_file": "nope", "source_line_number": 1}), ("dataset", {"what": 1}), ("nope", {}), ("arbitrary-sql", {})]
+    bad = [("date-range", {}), ("date-range", {"date_from": "2020-1-1", "date_to": "2020-01-02"}), ("date-range", {"date_from": "2020-02-30", "date_to": "2020-03-02"}), ("filter", {"filters": {}}), ("filter", {"filters": {"nope": "x"}}), ("filter", {"filters": {"series": 1}}), ("association", {}), ("association", {"symbol": "S"}), ("calendar", {"date_from": "2020-01-01"}), ("record-detail", {"source_file": "f2020-01-01", "source_line_number": 0}), ("record-detail", {"source_file": "nope", "source_line_number": 1}), ("dataset", {"what": 1}), ("nope", {}), ("production_ingestion", {})]
     for mode, params in bad:
         with pytest.raises(catalog.QueryError):
             catalog.run(t, mode, **params)
@@ -54,6 +54,10 @@ def test_parameters(spark):
     assert catalog.run(t, "date-range", **catalog.latest_years(t, 1)).count() == 1
     t.evidence = spark.createDataFrame([("r1", "x"), ("r2", "x"), (None, "x"), (None, None)], "run string, sha string")
     assert [r.state for r in catalog.run(t, "qualification", bindings={"run": "r1", "sha": "x"}).collect()] == ["associated", "not-associated", "associated", "not-identity-bound"]
+    s = "run string, sha string, present boolean, readable boolean, said_sha256 string, actual_sha256 string"
+    t.evidence = spark.createDataFrame([("r1", "x", False, None, None, None), ("r1", "x", True, False, None, None), ("r1", "x", None, None, "a", "b"), (None, None, True, True, "a", "a"), ("r1", "y", True, True, None, None), ("r1", None, True, True, None, "a")], s)
+    got = [(r.state, r.basis) for r in catalog.run(t, "qualification", bindings={"run": "r1", "sha": "x"}).collect()]
+    assert [x for x, _ in got] == list(catalog.STATES) and got[4][1] == "mismatch: sha" and got[5][1] == "holds: run" and len(catalog.UNSUPPORTED) == 18
 
 
 def test_store(spark, tmp_path):

@@ -5,9 +5,10 @@ import zipfile
 
 import pytest
 
+from tapelake import files
 from tapelake.operators import increment, package
 from tapelake.schema import LEGACY, UDIFF
-from tapelake.sources import archive
+from tapelake.sources import archive, scans
 
 OLD = ",".join(n for n, _ in LEGACY)
 NEW = ",".join(n for n, _ in UDIFF)
@@ -90,10 +91,105 @@ def test_refresh_equals_full(spark):
 
 def test_generations(spark, tmp_path):
     root = str(tmp_path)
-    assert increment.current(root) is None
+    assert increment.current(spark, root) is None
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, fam string")
     assert increment.publish(df, root, ["fam"]) == 1
     old = increment.snapshot(spark, root)
     assert increment.publish(df.unionByName(df), root, ["fam"]) == 2
     assert (old.count(), increment.snapshot(spark, root).count(), increment.snapshot(spark, root, 1).count()) == (2, 4, 2)
     assert json.load(open(f"{root}/{increment.POINTER}")) == {"generation": 2}
+
+
+def test_replay_gates(spark, tmp_path):
+    df = spark.createDataFrame([(k, "ab"[k % 2], f"t{k}") for k in range(40)], "id int, fam string, text string")
+    a, b, c, d = (str(tmp_path / x) for x in "abcd")
+    package.write_package(df, a, ["fam"], "run 1", "r5")
+    package.write_package(df.orderBy("text", ascending=False), b, ["fam"], "run 2", "r5")
+    package.write_package(df.where("id <> 7").unionByName(df.where("id = 9").withColumn("fam", package.F.lit("b"))), c, ["fam"], "run 3", "r5")
+    results = lambda x, y: {r.gate: r.result for r in package.qualify_replay(spark, x, y).collect()}
+    assert set(results(a, b).values()) == {"pass"} and len(results(a, b)) == 13
+    assert {g for g, r in results(a, c).items() if r != "pass"} == {"RQ-13"}
+    assert {g for g, r in results(a, a).items() if r != "pass"} == {"RQ-11", "RQ-13"}
+    assert results(a, d)["RQ-02"] == "fail" and results(a, d)["RQ-13"] == "not-run"
+    assert package.open_partition(spark, a, fam="a").count() == 20
+    df.where("id = 1").drop("fam").write.mode("append").parquet(f"{b}/rows/fam=a")
+    assert results(a, b)["RQ-02"] == "fail" and package.open_partition(spark, b, fam="b").count() == 20
+    with pytest.raises(ValueError):
+        package.open_partition(spark, b, fam="a")
+    files.write_text(spark, f"{a}/{package.MARKER}", "{}")
+    with pytest.raises(ValueError):
+        package.open_package(spark, a)
+
+
+def test_drafts_and_derived(spark, tmp_path):
+    root = str(tmp_path / "store")
+    df = spark.createDataFrame([(k, "ab"[k % 2]) for k in range(10)], "id int, fam string")
+    first = increment.create_draft(df, root, ["fam"])
+    assert first == increment.create_draft(df.orderBy("id"), root, ["fam"]) and increment.current(spark, root) is None
+    assert increment.publish_draft(spark, root, first) == 1 and increment.snapshot(spark, root).count() == 10
+    with pytest.raises(ValueError):
+        increment.publish_draft(spark, root, first)  # the pointer has moved
+    more = spark.createDataFrame([(100 + k, "c") for k in range(5)], "id int, fam string")
+    draft = increment.create_draft(more, root, ["fam"])
+    for bound in ({"most_rows": 4}, {"most_bytes": 10}):
+        with pytest.raises(ValueError):
+            increment.publish_draft(spark, root, draft, **bound)
+    assert increment.publish_draft(spark, root, draft) == 2 and increment.snapshot(spark, root).count() == 15 and increment.snapshot(spark, root, 1).count() == 10
+    said = increment.publish_derived(spark, str(tmp_path / "derived"), {"calendar": (df, ["fam"]), "unresolved": (more, ["fam"])})
+    assert said == files.read_document(spark, f"{tmp_path}/derived/{package.MARKER}")["tables"] and said["unresolved"]["row_count"] == 5
+
+
+def test_refresh_of_linked_keys(spark):
+    s = "identity string, series string, ticker string"
+    base = spark.createDataFrame([("A", "EQ", "T"), ("B", "EQ", "U"), ("C", "EQ", "V")], s)
+    delta = spark.createDataFrame([("B", "EQ", "T"), ("C", "EQ", "V")], s)
+    linked = increment.sharing(base, delta, "identity", ["ticker", "series"])
+    assert [r.identity for r in linked.collect()] == ["A"]
+    compute = lambda df: df.groupBy("identity").count()
+    old = spark.createDataFrame([("A", 99), ("B", 99), ("C", 99), ("D", 5)], "identity string, count bigint")
+    got = {r.identity: r["count"] for r in increment.refresh(base, delta, old, ["identity"], compute, linked).collect()}
+    assert got == {"A": 1, "B": 2, "C": 2, "D": 5}
+
+
+def test_what_may_be_staged(spark):
+    reports = spark.createDataFrame([("a", None), ("b", "empty_member"), ("c", None), ("d", None), ("e", None)], "relative_path string, failure string")
+    expected = spark.createDataFrame([("a", "2020-01-01"), ("a", "2020-01-01"), ("b", "2020-01-01"), ("d", "2020-01-01"), ("d", "2020-01-02"), ("e", "2020-01-03"), ("c", None)], "relative_path string, file_date string")
+    got = {r.relative_path: r.refusal for r in increment.stageable(reports, expected, spark.createDataFrame([("e",)], "relative_path string")).collect()}
+    assert got == {"a": None, "b": "unreadable", "c": "undated", "d": "several_dates", "e": "quarantined"}
+
+
+def test_scans_are_strict(spark, tmp_path):
+    def file(name, *lines):
+        (tmp_path / name).write_text("".join(x + "\n" for x in lines))
+        return str(tmp_path / name)
+
+    day = lambda d, n=1, extra="": f'{{"trade_date":"{d}","n":{n}{extra}}}'
+    schema = "trade_date date, n int"
+    good = file("good.jsonl", day("2020-01-01"), "", day("2020-01-02", "null"))
+    assert [r.n for r in scans.read_jsonl(spark, good, schema, "trade_date", ["trade_date"]).collect()] == [1, None]
+    for name, lines, options in (
+        ("keys", [day("2020-01-01", 1, ',"x":1')], {}), ("less", ['{"n":1}'], {}), ("broken", ["{"], {}), ("type", [day("2020-01-01", '"a"')], {}), ("date", [day("2020-13-01")], {}),
+        ("order", [day("2020-01-02"), day("2020-01-01")], {"ascending": "trade_date"}), ("same", [day("2020-01-01"), day("2020-01-01")], {"ascending": "trade_date"}),
+        ("twice", [day("2020-01-01"), day("2020-01-01")], {"unique": ["n", "trade_date"]}),
+    ):
+        with pytest.raises(scans.ScanError):
+            scans.read_jsonl(spark, file(name, *lines), schema, **options)
+    assert scans.read_jsonl(spark, str(tmp_path / "none"), schema, missing_ok=True).count() == 0
+    import hashlib
+
+    digest = hashlib.sha256((tmp_path / "good.jsonl").read_bytes()).hexdigest()
+    assert scans.pinned(spark, good, digest, 2) == good
+    for bad in (("0" * 64, None), (digest, 3)):
+        with pytest.raises(scans.ScanError):
+            scans.pinned(spark, good, *bad)
+    table = file("m.csv", "file,rows", "a,1", "b,2")
+    assert scans.read_csv(spark, table, "file string, rows int").agg({"rows": "sum"}).first()[0] == 3
+    with pytest.raises(scans.ScanError):
+        scans.read_csv(spark, table, "rows int, file string")
+    labels = file("l.json", '{"per_missing_day":[{"missing_date":"2020-01-26","label":"x","circular":"REG/1"},{"missing_date":"2020-03-01","label":"y","circular":null}],"holidays_with_file":[{"holiday_per_circular":"2020-10-21","bhav_file":"f","note":""}]}')
+    missing, holidays = scans.read_labels(spark, labels)
+    assert [(str(r.missing_date), r.registry_id) for r in missing.collect()] == [("2020-01-26", "REG/1"), ("2020-03-01", None)] and str(holidays.first().holiday) == "2020-10-21"
+    classes = file("c.csv", "series,provisional_class,classification_basis", "EQ,EQUITY,legend")
+    assert scans.read_series_classes(spark, classes).first()["class"] == "EQUITY"
+    with pytest.raises(scans.ScanError):
+        scans.read_series_classes(spark, table)
