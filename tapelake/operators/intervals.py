@@ -4,7 +4,9 @@ Every interval of whole days is cut into canonical dyadic blocks (level l, start
 2^l), at most two a level. Equal blocks of a key collapse before the shuffle, which leaves at most
 twice as many blocks as the calendar has days, however many rows a hot key has. Blocks inside an
 ancestor are removed, sibling pairs are merged upward, and adjacent blocks coalesce into periods;
-gaps lie between successive periods. All of it is window functions over one sort by (key, start).
+gaps lie between successive periods. All of it is window functions over one sort by (key, start):
+blocks that no ancestor covers are disjoint, so the start alone orders them and stays as it is
+while siblings merge.
 
 Nulls: rows without key or first day, with bounds in wrong order or with a last day that is no
 ISO date are left out; a null last day means the open end. Empty input gives an empty result.
@@ -21,8 +23,8 @@ from ..functions.text import norm
 
 #: Days from 0000-01-01 to 1970-01-01: with it, every date of the years 1..9999 is not negative.
 ORIGIN = 719_528
-#: Sibling pairs are merged up to blocks of 2^MERGE_LEVELS days; larger runs coalesce as neighbours.
-MERGE_LEVELS = 8
+#: Levels of sibling merging: 2^14 days are 44 years. A run that is longer still is more than one block then, and its blocks coalesce as neighbours, so no result depends on the number.
+MERGE_LEVELS = 14
 
 
 def dyadic_blocks(df: DataFrame, lo: str, hi: str) -> DataFrame:
@@ -53,6 +55,7 @@ def periods(intervals: DataFrame, merge_levels: int = MERGE_LEVELS) -> DataFrame
     blocks = dyadic_blocks(intervals, "lo", "hi").select("key", "level", "start").distinct()
     reach = F.max(F.col("start") + _size(F.col("level"))).over(w.rowsBetween(Window.unboundedPreceding, -1))
     free = blocks.withColumn("reach", reach).where("reach is null or reach < start + shiftleft(1L, level)").drop("reach")
+    w = Window.partitionBy("key").orderBy("start")
     for level in range(merge_levels):
         size = 1 << level
         is_here = F.col("level") == level
@@ -68,7 +71,6 @@ def periods(intervals: DataFrame, merge_levels: int = MERGE_LEVELS) -> DataFrame
             "key", (F.col("level") + F.coalesce(grows, F.lit(False)).cast("int")).alias("level"), "start"
         )
     end = F.col("start") + _size(F.col("level"))
-    w = Window.partitionBy("key").orderBy("start")
     islands = free.select("key", "start", end.alias("end"), F.lag(end).over(w).alias("before"))
     islands = islands.withColumn("island", F.sum(F.when(F.col("before") == F.col("start"), 0).otherwise(1)).over(w))
     return islands.groupBy("key", "island").agg(F.min("start").alias("lo"), (F.max("end") - 1).alias("hi")).drop("island")

@@ -125,9 +125,13 @@ def column_profile(rows: DataFrame) -> DataFrame:
     # A cell a row: one short aggregation instead of a dozen expressions a column, which take minutes to compile.
     cells = latest(rows).select("member_id", F.explode(F.array(*map(cell, rows.columns))).alias("c")).select("member_id", "c.*")
     t = F.col("text")
-    day = F.coalesce("given", F.when(whole(t, iso_pattern()), t.try_cast("date")).when(whole(t, stamp_pattern()), F.try_to_date(F.initcap(strip(t)), "dd-MMM-yyyy")))
-    code = F.when(whole(t, "(?i:IN[A-Z0-9]{9}[0-9])"), luhn_is_valid(norm(t)))
-    cells = cells.select("member_id", "field_name", "text", is_blank(t).alias("blank"), F.when(whole(t, DECIMAL_TEXT), t.try_cast("decimal(38,10)")).alias("number"), day.alias("date"), code.alias("code"))
+    # Plain tests go first, so that a cell meets only the patterns that it could match.
+    is_empty = F.when(F.ascii(t) > 32, False).otherwise(is_blank(t))
+    hyphens, long = F.instr(t, "-") > 1, F.length(t) >= 12
+    day = F.coalesce("given", F.when(hyphens & whole(t, iso_pattern()), t.try_cast("date")).when(hyphens & whole(t, stamp_pattern()), F.try_to_date(F.initcap(strip(t)), "dd-MMM-yyyy")))
+    code = F.when(long & whole(t, "(?i:IN[A-Z0-9]{9}[0-9])"), luhn_is_valid(norm(t)))
+    number = F.when(F.col("given").isNull() & whole(t, DECIMAL_TEXT), t.try_cast("decimal(38,10)"))
+    cells = cells.select("member_id", "field_name", "text", is_empty.alias("blank"), number.alias("number"), day.alias("date"), code.alias("code"))
     other = F.when(~F.col("blank") & F.col("number").isNull() & F.col("date").isNull(), t)
     ends = [f(v).alias(f"{end}_{what}") for what, v in (("number", F.col("number")), ("date", F.col("date")), ("text", other)) for end, f in (("least", F.min), ("greatest", F.max))]
     out = cells.groupBy("member_id", "field_name").agg(
