@@ -22,7 +22,7 @@ columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import iso_day
@@ -142,6 +142,52 @@ def ticker_history(tickers: DataFrame, open_end: str = OPEN_END) -> DataFrame:
     return history_view(sats, GROUPS).select(F.col("key").alias("identity"), "ticker", "series", day("date_from"), day("date_to"))
 
 
+class SatelliteStore:
+    """Satellites kept in a folder and only ever added to: a load appends the rows that its keys gain, change or lose.
+
+    Later loads may overrule earlier days, so a row is named by (key, satellite, valid_from), the
+    one of the latest load holds, and a row that is no longer true is closed by one marked `gone`.
+    Keys that a load does not touch are neither read nor written.
+    """
+
+    _ROW = "key string, satellite string, valid_from int, covered_before int, hash bigint, `values` map<string,string>, gone boolean"
+
+    def __init__(self, spark: SparkSession, path: str, groups: dict[str, list[str]] | None = None):
+        self.spark, self.path, self.groups = spark, path, groups or GROUPS
+
+    def rows(self, keys: DataFrame | None = None) -> DataFrame:
+        """The satellite rows that hold now, of all keys or of those in `keys` (key)."""
+        stored = self.spark.read.schema(f"{self._ROW}, load int").parquet(f"{self.path}/satellites")
+        if keys is not None:
+            stored = stored.join(keys, "key", "left_semi")
+        latest = stored.groupBy("key", "satellite", "valid_from").agg(F.max_by(F.struct("covered_before", "hash", "values", "gone"), "load").alias("x"))
+        return latest.where("not x.gone").select("key", "satellite", "valid_from", "x.covered_before", "x.hash", "x.values")
+
+    def add(self, obs: DataFrame, touched: DataFrame, load: int) -> None:
+        """Append load number `load` (from 1). `obs` are all `observations` so far, `touched` (key) the keys that the load brought; a load repeated before any later one is written over."""
+        keys = touched.where("key is not null").select("key").distinct()
+        attrs = [a for cols in self.groups.values() for a in cols]
+        new = satellites(resolve_spans(obs.join(keys, "key", "left_semi"), attrs), self.groups)
+        shape = lambda df, n: df.select(*[F.col(c).alias(f"{n}_{c}") for c in ("key", "satellite", "valid_from")], F.struct("covered_before", "hash", "values").alias(n))
+        if load == 1:
+            changed = new.withColumn("gone", F.lit(False))
+        else:
+            a, b = shape(new, "a"), shape(self.rows(keys), "b")
+            same = (F.col("a_key") == F.col("b_key")) & (F.col("a_satellite") == F.col("b_satellite")) & (F.col("a_valid_from") == F.col("b_valid_from"))
+            j = a.join(b, same, "full")
+            other = F.col("a").isNull() | F.col("b").isNull() | ~F.col("a.hash").eqNullSafe(F.col("b.hash")) | ~F.col("a.covered_before").eqNullSafe(F.col("b.covered_before"))
+            kept = F.coalesce("a", "b")
+            changed = j.where(other).select(
+                *[F.coalesce(f"a_{c}", f"b_{c}").alias(c) for c in ("key", "satellite", "valid_from")], kept["covered_before"].alias("covered_before"), kept["hash"].alias("hash"), kept["values"].alias("values"),
+                F.col("a").isNull().alias("gone"),
+            )
+        changed.write.mode("overwrite").parquet(f"{self.path}/satellites/load={load}")
+
+    def view(self) -> DataFrame:
+        """`history_view` of what is stored."""
+        return history_view(self.rows(), self.groups)
+
+
 def append_snapshot(current: DataFrame, snapshot: DataFrame, keys: list[str], attrs: list[str], as_of: str) -> DataFrame:
     """The satellite rows that one periodic snapshot adds: (keys, attrs, valid_from, hash).
 

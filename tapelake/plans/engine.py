@@ -389,11 +389,6 @@ def series_universe(spark, sf):
     )
 
 
-@query(""" select file_name, format_family, count(*) as row_count, min(trade_date) as first_date, max(trade_date) as last_date, count(distinct (symbol, series)) as instruments from rows group by file_name, format_family""")
-def file_index(spark, sf):
-    return rows(spark, sf).groupBy("file_name", "format_family").agg(F.count("*").alias("row_count"), F.min("trade_date").alias("first_date"), F.max("trade_date").alias("last_date"), F.countDistinct(F.struct("symbol", "series")).alias("instruments"))
-
-
 @query(""" select sgmt, src, fininstrmtp, series, cast(grouping(sgmt, src, fininstrmtp, series) as int) as level, count(distinct file_name) as files, count(*) as row_count, count(distinct case when isin_n <> '' then isin_n end) as distinct_isin,
   count(*) filter (isin_n = '') as blank_isin, min(trade_date) as first_date, max(trade_date) as last_date
 from rows where format_family = 'udiff34' group by grouping sets ((sgmt, src, fininstrmtp, series), (sgmt), (src), (fininstrmtp), (series))""")
@@ -672,16 +667,6 @@ def series_map_sums(spark, sf):
     return maps.join(table(spark, sf, "members").select("member_id", "row_count"), "member_id").select("member_id", total.alias("series_total"), total.eqNullSafe(F.col("row_count")).alias("sums_up"))
 
 
-@query("""select root, count(*) filter (distinct_valid_isin <> valid_isin_rows) as discriminating, count(*) filter (valid_isin_rows + blank_isin_rows + invalid_isin_rows = row_count) as closing,
-  case when count(*) filter (valid_isin_rows + blank_isin_rows + invalid_isin_rows <> row_count) = 0 then 'consistent' else 'inconsistent' end as verdict from file_metrics group by root""", False)
-def metric_verdict(spark, sf):
-    total = F.col("valid_isin_rows") + F.col("blank_isin_rows") + F.col("invalid_isin_rows")
-    return table(spark, sf, "file_metrics").groupBy("root").agg(
-        F.count_if(F.col("distinct_valid_isin") != F.col("valid_isin_rows")).alias("discriminating"), F.count_if(total == F.col("row_count")).alias("closing"),
-        F.when(F.count_if(total != F.col("row_count")) == 0, "consistent").otherwise("inconsistent").alias("verdict"),
-    )
-
-
 @query(r""", x as (select m.member_id, m.header_width, m.file_name, count(*) filter (r.series = 'BL') as bl, count(*) as n, count(distinct r.isin_n) as isins from members m join rows r using (member_id) group by all)
 select member_id, header_width, bl, header_width = 13 as short_header, regexp_matches(file_name, '(?i)31(dec|jan)') as year_end, bl > 0 and n = isins as overlay_without_repeats from x where header_width = 13 or regexp_matches(file_name, '(?i)31(dec|jan)') or (bl > 0 and n = isins)""")
 def inventory_anomalies(spark, sf):
@@ -748,13 +733,6 @@ def replay_compare(spark, sf):
     return package.compare(*states, by)
 
 
-@query("""select case when relative_path like 'legacy/%' then 'legacy' when relative_path like 'udiff/%' then 'udiff' else 'unclassified' end as rule, count(*) as artifacts from members group by 1""", False)
-def artifact_rules(spark, sf):
-    """Each path falls under exactly one rule; the rules are a fixed list, so the pattern join is a CASE."""
-    p = F.col("relative_path")
-    return table(spark, sf, "members").groupBy(F.when(p.startswith("legacy/"), "legacy").when(p.startswith("udiff/"), "udiff").otherwise("unclassified").alias("rule")).agg(F.count("*").alias("artifacts"))
-
-
 @query(r"""select feed, upper(regexp_replace(sctysrs, '^\s+|\s+$', '', 'g')) as series, count(*) as groups, cast(sum(row_count) as bigint) as row_count, count(*) filter (first_date > last_date) as reversed from ud_census_groups group by all""", False)
 def published_census(spark, sf):
     return table(spark, sf, "ud_census_groups").groupBy("feed", norm(F.col("sctysrs")).alias("series")).agg(F.count("*").alias("groups"), F.sum("row_count").alias("row_count"), F.count_if(F.col("first_date") > F.col("last_date")).alias("reversed"))

@@ -392,6 +392,92 @@ def named_lookup(spark, sf):
     return table(spark, sf, "staged_candidates").select("entry_id", "file_name").join(m, "file_name", "left").select("entry_id", "member_id", "detected_format")
 
 
+_INDEX = """, ix as (select file_name, format_family, count(*) as row_count, min(trade_date) as first_date, max(trade_date) as last_date, count(distinct (symbol, series)) as instruments,
+  count(*) filter (validity = 'LEN') as invalid_length, count(*) filter (validity = 'CHECKDIGIT') as invalid_checkdigit from rows group by file_name, format_family)"""
+
+
+def _index(r):
+    r = once(r, "validity")
+    return r.groupBy("file_name", "format_family").agg(
+        F.count("*").alias("row_count"), F.min("trade_date").alias("first_date"), F.max("trade_date").alias("last_date"), F.countDistinct(F.struct("symbol", "series")).alias("instruments"),
+        F.count_if(F.col("validity") == "LEN").alias("invalid_length"), F.count_if(F.col("validity") == "CHECKDIGIT").alias("invalid_checkdigit"),
+    )
+
+
+@query(_INDEX + " select * from ix")
+def file_index(spark, sf):
+    """Rows, days, instruments and flags of every file."""
+    return _index(rows(spark, sf))
+
+
+@query(_INDEX + """ select format_family, count(*) as files, cast(sum(row_count) as bigint) as row_count, min(first_date) as first_date, max(last_date) as last_date,
+  count(*) filter (year(first_date) >= 2024) as added_files, cast(coalesce(sum(row_count) filter (year(first_date) >= 2024), 0) as bigint) as added_rows from ix group by format_family""")
+def index_overlay(spark, sf):
+    """The index of the base and that of later files composed, and what the later ones brought (their difference)."""
+    r = rows(spark, sf)
+    late = F.coalesce(F.col("year") >= 2024, F.lit(False))
+    side = lambda df, new: _index(df).withColumn("new", F.lit(new))
+    both = side(r.where(~late), False).unionByName(side(r.where(late), True))
+    return both.groupBy("format_family").agg(
+        F.count("*").alias("files"), F.sum("row_count").alias("row_count"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"),
+        F.count_if("new").alias("added_files"), F.coalesce(F.sum(F.when(F.col("new"), F.col("row_count"))), F.lit(0)).alias("added_rows"),
+    )
+
+
+@query("""select case when grouping(root) = 0 then root end as root, grouping(root) = 1 as total, count(*) as files, cast(sum(row_count) as bigint) as row_count,
+  count(*) filter (distinct_valid_isin <> valid_isin_rows) as discriminating, count(*) filter (valid_isin_rows + blank_isin_rows + invalid_isin_rows = row_count) as closing,
+  case when count(*) filter (valid_isin_rows + blank_isin_rows + invalid_isin_rows <> row_count) = 0 then 'consistent' else 'inconsistent' end as verdict
+from file_metrics group by grouping sets ((root), ())""", False)
+def metric_verdict(spark, sf):
+    """The published figures folded by root and in all, with the verdict on their definition."""
+    total = F.col("valid_isin_rows") + F.col("blank_isin_rows") + F.col("invalid_isin_rows")
+    g = table(spark, sf, "file_metrics").groupingSets([["root"], []], "root").agg(
+        F.grouping("root").alias("_g"), F.count("*").alias("files"), F.sum("row_count").alias("row_count"), F.count_if(F.col("distinct_valid_isin") != F.col("valid_isin_rows")).alias("discriminating"),
+        F.count_if(total == F.col("row_count")).alias("closing"), F.when(F.count_if(total != F.col("row_count")) == 0, "consistent").otherwise("inconsistent").alias("verdict"),
+    )
+    return g.withColumn("total", F.col("_g") == 1).drop("_g")
+
+
+# Pattern of a path, and the class of artifacts it makes.
+ARTIFACT_RULES = ((r"^legacy/\d{4}/", "legacy"), (r"^udiff/\d{4}/", "udiff"), (r"\.json\z", "document"), (r"\.parquet\z", "table"))
+
+
+@query(r"""with r as (select unnest(['legacy', 'udiff', 'document', 'table']) as class, unnest(['^legacy/\d{4}/', '^udiff/\d{4}/', '\.json$', '\.parquet$']) as pattern),
+h as (select relative_path, count(r.class) as hits, min(r.class) as class from members left join r on regexp_matches(relative_path, pattern) group by member_id, relative_path)
+select case when hits = 1 then class when hits = 0 then 'none' else 'several' end as rule, count(*) as artifacts, bool_and(hits = 1) as exactly_one from h group by 1""", False)
+def artifact_rules(spark, sf):
+    """How many paths fall under each rule, and those under none or several. The rules are a fixed list, so the pattern join is an array a row."""
+    p = F.col("relative_path")
+    hits = F.array_compact(F.array(*[F.when(p.rlike(pattern), F.lit(name)) for pattern, name in ARTIFACT_RULES]))
+    rule = F.when(F.size(hits) == 1, hits[0]).when(F.size(hits) == 0, "none").otherwise("several")
+    return table(spark, sf, "members").select(rule.alias("rule")).groupBy("rule").agg(F.count("*").alias("artifacts"), F.every(~F.col("rule").isin("none", "several")).alias("exactly_one"))
+
+
+@query("select member_id, root, relative_path, row_number() over (order by root, relative_path, member_id) as sequence from members where root is not null and relative_path is not null", False)
+def archive_sequence(spark, sf):
+    """The archives numbered by root and path: among those whose paths begin alike, plus the files whose beginnings come before."""
+    m = table(spark, sf, "members").where("root is not null and relative_path is not null").select("member_id", "root", "relative_path")
+    m = m.withColumn("_folder", F.substring("relative_path", 1, 12))  # a prefix sorts as its paths do
+    folders = m.groupBy("root", "_folder").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("root", "_folder").rowsBetween(Window.unboundedPreceding, -1)  # a row a prefix
+    folders = folders.select("root", "_folder", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("root", "_folder").orderBy("relative_path", "member_id"))
+    return m.withColumn("_at", within).join(folders, ["root", "_folder"]).select("member_id", "root", "relative_path", (F.col("_before") + F.col("_at")).alias("sequence"))
+
+
+@query(r"""with a as (select entry_id, record->>'root' as root, record->>'relative_path' as relative_path, regexp_replace(lower(trim(digest)), '^sha256:\s*', '') as d from accepted where json_valid(record))
+select a.entry_id, case when m.member_id is null then 'not-in-inventory' when a.d = m.sha256 then 'digest-agrees' else 'digest-differs' end as state
+from a left join members m on m.root = a.root and m.relative_path = a.relative_path""", False)
+def inventory_match(spark, sf):
+    """Accepted files against the inventory by root and path, with equality of digests."""
+    get = lambda k: F.get_json_object("record", f"$.{k}")
+    a = table(spark, sf, "accepted").where(F.get_json_object("record", "$").isNotNull())
+    a = a.select("entry_id", get("root").alias("root"), get("relative_path").alias("relative_path"), F.regexp_replace(F.lower(F.trim("digest")), r"^sha256:\s*", "").alias("_d"))
+    m = table(spark, sf, "members").select("root", "relative_path", "member_id", "sha256")
+    state = F.when(F.col("member_id").isNull(), "not-in-inventory").when(F.col("_d") == F.col("sha256"), "digest-agrees").otherwise("digest-differs")
+    return a.join(m, ["root", "relative_path"], "left").select("entry_id", state.alias("state"))
+
+
 # ---- quick views
 
 

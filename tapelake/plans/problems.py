@@ -43,7 +43,17 @@ def p1_found(spark, sf):
     return history.ticker_history(table(spark, sf, "tickers"))
 
 
-@query()
+@query(rf"""
+with o as (
+  select {_N.format("identity")} as identity, {_N.format("ticker")} as ticker, {_N.format("series")} as series,
+         cast(date_from as date) as f, cast(coalesce(date_to, '2026-09-18') as date) as t, loaded_at, obs_id
+  from tickers where identity is not null and ticker is not null and series is not null and date_from is not null),
+d as (
+  select identity, d, arg_max(ticker, (loaded_at, obs_id)) as ticker, arg_max(series, (loaded_at, obs_id)) as series
+  from (select *, unnest(generate_series(cast(f as timestamp), cast(t as timestamp), interval 1 day)) as d from o where f <= t) x group by identity, d),
+v as (select identity, d, unnest(['ticker', 'series']) as satellite, unnest([ticker, series]) as value from d),
+l as (select *, value is distinct from lag(value) over (partition by identity, satellite order by d) as starts from v)
+select identity, satellite, count(*) as versions, cast(max(d) as date) as latest_from from l where starts group by identity, satellite""")
 def p1_satellites(spark, sf):
     """Rows of every insert-only satellite by identity, and when the latest was appended."""
     sats = history.satellites(history.resolve_spans(history.observations(table(spark, sf, "tickers")), ["ticker", "series"]), history.GROUPS)

@@ -114,3 +114,30 @@ def test_dyadic_blocks_are_canonical(spark):
             assert d not in days.setdefault(r.i, set())
             days[r.i].add(d)
     assert days == {0: {0}, 1: set(range(3, 10)), 2: set(range(5, 1001)), 3: set(range(64, 128))}
+
+
+def test_loads_only_append(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(11)
+    s = "identity string, ticker string, series string, date_from string, date_to string, loaded_at timestamp, obs_id bigint"
+    rows = []
+    for k in range(240):
+        a = dt.date(2020, 1, 1) + dt.timedelta(rnd.randrange(200))
+        at = dt.datetime(2021, 1, 1) + dt.timedelta(k)
+        rows.append((rnd.choice("abcdef"), rnd.choice("TUV"), rnd.choice(["EQ", "BE"]), str(a), str(a + dt.timedelta(rnd.randrange(30))), at, k))
+    first, second = rows[:200], [r for r in rows[200:] if r[0] in "ab"]
+    store = history.SatelliteStore(spark, str(tmp_path / "store"))
+    frame = lambda x: spark.createDataFrame(x, s)
+    keys = lambda x: spark.createDataFrame([(r[0].upper(),) for r in x], "key string")
+    so_far = frame(first + second)
+    store.add(history.observations(frame(first)), keys(first), 1)
+    store.add(history.observations(so_far), keys(second), 2)
+    added = spark.read.parquet(f"{store.path}/satellites/load=2")
+    assert {r.key for r in added.select("key").distinct().collect()} <= {"A", "B"} and 0 < added.count() < store.rows().count()
+    day = lambda c: F.date_from_unix_date(c).cast("string").alias(c)
+    got = store.view().select(F.col("key").alias("identity"), "ticker", "series", day("date_from"), day("date_to"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, history.ticker_history(so_far).collect()))
+    # The same observations again add nothing.
+    store.add(history.observations(so_far), keys(second), 3)
+    assert spark.read.parquet(f"{store.path}/satellites/load=3").count() == 0
