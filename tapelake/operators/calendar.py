@@ -37,7 +37,8 @@ def calendar(files: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
         F.when(F.col("holiday").isNotNull(), "official-holiday").when(present, "not-applicable").when(~missing, "weekend")
         .when(F.col("last_legacy").isNull() | (F.col("trade_date") <= F.col("last_legacy")), "not-retrieved").otherwise("unexplained")
     )
-    return days.select("trade_date", weekday_name(F.col("trade_date")).alias("weekday"), present.alias("file_present"), "formats", F.coalesce("members", F.lit(0)).alias("members"), missing.alias("missing_weekday"), label.alias("label"))
+    return days.select("trade_date", weekday_name(F.col("trade_date")).alias("weekday"), present.alias("file_present"), "formats", F.coalesce("members", F.lit(0)).alias("members"),
+        missing.alias("missing_weekday"), label.alias("label"))
 
 
 def arithmetic_closes(cal: DataFrame) -> DataFrame:

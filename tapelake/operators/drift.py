@@ -103,7 +103,8 @@ def headers(files: DataFrame) -> DataFrame:
 
 def known_names(field_names: DataFrame) -> dict[str, str]:
     """Canonical field of every known name (clean). The list of names is a fixed dictionary, not data."""
-    rows = field_names.select(clean_name(F.col("field_name")).alias("n"), "canonical_field").where("n is not null and canonical_field is not null").groupBy("n").agg(F.min("canonical_field").alias("c")).collect()
+    rows = field_names.select(clean_name(F.col("field_name")).alias("n"),
+        "canonical_field").where("n is not null and canonical_field is not null").groupBy("n").agg(F.min("canonical_field").alias("c")).collect()
     return {r["n"]: r["c"] for r in rows}
 
 
@@ -144,14 +145,16 @@ def change_log(files: DataFrame, field_names: DataFrame, heads: DataFrame | None
     # Values are compared only for names that the dictionary leaves open. Each body that is asked for is read once, and only values of the asked columns go on.
     ask = step.where(F.size("unclear") > 0).select("file_id", "prev_id", F.col("unclear").alias("u"))
     places = lambda side: F.transform("u", lambda p: p[side]["pos"])
-    sides = F.array(F.struct(F.col("file_id").alias("id"), F.lit(True).alias("is_new"), places("new_col").alias("at")), F.struct(F.col("prev_id").alias("id"), F.lit(False).alias("is_new"), places("old_col").alias("at")))
+    sides = F.array(F.struct(F.col("file_id").alias("id"), F.lit(True).alias("is_new"), places("new_col").alias("at")), F.struct(F.col("prev_id").alias("id"), F.lit(False).alias("is_new"),
+        places("old_col").alias("at")))
     need = ask.select("file_id", F.explode(sides).alias("s")).select("file_id", "s.*")
     text = files.select(F.col("file_id").alias("id"), "delim", "body")
     got = need.join(text, "id").select("file_id", "is_new", "at", F.explode(F.array(_cells(F.col("body"), F.col("delim")))).alias("cells"))
     got = got.select("file_id", "is_new", F.transform("at", lambda i: _values(F.col("cells"), i)).alias("values"))
     got = got.groupBy("file_id").agg(F.max(F.when(F.col("is_new"), F.col("values"))).alias("new_values"), F.max(F.when(~F.col("is_new"), F.col("values"))).alias("old_values"))
     share = lambda o, n: F.size(F.array_intersect(n, o)) / F.greatest(F.size(n), F.lit(1))
-    scored = ask.join(got, "file_id").select("file_id", F.transform("u", lambda p, i: F.struct(p["old_col"].alias("old_col"), p["new_col"].alias("new_col"), share(F.get("old_values", i), F.get("new_values", i)).alias("share"))).alias("u"))
+    scored = ask.join(got, "file_id").select("file_id", F.transform("u", lambda p, i: F.struct(p["old_col"].alias("old_col"), p["new_col"].alias("new_col"), share(F.get("old_values", i),
+        F.get("new_values", i)).alias("share"))).alias("u"))
     scored = scored.select("file_id", F.filter("u", lambda p: p["share"] >= 0.5).alias("by_value"))
 
     shape = lambda p, s: F.struct(
@@ -248,8 +251,10 @@ def union_schema(files: DataFrame, field_names: DataFrame, heads: DataFrame | No
     renamed = renamed or _renamed(files, field_names, heads)
     keys = _keys(F.col("cols.name"), canonical_map(field_names), F.col("renamed"))
     cols = heads.join(renamed, "file_id", "left").select("feed", "file_id", "cols", F.explode(F.array(keys)).alias("keys"))
-    cols = cols.select("feed", "file_id", F.explode(F.arrays_zip("keys", F.col("cols.kind").alias("kinds"))).alias("c")).select("feed", "file_id", F.col("c.keys").alias("field"), F.col("c.kinds").alias("kind"))
-    folded = cols.groupBy("feed", "field").agg(F.bit_or(bits_of(F.col("kind"))).alias("bits"), F.countDistinct("file_id").alias("files"), F.min("file_id").alias("first_file"), F.max("file_id").alias("last_file"))
+    cols = cols.select("feed", "file_id", F.explode(F.arrays_zip("keys", F.col("cols.kind").alias("kinds"))).alias("c")).select("feed", "file_id", F.col("c.keys").alias("field"),
+        F.col("c.kinds").alias("kind"))
+    folded = cols.groupBy("feed", "field").agg(F.bit_or(bits_of(F.col("kind"))).alias("bits"), F.countDistinct("file_id").alias("files"), F.min("file_id").alias("first_file"),
+        F.max("file_id").alias("last_file"))
     return folded.select("feed", "field", kind_of(F.col("bits")).alias("kind"), "files", "first_file", "last_file")
 
 

@@ -178,7 +178,8 @@ class SatelliteStore:
             other = F.col("a").isNull() | F.col("b").isNull() | ~F.col("a.hash").eqNullSafe(F.col("b.hash")) | ~F.col("a.covered_before").eqNullSafe(F.col("b.covered_before"))
             kept = F.coalesce("a", "b")
             changed = j.where(other).select(
-                *[F.coalesce(f"a_{c}", f"b_{c}").alias(c) for c in ("key", "satellite", "valid_from")], kept["covered_before"].alias("covered_before"), kept["hash"].alias("hash"), kept["values"].alias("values"),
+                *[F.coalesce(f"a_{c}", f"b_{c}").alias(c) for c in ("key", "satellite", "valid_from")], kept["covered_before"].alias("covered_before"), kept["hash"].alias("hash"),
+                    kept["values"].alias("values"),
                 F.col("a").isNull().alias("gone"),
             )
         changed.write.mode("overwrite").parquet(f"{self.path}/satellites/load={load}")

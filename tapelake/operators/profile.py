@@ -63,7 +63,8 @@ def row_masks(rows: DataFrame, checks=CHECKS) -> DataFrame:
         "member_id",
         "source_line_number",
         F.when(F.col("source_line_number").isNull() | F.col("member_id").isNull(), F.col("row_id")).alias("alone"),
-        F.struct("loaded_at", "row_id", mask.alias("mask"), modern.alias("modern"), *[F.when(modern, F.col(c)).alias(c) for c in GROUP[:3]], F.when(modern, norm(F.col("series"))).alias("series_n")).alias("r"),
+        F.struct("loaded_at", "row_id", mask.alias("mask"), modern.alias("modern"), *[F.when(modern, F.col(c)).alias(c) for c in GROUP[:3]], F.when(modern,
+            norm(F.col("series"))).alias("series_n")).alias("r"),
     )
     return slim.groupBy("member_id", "source_line_number", "alone").agg(F.max("r").alias("r")).select("member_id", "r.mask", "r.modern", *[f"r.{c}" for c in GROUP])
 
@@ -154,7 +155,8 @@ def wrong_counts(state: DataFrame, file_metrics: DataFrame, census: DataFrame, m
 
     dated = members.select("member_id", F.col("feed").alias("_feed"), F.col("date_from_filename").alias("_day"))
     groups = state.where("modern").hint("merge").join(dated, "member_id").groupBy("_feed", "_day", *GROUP).agg(F.sum("blank_isin").alias("_b"))
-    ask = census.select("group_id", "feed", "period_from", "period_to", F.col("sgmt").alias("_g0"), F.col("src").alias("_g1"), F.col("fininstrmtp").alias("_g2"), norm(F.col("sctysrs")).alias("_g3"), "blank_or_ws_isin_rows")
+    ask = census.select("group_id", "feed", "period_from", "period_to", F.col("sgmt").alias("_g0"), F.col("src").alias("_g1"), F.col("fininstrmtp").alias("_g2"),
+        norm(F.col("sctysrs")).alias("_g3"), "blank_or_ws_isin_rows")
     same = (F.col("feed") == F.col("_feed")) & F.col("_day").between(F.col("period_from"), F.col("period_to"))
     for i, c in enumerate(GROUP):
         same = same & F.col(f"_g{i}").eqNullSafe(F.col(c))

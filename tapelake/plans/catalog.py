@@ -63,7 +63,8 @@ def _and(conditions: list[Column]) -> Column:
 
 def dataset(t: Tables, family=None, year=None) -> DataFrame:
     r = t.rows.where(_and([F.col(c) == v for c, v in (("format_family", family), ("year", year)) if v is not None]))
-    return r.groupingSets([["format_family", "year"], []], "format_family", "year").agg(F.countDistinct("file_name").alias("files"), F.count("*").alias("row_count"), F.countDistinct(F.struct("symbol", "series")).alias("instruments"))
+    return r.groupingSets([["format_family", "year"], []], "format_family", "year").agg(F.countDistinct("file_name").alias("files"), F.count("*").alias("row_count"),
+        F.countDistinct(F.struct("symbol", "series")).alias("instruments"))
 
 
 def date_range(t: Tables, date_from, date_to) -> DataFrame:

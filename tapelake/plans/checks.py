@@ -55,9 +55,11 @@ _FACTS = rf"""with {ROWS},
 ln as (select * from rows qualify row_number() over (partition by member_id, source_line_number order by loaded_at desc, row_id desc) = 1),
 fa as (
   select member_id, count(*) as lines, count(*) filter (validity = 'BLANK') as blank, count(*) filter (validity = 'VALID') as valid, count(*) filter (validity not in ('BLANK', 'VALID')) as invalid,
-    count(distinct case when validity = 'VALID' then isin_n end) as valid_codes, count(distinct case when regexp_matches(symbol, '\S') then upper(regexp_replace(symbol, '^\s+|\s+$', '', 'g')) end) as symbols,
+    count(distinct case when validity = 'VALID' then isin_n end) as valid_codes, count(distinct case when regexp_matches(symbol, '\S') then upper(regexp_replace(symbol, '^\s+|\s+$', '',
+  'g')) end) as symbols,
     min(format_family) as least_family, max(format_family) as greatest_family,
-    count(*) filter (regexp_matches(raw_biz_dt, '\S') and upper(raw_biz_dt) <> case when format_family = 'legacy13' then upper(strftime(trade_date, '%d-%b-%Y')) else strftime(trade_date, '%Y-%m-%d') end) as other_days
+    count(*) filter (regexp_matches(raw_biz_dt, '\S') and upper(raw_biz_dt) <> case when format_family = 'legacy13' then upper(strftime(trade_date, '%d-%b-%Y')) else strftime(trade_date,
+  '%Y-%m-%d') end) as other_days
   from ln group by member_id),
 pu as (select * from file_metrics qualify row_number() over (partition by member_id order by published_at desc nulls last, metric_id desc) = 1)"""
 
@@ -81,7 +83,8 @@ def _records(df: DataFrame, tier: str, scope: str, key: str, checks: list[Column
     out = df.select(F.col(key).cast("string").alias("scope_key"), F.explode(F.array(*checks)).alias("c")).select("scope_key", "c.*")
     delta = F.col("observed").try_cast("bigint") - F.col("expected").try_cast("bigint")
     result = F.when(F.col("expected").isNull() | F.col("observed").isNull(), "not-comparable").when(F.col("expected") == F.col("observed"), "match").otherwise("divergence")
-    return out.select(F.lit(tier).alias("tier"), "check_name", F.lit(scope).alias("scope"), "scope_key", "expected", "observed", delta.alias("delta"), result.alias("result"), F.lit(gating).alias("gating"))
+    return out.select(F.lit(tier).alias("tier"), "check_name", F.lit(scope).alias("scope"), "scope_key", "expected", "observed", delta.alias("delta"), result.alias("result"),
+        F.lit(gating).alias("gating"))
 
 
 _RECORD = """{facts},
@@ -103,10 +106,12 @@ _DATE_IN_NAME = r"""case when root = 'LEGACY' then strftime(try_strptime(regexp_
 @query(_sql("A", True, [
     ("archive_sha256", "member", "member_id", "'64 hex digits'", "case when regexp_full_match(sha256, '[0-9a-f]{64}') then '64 hex digits' else sha256 end", "members"),
     ("family", "member", "member_id", "case root when 'LEGACY' then 'legacy13' when 'UDIFF' then 'udiff34' end", "detected_format", "members"),
-    ("header_shape", "member", "member_id", "case root when 'LEGACY' then '13 or 14' when 'UDIFF' then '34' end", "case when header_width in (13, 14) then '13 or 14' else cast(header_width as varchar) end", "members"),
+    ("header_shape", "member", "member_id", "case root when 'LEGACY' then '13 or 14' when 'UDIFF' then '34' end",
+        "case when header_width in (13, 14) then '13 or 14' else cast(header_width as varchar) end", "members"),
     ("member_identity", "member", "member_id", "file_name", "regexp_extract(relative_path, '([^/]*)$', 1)", "members"),
     ("expected_source_date", "member", "member_id", _DATE_IN_NAME, "date_from_filename", "members"),
-    ("archive_basis", "member", "members.member_id", "detected_format", "case when least_family = greatest_family then least_family when least_family is not null then 'mixed' end", "members left join fa using (member_id)"),
+    ("archive_basis", "member", "members.member_id", "detected_format", "case when least_family = greatest_family then least_family when least_family is not null then 'mixed' end",
+        "members left join fa using (member_id)"),
 ]))
 def reconciliation_archives(spark, sf):
     """Tier A: digest, family, header, name, day and rows of every archive."""
@@ -134,7 +139,8 @@ _WIDTHS = "members m left join (select member_id, count(*) as n, count(*) filter
     ("member_digest", "member", "member_id", "1", "n", _SHA),
     ("member_size", "member", "member_id", "'positive'", "case when size_bytes > 0 then 'positive' else cast(size_bytes as varchar) end", "members"),
     ("header_list", "member", "m.member_id", "case when w.n > 0 then 'most lines' end", "case when w.k * 2 > w.n then 'most lines' else 'few lines' end", _WIDTHS),
-    ("verdict_vs_fold", "root", "root", "case when bool_and(coalesce(valid_isin_rows + blank_isin_rows + invalid_isin_rows = row_count, true)) then 'consistent' else 'inconsistent' end", "'consistent'", "file_metrics where root is not null group by root"),
+    ("verdict_vs_fold", "root", "root", "case when bool_and(coalesce(valid_isin_rows + blank_isin_rows + invalid_isin_rows = row_count, true)) then 'consistent' else 'inconsistent' end",
+        "'consistent'", "file_metrics where root is not null group by root"),
 ]))
 def reconciliation_documents(spark, sf):
     """Tier G: one archive a digest, known sizes, lines as wide as their header, published figures that add up."""
@@ -171,7 +177,8 @@ _FOLDED = "(select m.root, count(*) as n, count(pu.metric_id) as with_metrics, "
 ]))
 def reconciliation_contents(spark, sf):
     """Tier C: published figures of every file and root against its rows."""
-    j = table(spark, sf, "members").select("member_id", "root").join(member_facts(rows(spark, sf)), "member_id", "left").join(published(table(spark, sf, "file_metrics")).withColumn("has", F.lit(True)), "member_id", "left")
+    j = table(spark, sf, "members").select("member_id", "root").join(member_facts(rows(spark, sf)), "member_id", "left").join(published(table(spark, sf, "file_metrics")).withColumn("has",
+        F.lit(True)), "member_id", "left")
     j = materialize(j)  # a row a member, read twice
     counted = lambda o: F.coalesce(F.col(o), F.lit(0))
     per = [_record(n, F.col(f"said_{s}"), counted(o)) for n, s, o in _PAIRS] + [_record("dates", F.when(F.col("lines").isNotNull(), 0), F.col("other_days"))]
@@ -181,12 +188,14 @@ def reconciliation_contents(spark, sf):
     return _records(j, "C", "member", "member_id", per, True).unionByName(_records(roots, "C", "root", "root", fold, True))
 
 
-_CENSUS_ROWS = """(select c.feed, c.said, count(ln.row_id) as counted from (select feed, sum(row_count) as said, min(period_from) as a, max(period_to) as b from ud_census_groups where feed is not null group by feed) c
+_CENSUS_ROWS = """(select c.feed, c.said, count(ln.row_id) as counted from (select feed, sum(row_count) as said, min(period_from) as a, max(period_to) as b from ud_census_groups
+  where feed is not null group by feed) c
   left join ln on ln.feed = c.feed and ln.format_family = 'udiff34' and ln.trade_date between c.a and c.b group by c.feed, c.said) z"""
 
 
 @query(_sql("E", False, [
-    ("size_corroboration", "member", "m.member_id", "case when m.row_count is not null then '20 bytes a row or more' end", "case when m.size_bytes >= 20 * m.row_count then '20 bytes a row or more' else cast(m.size_bytes as varchar) end", "members m"),
+    ("size_corroboration", "member", "m.member_id", "case when m.row_count is not null then '20 bytes a row or more' end",
+        "case when m.size_bytes >= 20 * m.row_count then '20 bytes a row or more' else cast(m.size_bytes as varchar) end", "members m"),
     ("inventory_rows", "member", "m.member_id", "m.row_count", "coalesce(fa.lines, 0)", "members m left join fa using (member_id)"),
     ("census_rows", "feed", "feed", "cast(said as bigint)", "counted", _CENSUS_ROWS),
 ]))
@@ -263,7 +272,8 @@ def preflight(spark, sf):
     fails = lambda ok: ~F.coalesce(ok, F.lit(False))
     checks = {
         0: none(fails(F.col("sha256").rlike(r"^[0-9a-f]{64}\z"))), 1: none(fails(F.col("detected_format").isin("legacy13", "udiff34"))),
-        2: none(fails(F.when(legacy, F.col("header_width").isin(13, 14)).otherwise(F.col("header_width") == 34))), 4: none(fails(F.col("relative_path").startswith(F.concat(F.lower("root"), F.lit("/"))))),
+        2: none(fails(F.when(legacy, F.col("header_width").isin(13, 14)).otherwise(F.col("header_width") == 34))), 4: none(fails(F.col("relative_path").startswith(F.concat(F.lower("root"),
+            F.lit("/"))))),
         5: none(F.col("file_name").isNull() | F.col("relative_path").isNull() | F.col("date_from_filename").isNull() | F.col("detected_format").isNull() | F.col("sha256").isNull()),
         6: F.count("*") == F.countDistinct("file_name"), 7: none(F.col("size_bytes").isNull() | (F.col("size_bytes") < 0)), 9: none(F.col("row_count") <= 0),
         11: (F.count("*") == F.countDistinct("sha256")) & (F.count("*") == F.countDistinct(F.struct("feed", "date_from_filename"))),
@@ -272,7 +282,8 @@ def preflight(spark, sf):
     one = m.agg(*[c.alias(f"c{i}") for i, c in checks.items()])
     own = one.select(F.explode(F.array(*[F.struct(F.lit(_PF[i][0]).alias("check_name"), F.col(f"c{i}").alias("passed")) for i in checks])).alias("c")).select("c.*")
     ids = m.select("member_id")
-    pointing = {3: table(spark, sf, "price_rows").select("member_id").distinct().join(ids, "member_id", "left_anti"), 8: ids.join(x, "member_id", "left_anti"), 10: x.join(ids, "member_id", "left_anti")}
+    pointing = {3: table(spark, sf, "price_rows").select("member_id").distinct().join(ids, "member_id", "left_anti"), 8: ids.join(x, "member_id", "left_anti"), 10: x.join(ids, "member_id",
+        "left_anti")}
     for i, df in pointing.items():
         own = own.unionByName(df.agg((F.count("*") == 0).alias("passed")).select(F.lit(_PF[i][0]).alias("check_name"), "passed"))
     return own
@@ -358,8 +369,10 @@ h as (select trade_date, case strftime(trade_date, '%m-%d') when '01-26' then 'R
 rw as (select trade_date, count(*) as row_count, bool_and(regexp_matches(raw_biz_dt, '\\S')) filter (format_family = 'udiff34') as compared,
   bool_and(raw_biz_dt = strftime(trade_date, '%Y-%m-%d')) filter (format_family = 'udiff34') as equal from rows group by trade_date),
 mx as (select d as trade_date, count(distinct x.member_id) as with_metrics from f join file_metrics x using (member_id) group by d)
-select sp.trade_date, strftime(sp.trade_date, '%A') as weekday, members is not null as file_present, formats, member_names, coalesce(members, 0) as members, members is null and isodow(sp.trade_date) < 6 as missing_weekday, holiday,
-  case when holiday is not null then 'official-holiday' when members is not null then 'not-applicable' when isodow(sp.trade_date) > 5 then 'weekend' when last_legacy is null or sp.trade_date <= last_legacy then 'not-retrieved' else 'unexplained' end as label,
+select sp.trade_date, strftime(sp.trade_date, '%A') as weekday, members is not null as file_present, formats, member_names, coalesce(members, 0) as members,
+  members is null and isodow(sp.trade_date) < 6 as missing_weekday, holiday,
+  case when holiday is not null then 'official-holiday' when members is not null then 'not-applicable' when isodow(sp.trade_date) > 5 then 'weekend'
+  when last_legacy is null or sp.trade_date <= last_legacy then 'not-retrieved' else 'unexplained' end as label,
   holiday is not null and members is not null as holiday_with_file, row_count, compared, equal, coalesce(with_metrics, 0) = coalesce(members, 0) as metrics_agree
 from sp left join p using (trade_date) left join h using (trade_date) left join rw using (trade_date) left join mx using (trade_date)"""
 

@@ -54,7 +54,8 @@ def q1_dataset_summary(spark, sf):
 from rows where trade_date between date '2019-01-01' and date '2020-12-31'""")
 def q2_date_range(spark, sf):
     r = rows(spark, sf).where(F.col("trade_date").between("2019-01-01", "2020-12-31"))
-    return r.select("row_id", "file_name", "source_line_number", "trade_date", "format_family", "symbol", "series", "isin_n", "validity").orderBy("trade_date", "format_family", "file_name", "source_line_number", "row_id")
+    return r.select("row_id", "file_name", "source_line_number", "trade_date", "format_family", "symbol", "series", "isin_n", "validity").orderBy("trade_date", "format_family", "file_name",
+        "source_line_number", "row_id")
 
 
 @query(""", pick as (select ticker, series from rows where ticker is not null group by ticker, series order by count(*) desc, ticker, series limit 1),
@@ -97,7 +98,8 @@ def dated_associations(spark, sf):
     return isl.associations(_keyed(rows(spark, sf)))
 
 
-@query(_ASSOC + _CENSUS + """ select a.isin_n, a.island, a.symbol, a.series, a.date_from, a.date_to, a.observed_dates, a.row_count, coalesce(string_agg(distinct c.ticker, ',' order by c.ticker), '') as tickers
+@query(_ASSOC + _CENSUS + """ select a.isin_n, a.island, a.symbol, a.series, a.date_from, a.date_to, a.observed_dates, a.row_count, coalesce(string_agg(distinct c.ticker, ',' order by c.ticker),
+  '') as tickers
 from a left join c on c.identity = a.isin_n and c.series = a.series and c.raw_symbol = a.symbol
   and (c.date_from between a.date_from and a.date_to or c.date_to between a.date_from and a.date_to)
 group by all""")
@@ -112,7 +114,8 @@ d as (select cast(unnest(generate_series(cast(a as timestamp), cast(z as timesta
 p as (select trade_date, string_agg(distinct family, ',' order by family) as formats, count(*) as members from f group by trade_date),
 cal as (select trade_date, strftime(trade_date, '%A') as weekday, members is not null as file_present, formats, coalesce(members, 0) as members,
   members is null and isodow(trade_date) < 6 as missing_weekday,
-  case when members is not null then 'not-applicable' when isodow(trade_date) > 5 then 'weekend' when last_legacy is null or trade_date <= last_legacy then 'not-retrieved' else 'unexplained' end as label
+  case when members is not null then 'not-applicable' when isodow(trade_date) > 5 then 'weekend'
+  when last_legacy is null or trade_date <= last_legacy then 'not-retrieved' else 'unexplained' end as label
   from d left join p using (trade_date))"""
 
 
@@ -145,12 +148,14 @@ def q7_record_detail(spark, sf):
     r, m = rows(spark, sf), table(spark, sf, "members")
     last = r.groupBy("file_name").agg(F.max("source_line_number").alias("source_line_number"))
     x = table(spark, sf, "file_metrics").select("member_id", "metric_id", F.col("row_count").alias("published_rows"))
-    d = r.select("row_id", "file_name", "source_line_number").join(last, ["file_name", "source_line_number"]).join(m.select("file_name", "relative_path", "sha256", "member_id", "row_count"), "file_name").join(x, "member_id", "left")
+    d = r.select("row_id", "file_name", "source_line_number").join(last, ["file_name", "source_line_number"]).join(m.select("file_name", "relative_path", "sha256", "member_id", "row_count"),
+        "file_name").join(x, "member_id", "left")
     return d.select("row_id", "file_name", "source_line_number", "relative_path", "sha256", "metric_id", "published_rows", (F.col("row_count") == F.col("published_rows")).alias("rows_agree"))
 
 
 _FLAGS = """, fl as (select row_id, 'isin_invalid_length' as flag from rows where validity = 'LEN' union all select row_id, 'isin_invalid_checkdigit' from rows where validity = 'CHECKDIGIT'
-  union all select row_id, 'bizdt_ne_traddt' from rows where format_family = 'udiff34' and regexp_matches(raw_biz_dt, '\\S') and raw_biz_dt <> strftime(trade_date, '%Y-%m-%d'))""".replace("\\\\", "\\")
+  union all select row_id, 'bizdt_ne_traddt' from rows where format_family = 'udiff34' and regexp_matches(raw_biz_dt, '\\S') and raw_biz_dt <> strftime(trade_date,
+  '%Y-%m-%d'))""".replace("\\\\", "\\")
 
 
 def _flagged(r):
@@ -218,7 +223,8 @@ def overlapping_tickers(spark, sf):
 
 
 _IVAL = f""", v as (select * from rows where identity is not null and ticker is not null and series is not null and series not in {_OV}),
-s as (select *, case when row_number() over w > 1 and ticker = lag(ticker) over w then 0 else 1 end as st from v window w as (partition by identity, series order by trade_date, file_name, source_line_number, row_id)),
+s as (select *, case when row_number() over w > 1 and ticker = lag(ticker) over w then 0 else 1 end as st from v window w as (partition by identity, series order by trade_date, file_name,
+  source_line_number, row_id)),
 n as (select *, sum(st) over (partition by identity, series order by trade_date, file_name, source_line_number, row_id) as island from s),
 iv as (select identity, series, cast(island as bigint) as island, ticker, min(trade_date) as date_from, max(trade_date) as date_to from n group by identity, series, island, ticker)"""
 
@@ -238,8 +244,10 @@ un as (select identity, series from tk join sh using (ticker, series)
   union select a.identity, a.series from tk a join tk b on a.identity = b.identity and a.series = b.series and a.ticker < b.ticker and a.s <= b.e and b.s <= a.e)"""
 
 
-@query(_IVAL + _UNCLEAR + """, o as (select trade_date, row_number() over (order by trade_date) as ordinal from (select distinct date_from_filename as trade_date from members) z where trade_date is not null),
-x as (select identity, series, ticker as from_ticker, date_to as ended, lead(ticker) over w as to_ticker, lead(date_from) over w as began from iv window w as (partition by identity, series order by island))
+@query(_IVAL + _UNCLEAR + """, o as (select trade_date, row_number() over (order by trade_date) as ordinal from (select distinct date_from_filename as trade_date from members) z
+  where trade_date is not null),
+x as (select identity, series, ticker as from_ticker, date_to as ended, lead(ticker) over w as to_ticker, lead(date_from) over w as began from iv window w as (partition by identity,
+  series order by island))
 select identity, series, from_ticker, to_ticker, ended, began, cast(b.ordinal - a.ordinal as int) as gap, case when a.ordinal = b.ordinal then 'SAME_DAY' else 'SEQUENCE' end as kind
 from x join o a on a.trade_date = ended join o b on b.trade_date = began where not exists (select 1 from un where un.identity = x.identity and un.series = x.series)""")
 def ticker_transitions(spark, sf):
@@ -254,7 +262,8 @@ def ambiguous_groups(spark, sf):
 
 
 @query(_ASSOC + """, o as (select trade_date, row_number() over (order by trade_date) as ordinal from (select distinct date_from_filename as trade_date from members) z where trade_date is not null),
-x as (select isin_n, symbol as symbol_before, series as series_before, date_to as last_old_date, lead(symbol) over w as symbol_after, lead(series) over w as series_after, lead(date_from) over w as first_new_date
+x as (select isin_n, symbol as symbol_before, series as series_before, date_to as last_old_date, lead(symbol) over w as symbol_after, lead(series) over w as series_after,
+  lead(date_from) over w as first_new_date
   from a window w as (partition by isin_n order by island))
 select x.*, cast(q.ordinal - p.ordinal as int) as gap, symbol_before is distinct from symbol_after and series_before is distinct from series_after as simultaneous,
   case when p.ordinal = q.ordinal then 'SAME_DAY_COEXIST' else 'SEQUENCE' end as kind
@@ -284,8 +293,8 @@ def continuity_routing(spark, sf):
     return rows(spark, sf).groupBy(route.alias("route")).agg(F.count("*").alias("row_count"))
 
 
-@query(""", lg as (select isin_n, min_by(price_close, (trade_date, source_line_number, row_id)) as px from rows where format_family = 'legacy13' and isin_n <> '' group by isin_n),
-ud as (select isin_n, min_by(price_prev_close, (trade_date, source_line_number, row_id)) as px from rows where format_family = 'udiff34' and isin_n <> '' group by isin_n)
+@query(""", lg as (select isin_n, arg_min_null(price_close, (trade_date, source_line_number, row_id)) as px from rows where format_family = 'legacy13' and isin_n <> '' group by isin_n),
+ud as (select isin_n, arg_min_null(price_prev_close, (trade_date, source_line_number, row_id)) as px from rows where format_family = 'udiff34' and isin_n <> '' group by isin_n)
 select coalesce(lg.isin_n, ud.isin_n) as isin_n, case when ud.isin_n is null then 'only_legacy' when lg.isin_n is null then 'only_modern' else 'matched' end as kind,
   lg.px is not distinct from ud.px as same_price from lg full join ud on lg.isin_n = ud.isin_n""")
 def cross_format_continuity(spark, sf):
@@ -334,7 +343,8 @@ def select_files(asked, members):
     """asked, detected_format, file_name, file_date. Null days and files without day or format are ignored; of the files of a day the least name counts."""
     files = members.where("date_from_filename is not null and detected_format is not null")
     kinds = members.where("detected_format is not null").select("detected_format").distinct()  # a handful of layouts
-    wanted = asked.where("asked is not null").distinct().crossJoin(F.broadcast(kinds)).select("detected_format", F.col("asked").alias("day"), F.lit(True).alias("wanted"), F.lit(None).cast("string").alias("file_name"))
+    wanted = asked.where("asked is not null").distinct().crossJoin(F.broadcast(kinds)).select("detected_format", F.col("asked").alias("day"), F.lit(True).alias("wanted"),
+        F.lit(None).cast("string").alias("file_name"))
     # One row a day and format: what is asked and the day's file.
     days = wanted.unionByName(files.select("detected_format", F.col("date_from_filename").alias("day"), F.lit(False).alias("wanted"), "file_name"))
     days = days.groupBy("detected_format", "day").agg(F.max("wanted").alias("wanted"), F.min("file_name").alias("file_name"))
@@ -346,16 +356,20 @@ def select_files(asked, members):
 # ---- aggregations
 
 
-_METRICS = r""" select GROUP, count(*) as row_count, count(*) filter (isin_n = '') as blank_isin, count(*) filter (isin_n <> '') as nonblank_isin, count(*) filter (symbol is null or not regexp_matches(symbol, '\S')) as blank_symbol,
+_METRICS = r""" select GROUP, count(*) as row_count, count(*) filter (isin_n = '') as blank_isin, count(*) filter (isin_n <> '') as nonblank_isin,
+  count(*) filter (symbol is null or not regexp_matches(symbol, '\S')) as blank_symbol,
   count(distinct case when isin_n <> '' then isin_n end) as distinct_isin, count(distinct case when regexp_matches(symbol, '\S') then upper(trim(symbol)) end) as distinct_symbol,
-  count(distinct (coalesce(upper(trim(symbol)), ''), coalesce(trim(series), ''))) as pairs, count(*) - count(distinct (coalesce(upper(trim(symbol)), ''), coalesce(trim(series), ''))) as pair_duplicates from rows group by GROUP"""
+  count(distinct (coalesce(upper(trim(symbol)), ''), coalesce(trim(series), ''))) as pairs, count(*) - count(distinct (coalesce(upper(trim(symbol)), ''), coalesce(trim(series),
+  ''))) as pair_duplicates from rows group by GROUP"""
 
 
 def _metrics(r, *by):
     sym, ser = F.coalesce(F.upper(F.trim("symbol")), F.lit("")), F.coalesce(F.trim("series"), F.lit(""))
     g = r.groupBy(*by).agg(
-        F.count("*").alias("row_count"), F.count_if(F.col("isin_n") == "").alias("blank_isin"), F.count_if(F.col("isin_n") != "").alias("nonblank_isin"), F.count_if(is_blank(F.col("symbol"))).alias("blank_symbol"),
-        F.countDistinct(F.when(F.col("isin_n") != "", F.col("isin_n"))).alias("distinct_isin"), F.countDistinct(F.when(sym != "", sym)).alias("distinct_symbol"), F.countDistinct(F.struct(sym, ser)).alias("pairs"),
+        F.count("*").alias("row_count"), F.count_if(F.col("isin_n") == "").alias("blank_isin"), F.count_if(F.col("isin_n") != "").alias("nonblank_isin"),
+            F.count_if(is_blank(F.col("symbol"))).alias("blank_symbol"),
+        F.countDistinct(F.when(F.col("isin_n") != "", F.col("isin_n"))).alias("distinct_isin"), F.countDistinct(F.when(sym != "", sym)).alias("distinct_symbol"), F.countDistinct(F.struct(sym,
+            ser)).alias("pairs"),
     )
     return g.withColumn("pair_duplicates", F.col("row_count") - F.col("pairs"))
 
@@ -370,41 +384,49 @@ def row_metrics_by_year(spark, sf):
     return _metrics(rows(spark, sf), "format_family", "year")
 
 
-@query("""select root, count(*) as files, cast(sum(row_count) as bigint) as row_count, cast(sum(blank_isin_rows) as bigint) as blank_isin_rows, count(*) filter (distinct_valid_isin <> valid_isin_rows) as discriminating
+@query("""select root, count(*) as files, cast(sum(row_count) as bigint) as row_count, cast(sum(blank_isin_rows) as bigint) as blank_isin_rows,
+  count(*) filter (distinct_valid_isin <> valid_isin_rows) as discriminating
 from file_metrics group by root""", False)
 def fold_file_metrics(spark, sf):
     x = table(spark, sf, "file_metrics")
-    return x.groupBy("root").agg(F.count("*").alias("files"), F.sum("row_count").alias("row_count"), F.sum("blank_isin_rows").alias("blank_isin_rows"), F.count_if(F.col("distinct_valid_isin") != F.col("valid_isin_rows")).alias("discriminating"))
+    return x.groupBy("root").agg(F.count("*").alias("files"), F.sum("row_count").alias("row_count"), F.sum("blank_isin_rows").alias("blank_isin_rows"),
+        F.count_if(F.col("distinct_valid_isin") != F.col("valid_isin_rows")).alias("discriminating"))
 
 
 @query(""", d as (select series, format_family, trade_date, count(*) as n from rows group by all)
-select series, cast(sum(n) as bigint) as row_count, count(distinct trade_date) as days, min(case when format_family = 'legacy13' then trade_date end) as legacy_first, max(case when format_family = 'udiff34' then trade_date end) as modern_last,
+select series, cast(sum(n) as bigint) as row_count, count(distinct trade_date) as days, min(case when format_family = 'legacy13' then trade_date end) as legacy_first, max(case
+  when format_family = 'udiff34' then trade_date end) as modern_last,
   max(n) as most_a_day, case when count(distinct format_family) = 2 then 'shared' when min(format_family) = 'legacy13' then 'legacy-only' else 'modern-only' end as presence from d group by series""")
 def series_universe(spark, sf):
     d = rows(spark, sf).groupBy("series", "format_family", "trade_date").agg(F.count("*").alias("n"))
     fam = F.col("format_family")
     return d.groupBy("series").agg(
-        F.sum("n").alias("row_count"), F.countDistinct("trade_date").alias("days"), F.min(F.when(fam == "legacy13", F.col("trade_date"))).alias("legacy_first"), F.max(F.when(fam == "udiff34", F.col("trade_date"))).alias("modern_last"),
+        F.sum("n").alias("row_count"), F.countDistinct("trade_date").alias("days"), F.min(F.when(fam == "legacy13", F.col("trade_date"))).alias("legacy_first"), F.max(F.when(fam == "udiff34",
+            F.col("trade_date"))).alias("modern_last"),
         F.max("n").alias("most_a_day"), F.when(F.countDistinct("format_family") == 2, "shared").when(F.min("format_family") == "legacy13", "legacy-only").otherwise("modern-only").alias("presence"),
     )
 
 
-@query(""" select sgmt, src, fininstrmtp, series, cast(grouping(sgmt, src, fininstrmtp, series) as int) as level, count(distinct file_name) as files, count(*) as row_count, count(distinct case when isin_n <> '' then isin_n end) as distinct_isin,
+@query(""" select sgmt, src, fininstrmtp, series, cast(grouping(sgmt, src, fininstrmtp, series) as int) as level, count(distinct file_name) as files, count(*) as row_count, count(distinct case
+  when isin_n <> '' then isin_n end) as distinct_isin,
   count(*) filter (isin_n = '') as blank_isin, min(trade_date) as first_date, max(trade_date) as last_date
 from rows where format_family = 'udiff34' group by grouping sets ((sgmt, src, fininstrmtp, series), (sgmt), (src), (fininstrmtp), (series))""")
 def census_grouping_sets(spark, sf):
     keys = ["sgmt", "src", "fininstrmtp", "series"]
     g = rows(spark, sf).where("format_family = 'udiff34'").groupingSets([keys, *[[k] for k in keys]], *keys).agg(
-        F.grouping_id(*keys).cast("int").alias("level"), F.countDistinct("file_name").alias("files"), F.count("*").alias("row_count"), F.countDistinct(F.when(F.col("isin_n") != "", F.col("isin_n"))).alias("distinct_isin"),
+        F.grouping_id(*keys).cast("int").alias("level"), F.countDistinct("file_name").alias("files"), F.count("*").alias("row_count"), F.countDistinct(F.when(F.col("isin_n") != "",
+            F.col("isin_n"))).alias("distinct_isin"),
         F.count_if(F.col("isin_n") == "").alias("blank_isin"), F.min("trade_date").alias("first_date"), F.max("trade_date").alias("last_date"),
     )
     return g
 
 
-@query(""", g as (select file_name, trade_date, count(*) filter (validity = 'BLANK') as blank, count(*) filter (validity not in ('BLANK', 'VALID')) as invalid from rows where format_family = 'legacy13' group by all)
+@query(""", g as (select file_name, trade_date, count(*) filter (validity = 'BLANK') as blank, count(*) filter (validity not in ('BLANK', 'VALID')) as invalid from rows
+  where format_family = 'legacy13' group by all)
 select *, greatest(blank, invalid) as worst from g where blank > 0 or invalid > 0 order by worst desc, trade_date, file_name limit 100""")
 def top_unusual(spark, sf):
-    g = once(rows(spark, sf).where("format_family = 'legacy13'"), "validity").groupBy("file_name", "trade_date").agg(F.count_if(F.col("validity") == "BLANK").alias("blank"), F.count_if(~F.col("validity").isin("BLANK", "VALID")).alias("invalid"))
+    g = once(rows(spark, sf).where("format_family = 'legacy13'"), "validity").groupBy("file_name", "trade_date").agg(F.count_if(F.col("validity") == "BLANK").alias("blank"),
+        F.count_if(~F.col("validity").isin("BLANK", "VALID")).alias("invalid"))
     return g.where("blank > 0 or invalid > 0").withColumn("worst", F.greatest("blank", "invalid")).orderBy(F.desc("worst"), "trade_date", "file_name").limit(100)
 
 
@@ -431,13 +453,16 @@ def series_transitions(spark, sf):
     return t.where("from_series <> to_series").groupBy("from_series", "to_series").agg(F.count("*").alias("changes"))
 
 
-@query(_ASSOC + """ select isin_n, min(date_from) as first_date, max(date_to) as last_date, count(distinct symbol) as symbols, count(distinct series) as series_count, string_agg(distinct symbol, ',' order by symbol) as symbol_list, count(*) as associations,
-  count(distinct symbol) = 1 and count(distinct series) = 1 as stable, case when bool_and(isin_n in (select identity from rows where identity is not null)) then true end as valid from a group by isin_n""")
+@query(_ASSOC + """ select isin_n, min(date_from) as first_date, max(date_to) as last_date, count(distinct symbol) as symbols, count(distinct series) as series_count, string_agg(distinct symbol,
+  ',' order by symbol) as symbol_list, count(*) as associations,
+  count(distinct symbol) = 1 and count(distinct series) = 1 as stable, case when bool_and(isin_n in (select identity from rows where identity is not null)) then true end as valid from a
+  group by isin_n""")
 def identity_records(spark, sf):
     a = isl.associations(_keyed(rows(spark, sf)))
     return a.groupBy("isin_n").agg(
         F.min("date_from").alias("first_date"), F.max("date_to").alias("last_date"), F.countDistinct("symbol").alias("symbols"), F.countDistinct("series").alias("series_count"),
-        F.array_join(F.array_sort(F.collect_set("symbol")), ",").alias("symbol_list"), F.count("*").alias("associations"), ((F.countDistinct("symbol") == 1) & (F.countDistinct("series") == 1)).alias("stable"),
+        F.array_join(F.array_sort(F.collect_set("symbol")), ",").alias("symbol_list"), F.count("*").alias("associations"),
+            ((F.countDistinct("symbol") == 1) & (F.countDistinct("series") == 1)).alias("stable"),
     ).withColumn("valid", F.when(validity(F.col("isin_n")) == "VALID", True))
 
 
@@ -445,7 +470,8 @@ def identity_records(spark, sf):
 select count(*) as identities, count(*) filter (sy > 1) as multi_symbol, count(*) filter (se > 1) as multi_series, count(*) filter (sy = 1 and se = 1) as stable from g""")
 def identity_totals(spark, sf):
     g = isl.associations(_keyed(rows(spark, sf))).groupBy("isin_n").agg(F.countDistinct("symbol").alias("sy"), F.countDistinct("series").alias("se"))
-    return g.agg(F.count("*").alias("identities"), F.count_if(F.col("sy") > 1).alias("multi_symbol"), F.count_if(F.col("se") > 1).alias("multi_series"), F.count_if((F.col("sy") == 1) & (F.col("se") == 1)).alias("stable"))
+    return g.agg(F.count("*").alias("identities"), F.count_if(F.col("sy") > 1).alias("multi_symbol"), F.count_if(F.col("se") > 1).alias("multi_series"),
+        F.count_if((F.col("sy") == 1) & (F.col("se") == 1)).alias("stable"))
 
 
 @query(""", p as (select isin_n, trade_date from rows where isin_n <> '' group by all having count(distinct (symbol, series)) > 1)
@@ -455,7 +481,8 @@ def parallel_states(spark, sf):
     return p.groupBy("isin_n").agg(F.count("*").alias("parallel_days"))
 
 
-@query(f""" select member_id, case when series in {_OV} then 'overlay' else 'unkeyed' end as reason, string_agg(distinct series, ',' order by series) as series_list, count(*) as row_count, min(source_line_number) as first_line
+@query(f""" select member_id, case when series in {_OV} then 'overlay' else 'unkeyed' end as reason, string_agg(distinct series, ',' order by series) as series_list, count(*) as row_count,
+  min(source_line_number) as first_line
 from rows where series in {_OV} or isin_n = '' group by all""")
 def unkeyed_groups(spark, sf):
     over = F.coalesce(F.col("series").isin(*OVERLAY_SERIES), F.lit(False))
@@ -469,7 +496,8 @@ def period_summary(spark, sf):
     order = F.struct("trade_date", "source_line_number", "row_id")
     has = lambda c: F.when(F.col(c).isNotNull(), order)
     return rows(spark, sf).where("symbol is not null").groupBy("symbol", "series").agg(
-        F.min_by("price_open", has("price_open")).alias("first_open"), F.max_by("price_close", has("price_close")).alias("last_close"), F.max("close_paise").alias("high_close"), F.min("close_paise").alias("low_close"),
+        F.min_by("price_open", has("price_open")).alias("first_open"), F.max_by("price_close", has("price_close")).alias("last_close"), F.max("close_paise").alias("high_close"),
+            F.min("close_paise").alias("low_close"),
         F.sum("quantity").alias("quantity"), F.count("quantity").alias("counted"),
     )
 
@@ -491,7 +519,8 @@ def distribution_shift(spark, sf):
 w as (select k, d from (select k, d, row_number() over (partition by k order by case when k = 'legacy13' then -epoch(d) else epoch(d) end) as n from f) z where n <= 250),
 c as (select k, count(*) as days from w group by k), s as (select k, series, count(*) as n from rows join w on k = format_family and d = trade_date where series is not null group by k, series),
 a as (select series, n / days as v from s join c using (k) where k = 'legacy13'), b as (select series, n / days as v from s join c using (k) where k = 'udiff34')
-select coalesce(a.series, b.series) as series, coalesce(a.v, 0) as legacy_average, coalesce(b.v, 0) as modern_average, coalesce(b.v, 0) - coalesce(a.v, 0) as delta from a full join b on a.series = b.series""")
+select coalesce(a.series, b.series) as series, coalesce(a.v, 0) as legacy_average, coalesce(b.v, 0) as modern_average, coalesce(b.v, 0) - coalesce(a.v, 0) as delta from a full
+  join b on a.series = b.series""")
 def format_shift(spark, sf):
     """Average rows a day of a series over the last 250 legacy and the first 250 modern file days."""
     return shift(rows(spark, sf), table(spark, sf, "members"))
@@ -506,22 +535,27 @@ def shift(r, members, days=250):
     f = f.withColumn("k", F.row_number().over(nearest)).where(F.col("k") <= days).select(kind.alias("format_family"), F.col("date_from_filename").alias("trade_date"))
     of = lambda k: F.col("format_family") == k
     counted = f.agg(F.count_if(of("legacy13")).alias("d0"), F.count_if(of("udiff34")).alias("d1"))  # one row
-    n = r.where("series is not null").join(f, ["format_family", "trade_date"]).groupBy("series").agg(F.count_if(of("legacy13")).alias("n0"), F.count_if(of("udiff34")).alias("n1")).crossJoin(F.broadcast(counted))
+    n = r.where("series is not null").join(f, ["format_family", "trade_date"]).groupBy("series").agg(F.count_if(of("legacy13")).alias("n0"),
+        F.count_if(of("udiff34")).alias("n1")).crossJoin(F.broadcast(counted))
     average = lambda n, d: F.coalesce(F.try_divide(F.col(n), F.col(d)), F.lit(0.0))
     n = n.select("series", average("n0", "d0").alias("legacy_average"), average("n1", "d1").alias("modern_average"))
     return n.withColumn("delta", F.col("modern_average") - F.col("legacy_average"))
 
 
-@query(r""", t as (select format_family, cast(tottrdval as double) / quantity / (close_paise / 100.0) as x from rows where regexp_full_match(tottrdval, '[0-9]+(\.[0-9]+)?') and quantity > 0 and close_paise > 0)
+@query(r""", t as (select format_family, cast(tottrdval as double) / quantity / (close_paise / 100.0) as x from rows where regexp_full_match(tottrdval, '[0-9]+(\.[0-9]+)?') and quantity > 0
+  and close_paise > 0)
 select format_family, count(*) as tested, count(*) filter (abs(x - 1) < 0.02) as rupees, count(*) filter (abs(x * 1e5 - 1) < 0.02) as lakhs from t group by format_family""")
 def unit_scale(spark, sf):
     x = F.col("v") / F.col("quantity") / (F.col("close_paise") / 100.0)
-    t = rows(spark, sf).withColumn("v", F.when(F.col("tottrdval").rlike(r"^[0-9]+(\.[0-9]+)?\z"), F.col("tottrdval").try_cast("double"))).where("v is not null and quantity > 0 and close_paise > 0").withColumn("x", x)
+    t = rows(spark, sf).withColumn("v", F.when(F.col("tottrdval").rlike(r"^[0-9]+(\.[0-9]+)?\z"),
+        F.col("tottrdval").try_cast("double"))).where("v is not null and quantity > 0 and close_paise > 0").withColumn("x", x)
     return t.groupBy("format_family").agg(F.count("*").alias("tested"), F.count_if(F.abs(F.col("x") - 1) < 0.02).alias("rupees"), F.count_if(F.abs(F.col("x") * 1e5 - 1) < 0.02).alias("lakhs"))
 
 
-@query(""", l as (select distinct series from rows where format_family = 'legacy13' and series is not null), u as (select distinct series from rows where format_family = 'udiff34' and series is not null)
-select 'shared' as part, series from (select * from l intersect select * from u) a union all select 'legacy-only', series from (select * from l except select * from u) b union all select 'modern-only', series from (select * from u except select * from l) c""")
+@query(""", l as (select distinct series from rows where format_family = 'legacy13' and series is not null), u as (select distinct series from rows
+  where format_family = 'udiff34' and series is not null)
+select 'shared' as part, series from (select * from l intersect select * from u) a union all select 'legacy-only', series from (select * from l except select * from u) b
+  union all select 'modern-only', series from (select * from u except select * from l) c""")
 def series_sets(spark, sf):
     r = rows(spark, sf).where("series is not null")
     a, b = (r.where(F.col("format_family") == f).select("series").distinct() for f in ("legacy13", "udiff34"))
@@ -530,17 +564,20 @@ def series_sets(spark, sf):
 
 
 @query(""", e as (select (select max(date_from_filename) from members where detected_format = 'legacy13') as l, (select min(date_from_filename) from members where detected_format = 'udiff34') as u),
-a as (select series, count(*) as last_legacy from rows, e where trade_date = l and format_family = 'legacy13' and series is not null group by series), b as (select series, count(*) as first_modern from rows, e where trade_date = u and format_family = 'udiff34' and series is not null group by series)
+a as (select series, count(*) as last_legacy from rows, e where trade_date = l and format_family = 'legacy13' and series is not null group by series), b as (select series,
+  count(*) as first_modern from rows, e where trade_date = u and format_family = 'udiff34' and series is not null group by series)
 select coalesce(a.series, b.series) as series, coalesce(last_legacy, 0) as last_legacy, coalesce(first_modern, 0) as first_modern from a full join b on a.series = b.series""")
 def series_boundary(spark, sf):
     """Rows of each series on the last legacy and the first modern day."""
     r, m = rows(spark, sf).where("series is not null"), table(spark, sf, "members")
-    e = m.agg(F.max(F.when(F.col("detected_format") == "legacy13", F.col("date_from_filename"))).alias("l"), F.min(F.when(F.col("detected_format") == "udiff34", F.col("date_from_filename"))).alias("u"))
+    e = m.agg(F.max(F.when(F.col("detected_format") == "legacy13", F.col("date_from_filename"))).alias("l"), F.min(F.when(F.col("detected_format") == "udiff34",
+        F.col("date_from_filename"))).alias("u"))
     j = r.join(F.broadcast(e), ((F.col("trade_date") == F.col("l")) & (F.col("format_family") == "legacy13")) | ((F.col("trade_date") == F.col("u")) & (F.col("format_family") == "udiff34")))  # one row
     return j.groupBy("series").agg(F.count_if(F.col("format_family") == "legacy13").alias("last_legacy"), F.count_if(F.col("format_family") == "udiff34").alias("first_modern"))
 
 
-@query(""", g as (select file_name, feed, trade_date, count(*) filter (validity not in ('BLANK', 'VALID')) as invalid, dense_rank() over (partition by feed order by trade_date) as k from rows group by file_name, feed, trade_date),
+@query(""", g as (select file_name, feed, trade_date, count(*) filter (validity not in ('BLANK', 'VALID')) as invalid, dense_rank() over (partition by feed order by trade_date) as k from rows
+  group by file_name, feed, trade_date),
 t as (select feed, arg_max(k, (invalid, -k)) as mid from g group by feed)
 select g.feed, file_name, trade_date, invalid, cast(k - mid as int) as distance from g join t using (feed) where abs(k - mid) <= 3""")
 def anomaly_windows(spark, sf):
@@ -560,7 +597,8 @@ def header_widths(spark, sf):
 def inventory_conflicts(spark, sf):
     m = table(spark, sf, "members")
     a = m.groupBy(F.col("sha256").alias("value")).agg(F.count("*").alias("n")).where("n > 1").select(F.lit("sha256").alias("kind"), "value", "n")
-    b = m.groupBy(F.concat_ws(" ", "feed", F.col("date_from_filename").cast("string")).alias("value")).agg(F.count("*").alias("n")).where("n > 1").select(F.lit("feed date").alias("kind"), "value", "n")
+    b = m.groupBy(F.concat_ws(" ", "feed", F.col("date_from_filename").cast("string")).alias("value")).agg(F.count("*").alias("n")).where("n > 1").select(F.lit("feed date").alias("kind"),
+        "value", "n")
     return a.unionByName(b)
 
 
@@ -587,7 +625,8 @@ def segment_counts(spark, sf):
 
 
 @query(""", g as (select file_name, year, series, count(*) as n from rows where series is not null group by all)
-select file_name, string_agg(series, '+' order by series) as label, cast(sum(n) as bigint) as row_count from g group by file_name, year having bool_or(series = 'GB') and lower(file_name) like '%bhav%'""")
+select file_name, string_agg(series, '+' order by series) as label, cast(sum(n) as bigint) as row_count from g group by file_name,
+  year having bool_or(series = 'GB') and lower(file_name) like '%bhav%'""")
 def archive_search(spark, sf):
     g = rows(spark, sf).where(F.lower("file_name").contains("bhav") & F.col("series").isNotNull()).groupBy("file_name", "series").agg(F.count("*").alias("n"))
     maps = g.groupBy("file_name").agg(F.map_from_entries(F.collect_list(F.struct("series", "n"))).alias("m"))
@@ -608,7 +647,8 @@ def price_points(spark, sf):
 
 
 @query(r"""select count(*) as row_count, count(*) filter (regexp_full_match(price_open, '-?[0-9]+(\.[0-9]+)?')) as decimals, count(*) filter (regexp_full_match(totaltrades, '-?[0-9]+')) as integers,
-  cast(sum(case when regexp_full_match(totaltrades, '-?[0-9]+') then cast(totaltrades as bigint) end) as bigint) as trades, cast(sum(case when regexp_full_match(price_open, '-?[0-9]+(\.[0-9]+)?') then cast(round(cast(price_open as decimal(28, 10)) * 100) as bigint) end) as bigint) as open_paise from price_rows""", False)
+  cast(sum(case when regexp_full_match(totaltrades, '-?[0-9]+') then cast(totaltrades as bigint) end) as bigint) as trades, cast(sum(case when regexp_full_match(price_open,
+  '-?[0-9]+(\.[0-9]+)?') then cast(round(cast(price_open as decimal(28, 10)) * 100) as bigint) end) as bigint) as open_paise from price_rows""", False)
 def typed_values(spark, sf):
     p = table(spark, sf, "price_rows")
     d, i = strict_decimal(F.col("price_open")), strict_integer(F.col("totaltrades"))
@@ -620,8 +660,10 @@ def isin_validity(spark, sf):
     return rows(spark, sf).groupBy("isin_n", "validity").agg(F.count("*").alias("row_count"))
 
 
-@query(r""" select failure, count(*) as row_count from (select case when raw_biz_dt = '' then 'legacy_timestamp_blank' when regexp_full_match(raw_biz_dt, '\d\d-[A-Za-z]{3}-\d{4}') and try_strptime(raw_biz_dt, '%d-%b-%Y') is not null then 'none'
-  when regexp_full_match(raw_biz_dt, '\d\d-[A-Za-z]{3}-\d\d') then 'short' else 'legacy_timestamp_unparseable' end as failure from rows where format_family = 'legacy13' and raw_biz_dt is not null) z group by failure""")
+@query(r""" select failure, count(*) as row_count from (select case when raw_biz_dt = '' then 'legacy_timestamp_blank' when regexp_full_match(raw_biz_dt,
+  '\d\d-[A-Za-z]{3}-\d{4}') and try_strptime(raw_biz_dt, '%d-%b-%Y') is not null then 'none'
+  when regexp_full_match(raw_biz_dt, '\d\d-[A-Za-z]{3}-\d\d') then 'short' else 'legacy_timestamp_unparseable' end as failure from rows
+  where format_family = 'legacy13' and raw_biz_dt is not null) z group by failure""")
 def legacy_timestamps(spark, sf):
     s = F.col("raw_biz_dt")
     f = F.when(s.rlike(rf"^{short_stamp_pattern()}\z"), "short").otherwise(F.coalesce(legacy_stamp(s, F.col("trade_date"))["failure"], F.lit("none")))
@@ -667,12 +709,15 @@ def series_map_sums(spark, sf):
     return maps.join(table(spark, sf, "members").select("member_id", "row_count"), "member_id").select("member_id", total.alias("series_total"), total.eqNullSafe(F.col("row_count")).alias("sums_up"))
 
 
-@query(r""", x as (select m.member_id, m.header_width, m.file_name, count(*) filter (r.series = 'BL') as bl, count(*) as n, count(distinct r.isin_n) as isins from members m join rows r using (member_id) group by all)
-select member_id, header_width, bl, header_width = 13 as short_header, regexp_matches(file_name, '(?i)31(dec|jan)') as year_end, bl > 0 and n = isins as overlay_without_repeats from x where header_width = 13 or regexp_matches(file_name, '(?i)31(dec|jan)') or (bl > 0 and n = isins)""")
+@query(r""", x as (select m.member_id, m.header_width, m.file_name, count(*) filter (r.series = 'BL') as bl, count(*) as n, count(distinct r.isin_n) as isins from members m
+  join rows r using (member_id) group by all)
+select member_id, header_width, bl, header_width = 13 as short_header, regexp_matches(file_name, '(?i)31(dec|jan)') as year_end, bl > 0 and n = isins as overlay_without_repeats from x
+  where header_width = 13 or regexp_matches(file_name, '(?i)31(dec|jan)') or (bl > 0 and n = isins)""")
 def inventory_anomalies(spark, sf):
     m = table(spark, sf, "members").select("member_id", "header_width")
     g = rows(spark, sf).groupBy("member_id", "file_name").agg(F.count_if(F.col("series") == "BL").alias("bl"), F.count("*").alias("n"), F.countDistinct("isin_n").alias("isins"))
-    x = m.join(g, "member_id").select("member_id", "header_width", "bl", (F.col("header_width") == 13).alias("short_header"), F.col("file_name").rlike("(?i)31(dec|jan)").alias("year_end"), ((F.col("bl") > 0) & (F.col("n") == F.col("isins"))).alias("overlay_without_repeats"))
+    x = m.join(g, "member_id").select("member_id", "header_width", "bl", (F.col("header_width") == 13).alias("short_header"), F.col("file_name").rlike("(?i)31(dec|jan)").alias("year_end"),
+        ((F.col("bl") > 0) & (F.col("n") == F.col("isins"))).alias("overlay_without_repeats"))
     return x.where("short_header or year_end or overlay_without_repeats")
 
 
@@ -688,17 +733,21 @@ def weekend_files(spark, sf):
     return table(spark, sf, "members").groupBy((F.weekday("date_from_filename") >= 5).alias("weekend")).agg(F.count("*").alias("files"), F.countDistinct("date_from_filename").alias("days"))
 
 
-@query(""", t as (select upper(trim(ticker)) as ticker, upper(trim(series)) as series, upper(trim(identity)) as identity, date_from, date_to from tickers where ticker is not null and series is not null and identity is not null and date_from <= coalesce(date_to, '2026-09-18')),
+@query(""", t as (select upper(trim(ticker)) as ticker, upper(trim(series)) as series, upper(trim(identity)) as identity, date_from, date_to from tickers
+  where ticker is not null and series is not null and identity is not null and date_from <= coalesce(date_to, '2026-09-18')),
 c as (select ticker, series, count(distinct identity) as identities, min(date_from) as first_from, max(coalesce(date_to, '2026-09-18')) as last_to from t group by ticker, series) select * from c""")
 def ticker_bounds(spark, sf):
-    t = table(spark, sf, "tickers").where("ticker is not null and series is not null and identity is not null").withColumn("date_to", F.coalesce("date_to", F.lit("2026-09-18"))).where("date_from <= date_to")
-    return t.groupBy(F.upper(F.trim("ticker")).alias("ticker"), F.upper(F.trim("series")).alias("series")).agg(F.countDistinct(F.upper(F.trim("identity"))).alias("identities"), F.min("date_from").alias("first_from"), F.max("date_to").alias("last_to"))
+    t = table(spark, sf, "tickers").where("ticker is not null and series is not null and identity is not null").withColumn("date_to", F.coalesce("date_to",
+        F.lit("2026-09-18"))).where("date_from <= date_to")
+    return t.groupBy(F.upper(F.trim("ticker")).alias("ticker"), F.upper(F.trim("series")).alias("series")).agg(F.countDistinct(F.upper(F.trim("identity"))).alias("identities"),
+        F.min("date_from").alias("first_from"), F.max("date_to").alias("last_to"))
 
 
 # ---- incremental
 
 
-@query(r"""select s.entry_id, case when a.entry_id is null then 'new' when regexp_replace(lower(trim(a.digest)), '^sha256:', '') = regexp_replace(lower(trim(s.digest)), '^sha256:', '') then 'unchanged' else 'changed' end as state
+@query(r"""select s.entry_id, case when a.entry_id is null then 'new' when regexp_replace(lower(trim(a.digest)), '^sha256:', '') = regexp_replace(lower(trim(s.digest)), '^sha256:',
+  '') then 'unchanged' else 'changed' end as state
 from staged_candidates s left join accepted a on a.file_name = s.file_name and a.date = s.date""", False)
 def pending_queue(spark, sf):
     return arrivals_state(table(spark, sf, "staged_candidates"), table(spark, sf, "accepted")).select("entry_id", "state")
@@ -711,7 +760,8 @@ def arrivals_state(staged, accepted):
     return staged.join(a, ["file_name", "date"], "left").withColumn("state", state)
 
 
-@query(r""", b as (select isin_n, max(symbol) as symbol from rows where year < 2022 and isin_n <> '' group by isin_n), o as (select isin_n, max(symbol) as symbol from rows where year >= 2022 and isin_n <> '' group by isin_n)
+@query(r""", b as (select isin_n, max(symbol) as symbol from rows where year < 2022 and isin_n <> '' group by isin_n), o as (select isin_n, max(symbol) as symbol from rows
+  where year >= 2022 and isin_n <> '' group by isin_n)
 select * from o union all select * from b where isin_n not in (select isin_n from o)""")
 def overrides(spark, sf):
     r = rows(spark, sf).where("isin_n <> ''")
@@ -735,7 +785,8 @@ def replay_compare(spark, sf):
 
 @query(r"""select feed, upper(regexp_replace(sctysrs, '^\s+|\s+$', '', 'g')) as series, count(*) as groups, cast(sum(row_count) as bigint) as row_count, count(*) filter (first_date > last_date) as reversed from ud_census_groups group by all""", False)
 def published_census(spark, sf):
-    return table(spark, sf, "ud_census_groups").groupBy("feed", norm(F.col("sctysrs")).alias("series")).agg(F.count("*").alias("groups"), F.sum("row_count").alias("row_count"), F.count_if(F.col("first_date") > F.col("last_date")).alias("reversed"))
+    return table(spark, sf, "ud_census_groups").groupBy("feed", norm(F.col("sctysrs")).alias("series")).agg(F.count("*").alias("groups"), F.sum("row_count").alias("row_count"),
+        F.count_if(F.col("first_date") > F.col("last_date")).alias("reversed"))
 
 
 # ---- star schema
@@ -745,13 +796,15 @@ def published_census(spark, sf):
 from (select *, cast(year(o_orderdate) as int) as y from orders) o group by grouping sets ((o_orderstatus, y), (o_orderstatus))""", False)
 def order_rollup(spark, sf):
     o = table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
-    return o.groupingSets([["o_orderstatus", "year"], ["o_orderstatus"]], "o_orderstatus", "year").agg(F.count("*").alias("orders"), F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"))
+    return o.groupingSets([["o_orderstatus", "year"], ["o_orderstatus"]], "o_orderstatus", "year").agg(F.count("*").alias("orders"),
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"))
 
 
 @query("""select l_returnflag, l_linestatus, cast(sum(cast(l_quantity as bigint)) as bigint) as quantity, cast(sum(cast(round(l_extendedprice * 100) as bigint)) as bigint) as cents, count(*) as lines from lineitem where l_shipdate <= timestamp '1998-09-02' group by all""", False)
 def line_summary(spark, sf):
     x = table(spark, sf, "lineitem").where("l_shipdate <= timestamp '1998-09-02'")
-    return x.groupBy("l_returnflag", "l_linestatus").agg(F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"), F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("cents"), F.count("*").alias("lines"))
+    return x.groupBy("l_returnflag", "l_linestatus").agg(F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
+        F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("cents"), F.count("*").alias("lines"))
 
 
 @query("""with s as (select user_id, ts, event_id, event_type, lag(event_type) over (partition by user_id order by ts, event_id) as p from events) select p as from_type, event_type as to_type, count(*) as n from s where p is not null and p <> event_type group by all""", False)

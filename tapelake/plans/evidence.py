@@ -114,7 +114,8 @@ def file_metrics_upper(spark, sf):
     """Metrics of a file with symbol and series both in upper case."""
     up = lambda c: F.upper(F.trim(F.coalesce(c, F.lit(""))))
     code = F.when(F.col("isin_n") != "", F.col("isin_n"))
-    g = rows(spark, sf).groupBy("member_id").agg(F.count("*").alias("row_count"), F.countDistinct(F.struct(up("symbol"), up("series"))).alias("pairs"), (F.count(code) - F.countDistinct(code)).alias("extra_isin_rows"))
+    g = rows(spark, sf).groupBy("member_id").agg(F.count("*").alias("row_count"), F.countDistinct(F.struct(up("symbol"), up("series"))).alias("pairs"),
+        (F.count(code) - F.countDistinct(code)).alias("extra_isin_rows"))
     return g.withColumn("pair_duplicates", F.col("row_count") - F.col("pairs"))
 
 
@@ -133,7 +134,8 @@ def coverage_histogram(spark, sf):
     sym, ser = F.upper(F.trim("symbol")), F.upper(F.trim("series"))
     hint = reduce(lambda a, b: a | b, [F.upper("symbol").contains(h) for h in FUND_HINTS])
     other = (F.col("format_family") == "udiff34") & (F.trim("raw_biz_dt") != F.col("trade_date").cast("string"))
-    keys = F.array_compact(F.array(F.when(ser != "", F.concat(F.lit("SERIES:"), ser)), F.when(sym.startswith("RE"), F.lit("SYMBOL_RE_prefix")), F.when(hint, F.lit("SYMBOL_ETF_hint")), F.when(other, F.lit("TRADDT_NE_BIZDT"))))
+    keys = F.array_compact(F.array(F.when(ser != "", F.concat(F.lit("SERIES:"), ser)), F.when(sym.startswith("RE"), F.lit("SYMBOL_RE_prefix")), F.when(hint, F.lit("SYMBOL_ETF_hint")),
+        F.when(other, F.lit("TRADDT_NE_BIZDT"))))
     return rows(spark, sf).select("member_id", F.explode(keys).alias("key")).groupBy("member_id", "key").agg(F.count("*").alias("n"))
 
 
@@ -160,7 +162,8 @@ ob as (select pe.feed, pe.period_from, pe.period_to, sgmt, src, fininstrmtp, upp
 pb as (select group_id, feed, period_from, period_to, sgmt, src, fininstrmtp, upper(regexp_replace(sctysrs, '^\s+|\s+$', '', 'g')) as series_n, row_count as said from ud_census_groups),
 dj as (select coalesce(pb.feed, ob.feed) as feed, coalesce(pb.period_from, ob.period_from) as period_from, coalesce(pb.sgmt, ob.sgmt) as sgmt, coalesce(pb.src, ob.src) as src,
     coalesce(pb.fininstrmtp, ob.fininstrmtp) as fininstrmtp, coalesce(pb.series_n, ob.series_n) as series_n, group_id, said, counted,
-    case when group_id is null then 'observed-only' when counted is null then 'published-only' when said is null then 'not-comparable' when said = counted then 'agrees' else 'differs' end as disposition
+    case when group_id is null then 'observed-only' when counted is null then 'published-only' when said is null then 'not-comparable'
+  when said = counted then 'agrees' else 'differs' end as disposition
   from pb full join ob on pb.feed = ob.feed and pb.period_from = ob.period_from and pb.period_to = ob.period_to and pb.sgmt is not distinct from ob.sgmt and pb.src is not distinct from ob.src
     and pb.fininstrmtp is not distinct from ob.fininstrmtp and pb.series_n is not distinct from ob.series_n)"""
 
@@ -188,8 +191,10 @@ def group_disposition(spark, sf):
     return _disposition(spark, sf)
 
 
-@query(_DISPOSITION + """ select case when grouping(feed) = 0 then feed end as feed, case when grouping(fininstrmtp) = 0 then fininstrmtp end as fininstrmtp, case when grouping(series_n) = 0 then series_n end as series_n,
-  disposition, cast(grouping(feed, fininstrmtp, series_n) as int) as level, count(*) as groups from dj group by grouping sets ((feed, disposition), (fininstrmtp, disposition), (series_n, disposition), (disposition))""")
+@query(_DISPOSITION + """ select case when grouping(feed) = 0 then feed end as feed, case when grouping(fininstrmtp) = 0 then fininstrmtp end as fininstrmtp, case when
+  grouping(series_n) = 0 then series_n end as series_n,
+  disposition, cast(grouping(feed, fininstrmtp, series_n) as int) as level, count(*) as groups from dj group by grouping sets ((feed, disposition), (fininstrmtp, disposition), (series_n,
+  disposition), (disposition))""")
 def disposition_accounts(spark, sf):
     """The dispositions counted by feed, by type, by series and in all."""
     keys = ["feed", "fininstrmtp", "series_n"]
@@ -201,8 +206,8 @@ def disposition_accounts(spark, sf):
 
 # ---- verdicts and comparisons
 
-_CHAIN = """, lg as (select isin_n, min_by(price_close, (trade_date, source_line_number, row_id)) as px from rows where format_family = 'legacy13' and isin_n <> '' group by isin_n),
-ud as (select isin_n, min_by(price_prev_close, (trade_date, source_line_number, row_id)) as px from rows where format_family = 'udiff34' and isin_n <> '' group by isin_n)"""
+_CHAIN = """, lg as (select isin_n, arg_min_null(price_close, (trade_date, source_line_number, row_id)) as px from rows where format_family = 'legacy13' and isin_n <> '' group by isin_n),
+ud as (select isin_n, arg_min_null(price_prev_close, (trade_date, source_line_number, row_id)) as px from rows where format_family = 'udiff34' and isin_n <> '' group by isin_n)"""
 
 
 def _chain(spark, sf):
@@ -213,14 +218,18 @@ def _chain(spark, sf):
     return a.join(b, F.col("isin_n") == F.col("_i"), "full")
 
 
-@query(_CHAIN + """, c as (select count(*) filter (ud.isin_n is not null and lg.isin_n is not null) as matched, count(*) filter (ud.isin_n is null) as only_legacy, count(*) filter (lg.isin_n is null) as only_modern
+@query(_CHAIN + """, c as (select count(*) filter (ud.isin_n is not null and lg.isin_n is not null) as matched, count(*) filter (ud.isin_n is null) as only_legacy,
+  count(*) filter (lg.isin_n is null) as only_modern
   from lg full join ud on lg.isin_n = ud.isin_n),
 q as (select *, matched / greatest(matched + only_legacy + only_modern, 1) as ratio from c)
-select matched, only_legacy, only_modern, round(ratio, 6) as match_ratio, case when ratio > 0.99 then 'strong continuity support' when ratio > 0.95 then 'partial continuity' else 'significant unexplained discontinuity' end as verdict from q""")
+select matched, only_legacy, only_modern, round(ratio, 6) as match_ratio, case when ratio > 0.99 then 'strong continuity support'
+  when ratio > 0.95 then 'partial continuity' else 'significant unexplained discontinuity' end as verdict from q""")
 def continuity_verdict(spark, sf):
     """How many codes both formats have, and the verdict on the change of format."""
-    seen = rows(spark, sf).where("isin_n <> ''").groupBy("isin_n").agg(F.max((F.col("format_family") == "legacy13").cast("int")).alias("l"), F.max((F.col("format_family") == "udiff34").cast("int")).alias("u"))
-    c = seen.where("l + u > 0").agg(F.count_if((F.col("l") == 1) & (F.col("u") == 1)).alias("matched"), F.count_if(F.col("u") == 0).alias("only_legacy"), F.count_if(F.col("l") == 0).alias("only_modern"))
+    seen = rows(spark, sf).where("isin_n <> ''").groupBy("isin_n").agg(F.max((F.col("format_family") == "legacy13").cast("int")).alias("l"),
+        F.max((F.col("format_family") == "udiff34").cast("int")).alias("u"))
+    c = seen.where("l + u > 0").agg(F.count_if((F.col("l") == 1) & (F.col("u") == 1)).alias("matched"), F.count_if(F.col("u") == 0).alias("only_legacy"),
+        F.count_if(F.col("l") == 0).alias("only_modern"))
     ratio = F.col("matched") / F.greatest(F.col("matched") + F.col("only_legacy") + F.col("only_modern"), F.lit(1))
     verdict = F.when(ratio > 0.99, "strong continuity support").when(ratio > 0.95, "partial continuity").otherwise("significant unexplained discontinuity")
     return c.select("*", F.round(ratio, 6).alias("match_ratio"), verdict.alias("verdict"))
@@ -243,7 +252,8 @@ def price_relation(spark, sf):
 
 
 @query(r""", v as (select upper(replace(trim(coalesce(isin, '')), ' ', '')) as c from rows),
-k as (select case when c = '' then 'BLANK' when length(c) <> 12 then 'INVALID_LEN' when c not like 'IN%' then 'INVALID_PREFIX' when not regexp_full_match(c, 'IN[A-Z0-9]{9}[0-9]') then 'INVALID_CHARSET' else 'SHAPED' end as category from v)
+k as (select case when c = '' then 'BLANK' when length(c) <> 12 then 'INVALID_LEN' when c not like 'IN%' then 'INVALID_PREFIX' when not regexp_full_match(c,
+  'IN[A-Z0-9]{9}[0-9]') then 'INVALID_CHARSET' else 'SHAPED' end as category from v)
 select category, count(*) as row_count from k group by category""")
 def legacy_isin_shapes(spark, sf):
     """The older reading of a code, which drops inner blanks too, up to its check digit."""
@@ -256,7 +266,8 @@ def legacy_isin_shapes(spark, sf):
 
 
 @query(""", c as (select ticker, series, identity, count(*) as n from rows where ticker is not null group by all),
-p as (select ticker, series from c group by ticker, series order by sum(n) desc, ticker, series limit 1), i as (select distinct identity from c join p using (ticker, series) where identity is not null)
+p as (select ticker, series from c group by ticker, series order by sum(n) desc, ticker, series limit 1), i as (select distinct identity from c join p using (ticker, series)
+  where identity is not null)
 select ticker as selector, rows.identity in (select identity from i) as correlated, case when rows.identity in (select identity from i) then rows.identity end as correlation_identity,
   case when rows.identity in (select identity from i) then 'valid-isin-correlation' else 'exact-observation' end as basis, count(*) as row_count
 from rows join p using (ticker, series) group by all""")
@@ -299,7 +310,8 @@ i as (select *, sum(st) over (partition by isin_n order by trade_date, source_li
 a as (select isin_n, island, coalesce(symbol, '') as symbol, coalesce(series, '') as series, min(trade_date) as date_from, max(trade_date) as date_to from i group by all)"""
 
 
-@query(_ASSOC + """ select isin_n, count(*) as associations, string_agg(strftime(date_from, '%Y-%m-%d') || '..' || strftime(date_to, '%Y-%m-%d') || ' ' || symbol || '/' || series, '; ' order by date_from, symbol, series, date_to) as document
+@query(_ASSOC + """ select isin_n, count(*) as associations, string_agg(strftime(date_from, '%Y-%m-%d') || '..' || strftime(date_to, '%Y-%m-%d') || ' ' || symbol || '/' || series,
+  '; ' order by date_from, symbol, series, date_to) as document
 from a group by isin_n""")
 def association_documents(spark, sf):
     """The associations of a code as one document, in the order of first day, symbol and series."""
@@ -314,7 +326,8 @@ _LINKED = f""", bs as (select member_id, isin_n as k, source_line_number as base
   from rows where coalesce(series not in {_OV}, true) and isin_n <> '')"""
 
 
-@query(_LINKED + f""" select o.row_id, o.member_id, coalesce(b.base_line, 0) as base_line, cast(row_number() over (partition by o.member_id order by o.trade_date, o.series, o.isin_n, coalesce(b.base_line, 0), o.row_id) as int) as position
+@query(_LINKED + f""" select o.row_id, o.member_id, coalesce(b.base_line, 0) as base_line, cast(row_number() over (partition by o.member_id order by o.trade_date, o.series, o.isin_n,
+  coalesce(b.base_line, 0), o.row_id) as int) as position
 from rows o left join bs b on b.member_id = o.member_id and b.k = o.isin_n and b.n = 1 where o.series in {_OV}""")
 def overlay_order(spark, sf):
     """Overlay rows of each file in the order of day, series, code and base line (0 without one)."""
@@ -366,13 +379,15 @@ def record_sections(spark, sf):
     return table(spark, sf, "accepted").select("entry_id", F.explode(entries).alias("key", "value"))
 
 
-@query(r"""select entry_id, regexp_extract(record, '"root": "([^"]*)"', 1) as root, regexp_extract(record, '"relative_path": "([^"]*)"', 1) as path, try_cast(nullif(regexp_extract(record, '"row_count": ([0-9]+)', 1), '') as bigint) as row_count
+@query(r"""select entry_id, regexp_extract(record, '"root": "([^"]*)"', 1) as root, regexp_extract(record, '"relative_path": "([^"]*)"', 1) as path, try_cast(nullif(regexp_extract(record,
+  '"row_count": ([0-9]+)', 1), '') as bigint) as row_count
 from accepted where record is not null""", False)
 def text_pins(spark, sf):
     """Identity pins caught from the text of a record by patterns; '' where a pattern finds nothing."""
     pin = lambda p: F.regexp_extract("record", p, 1)
     count = F.nullif(pin('"row_count": ([0-9]+)'), F.lit("")).try_cast("bigint")
-    return table(spark, sf, "accepted").where("record is not null").select("entry_id", pin('"root": "([^"]*)"').alias("root"), pin('"relative_path": "([^"]*)"').alias("path"), count.alias("row_count"))
+    return table(spark, sf, "accepted").where("record is not null").select("entry_id", pin('"root": "([^"]*)"').alias("root"), pin('"relative_path": "([^"]*)"').alias("path"),
+        count.alias("row_count"))
 
 
 @query("""select root, cast(year(date_from_filename) as int) as year, count(*) as files, sha256(string_agg(relative_path || '|' || sha256, chr(10) order by relative_path, sha256)) as identity
@@ -432,7 +447,8 @@ def metric_verdict(spark, sf):
     """The published figures folded by root and in all, with the verdict on their definition."""
     total = F.col("valid_isin_rows") + F.col("blank_isin_rows") + F.col("invalid_isin_rows")
     g = table(spark, sf, "file_metrics").groupingSets([["root"], []], "root").agg(
-        F.grouping("root").alias("_g"), F.count("*").alias("files"), F.sum("row_count").alias("row_count"), F.count_if(F.col("distinct_valid_isin") != F.col("valid_isin_rows")).alias("discriminating"),
+        F.grouping("root").alias("_g"), F.count("*").alias("files"), F.sum("row_count").alias("row_count"),
+            F.count_if(F.col("distinct_valid_isin") != F.col("valid_isin_rows")).alias("discriminating"),
         F.count_if(total == F.col("row_count")).alias("closing"), F.when(F.count_if(total != F.col("row_count")) == 0, "consistent").otherwise("inconsistent").alias("verdict"),
     )
     return g.withColumn("total", F.col("_g") == 1).drop("_g")
@@ -465,7 +481,8 @@ def archive_sequence(spark, sf):
     return m.withColumn("_at", within).join(folders, ["root", "_folder"]).select("member_id", "root", "relative_path", (F.col("_before") + F.col("_at")).alias("sequence"))
 
 
-@query(r"""with a as (select entry_id, record->>'root' as root, record->>'relative_path' as relative_path, regexp_replace(lower(trim(digest)), '^sha256:\s*', '') as d from accepted where json_valid(record))
+@query(r"""with a as (select entry_id, record->>'root' as root, record->>'relative_path' as relative_path, regexp_replace(lower(trim(digest)), '^sha256:\s*', '') as d from accepted
+  where json_valid(record))
 select a.entry_id, case when m.member_id is null then 'not-in-inventory' when a.d = m.sha256 then 'digest-agrees' else 'digest-differs' end as state
 from a left join members m on m.root = a.root and m.relative_path = a.relative_path""", False)
 def inventory_match(spark, sf):
@@ -491,10 +508,12 @@ def quick_filters(spark, sf):
     eq, cm = F.coalesce(F.col("series") == "EQ", F.lit(False)), F.coalesce(F.col("sgmt") == "CM", F.lit(False))
     # Rows by year first, so that a row is not repeated for every span.
     per = rows(spark, sf).groupBy("year").agg(F.count("*").alias("n"), F.count_if(eq).alias("e"), F.count_if(cm).alias("c"), F.count_if(eq & cm).alias("b")).crossJoin(F.broadcast(last))  # one row
-    return per.select(F.explode(spans).alias("years"), "n", "e", "c", "b").groupBy("years").agg(F.sum("n").alias("row_count"), F.sum("e").alias("eq_rows"), F.sum("c").alias("cm_rows"), F.sum("b").alias("both_rows"))
+    return per.select(F.explode(spans).alias("years"), "n", "e", "c", "b").groupBy("years").agg(F.sum("n").alias("row_count"), F.sum("e").alias("eq_rows"), F.sum("c").alias("cm_rows"),
+        F.sum("b").alias("both_rows"))
 
 
-@query(r""", o as (select row_id, series, trade_date, member_id, source_line_number, coalesce(series in ('BL', 'BO', 'T0', 'IT', 'IL'), false) or validity not in ('BLANK', 'VALID') as special from rows),
+@query(r""", o as (select row_id, series, trade_date, member_id, source_line_number, coalesce(series in ('BL', 'BO', 'T0', 'IT', 'IL'), false) or validity not in ('BLANK', 'VALID') as special
+  from rows),
 a as (select row_id, series, row_number() over (partition by series order by trade_date, member_id, source_line_number, row_id) as n from o),
 b as (select row_id, row_number() over (order by trade_date, member_id, source_line_number, row_id) as m from o where special)
 select row_id, series, cast(case when n <= 25 then n end as int) as n, cast(case when m <= 200 then m end as int) as special_n from a left join b using (row_id) where n <= 25 or m <= 200""")
@@ -508,7 +527,8 @@ def stratified_sample(spark, sf):
     per = r.withColumn("k", F.row_number().over(Window.partitionBy("series", "member_id").orderBy("source_line_number", "row_id"))).where("k <= 25")
     first = per.withColumn("n", F.row_number().over(Window.partitionBy("series").orderBy(*order))).where("n <= 25").select("row_id", "series", "n")
     special = F.coalesce(F.col("series").isin(*OVERLAY_SERIES), F.lit(False)) | ~F.col("validity").isin("BLANK", "VALID")
-    top = r.where(special).orderBy(*order).limit(200).withColumn("special_n", F.row_number().over(Window.orderBy(*order))).select(F.col("row_id").alias("_r"), F.col("series").alias("_s"), "special_n")  # 200 rows
+    top = r.where(special).orderBy(*order).limit(200).withColumn("special_n", F.row_number().over(Window.orderBy(*order))).select(F.col("row_id").alias("_r"), F.col("series").alias("_s"),
+        "special_n")  # 200 rows
     j = first.join(top, F.col("row_id") == F.col("_r"), "full")
     return j.select(F.coalesce("row_id", "_r").alias("row_id"), F.coalesce("series", "_s").alias("series"), "n", "special_n")
 
@@ -545,7 +565,8 @@ def affected_identities(spark, sf):
 
 
 @query(""", c as (select ticker, series, identity, symbol as raw_symbol, case when identity is not null then trade_date end as d, year < 2021 as old from rows where ticker is not null),
-m as (select ticker, series, identity, raw_symbol, min(d) as date_from, max(d) as date_to, coalesce(bool_or(old), false) as in_base, coalesce(bool_or(not coalesce(old, false)), false) as in_delta from c group by ticker, series, identity, raw_symbol)
+m as (select ticker, series, identity, raw_symbol, min(d) as date_from, max(d) as date_to, coalesce(bool_or(old), false) as in_base, coalesce(bool_or(not coalesce(old, false)),
+  false) as in_delta from c group by ticker, series, identity, raw_symbol)
 select *, in_delta and not in_base as added from m""")
 def merge_census(spark, sf):
     """The census of the base merged with that of later rows: bounds over both, and what each brought."""

@@ -104,8 +104,10 @@ j as (
     when len(list_filter(decs, lambda x: not regexp_full_match(x, '{_DEC}'))) > 0 or len(list_filter(ints, lambda x: not regexp_full_match(x, '{_INT}'))) > 0 then 'numeric_field_unparseable'
   end as reason_code from u)"""
 _NAMES = {k: "[" + ", ".join(f"'{n}'" for n, _ in v) + "]" for k, v in LAYOUTS.items()}
-_PICKS = ",\n  ".join(f"case when fmt = 'legacy13' then {f'v[{[n for n, _ in LEGACY].index(o) + 1}]' if o else 'null'} else v[{[n for n, _ in UDIFF].index(m) + 1}] end as {c}" for c, o, m in FIELD_MAP if c != "business_date")
-_SHADOWS = ", ".join([f"try_cast({c} as decimal(38, 10)) as {c}_value" for c in ("price_open", "price_high", "price_low", "price_close", "price_last", "price_prev_close", "traded_value")] + [f"try_cast({c} as bigint) as {c}_value" for c in ("traded_quantity", "trades_count")])
+_PICKS = ",\n  ".join(f"case when fmt = 'legacy13' then {f'v[{[n for n, _ in LEGACY].index(o) + 1}]' if o else 'null'} else v[{[n for n, _ in UDIFF].index(m) + 1}] end as {c}" for c, o,
+    m in FIELD_MAP if c != "business_date")
+_SHADOWS = ", ".join([f"try_cast({c} as decimal(38, 10)) as {c}_value" for c in ("price_open", "price_high", "price_low", "price_close", "price_last", "price_prev_close",
+    "traded_value")] + [f"try_cast({c} as bigint) as {c}_value" for c in ("traded_quantity", "trades_count")])
 
 
 @query(_LINES + "\nselect record_id, reason_code from j where reason_code is not null")
@@ -117,9 +119,11 @@ def p4_found(spark, sf):
 n as (select *, case when fmt = 'legacy13' then {_NAMES["legacy13"]} when fmt = 'udiff34' then {_NAMES["udiff34"]} else [] end as names,
   case when fmt = 'legacy13' then [3, 4, 5, 6, 7, 8, 9, 10, 12] else [15, 16, 17, 18, 19, 20, 25, 26, 27] end as typed from j where reason_code is not null)
 select record_id, member_id, line_number, reason_code, case when reason_code not in ('empty_interior_line', 'csv_syntax_error') then cast(len(v) as int) end as physical_width,
-  case when reason_code = 'csv_syntax_error' then names[len(regexp_extract_all(regexp_extract(line, '^(?:{_F},)*', 0), '({_F}),', 1)) + 1] when reason_code = 'row_fieldcount_mismatch' then names[len(v) + 1]
+  case when reason_code = 'csv_syntax_error' then names[len(regexp_extract_all(regexp_extract(line,
+  '^(?:{_F},)*', 0), '({_F}),', 1)) + 1] when reason_code = 'row_fieldcount_mismatch' then names[len(v) + 1]
     when starts_with(reason_code, 'legacy') then 'TIMESTAMP' when starts_with(reason_code, 'udiff') then 'TradDt'
-    when reason_code = 'numeric_field_unparseable' then names[list_filter(typed, lambda i: not regexp_full_match(v[i], case when names[i] in ('TOTTRDQTY', 'TOTALTRADES', 'TtlTradgVol', 'TtlNbOfTxsExctd') then '{_INT}' else '{_DEC}' end))[1]] end as broken_field,
+    when reason_code = 'numeric_field_unparseable' then names[list_filter(typed, lambda i: not regexp_full_match(v[i], case when names[i] in ('TOTTRDQTY', 'TOTALTRADES', 'TtlTradgVol',
+  'TtlNbOfTxsExctd') then '{_INT}' else '{_DEC}' end))[1]] end as broken_field,
   raw_line from n""")
 def p4_quarantine(spark, sf):
     return quarantine.quarantine(table(spark, sf, "raw_records"), table(spark, sf, "members"))
@@ -163,7 +167,8 @@ s as (
   select member_id, regexp_matches(case when named then nv else note end, 'rupees|rs[^a-z]|inr') or (named and {said("nv")} > 0) as v_said, {said("nv")} as v_up,
     regexp_matches(case when named then nq else note end, 'shares|lots') or (named and {said("nq")} > 0) as q_said, {said("nq")} as q_up, regexp_matches(nq, 'lots') as q_lots from n),
 r as (
-  select row_id, member_id, try_cast(price_close as double) as px, try_cast(new_brd_lot_qty as int) as lot, {read("tottrdqty", "q", *quantity_text)}, {read("tottrdval", "v", *value_text)} from price_rows),
+  select row_id, member_id, try_cast(price_close as double) as px, try_cast(new_brd_lot_qty as int) as lot, {read("tottrdqty", "q", *quantity_text)}, {read("tottrdval", "v", *value_text)}
+  from price_rows),
 u as (select * from r left join s using (member_id)),
 q as (
   select *, case when not q_plain and q_word || q_noun <> '' then {power("q_word")} when q_said then q_up else 0 end as q_pow,
@@ -196,20 +201,23 @@ d as (select file_id, regexp_replace(unnest(string_split(line, delim)), '^\s+|\s
 v as (select distinct file_id, pos, val from d where val <> ''),
 k as (
   select file_id, pos, count(*) as n, case when bool_and(regexp_full_match(val, '-?[0-9]+')) then 'integer' when bool_and(regexp_full_match(val, '-?[0-9]+(\.[0-9]+)?')) then 'decimal'
-    when bool_and(regexp_full_match(val, '[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}-(?i:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)-[0-9]{4}')) then 'date' else 'text' end as kind from v group by file_id, pos),
+    when bool_and(regexp_full_match(val, '[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}-(?i:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)-[0-9]{4}')) then 'date' else 'text' end as kind from v
+  group by file_id, pos),
 c as (select h.file_id, name, pos, kind, coalesce(n, 0) as n from (select file_id, name, min(pos) as pos from h where name <> '' group by file_id, name) h left join k using (file_id, pos)),
 p as (select file_id, lag(file_id) over (partition by feed order by file_date nulls first, file_id) as prev from feed_files),
 nw as (select p.file_id, prev, c.name, c.pos, c.kind, c.n from p join c using (file_id) where prev is not null and not exists (select 1 from c o where o.file_id = prev and o.name = c.name)),
 gn as (select p.file_id, prev, o.name, o.pos, o.kind from p join c o on o.file_id = prev where not exists (select 1 from c where c.file_id = p.file_id and c.name = o.name)),
 f as (select lower(field_name) as name, min(canonical_field) as canon from field_names group by 1),
 sh as (
-  select g.file_id, g.pos as gpos, w.pos as npos, count(*) as shared from gn g join nw w using (file_id) join v a on a.file_id = g.prev and a.pos = g.pos join v b on b.file_id = w.file_id and b.pos = w.pos and b.val = a.val group by all),
+  select g.file_id, g.pos as gpos, w.pos as npos, count(*) as shared from gn g join nw w using (file_id) join v a on a.file_id = g.prev and a.pos = g.pos
+  join v b on b.file_id = w.file_id and b.pos = w.pos and b.val = a.val group by all),
 pr as (
   select g.file_id, g.name as old_name, w.name as new_name, g.kind as k0, w.kind as k1, g.pos as gpos, w.pos as npos,
     case when fg.canon is not null and fn.canon is not null then case when fg.canon = fn.canon then 2.0 else 0.0 end else coalesce(shared, 0) / greatest(w.n, 1) end as score
   from gn g join nw w using (file_id) left join f fg on fg.name = g.name left join f fn on fn.name = w.name left join sh on sh.file_id = g.file_id and sh.gpos = g.pos and sh.npos = w.pos),
 rn as (
-  select * from (select *, row_number() over (partition by file_id, old_name order by score desc, npos) as a, row_number() over (partition by file_id, new_name order by score desc, gpos) as b from pr where score >= 0.5) z where a = 1 and b = 1)
+  select * from (select *, row_number() over (partition by file_id, old_name order by score desc, npos) as a, row_number() over (partition by file_id, new_name order by score desc, gpos) as b
+  from pr where score >= 0.5) z where a = 1 and b = 1)
 select file_id, 'renamed' as change_kind, old_name, new_name from rn
 union all select file_id, 'retyped', old_name, new_name from rn where k0 <> k1
 union all select file_id, 'added', '', name from nw where not exists (select 1 from rn where rn.file_id = nw.file_id and new_name = name)
@@ -292,12 +300,14 @@ with once as (
 c as (select *, {_N.format("isin")} as i, {_BLANKS} from once),
 m as (select member_id, count(*) as n, sum(cast(b_isin = 0 and not {_ISIN_OK} as int)) as bad, {", ".join(f"sum(b_{c}) as b_{c}" for c in profile.BLANKS)} from c group by member_id),
 s as (
-  select feed, date_from_filename as d, member_id, unnest(['invalid_isin', {", ".join(f"'blank_{c}'" for c in profile.BLANKS)}]) as metric, unnest([bad / n, {", ".join(f"b_{c} / n" for c in profile.BLANKS)}]) as share
+  select feed, date_from_filename as d, member_id, unnest(['invalid_isin',
+  {", ".join(f"'blank_{c}'" for c in profile.BLANKS)}]) as metric, unnest([bad / n, {", ".join(f"b_{c} / n" for c in profile.BLANKS)}]) as share
   from m join members using (member_id) where d is not null),
 h as (
   select *, avg(share) over w as mean, stddev_pop(share) over w as sd, count(share) over w as seen from s
   window w as (partition by feed, metric order by d, member_id rows between unbounded preceding and 1 preceding))
-select feed, member_id, metric, share, mean, mean + 3 * greatest(sd, 0.001) as "limit" from h where seen >= 8 and share > mean + 3 * greatest(sd, 0.001)""")
+select feed, member_id, metric, round(share, 9) as share, round(mean, 9) as mean, round(mean + 3 * greatest(sd, 0.001), 9) as "limit" from h where seen >= 8 and share > mean + 3 * greatest(sd, 0.001)""")
 def p7_control_limits(spark, sf):
     state = materialize(profile.states(profile.row_masks(table(spark, sf, "price_rows"))))
-    return profile.control_limits(state, table(spark, sf, "members"))
+    found = profile.control_limits(state, table(spark, sf, "members"))
+    return found.withColumns({c: F.round(c, 9) for c in ("share", "mean", "limit")})

@@ -45,7 +45,8 @@ def split_lines(text: str) -> list[str]:
 
 def read_member(archive: bytes) -> tuple[dict, list[str]]:
     """(report of the archive's only CSV member, its data lines); `failure` says why there are none."""
-    report = {"member_name": None, "archive_sha256": hashlib.sha256(archive).hexdigest(), "member_sha256": None, "member_sha256_lf": None, "detected_format": None, "header_width": None, "data_lines": 0, "crlf_lines": 0, "size_bytes": len(archive), "failure": None}
+    report = {"member_name": None, "archive_sha256": hashlib.sha256(archive).hexdigest(), "member_sha256": None, "member_sha256_lf": None, "detected_format": None, "header_width": None,
+        "data_lines": 0, "crlf_lines": 0, "size_bytes": len(archive), "failure": None}
     try:
         with zipfile.ZipFile(io.BytesIO(archive)) as z:
             names = [n for n in z.namelist() if n.lower().endswith(".csv")]
@@ -98,7 +99,8 @@ def member_lines(files: DataFrame, at_once: int = 50_000) -> DataFrame:
                 report, lines = read_member(content)
                 for k in range(0, len(lines), at_once):
                     part = lines[k : k + at_once]
-                    yield pd.DataFrame({"relative_path": path, "member_name": report["member_name"], "detected_format": report["detected_format"], "header_width": report["header_width"], "line_number": range(k + 2, k + 2 + len(part)), "raw_line": part})
+                    yield pd.DataFrame({"relative_path": path, "member_name": report["member_name"], "detected_format": report["detected_format"], "header_width": report["header_width"],
+                        "line_number": range(k + 2, k + 2 + len(part)), "raw_line": part})
 
     return files.mapInPandas(run, LINES)
 

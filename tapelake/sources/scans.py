@@ -29,7 +29,8 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, ascending: str | Non
         return spark.createDataFrame([], declared)
     lines = spark.read.text(path).where(F.trim("value") != "")
     keys = F.array_sort(F.json_object_keys("value"))
-    parsed = lines.select("value", keys.alias("_keys"), F.from_json("value", declared, {"mode": "PERMISSIVE"}).alias("_x"), F.monotonically_increasing_id().alias("_at"), F.col("_metadata.file_path").alias("_file"))
+    parsed = lines.select("value", keys.alias("_keys"), F.from_json("value", declared, {"mode": "PERMISSIVE"}).alias("_x"), F.monotonically_increasing_id().alias("_at"),
+        F.col("_metadata.file_path").alias("_file"))
     wanted = F.array(*[F.lit(n) for n in sorted(declared.names)])
     # A value of another type is null where its text is not.
     lost = [F.col(f"_x.`{f.name}`").isNull() & F.get_json_object("value", f"$['{f.name}']").isNotNull() for f in declared.fields]

@@ -14,8 +14,10 @@ ROWS = "row_id bigint, trade_date string, ticker string, series string, identity
 def tables(spark, obs):
     """obs: (day, ticker, series, identity)."""
     rows = [(i, d, t, s, x, x or "", f"f{d}", i + 1, "udiff34" if d >= "2024" else "legacy13", "CM", "X", "STK", "VALID" if x else "BLANK") for i, (d, t, s, x) in enumerate(obs)]
-    r = spark.createDataFrame(rows, ROWS).withColumn("trade_date", F.to_date("trade_date")).withColumn("year", F.year("trade_date")).withColumn("symbol", F.col("ticker")).withColumn("member_id", F.unix_date("trade_date").cast("bigint"))
-    m = r.select("member_id", F.lit("R").alias("root"), "file_name", F.col("file_name").alias("relative_path"), F.lit("x").alias("sha256"), F.col("format_family").alias("detected_format"), F.col("trade_date").alias("date_from_filename"), F.lit(1).alias("row_count")).distinct()
+    r = spark.createDataFrame(rows, ROWS).withColumn("trade_date", F.to_date("trade_date")).withColumn("year", F.year("trade_date")).withColumn("symbol", F.col("ticker")).withColumn("member_id",
+        F.unix_date("trade_date").cast("bigint"))
+    m = r.select("member_id", F.lit("R").alias("root"), "file_name", F.col("file_name").alias("relative_path"), F.lit("x").alias("sha256"), F.col("format_family").alias("detected_format"),
+        F.col("trade_date").alias("date_from_filename"), F.lit(1).alias("row_count")).distinct()
     x = m.select("member_id", F.lit(1).alias("metric_id"), "row_count", F.lit(0).alias("blank_isin_rows"), F.lit(0).alias("invalid_isin_rows"))
     return catalog.Tables(r, m, x)
 
@@ -42,7 +44,10 @@ def test_ambiguous_tickers(spark, obs):
 
 def test_parameters(spark):
     t = tables(spark, [("2020-01-01", "S", "EQ", A), ("2024-01-03", "S", "BE", A)])
-    bad = [("date-range", {}), ("date-range", {"date_from": "2020-1-1", "date_to": "2020-01-02"}), ("date-range", {"date_from": "2020-02-30", "date_to": "2020-03-02"}), ("filter", {"filters": {}}), ("filter", {"filters": {"nope": "x"}}), ("filter", {"filters": {"series": 1}}), ("association", {}), ("association", {"symbol": "S"}), ("calendar", {"date_from": "2020-01-01"}), ("record-detail", {"source_file": "f2020-01-01", "source_line_number": 0}), ("record-detail", {"source_file": "nope", "source_line_number": 1}), ("dataset", {"what": 1}), ("nope", {}), ("production_ingestion", {})]
+    bad = [("date-range", {}), ("date-range", {"date_from": "2020-1-1", "date_to": "2020-01-02"}), ("date-range", {"date_from": "2020-02-30", "date_to": "2020-03-02"}), ("filter",
+        {"filters": {}}), ("filter", {"filters": {"nope": "x"}}), ("filter", {"filters": {"series": 1}}), ("association", {}), ("association", {"symbol": "S"}), ("calendar",
+            {"date_from": "2020-01-01"}), ("record-detail", {"source_file": "f2020-01-01", "source_line_number": 0}), ("record-detail", {"source_file": "nope", "source_line_number": 1}),
+                ("dataset", {"what": 1}), ("nope", {}), ("production_ingestion", {})]
     for mode, params in bad:
         with pytest.raises(catalog.QueryError):
             catalog.run(t, mode, **params)
@@ -55,7 +60,8 @@ def test_parameters(spark):
     t.evidence = spark.createDataFrame([("r1", "x"), ("r2", "x"), (None, "x"), (None, None)], "run string, sha string")
     assert [r.state for r in catalog.run(t, "qualification", bindings={"run": "r1", "sha": "x"}).collect()] == ["associated", "not-associated", "associated", "not-identity-bound"]
     s = "run string, sha string, present boolean, readable boolean, said_sha256 string, actual_sha256 string"
-    t.evidence = spark.createDataFrame([("r1", "x", False, None, None, None), ("r1", "x", True, False, None, None), ("r1", "x", None, None, "a", "b"), (None, None, True, True, "a", "a"), ("r1", "y", True, True, None, None), ("r1", None, True, True, None, "a")], s)
+    t.evidence = spark.createDataFrame([("r1", "x", False, None, None, None), ("r1", "x", True, False, None, None), ("r1", "x", None, None, "a", "b"), (None, None, True, True, "a", "a"), ("r1",
+        "y", True, True, None, None), ("r1", None, True, True, None, "a")], s)
     got = [(r.state, r.basis) for r in catalog.run(t, "qualification", bindings={"run": "r1", "sha": "x"}).collect()]
     assert [x for x, _ in got] == list(catalog.STATES) and got[4][1] == "mismatch: sha" and got[5][1] == "holds: run" and len(catalog.UNSUPPORTED) == 18
 
@@ -82,14 +88,16 @@ def test_associations(spark):
 
 def test_overlays(spark):
     s = "row_id bigint, member_id bigint, source_line_number int, series string, isin_n string, symbol string, quantity bigint"
-    rows = [(1, 1, 1, "BL", A, "S", 5), (2, 1, 2, "EQ", A, "S", 9), (3, 1, 3, "BE", A, "S", 1), (4, 1, 4, "bl", A, "S", 1), (5, 1, 5, "IL", B, "T", 1), (6, 1, 6, "BO", "", "U", 1), (7, 2, 1, "T0", A, "S", None), (8, 2, 2, None, A, "S", 1)]
+    rows = [(1, 1, 1, "BL", A, "S", 5), (2, 1, 2, "EQ", A, "S", 9), (3, 1, 3, "BE", A, "S", 1), (4, 1, 4, "bl", A, "S", 1), (5, 1, 5, "IL", B, "T", 1), (6, 1, 6, "BO", "", "U", 1), (7, 2, 1,
+        "T0", A, "S", None), (8, 2, 2, None, A, "S", 1)]
     got = {r.row_id: (r.base_series, r.candidates, r.relation) for r in islands.link_overlays(spark.createDataFrame(rows, s), ("BL", "BO", "T0", "IT", "IL")).collect()}
     assert got == {1: ("EQ", 3, "lt"), 5: (None, None, "unknown"), 6: (None, None, "unknown"), 7: (None, 1, "unknown")}
 
 
 def test_calendar_labels(spark):
     d = lambda x: dt.date.fromisoformat(x)
-    files = spark.createDataFrame([(d("2024-03-04"), "legacy13", "a"), (d("2024-03-06"), "legacy13", "b"), (d("2024-03-11"), "udiff34", "c"), (None, "udiff34", "z")], "trade_date date, family string, file_name string")
+    files = spark.createDataFrame([(d("2024-03-04"), "legacy13", "a"), (d("2024-03-06"), "legacy13", "b"), (d("2024-03-11"), "udiff34", "c"), (None, "udiff34", "z")],
+        "trade_date date, family string, file_name string")
     holidays = spark.createDataFrame([(d("2024-03-08"), "Fair"), (d("2024-03-11"), "Odd")], "trade_date date, holiday string")
     cal = {str(r.trade_date)[8:]: r.label for r in calendar.calendar(files, holidays).collect()}
     assert cal == {"04": "not-applicable", "05": "not-retrieved", "06": "not-applicable", "07": "unexplained", "08": "official-holiday", "09": "weekend", "10": "weekend", "11": "official-holiday"}
@@ -109,6 +117,7 @@ def test_streams(spark, tmp_path):
     q = streaming.state_changes(stream).writeStream.format("memory").queryName("changes").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert {(r.key, r.before, r.state) for r in spark.table("changes").collect()} == {("a", None, "EQ"), ("a", "EQ", "BE"), ("b", None, "EQ")}
-    q = streaming.windowed_counts(stream, "at", ["key"]).writeStream.outputMode("complete").format("memory").queryName("counts").option("checkpointLocation", str(tmp_path / "c3")).trigger(availableNow=True).start()
+    q = streaming.windowed_counts(stream, "at", ["key"]).writeStream.outputMode("complete").format("memory").queryName("counts").option("checkpointLocation",
+        str(tmp_path / "c3")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("counts").count() == 4

@@ -64,7 +64,8 @@ def test_against_brute_force(spark):
         head = rnd.sample(names, rnd.randrange(0, 7))
         value = lambda h: rnd.choice(["1", "2", "", "3.5", "2020-01-02", "02-JAN-2020", "a"] if h in "xyZ " else [f"{h[:1]}1", f"{h[:1]}2", "1"])
         body = "\n".join((delim or ",").join(value(h) for h in head) for _ in range(rnd.randrange(4)))
-        files.append((k, rnd.choice("fg"), "n", f"2020-01-{rnd.randrange(1, 28):02d}" if k % 13 else None, delim, ("﻿" if k % 7 == 0 else "") + (delim or ",").join(head) if k % 11 else None, body if k % 9 else None))
+        files.append((k, rnd.choice("fg"), "n", f"2020-01-{rnd.randrange(1, 28):02d}" if k % 13 else None, delim, ("﻿" if k % 7 == 0 else "") + (delim or ",").join(head) if k % 11 else None,
+            body if k % 9 else None))
     f, known = frames(spark, files)
     got = [tuple(r)[:4] for r in drift.change_log(f, known).select("file_id", "change_kind", "old_name", "new_name").collect()]
     assert len(got) == len(set(got)) and set(got) == brute(files)
@@ -149,4 +150,5 @@ def test_unlisted_names_follow_the_renamings(spark):
     assert rows[7, 1].fields == rows[8, 1].fields == {"u": "EQ", "qty": "1"}
     assert (float(typed[1, 1].qty), typed[3, 2].qty, float(typed[4, 1].qty), typed[5, 1].sym, typed[5, 1].other) == (1.0, None, 6.5, "EQ", {"code": "a"})
     schema = {(r.feed, r.field): (r.kind, r.files) for r in drift.union_schema(f, known).collect()}
-    assert schema == {("f", "sym"): ("text", 5), ("f", "qty"): ("decimal", 5), ("f", "desk"): ("text", 4), ("f", "code"): ("text", 1), ("g", "scrip"): ("text", 1), ("g", "qty"): ("integer", 1), ("h", "u"): ("text", 2), ("h", "qty"): ("integer", 2)}
+    assert schema == {("f", "sym"): ("text", 5), ("f", "qty"): ("decimal", 5), ("f", "desk"): ("text", 4), ("f", "code"): ("text", 1), ("g", "scrip"): ("text", 1), ("g", "qty"): ("integer", 1),
+        ("h", "u"): ("text", 2), ("h", "qty"): ("integer", 2)}

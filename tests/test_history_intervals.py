@@ -20,7 +20,8 @@ def some(seed, n=200):
         t = f + dt.timedelta(rnd.choice([-3, 0, 0, 1, 5, 40, 130, 300]))
         ident = "HOT" if k % 3 == 0 else rnd.choice([" a", "A ", "b", "C", None])
         at = dt.datetime(2021, 1, rnd.randrange(1, 4)) if rnd.random() > 0.1 else None
-        out.append((k, ident, rnd.choice(["t", "T ", "U", None] if k % 17 == 0 else ["t", "U"]), rnd.choice(["EQ", "be"]), "", str(f) if rnd.random() > 0.03 else None, str(t) if rnd.random() > 0.05 else None, at))
+        out.append((k, ident, rnd.choice(["t", "T ", "U", None] if k % 17 == 0 else ["t", "U"]), rnd.choice(["EQ", "be"]), "", str(f) if rnd.random() > 0.03 else None,
+            str(t) if rnd.random() > 0.05 else None, at))
     return out + out[:5]
 
 

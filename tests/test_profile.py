@@ -26,7 +26,8 @@ def tables(spark, rows, metrics=(), census=(), members=((1, "f", "2020-01-01"),
 
 
 def test_codes(spark):
-    cases = {"": "BLANK", " ": "BLANK", "INE144J0102": "LEN", "INE144J01020": "CHECKDIGIT", "US0378331005": "PREFIX", "IN00000000AB": "CHARSET", GOOD: "VALID", f" {GOOD.lower()}\t": "VALID", None: "BLANK"}
+    cases = {"": "BLANK", " ": "BLANK", "INE144J0102": "LEN", "INE144J01020": "CHECKDIGIT", "US0378331005": "PREFIX", "IN00000000AB": "CHARSET", GOOD: "VALID", f" {GOOD.lower()}\t": "VALID",
+        None: "BLANK"}
     df = spark.createDataFrame([(k,) for k in cases], "x string")
     got = {r.x: r.v for r in df.select("x", validity(df.x).alias("v")).collect()}
     assert got == cases
@@ -40,10 +41,13 @@ def test_findings(spark):
     again = [row(200, 2, 6, None, at=dt.datetime(2020, 2, 1)), row(201, 2, 9, GOOD, at=None)]
     lost = [row(300, 3, None, None), row(301, 3, None, None)]
     metrics = [(1, 1, 0, 0), (2, 2, 2, 2), (3, 2, None, 3), (4, 3, 2, None), (5, 9, 0, 0), (6, None, 0, 1)]
-    census = [(1, "f", "2020-01-01", "2020-01-02", "CM", "X", "STK", " eq", 2), (2, "f", "2020-01-01", "2020-01-01", "CM", "X", "STK", "EQ", 2), (3, "f", "2020-01-01", "2020-01-02", "CM", "X", None, "EQ", 0), (4, "h", None, None, None, None, None, None, None)]
-    got = sorted(tuple(r) for r in profile.findings(*[t for t in (lambda x: (x[0], x[1], x[2], x[3]))(tables(spark, a + b + again + lost, metrics, census))]).select("table_name", "row_key", "field_name", "finding").collect())
+    census = [(1, "f", "2020-01-01", "2020-01-02", "CM", "X", "STK", " eq", 2), (2, "f", "2020-01-01", "2020-01-01", "CM", "X", "STK", "EQ", 2), (3, "f", "2020-01-01", "2020-01-02", "CM", "X",
+        None, "EQ", 0), (4, "h", None, None, None, None, None, None, None)]
+    got = sorted(tuple(r) for r in profile.findings(*[t for t in (lambda x: (x[0], x[1], x[2], x[3]))(tables(spark, a + b + again + lost, metrics, census))]).select("table_name", "row_key",
+        "field_name", "finding").collect())
     assert got == sorted([
-        ("file_metrics", 3, "blank_isin_rows", "wrong_count"), ("file_metrics", 3, "invalid_isin_rows", "wrong_count"), ("file_metrics", 4, "invalid_isin_rows", "wrong_count"), ("file_metrics", 6, "invalid_isin_rows", "wrong_count"),
+        ("file_metrics", 3, "blank_isin_rows", "wrong_count"), ("file_metrics", 3, "invalid_isin_rows", "wrong_count"), ("file_metrics", 4, "invalid_isin_rows", "wrong_count"), ("file_metrics",
+            6, "invalid_isin_rows", "wrong_count"),
         ("ud_census_groups", 2, "blank_or_ws_isin_rows", "wrong_count"), ("ud_census_groups", 4, "blank_or_ws_isin_rows", "wrong_count"),
         ("members", 2, "isin", "blank_jump"), ("members", 2, "isin", "pattern_jump"), ("members", 2, "price_open", "blank_jump"),
     ])

@@ -23,13 +23,20 @@ def test_reasons(spark):
     cases = [
         (1, OLD, None), (2, OLD + ",", None), (2, OLD + ',""', None), (1, OLD + ",", "row_fieldcount_mismatch"), (2, OLD, "row_fieldcount_mismatch"), (2, OLD + ",x", "row_fieldcount_mismatch"),
         (3, NEW, None), (3, NEW + ",", "row_fieldcount_mismatch"), (1, "", "empty_interior_line"), (1, None, "empty_interior_line"), (1, " ", "row_fieldcount_mismatch"),
-        (1, OLD.replace("ABC", '"A,""B"'), None), (1, OLD.replace("ABC", 'A"B'), None), (1, OLD.replace("ABC", '"A"B'), "csv_syntax_error"), (1, OLD.replace("ABC", '"AB'), "csv_syntax_error"), (1, OLD + ',"', "csv_syntax_error"),
-        (1, stamp(""), "legacy_timestamp_blank"), (1, stamp('""'), "legacy_timestamp_blank"), (1, stamp("20-Sep-16"), None), (1, stamp("21-Sep-16"), "legacy_two_digit_year_unresolvable"), (1, stamp("31-FEB-2016"), "legacy_timestamp_unparseable"),
-        (1, stamp("31-FEB-16"), "legacy_timestamp_unparseable"), (1, stamp("29-feb-2016"), None), (1, stamp("29-FEB-2015"), "legacy_timestamp_unparseable"), (1, stamp("20-XXX-2016"), "legacy_timestamp_unparseable"), (1, stamp("20-SEP-2016 15:30"), "legacy_timestamp_unparseable"),
-        (1, stamp("2016-09-20"), "legacy_timestamp_unparseable"), (5, stamp("20-Sep-16"), "legacy_two_digit_year_unresolvable"), (5, OLD + ",", None), (4, OLD, "row_fieldcount_mismatch"), (9, OLD, "row_fieldcount_mismatch"),
-        (1, OLD.replace("8.5", "8."), "numeric_field_unparseable"), (1, OLD.replace("8.5", '"1,2"'), "numeric_field_unparseable"), (1, OLD.replace("8.5", "1e5"), "numeric_field_unparseable"), (1, OLD.replace(",7,", ",7.0,"), "numeric_field_unparseable"),
-        (1, OLD.replace(",7,", ", 7,"), "numeric_field_unparseable"), (1, OLD.replace(",7,", ",,"), None), (1, OLD.replace(",7,", ",-7,"), None), (1, OLD.replace(",7,", ",٧,"), "numeric_field_unparseable"), (1, OLD + "\n", None),
-        (3, NEW.replace("2024-02-29", "2023-02-29"), "udiff_traddt_unparseable"), (3, NEW.replace("1.5", "+1.5"), "numeric_field_unparseable"), (3, NEW.replace("2024-02-29", "x").replace("1.5", "y"), "udiff_traddt_unparseable"),
+        (1, OLD.replace("ABC", '"A,""B"'), None), (1, OLD.replace("ABC", 'A"B'), None), (1, OLD.replace("ABC", '"A"B'), "csv_syntax_error"), (1, OLD.replace("ABC", '"AB'), "csv_syntax_error"),
+            (1, OLD + ',"', "csv_syntax_error"),
+        (1, stamp(""), "legacy_timestamp_blank"), (1, stamp('""'), "legacy_timestamp_blank"), (1, stamp("20-Sep-16"), None), (1, stamp("21-Sep-16"), "legacy_two_digit_year_unresolvable"), (1,
+            stamp("31-FEB-2016"), "legacy_timestamp_unparseable"),
+        (1, stamp("31-FEB-16"), "legacy_timestamp_unparseable"), (1, stamp("29-feb-2016"), None), (1, stamp("29-FEB-2015"), "legacy_timestamp_unparseable"), (1, stamp("20-XXX-2016"),
+            "legacy_timestamp_unparseable"), (1, stamp("20-SEP-2016 15:30"), "legacy_timestamp_unparseable"),
+        (1, stamp("2016-09-20"), "legacy_timestamp_unparseable"), (5, stamp("20-Sep-16"), "legacy_two_digit_year_unresolvable"), (5, OLD + ",", None), (4, OLD, "row_fieldcount_mismatch"), (9,
+            OLD, "row_fieldcount_mismatch"),
+        (1, OLD.replace("8.5", "8."), "numeric_field_unparseable"), (1, OLD.replace("8.5", '"1,2"'), "numeric_field_unparseable"), (1, OLD.replace("8.5", "1e5"), "numeric_field_unparseable"),
+            (1, OLD.replace(",7,", ",7.0,"), "numeric_field_unparseable"),
+        (1, OLD.replace(",7,", ", 7,"), "numeric_field_unparseable"), (1, OLD.replace(",7,", ",,"), None), (1, OLD.replace(",7,", ",-7,"), None), (1, OLD.replace(",7,", ",٧,"),
+            "numeric_field_unparseable"), (1, OLD + "\n", None),
+        (3, NEW.replace("2024-02-29", "2023-02-29"), "udiff_traddt_unparseable"), (3, NEW.replace("1.5", "+1.5"), "numeric_field_unparseable"), (3, NEW.replace("2024-02-29", "x").replace("1.5",
+            "y"), "udiff_traddt_unparseable"),
         (1, "a," * 20000, "row_fieldcount_mismatch"), (1, OLD.replace("ABC", '"' + 'x""' * 50000 + '"'), None), (1, OLD.replace("ABC", "x" * 300000), None),
     ]
     got = found(spark, cases)
@@ -51,7 +58,8 @@ def test_loaded_rows_keep_text(spark):
 
 
 def test_every_modern_field_is_loaded(spark):
-    values = {n: f"v{i}" for i, (n, k) in enumerate(UDIFF) if k == "text"} | {n: "2024-02-29" for n, k in UDIFF if k == "iso"} | {n: str(i) for i, (n, k) in enumerate(UDIFF) if k in ("decimal", "integer")}
+    values = {n: f"v{i}" for i, (n, k) in enumerate(UDIFF) if k == "text"} | {n: "2024-02-29" for n, k in UDIFF if k == "iso"} | {n: str(i) for i, (n, k) in enumerate(UDIFF) if k in ("decimal",
+        "integer")}
     members = spark.createDataFrame([(1, "udiff34", 34)], "member_id bigint, detected_format string, header_width int").selectExpr("*", "date '2024-02-29' as date_from_filename")
     lines = spark.createDataFrame([(1, 1, 2, ",".join(values[n] for n, _ in UDIFF))], "record_id bigint, member_id bigint, line_number int, raw_line string")
     r = quarantine.loaded(lines, members).first().asDict()
@@ -60,7 +68,8 @@ def test_every_modern_field_is_loaded(spark):
 
 
 def test_empty(spark):
-    lines, members = spark.createDataFrame([], LINES), spark.createDataFrame([], MEMBERS).selectExpr("member_id", "detected_format", "header_width", "cast(date_from_filename as date) date_from_filename")
+    lines, members = spark.createDataFrame([], LINES), spark.createDataFrame([], MEMBERS).selectExpr("member_id", "detected_format", "header_width",
+        "cast(date_from_filename as date) date_from_filename")
     assert quarantine.quarantine(lines, members).count() == 0 and quarantine.loaded(lines, members).count() == 0
 
 

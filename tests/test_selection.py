@@ -23,7 +23,8 @@ def test_first_file_has_no_limit(spark):
 def test_shift_of_the_formats(spark):
     day = lambda k: dt.date(2020, 1, 1) + dt.timedelta(k)
     members = [(day(k), "legacy13") for k in range(6)] + [(day(5), "legacy13")] + [(day(k), "udiff34") for k in range(6, 9)] + [(None, "udiff34")]
-    r = [("legacy13", day(0), "OLD")] + [("legacy13", day(k), "EQ") for k in (2, 3, 4, 5, 5)] + [("legacy13", day(2), "BE"), ("udiff34", day(6), "EQ"), ("udiff34", day(7), "NEW"), ("udiff34", day(8), None)]
+    r = [("legacy13", day(0), "OLD")] + [("legacy13", day(k), "EQ") for k in (2, 3, 4, 5, 5)] + [("legacy13", day(2), "BE"), ("udiff34", day(6), "EQ"), ("udiff34", day(7), "NEW"), ("udiff34",
+        day(8), None)]
     args = spark.createDataFrame(r, "format_family string, trade_date date, series string"), spark.createDataFrame(members, "date_from_filename date, detected_format string")
     got = {x.series: (x.legacy_average, x.modern_average, x.delta) for x in engine.shift(*args, days=4).collect()}
     assert got == {"EQ": (5 / 4, 1 / 3, 1 / 3 - 5 / 4), "BE": (1 / 4, 0, -1 / 4), "NEW": (0, 1 / 3, 1 / 3)}

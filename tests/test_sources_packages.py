@@ -23,9 +23,11 @@ def zipped(*members):
 
 
 def test_members():
-    crlf, lf = (archive.read_member(zipped(("a.csv", (OLD + e + "x" + e + e + "y" + e).encode())))[0] | {"lines": archive.read_member(zipped(("a.csv", (OLD + e + "x" + e + e + "y" + e).encode())))[1]} for e in ("\r\n", "\n"))
+    crlf, lf = (archive.read_member(zipped(("a.csv", (OLD + e + "x" + e + e + "y" + e).encode())))[0] | {"lines": archive.read_member(zipped(("a.csv",
+        (OLD + e + "x" + e + e + "y" + e).encode())))[1]} for e in ("\r\n", "\n"))
     assert crlf["lines"] == lf["lines"] == ["x", "", "y"] and crlf["member_sha256"] != lf["member_sha256"] and crlf["member_sha256_lf"] == lf["member_sha256_lf"]
-    for data, why in ((b"", "empty_member"), (b"\xef\xbb\xbf" + OLD.encode(), "byte_order_mark"), (OLD.encode() + b"\ra", "lone_carriage_return"), (OLD.encode() + b"\n\xff", "invalid_utf8"), (b"A,B\n", "unknown_header")):
+    for data, why in ((b"", "empty_member"), (b"\xef\xbb\xbf" + OLD.encode(), "byte_order_mark"), (OLD.encode() + b"\ra", "lone_carriage_return"), (OLD.encode() + b"\n\xff", "invalid_utf8"),
+        (b"A,B\n", "unknown_header")):
         assert archive.read_member(zipped(("a.csv", data)))[0]["failure"] == why
     assert archive.read_member(zipped(("a.txt", b"x")))[0]["failure"] == archive.read_member(zipped(("a.csv", b"x"), ("b.CSV", b"x")))[0]["failure"] == "not_exactly_one_csv"
     assert archive.read_member(b"no zip")[0]["failure"] == "unreadable_archive"
@@ -38,7 +40,8 @@ def test_archives_both_ways(spark, tmp_path):
         (tmp_path / path).write_bytes(data)
     files = archive.archives(spark, str(tmp_path))
     reports = {r.relative_path: r for r in archive.member_reports(files).collect()}
-    assert {k: (r.failure, r.data_lines) for k, r in reports.items()} == {"legacy/cm20SEP2016bhav.csv.zip": (None, 2), "udiff/B_CM_20240305_f.csv.zip": (None, 1), "x/bad.zip": ("unreadable_archive", 0)}
+    assert {k: (r.failure, r.data_lines) for k, r in reports.items()} == {"legacy/cm20SEP2016bhav.csv.zip": (None, 2), "udiff/B_CM_20240305_f.csv.zip": (None, 1),
+        "x/bad.zip": ("unreadable_archive", 0)}
     lines = sorted(tuple(r) for r in archive.member_lines(files).collect())
     assert [x[4:] for x in lines] == [(2, "1"), (3, "2"), (2, "3")]
     spark.dataSource.register(archive.ZipMembers)
@@ -74,9 +77,11 @@ def test_content_state_ignores_order_and_tells_null_from_empty(spark):
 def test_arrivals(spark):
     s = "path string, name string, date string, digest string"
     accepted = spark.createDataFrame([("n1", "2020-01-01", "d1"), ("n2", "2020-01-05", "d2")], "name string, date string, digest string")
-    rows = [("p1", "n1", "2020-01-01", "d1"), ("p2", "n1", "2020-01-01", "zz"), ("p3", "n9", "2020-02-01", "d2"), ("p4", "n8", "2020-01-02", "x"), ("p5", "n7", "2020-02-01", "y"), ("p6", "n6", "2020-02-01", None), ("p7", "a", "2020-02-01", "q"), ("p7", "b", "2020-02-02", "r")]
+    rows = [("p1", "n1", "2020-01-01", "d1"), ("p2", "n1", "2020-01-01", "zz"), ("p3", "n9", "2020-02-01", "d2"), ("p4", "n8", "2020-01-02", "x"), ("p5", "n7", "2020-02-01", "y"), ("p6", "n6",
+        "2020-02-01", None), ("p7", "a", "2020-02-01", "q"), ("p7", "b", "2020-02-02", "r")]
     got = {(r.path, r.name): r.state for r in increment.classify(spark.createDataFrame(rows, s), accepted).collect()}
-    assert list(got.values()) and got == {("p1", "n1"): "unchanged", ("p2", "n1"): "conflict", ("p3", "n9"): "dup_content", ("p4", "n8"): "stale", ("p5", "n7"): "new", ("p6", "n6"): "new", ("p7", "a"): "dup_path", ("p7", "b"): "dup_path"}
+    assert list(got.values()) and got == {("p1", "n1"): "unchanged", ("p2", "n1"): "conflict", ("p3", "n9"): "dup_content", ("p4", "n8"): "stale", ("p5", "n7"): "new", ("p6", "n6"): "new",
+        ("p7", "a"): "dup_path", ("p7", "b"): "dup_path"}
     log = spark.createDataFrame([("n1", "first")], "name string, digest string")
     assert {tuple(r) for r in increment.log_conflicts(log, spark.createDataFrame([("n1", "second"), ("n2", "x")], "name string, digest string"), ["name"]).collect()} == {("n1", "first"), ("n2", "x")}
 
@@ -153,7 +158,8 @@ def test_refresh_of_linked_keys(spark):
 
 def test_what_may_be_staged(spark):
     reports = spark.createDataFrame([("a", None), ("b", "empty_member"), ("c", None), ("d", None), ("e", None)], "relative_path string, failure string")
-    expected = spark.createDataFrame([("a", "2020-01-01"), ("a", "2020-01-01"), ("b", "2020-01-01"), ("d", "2020-01-01"), ("d", "2020-01-02"), ("e", "2020-01-03"), ("c", None)], "relative_path string, file_date string")
+    expected = spark.createDataFrame([("a", "2020-01-01"), ("a", "2020-01-01"), ("b", "2020-01-01"), ("d", "2020-01-01"), ("d", "2020-01-02"), ("e", "2020-01-03"), ("c", None)],
+        "relative_path string, file_date string")
     got = {r.relative_path: r.refusal for r in increment.stageable(reports, expected, spark.createDataFrame([("e",)], "relative_path string")).collect()}
     assert got == {"a": None, "b": "unreadable", "c": "undated", "d": "several_dates", "e": "quarantined"}
 

@@ -8,22 +8,31 @@ from tapelake.operators import units
 ROWS = "row_id bigint, member_id bigint, tottrdqty string, tottrdval string, price_close string, new_brd_lot_qty string, q string, shares string"
 NOTES = {
     1: None, 2: "", 3: "Values in rupees, volumes in shares.", 4: "Turnover (Rs. Lakhs); TOTTRDQTY: '000 shares", 5: "Traded quantity (lakhs) / value column: figures in lacs of rupees",
-    6: "Checked on arrival, over 2 lakh lines read; value in rupees, quantity in shares", 7: "No lakh or crore scaling here: turnover in rupees and quantity in single shares", 8: "volume stated in board lots", 9: "Units: rupees / shares",
+    6: "Checked on arrival, over 2 lakh lines read; value in rupees, quantity in shares", 7: "No lakh or crore scaling here: turnover in rupees and quantity in single shares",
+        8: "volume stated in board lots", 9: "Units: rupees / shares",
     10: "TOTTRDVAL in lakh; rest as usual", 11: "Turnover in INR mn", 12: "value figures: INR '000", 13: "over 3 lakh lines read",
 }
 # note, quantity, value, close, lot -> common quantity, common value (None: no case)
 CASES = [
     (1, "100", "1000.00", "10", None, None, None), (1, "100", "1.00", "10", None, None, 100000), (1, "100000", "10", "10", None, None, 100000000), (1, "10000000", "10", "10", None, None, 10000000000),
-    (1, None, "10", "10", None, None, None), (1, "100", "0", "10", None, None, None), (1, "100", "1", "0", None, None, None), (1, "100", "1", None, None, None, None), (13, "100", "1.00", "10", None, None, 100000),
+    (1, None, "10", "10", None, None, None), (1, "100", "0", "10", None, None, None), (1, "100", "1", "0", None, None, None), (1, "100", "1", None, None, None, None), (13, "100", "1.00", "10",
+        None, None, 100000),
     (3, "100", "1.00", "10", None, None, None), (9, "100", "1.00", "10", None, None, None), (6, "100", "1.00", "10", None, None, None), (7, "100", "1.00", "10", None, None, None),
-    (4, "5", "2.5", "10", None, 5000, 25000000), (5, "1.5", "3", "10", None, 150000, 30000000), (10, "7", "3", "10", None, None, 30000000), (11, "7", "3", "10", None, None, 300000000), (12, "7", "3", "10", None, None, 300000),
-    (8, "5", "100", "10", "25", 125, None), (8, "5", "100", "10", None, None, None), (8, "5", "100", "10", "1", 5, None), (1, "5 lots", "1250", "10", "25", 125, None), (1, "5 lots", "1250", "10", "x", None, None),
-    (4, "12 shares", "Rs. 1,234.50", "10", None, 12, 123450), (4, "1,200", "1,2/-", "10", None, 1200000, None), (1, "1,200", "₹1.5 Cr.", "10", None, 1200, 1500000000), (1, "1.2K", "15 paise", "10", None, 1200, 15),
-    (1, "0.5 mn", "INR 2 mn", "10", None, 500000, 200000000), (1, "12 nos.", "12,00,000/-", "10", None, 12, 120000000), (3, "1 lakh", "1.25E+3", "10", None, 100000, 125000), (3, "3 thousand shares", "1.005", "10", None, 3000, None),
-    (3, "NA", "-", "10", None, None, None), (3, "", " ", "10", None, None, None), (3, "5 rupees", "5 shares", "10", None, None, None), (3, "1.2.3", "1e", "10", None, None, None), (3, "9" * 30, "9" * 30 + "K", "10", None, None, None),
+    (4, "5", "2.5", "10", None, 5000, 25000000), (5, "1.5", "3", "10", None, 150000, 30000000), (10, "7", "3", "10", None, None, 30000000), (11, "7", "3", "10", None, None, 300000000), (12, "7",
+        "3", "10", None, None, 300000),
+    (8, "5", "100", "10", "25", 125, None), (8, "5", "100", "10", None, None, None), (8, "5", "100", "10", "1", 5, None), (1, "5 lots", "1250", "10", "25", 125, None), (1, "5 lots", "1250",
+        "10", "x", None, None),
+    (4, "12 shares", "Rs. 1,234.50", "10", None, 12, 123450), (4, "1,200", "1,2/-", "10", None, 1200000, None), (1, "1,200", "₹1.5 Cr.", "10", None, 1200, 1500000000), (1, "1.2K", "15 paise",
+        "10", None, 1200, 15),
+    (1, "0.5 mn", "INR 2 mn", "10", None, 500000, 200000000), (1, "12 nos.", "12,00,000/-", "10", None, 12, 120000000), (3, "1 lakh", "1.25E+3", "10", None, 100000, 125000), (3,
+        "3 thousand shares", "1.005", "10", None, 3000, None),
+    (3, "NA", "-", "10", None, None, None), (3, "", " ", "10", None, None, None), (3, "5 rupees", "5 shares", "10", None, None, None), (3, "1.2.3", "1e", "10", None, None, None), (3, "9" * 30,
+        "9" * 30 + "K", "10", None, None, None),
     # More decimals than a paisa has, in the value, in a note, and guessed.
-    (3, "100", "0.000004933 Crore", "10", None, None, 4933), (3, "100", "1.2345678905 cr", "10", None, None, 1234567891), (3, "100", "123456789.123456789012 Cr.", "10", None, None, 123456789123456789),
-    (4, "0.123456789012", "2.1234567891", "10", None, 123, 21234568), (10, "7", "0.000000000004", "10", None, None, 0), (1, "1000000", "1.000000493", "10", None, None, 1000000493), (1, "1000000", "0.999999999499", "10", None, None, 999999999),
+    (3, "100", "0.000004933 Crore", "10", None, None, 4933), (3, "100", "1.2345678905 cr", "10", None, None, 1234567891), (3, "100", "123456789.123456789012 Cr.", "10", None, None,
+        123456789123456789),
+    (4, "0.123456789012", "2.1234567891", "10", None, 123, 21234568), (10, "7", "0.000000000004", "10", None, None, 0), (1, "1000000", "1.000000493", "10", None, None, 1000000493), (1,
+        "1000000", "0.999999999499", "10", None, None, 999999999),
     (10, "7", "0.00000004999999999999", "10", None, None, 0), (10, "7", "0.0000000500", "10", None, None, 1), (3, "1.0000000049999 lakh", "-0.0000000015 cr", "10", None, 100000, -2),
     (3, "-5", "-5 lakh", "10", None, -5, -50000000), (2, "1e400", "x" * 100000, "10", None, None, None), (3, " 100", "2,500", "10", None, 100, 250000), (3, "0.0005K", "0.005 paise", "10", None, 1, 0),
 ]
