@@ -223,7 +223,8 @@ class PrefixIndex:
         columns = ["key", "entry_id", "staged", "fresh"]
 
         def sides(old: DataFrame, new: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-            both = old.select(F.col(key).alias("key"), "entry_id", "staged", F.lit(False).alias("fresh")).unionByName(new.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), "entry_id", "staged", F.lit(True).alias("fresh")))
+            both = old.select(F.col(key).alias("key"), "entry_id", "staged", F.lit(False).alias("fresh")).unionByName(new.where(F.col(key).isNotNull()).select(F.col(key).alias("key"),
+                "entry_id", "staged", F.lit(True).alias("fresh")))
             return tuple(df.select(*[F.col(c).alias(f"{c}_{x}") for c in columns]) for df, x in ((both, "e"), (both.where("fresh"), "f")))
 
         # Each pair once: of two new entries the later is the one that finds.

@@ -50,7 +50,8 @@ def counted_documents(documents: DataFrame, targets: DataFrame, vocabulary: str
 def quotas(totals: DataFrame, targets: DataFrame, budget: int | None = None) -> DataFrame:
     """source, target_share, max_repeats, available, quota, passes (whole ones), rest (tokens of the partial pass)."""
     t = targets.where("source is not null").groupBy(source_name(F.col("source")).alias("source")).agg(
-        F.coalesce(F.greatest(F.max("target_share"), F.lit(0.0)), F.lit(0.0)).alias("target_share"), F.coalesce(F.greatest(F.max("max_repeats"), F.lit(0)), F.lit(1)).cast("bigint").alias("max_repeats")
+        F.coalesce(F.greatest(F.max("target_share"), F.lit(0.0)), F.lit(0.0)).alias("target_share"), F.coalesce(F.greatest(F.max("max_repeats"), F.lit(0)),
+            F.lit(1)).cast("bigint").alias("max_repeats")
     )
     t = t.join(totals, "source", "left").withColumn("available", F.coalesce("available", F.lit(0)))
     usable = (F.col("available") > 0) & (F.col("target_share") > 0) & (F.col("max_repeats") > 0)
@@ -93,7 +94,8 @@ def broken(selection: DataFrame, report: DataFrame, targets: DataFrame) -> DataF
     chosen = selection.groupBy("source", "doc_id").agg(F.count("*").alias("rows"), F.max("repeats").alias("repeats")).join(limits, "source")
     by = chosen.groupBy("source").agg(F.count_if(F.col("repeats") > F.col("most")).alias("too_often"), F.count_if(F.col("rows") > 1).alias("twice"))
     off = F.coalesce(F.abs(F.col("tokens") - F.col("quota")) * 2 > F.col("longest"), F.lit(False))
-    return report.join(by, "source", "left").select("source", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("too_often", F.lit(0)).alias("too_often"), F.coalesce("twice", F.lit(0)).alias("twice"), off.alias("off"))
+    return report.join(by, "source", "left").select("source", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("too_often", F.lit(0)).alias("too_often"), F.coalesce("twice",
+        F.lit(0)).alias("twice"), off.alias("off"))
 
 
 def mix(documents: DataFrame, targets: DataFrame, budget: int | None = None, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:

@@ -195,7 +195,8 @@ def ranges(offsets: DataFrame, parts: DataFrame) -> DataFrame:
     points = points.groupBy("container", "length", "low").agg(F.max("group").alias("group"), F.max("part").alias("part"))
     order = Window.partitionBy("container", "length").orderBy("low")  # a row a group and part of one length
     running = order.rowsBetween(Window.unboundedPreceding, 0)
-    held = points.select("container", "length", "low", F.lead("low").over(order).alias("high"), F.last("group", ignorenulls=True).over(running).alias("g"), F.last("part", ignorenulls=True).over(running).alias("p"))
+    held = points.select("container", "length", "low", F.lead("low").over(order).alias("high"), F.last("group", ignorenulls=True).over(running).alias("g"), F.last("part",
+        ignorenulls=True).over(running).alias("p"))
     return held.select("container", "length", "g.salt", "g.offset", "low", "high", "p.first", "p.base", "p.each")
 
 
@@ -206,8 +207,10 @@ def broken(packed: DataFrame, counted: DataFrame, sizes: DataFrame) -> DataFrame
     cover every token once; documents that are split although they fit.
     """
     caps = sizes.where("container is not null and capacity_tokens > 0").groupBy("container").agg(F.max("capacity_tokens").alias("capacity"))
-    over = packed.groupBy("container", "container_no").agg(F.sum("length").alias("load")).join(caps, "container").groupBy("container").agg(F.count_if(F.col("load") > F.col("capacity")).alias("overfull"))
-    pieces_of = packed.groupBy("container", "doc_id").agg(F.sum("length").alias("tokens"), F.max(F.col("start") + F.col("length")).alias("end"), F.countDistinct("start").alias("starts"), F.count("*").alias("n"))
+    over = packed.groupBy("container", "container_no").agg(F.sum("length").alias("load")).join(caps,
+        "container").groupBy("container").agg(F.count_if(F.col("load") > F.col("capacity")).alias("overfull"))
+    pieces_of = packed.groupBy("container", "doc_id").agg(F.sum("length").alias("tokens"), F.max(F.col("start") + F.col("length")).alias("end"), F.countDistinct("start").alias("starts"),
+        F.count("*").alias("n"))
     per = pieces_of.join(counted.where("n_tokens > 0").groupBy("doc_id").agg(F.sum("n_tokens").alias("n_tokens"), F.max("n_tokens").alias("longest")), "doc_id").join(caps, "container")
     wrong = (F.col("tokens") != F.col("n_tokens")) | (F.col("end") != F.col("longest"))
     by = per.groupBy("container").agg(F.count("*").alias("documents"), F.count_if(wrong).alias("misplaced"), F.count_if((F.col("starts") > 1) & (F.col("longest") <= F.col("capacity"))).alias("split"))

@@ -46,7 +46,8 @@ l as (
 g as (select entry_id, staged, string_agg(line, chr(10) order by line) as content, count(*) as n from l group by entry_id, staged),
 c as (select content, n, min(entry_id) as representative, bool_or(staged) as fresh, count(*) as files from g group by content, n),
 d as (select representative, n, fresh, unnest(string_split(content, chr(10))) as line from c),
-s as (select a.representative as x, b.representative as y, a.n as n, b.n as m, count(*) as shared from d a join d b on a.line = b.line and a.representative <> b.representative and (a.fresh or b.fresh) group by all),
+s as (select a.representative as x, b.representative as y, a.n as n, b.n as m, count(*) as shared from d a
+  join d b on a.line = b.line and a.representative <> b.representative and (a.fresh or b.fresh) group by all),
 k as (select x, count(*) as links from s where shared * 2 >= n + m - shared group by x)
 select entry_id, representative, files, coalesce(links, 0) as links from g join c using (content) left join k on x = representative""")
 def p3_classes(spark, sf):

@@ -17,7 +17,7 @@
 What the driver and each task hold is the factor: the words that at least one page in
 1 / `LEAST_RATE` of their language uses, which the length of pages bounds, not their number.
 
-Labels enter as at most `MOST_LABELS` labelled pages, those with the least hash of their id;
+Labels enter as about `MOST_LABELS` labelled pages at most, those with the least hash of their id;
 everything else covers all pages. Null or empty bodies, pages without paragraphs and pages with
 an error status have no subject. Unknown subjects in labels are ignored, null ones mean none.
 A language mark on fewer than `LEAST_PAGES` pages (of small corpora a fiftieth, three at least) is
@@ -41,7 +41,7 @@ from ..session import materialize
 
 SHARE = 0.25
 #: Bound of the labelled sample the factorisation is seeded with.
-MOST_LABELS = 50_000
+MOST_LABELS = 20_000
 #: Words on fewer of their language's pages are left out of the factor.
 LEAST_RATE = 1 / 5000
 #: Pages a language mark needs.
@@ -220,7 +220,8 @@ def _matrix(words, labelled):
             at = known.rows(lang[page], term)
             use = at >= 0
             column = lambda name: batch.column(batch.schema.get_field_index(name))
-            arrays = [column("doc_id"), _labels_of(column("doc_id").to_numpy(), labelled.value), _lists(at[use], page[use], n, pa.int32()), _lists(np.sqrt(counts[use]).astype(np.float32), page[use], n, pa.float32()), column("lengths"), _lists(known.rows(lang[rows], terms), rows, n, pa.int32())]
+            arrays = [column("doc_id"), _labels_of(column("doc_id").to_numpy(), labelled.value), _lists(at[use], page[use], n, pa.int32()), _lists(np.sqrt(counts[use]).astype(np.float32),
+                page[use], n, pa.float32()), column("lengths"), _lists(known.rows(lang[rows], terms), rows, n, pa.int32())]
             yield pa.RecordBatch.from_arrays([a.cast(t) for a, (_, t) in zip(arrays, _MATRIX)], [name for name, _ in _MATRIX])
 
     return run
@@ -399,8 +400,12 @@ def _fitted(documents: DataFrame, subjects: DataFrame, labels: DataFrame, rounds
         raise ValueError("at most 62 subjects")
     bit = F.create_map(*[x for i, s in enumerate(names) for x in (F.lit(s), F.lit(1 << i))]) if names else None
     bits = F.lit(0).cast("bigint") if bit is None else F.coalesce(bit[F.col("subject")], F.lit(0)).cast("bigint")
-    known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.bit_or(bits).alias("labels")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELS)
-    sample = known.toPandas().sort_values("doc_id")  # two numbers a labelled page, MOST_LABELS of them
+    known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.bit_or(bits).alias("labels"))
+    # A threshold on the hash instead of a sort: no task or driver holds more than the sample.
+    pages = known.count()
+    if pages > MOST_LABELS:
+        known = known.where(F.xxhash64("doc_id").bitwiseAND((1 << 53) - 1) < int((1 << 53) * (MOST_LABELS / pages)))
+    sample = known.toPandas().sort_values("doc_id")  # two numbers a labelled page, about MOST_LABELS of them
     articles = materialize(read_articles(documents.select("doc_id", "lang", "raw_body", "http_status", "text")))
     words = vocabulary(articles)
     if words is None or not len(words.keys):

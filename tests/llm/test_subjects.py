@@ -4,7 +4,8 @@ import random
 from tapelake.llm import subjects
 
 DOCS = "doc_id bigint, lang string, raw_body binary, http_status int, text string, terms string, labels string"
-WORDS = {"sea": ["tide", "harbour", "boat", "anchor"], "sky": ["cloud", "wing", "pilot", "storm"], "rock": ["basalt", "quarry", "granite", "boat"], "oven": ["dough", "flour", "crust", "storm"], "choir": ["tenor", "hymn", "organ", "alto"], "loom": ["thread", "weft", "wool", "spindle"]}
+WORDS = {"sea": ["tide", "harbour", "boat", "anchor"], "sky": ["cloud", "wing", "pilot", "storm"], "rock": ["basalt", "quarry", "granite", "boat"], "oven": ["dough", "flour", "crust", "storm"],
+    "choir": ["tenor", "hymn", "organ", "alto"], "loom": ["thread", "weft", "wool", "spindle"]}
 USUAL = ["the", "was", "seen", "again", "and", "then", "left"]
 
 
@@ -61,6 +62,13 @@ def test_a_rare_wrong_mark_is_no_language(spark):
     assert subjects.vocabulary(articles).languages == 2
 
 
+def test_more_labels_than_the_sample(spark, monkeypatch):
+    rows, truth, labels = corpus(400, 3)
+    monkeypatch.setattr(subjects, "MOST_LABELS", 60)
+    got = {(r.doc_id, r.subject) for r in subjects.subject_shares(*frames(spark, rows, labels)).collect()}
+    assert len({d for d, _ in labels}) > 90 and len(got & truth) / len(got | truth) > 0.95
+
+
 def test_rare_words_stay_out_and_mixtures(spark):
     rows, truth, labels = corpus(200)
     words = subjects.vocabulary(subjects.read_articles(frames(spark, rows, labels)[0]), least_rate=0.3)
@@ -76,7 +84,8 @@ def test_rare_words_stay_out_and_mixtures(spark):
 def test_pages_without_article(spark):
     rows, _, labels = corpus(120)
     body = page(["The tide was seen. The boat left the harbour."]).encode()
-    odd = [(900, "en", None, 200), (901, "en", b"", 200), (902, None, b"\xff\xfe", 200), (903, "en", page([]).encode(), 200), (904, "en", body, 404), (905, "en", body, None), (906, "en", b"\x80\x81 no markup", 200), (907, "en", page(["The tide. " * 30000]).encode(), 200)]
+    odd = [(900, "en", None, 200), (901, "en", b"", 200), (902, None, b"\xff\xfe", 200), (903, "en", page([]).encode(), 200), (904, "en", body, 404), (905, "en", body, None), (906, "en",
+        b"\x80\x81 no markup", 200), (907, "en", page(["The tide. " * 30000]).encode(), 200)]
     got = {r.doc_id for r in subjects.subject_shares(*frames(spark, rows + odd, labels)).collect()}
     assert got & set(range(900, 920)) == {905, 907}
 
