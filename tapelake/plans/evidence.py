@@ -310,16 +310,18 @@ i as (select *, sum(st) over (partition by isin_n order by trade_date, source_li
 a as (select isin_n, island, coalesce(symbol, '') as symbol, coalesce(series, '') as series, min(trade_date) as date_from, max(trade_date) as date_to from i group by all)"""
 
 
-@query(_ASSOC + """ select isin_n, count(*) as associations, string_agg(strftime(date_from, '%Y-%m-%d') || '..' || strftime(date_to, '%Y-%m-%d') || ' ' || symbol || '/' || series,
-  '; ' order by date_from, symbol, series, date_to) as document
-from a group by isin_n""")
+@query(_ASSOC + """ select isin_n, cast(year(date_from) as int) as year, count(*) as associations,
+  string_agg(strftime(date_from, '%Y-%m-%d') || '..' || strftime(date_to, '%Y-%m-%d') || ' ' || symbol || '/' || series, '; ' order by date_from, symbol, series, date_to) as document
+from a group by isin_n, year(date_from)""")
 def association_documents(spark, sf):
-    """The associations of a code as one document, in the order of first day, symbol and series."""
+    """The associations of a code that begin in a year as one document, in the order of first day, symbol and series."""
     keyed = rows(spark, sf).where((F.col("isin_n") != "") & F.coalesce(~F.col("series").isin(*OVERLAY_SERIES), F.lit(True)))
-    a = isl.associations(keyed).select("isin_n", "date_from", F.coalesce("symbol", F.lit("")).alias("symbol"), F.coalesce("series", F.lit("")).alias("series"), "date_to")
-    parts = F.array_sort(F.collect_list(F.struct("date_from", "symbol", "series", "date_to")))  # the associations of one code
-    text = lambda p: F.concat(p["date_from"].cast("string"), F.lit(".."), p["date_to"].cast("string"), F.lit(" "), p["symbol"], F.lit("/"), p["series"])
-    return a.groupBy("isin_n").agg(F.count("*").alias("associations"), parts.alias("p")).select("isin_n", "associations", F.array_join(F.transform("p", text), "; ").alias("document"))
+    text = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    a = isl.associations(keyed).select("isin_n", F.year("date_from").alias("year"), "date_from", text("symbol"), text("series"), "date_to")
+    parts = F.array_sort(F.collect_list(F.struct("date_from", "symbol", "series", "date_to")))  # those of one code and year
+    line = lambda p: F.concat(p["date_from"].cast("string"), F.lit(".."), p["date_to"].cast("string"), F.lit(" "), p["symbol"], F.lit("/"), p["series"])
+    g = a.groupBy("isin_n", "year").agg(F.count("*").alias("associations"), parts.alias("p"))
+    return g.select("isin_n", "year", "associations", F.array_join(F.transform("p", line), "; ").alias("document"))
 
 
 _LINKED = f""", bs as (select member_id, isin_n as k, source_line_number as base_line, row_number() over (partition by member_id, isin_n order by source_line_number, row_id) as n
@@ -390,14 +392,15 @@ def text_pins(spark, sf):
         count.alias("row_count"))
 
 
-@query("""select root, cast(year(date_from_filename) as int) as year, count(*) as files, sha256(string_agg(relative_path || '|' || sha256, chr(10) order by relative_path, sha256)) as identity
+@query("""select root, feed, cast(year(date_from_filename) as int) as year, count(*) as files, sha256(string_agg(relative_path || '|' || sha256, chr(10) order by relative_path, sha256)) as identity
 from members where relative_path is not null and sha256 is not null group by all""", False)
 def inventory_identity(spark, sf):
-    """One digest over the sorted archives of a root and year."""
+    """One digest over the sorted archives of a root, feed and year."""
     m = table(spark, sf, "members").where("relative_path is not null and sha256 is not null")
-    lines = F.array_sort(F.collect_list(F.struct("relative_path", "sha256")))  # the files of one root and year
-    g = m.groupBy("root", F.year("date_from_filename").alias("year")).agg(F.count("*").alias("files"), lines.alias("l"))
-    return g.select("root", "year", "files", F.sha2(F.array_join(F.transform("l", lambda x: F.concat(x["relative_path"], F.lit("|"), x["sha256"])), "\n"), 256).alias("identity"))
+    lines = F.array_sort(F.collect_list(F.struct("relative_path", "sha256")))  # the daily files of one feed and year
+    g = m.groupBy("root", "feed", F.year("date_from_filename").alias("year")).agg(F.count("*").alias("files"), lines.alias("l"))
+    text = F.array_join(F.transform("l", lambda x: F.concat(x["relative_path"], F.lit("|"), x["sha256"])), "\n")
+    return g.select("root", "feed", "year", "files", F.sha2(text, 256).alias("identity"))
 
 
 @query("""select s.entry_id, m.member_id, m.detected_format from staged_candidates s left join (select file_name, min(member_id) as member_id, min(detected_format) as detected_format from members group by file_name) m on m.file_name = s.file_name""", False)
@@ -582,13 +585,17 @@ def merge_census(spark, sf):
     return j.select(*keys, "date_from", "date_to", b.alias("in_base"), d.alias("in_delta"), (d & ~b).alias("added"))
 
 
-@query(r"""select batch_no, count(*) as files, count(*) filter (row_text is null or not regexp_matches(row_text, '\S')) as without_text, count(distinct file_name || '|' || date) as distinct_files,
-  sha256(string_agg(cast(entry_id as varchar) || '|' || coalesce(digest, ''), chr(10) order by entry_id)) as seal from staged_candidates group by batch_no""", False)
+@query(r"""with c as (
+  select batch_no, entry_id // 1000 as chunk, count(*) as files, count(*) filter (row_text is null or not regexp_matches(row_text, '\S')) as without_text,
+    sha256(string_agg(cast(entry_id as varchar) || '|' || coalesce(digest, ''), chr(10) order by entry_id)) as part from staged_candidates group by all)
+select batch_no, cast(sum(files) as bigint) as files, cast(sum(without_text) as bigint) as without_text, sha256(string_agg(part, chr(10) order by chunk)) as seal from c group by batch_no""", False)
 def pending_seals(spark, sf):
-    """Each pending batch with a digest that changes when anything is added, removed or replaced in it."""
-    lines = F.array_sort(F.collect_list(F.struct("entry_id", F.coalesce("digest", F.lit("")).alias("d"))))  # the files of one batch
-    g = table(spark, sf, "staged_candidates").groupBy("batch_no").agg(
-        F.count("*").alias("files"), F.count_if(is_blank(F.col("row_text"))).alias("without_text"), F.countDistinct(F.concat("file_name", F.lit("|"), "date")).alias("distinct_files"), lines.alias("l")
+    """Each pending batch with a digest that changes when anything is added, removed or replaced in it: a digest of the digests of a thousand ids each."""
+    lines = F.array_sort(F.collect_list(F.struct("entry_id", F.coalesce("digest", F.lit("")).alias("d"))))  # a thousand at most
+    chunk = F.floor(F.col("entry_id") / 1000).alias("chunk")
+    c = table(spark, sf, "staged_candidates").groupBy("batch_no", chunk).agg(F.count("*").alias("files"), F.count_if(is_blank(F.col("row_text"))).alias("without_text"), lines.alias("l"))
+    part = F.sha2(F.array_join(F.transform("l", lambda x: F.concat(x["entry_id"].cast("string"), F.lit("|"), x["d"])), "\n"), 256)
+    g = c.select("batch_no", "files", "without_text", F.struct("chunk", part.alias("part")).alias("s")).groupBy("batch_no").agg(
+        F.sum("files").alias("files"), F.sum("without_text").alias("without_text"), F.array_sort(F.collect_list("s")).alias("parts")
     )
-    seal = F.sha2(F.array_join(F.transform("l", lambda x: F.concat(x["entry_id"].cast("string"), F.lit("|"), x["d"])), "\n"), 256)
-    return g.select("batch_no", "files", "without_text", "distinct_files", seal.alias("seal"))
+    return g.select("batch_no", "files", "without_text", F.sha2(F.array_join(F.transform("parts", lambda x: x["part"]), "\n"), 256).alias("seal"))

@@ -239,13 +239,14 @@ def p6_table(spark, sf):
     return rows.withColumn("other", F.to_json("other"))
 
 
+_BLANK_COLUMNS = ("symbol", "series", "isin", "price_open", "price_high", "price_low", "price_last", "price_prev_close", "totaltrades")
 _ISIN_OK = """case when regexp_full_match(i, 'IN[A-Z0-9]{9}[0-9]') then
   list_sum(list_transform(list_reverse(string_split(list_aggregate(list_transform(string_split(i, ''),
     lambda c: case when c between 'A' and 'Z' then cast(ord(c) - 55 as varchar) else c end), 'string_agg', ''), '')),
     lambda c, k: case when k % 2 = 1 then cast(c as int) when cast(c as int) > 4 then cast(c as int) * 2 - 9 else cast(c as int) * 2 end)) % 10 = 0 else false end"""
-_BLANKS = ", ".join(f"cast({_BLANK.format(c)} as int) as b_{c}" for c in profile.BLANKS)
+_BLANKS = ", ".join(f"cast({_BLANK.format(c)} as int) as b_{c}" for c in _BLANK_COLUMNS)
 _JUMPS = " union all ".join(
-    [f"select member_id, '{c}' as field_name, 'blank_jump' as finding, b_{c} as x, n, lag(b_{c}) over w as x0, lag(n) over w as n0 from pm window w as (partition by feed order by date_from_filename)" for c in profile.BLANKS]
+    [f"select member_id, '{c}' as field_name, 'blank_jump' as finding, b_{c} as x, n, lag(b_{c}) over w as x0, lag(n) over w as n0 from pm window w as (partition by feed order by date_from_filename)" for c in _BLANK_COLUMNS]
     + ["select member_id, 'isin', 'pattern_jump', bad, n, lag(bad) over w, lag(n) over w from pm window w as (partition by feed order by date_from_filename)"]
 )
 
@@ -255,7 +256,7 @@ with once as (
   select * from price_rows qualify row_number() over (partition by member_id, source_line_number order by loaded_at desc, row_id desc) = 1),
 c as (select *, {_N.format("isin")} as i, {_BLANKS} from once),
 v as (select *, cast(b_isin = 0 and not {_ISIN_OK} as int) as bad from c),
-m as (select member_id, count(*) as n, sum(bad) as bad, {", ".join(f"sum(b_{c}) as b_{c}" for c in profile.BLANKS)} from v group by member_id),
+m as (select member_id, count(*) as n, sum(bad) as bad, {", ".join(f"sum(b_{c}) as b_{c}" for c in _BLANK_COLUMNS)} from v group by member_id),
 pm as (select members.feed, members.date_from_filename, m.* from members join m using (member_id)),
 j as ({_JUMPS}),
 g as (
@@ -298,10 +299,10 @@ def p7_profile(spark, sf):
 with once as (
   select * from price_rows qualify row_number() over (partition by member_id, source_line_number order by loaded_at desc, row_id desc) = 1),
 c as (select *, {_N.format("isin")} as i, {_BLANKS} from once),
-m as (select member_id, count(*) as n, sum(cast(b_isin = 0 and not {_ISIN_OK} as int)) as bad, {", ".join(f"sum(b_{c}) as b_{c}" for c in profile.BLANKS)} from c group by member_id),
+m as (select member_id, count(*) as n, sum(cast(b_isin = 0 and not {_ISIN_OK} as int)) as bad, {", ".join(f"sum(b_{c}) as b_{c}" for c in _BLANK_COLUMNS)} from c group by member_id),
 s as (
   select feed, date_from_filename as d, member_id, unnest(['invalid_isin',
-  {", ".join(f"'blank_{c}'" for c in profile.BLANKS)}]) as metric, unnest([bad / n, {", ".join(f"b_{c} / n" for c in profile.BLANKS)}]) as share
+  {", ".join(f"'blank_{c}'" for c in _BLANK_COLUMNS)}]) as metric, unnest([bad / n, {", ".join(f"b_{c} / n" for c in _BLANK_COLUMNS)}]) as share
   from m join members using (member_id) where d is not null),
 h as (
   select *, avg(share) over w as mean, stddev_pop(share) over w as sd, count(share) over w as seen from s
