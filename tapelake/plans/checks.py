@@ -51,6 +51,10 @@ def member_facts(lines: DataFrame) -> DataFrame:
     )
 
 
+def _facts(spark, sf, facts: DataFrame | None) -> DataFrame:
+    return member_facts(rows(spark, sf)) if facts is None else facts
+
+
 _FACTS = rf"""with {ROWS},
 ln as (select * from rows qualify row_number() over (partition by member_id, source_line_number order by loaded_at desc, row_id desc) = 1),
 fa as (
@@ -113,9 +117,9 @@ _DATE_IN_NAME = r"""case when root = 'LEGACY' then strftime(try_strptime(regexp_
     ("archive_basis", "member", "members.member_id", "detected_format", "case when least_family = greatest_family then least_family when least_family is not null then 'mixed' end",
         "members left join fa using (member_id)"),
 ]))
-def reconciliation_archives(spark, sf):
+def reconciliation_archives(spark, sf, facts=None):
     """Tier A: digest, family, header, name, day and rows of every archive."""
-    m = table(spark, sf, "members").join(member_facts(rows(spark, sf)).select("member_id", "least_family", "greatest_family"), "member_id", "left")
+    m = table(spark, sf, "members").join(_facts(spark, sf, facts).select("member_id", "least_family", "greatest_family"), "member_id", "left")
     legacy, modern = F.col("root") == "LEGACY", F.col("root") == "UDIFF"
     name = F.col("file_name")
     named_day = F.when(legacy, F.try_to_date(F.initcap(F.regexp_extract(name, r"cm(\d\d[A-Z]{3}\d{4})", 1)), "ddMMMyyyy")).otherwise(F.try_to_date(F.regexp_extract(name, r"_(\d{8})_", 1), "yyyyMMdd"))
@@ -142,7 +146,7 @@ _WIDTHS = "members m left join (select member_id, count(*) as n, count(*) filter
     ("verdict_vs_fold", "root", "root", "case when bool_and(coalesce(valid_isin_rows + blank_isin_rows + invalid_isin_rows = row_count, true)) then 'consistent' else 'inconsistent' end",
         "'consistent'", "file_metrics where root is not null group by root"),
 ]))
-def reconciliation_documents(spark, sf):
+def reconciliation_documents(spark, sf, facts=None):
     """Tier G: one archive a digest, known sizes, lines as wide as their header, published figures that add up."""
     m = table(spark, sf, "members").select("member_id", "sha256", "size_bytes", "header_width")
     copies = m.groupBy(F.col("sha256").alias("_s")).agg(F.count("*").alias("copies"))
@@ -175,9 +179,9 @@ _FOLDED = "(select m.root, count(*) as n, count(pu.metric_id) as with_metrics, "
     *[(f"fold_{n}", "root", "root", f"cast(s_{s} as bigint)", f"cast(o_{s} as bigint)", _FOLDED) for n, s, _ in _PAIRS[:5]],
     ("fold_members", "root", "root", "n", "with_metrics", _FOLDED),
 ]))
-def reconciliation_contents(spark, sf):
+def reconciliation_contents(spark, sf, facts=None):
     """Tier C: published figures of every file and root against its rows."""
-    j = table(spark, sf, "members").select("member_id", "root").join(member_facts(rows(spark, sf)), "member_id", "left").join(published(table(spark, sf, "file_metrics")).withColumn("has",
+    j = table(spark, sf, "members").select("member_id", "root").join(_facts(spark, sf, facts), "member_id", "left").join(published(table(spark, sf, "file_metrics")).withColumn("has",
         F.lit(True)), "member_id", "left")
     j = materialize(j)  # a row a member, read twice
     counted = lambda o: F.coalesce(F.col(o), F.lit(0))
@@ -199,11 +203,10 @@ _CENSUS_ROWS = """(select c.feed, c.said, count(ln.row_id) as counted from (sele
     ("inventory_rows", "member", "m.member_id", "m.row_count", "coalesce(fa.lines, 0)", "members m left join fa using (member_id)"),
     ("census_rows", "feed", "feed", "cast(said as bigint)", "counted", _CENSUS_ROWS),
 ]))
-def reconciliation_evidence(spark, sf):
+def reconciliation_evidence(spark, sf, facts=None):
     """Tier E, which never gates: sizes, row counts of the inventory, and the published census against the rows of its feed."""
     r = rows(spark, sf)
-    facts = member_facts(r)
-    m = table(spark, sf, "members").select("member_id", "row_count", "size_bytes").join(facts.select("member_id", "lines"), "member_id", "left")
+    m = table(spark, sf, "members").select("member_id", "row_count", "size_bytes").join(_facts(spark, sf, facts).select("member_id", "lines"), "member_id", "left")
     enough = "20 bytes a row or more"
     per = _records(m, "E", "member", "member_id", [
         _record("size_corroboration", F.when(F.col("row_count").isNotNull(), enough), F.when(F.col("size_bytes") >= 20 * F.col("row_count"), enough).otherwise(F.col("size_bytes").cast("string"))),
@@ -222,7 +225,8 @@ _TIERS = {"A": "reconciliation_archives", "G": "reconciliation_documents", "C":
 
 
 def _every(spark, sf) -> DataFrame:
-    first, *rest = [QUERIES[n](spark, sf) for n in _TIERS.values()]
+    facts = materialize(member_facts(rows(spark, sf)))  # a row a member, read by three tiers
+    first, *rest = [QUERIES[n](spark, sf, facts) for n in _TIERS.values()]
     for df in rest:
         first = first.unionByName(df)
     return first

@@ -219,7 +219,7 @@ def shared_tickers(spark, sf):
 @query(_CENSUS + """, t as (select identity, series, ticker, min(date_from) as s, max(date_to) as e from c where identity is not null group by all)
 select a.identity, a.series, a.ticker as ticker_1, b.ticker as ticker_2 from t a join t b on a.identity = b.identity and a.series = b.series and a.ticker < b.ticker and a.s <= b.e and b.s <= a.e""")
 def overlapping_tickers(spark, sf):
-    return isl.overlapping_tickers(isl.ticker_census(rows(spark, sf)))
+    return isl.overlapping_tickers(materialize(isl.ticker_census(rows(spark, sf))))
 
 
 _IVAL = f""", v as (select * from rows where identity is not null and ticker is not null and series is not null and series not in {_OV}),
@@ -230,7 +230,8 @@ iv as (select identity, series, cast(island as bigint) as island, ticker, min(tr
 
 
 def _eligible(r):
-    return r.where("identity is not null and ticker is not null and series is not null").where(~F.col("series").isin(*OVERLAY_SERIES))
+    # The check digit is worked out once a row; filters that need no identity stay at the scan.
+    return once(r.where("ticker is not null and series is not null").where(~F.col("series").isin(*OVERLAY_SERIES)), "identity").where("identity is not null")
 
 
 @query(_IVAL + " select * from iv")
@@ -253,12 +254,12 @@ from x join o a on a.trade_date = ended join o b on b.trade_date = began where n
 def ticker_transitions(spark, sf):
     """Transitions of every group whose tickers are clear: none of them shared with another identity or overlapping another one."""
     r = _eligible(rows(spark, sf))
-    return isl.transitions(isl.ticker_intervals(r), isl.day_ordinals(_files(spark, sf)), isl.ambiguous(isl.ticker_census(r)))
+    return isl.transitions(isl.ticker_intervals(r), isl.day_ordinals(_files(spark, sf)), isl.ambiguous(materialize(isl.ticker_census(r))))
 
 
 @query(_IVAL + _UNCLEAR + " select identity, series from un")
 def ambiguous_groups(spark, sf):
-    return isl.ambiguous(isl.ticker_census(_eligible(rows(spark, sf))))
+    return isl.ambiguous(materialize(isl.ticker_census(_eligible(rows(spark, sf)))))
 
 
 @query(_ASSOC + """, o as (select trade_date, row_number() over (order by trade_date) as ordinal from (select distinct date_from_filename as trade_date from members) z where trade_date is not null),
